@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .block_join import nearest_neighbours
+from .packing import best_fit_packing
+from .prefix_tree_join import prefix_tree_join
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_array_dedup
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file: a default of the queries, a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -16,10 +27,40 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op6_substring_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op3_block_matrix_join,
+        op4_best_fit_packing,
+        op5_ngram_jaccard_join,
+        op6_substring_dedup,
+    )
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_block_matrix_join": """
+with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+pairs as (
+  select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.e, c.e) as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from pairs)
+select query_id, cast(n as int) as rank, vec_id, score from ranked where n <= 20
+""",
+}
