@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .block_join import nearest_neighbours
+from .edit_matching import contaminated
+from .main_text import extract_main_text
 from .packing import best_fit_packing
 from .prefix_tree_join import prefix_tree_join
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_array_dedup
+from .token_counts import piece_vocabulary, token_counts
+from .toxicity import toxicity, train
 
 
 def vocabulary(name: str) -> str:
@@ -43,6 +47,23 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), *piece_vocabulary(vocabulary("piece_bpe_32k.model")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity(documents, train(documents, table(spark, sf_dir, "labels")))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "distance")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -51,6 +72,10 @@ QUERIES = {
         op4_best_fit_packing,
         op5_ngram_jaccard_join,
         op6_substring_dedup,
+        op7_token_counts,
+        op8_toxicity,
+        op9_html_extraction,
+        op10_benchmark_decontamination,
     )
 }
 
