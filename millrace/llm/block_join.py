@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, longs, small_batches
+from .common import Batches, batch, longs, mapped, small_batches
 
 #: Candidates of one stripe, at most about this many; queries of one block.
 STRIPE, BLOCK = 8192, 512
@@ -125,7 +125,7 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_colu
                         lists = list(nearest(Coded(ids[r], x), c, k))
                         yield batch(key=keys[r], query_id=ids[r], stripe=pa.array(np.full(len(r), stripe), pa.int32()), ids=pa.array([y[0] for y in lists], pa.list_(pa.int64())), scores=pa.array([y[1] for y in lists], pa.list_(pa.float64())))
 
-    found = own.unionByName(asked).repartition(stripes, "stripe").sortWithinPartitions("stripe", "kind", "key").mapInArrow(tiles, "key long, query_id long, stripe int, ids array<long>, scores array<double>")
+    found = own.unionByName(asked).repartition(stripes, "stripe").sortWithinPartitions("stripe", "kind", "key").transform(mapped, tiles, "key long, query_id long, stripe int, ids array<long>, scores array<double>")
 
     def merge(batches: Batches) -> Iterator[pa.RecordBatch]:
         held, last = {}, None
@@ -139,7 +139,7 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_colu
         if last is not None:
             yield _merged(last[1], held, k)
 
-    return found.repartition("key").sortWithinPartitions("key", "query_id").mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
+    return found.repartition("key").sortWithinPartitions("key", "query_id").transform(mapped, merge, "query_id long, rank int, vec_id long, score double")
 
 
 def _merged(query: int, lists: dict, k: int) -> pa.RecordBatch:

@@ -5,6 +5,7 @@ Everything here works on whole columns of Arrow batches, so that no row passes t
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+Batches = Iterable[pa.RecordBatch]
+Mapper = Callable[[Batches], Iterator[pa.RecordBatch]]
 #: An odd base of the polynomial hashes; odd numbers have an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -27,7 +30,7 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes that one step works on at once; bounds the memory of a Python worker.
-SLAB = 1 << 21
+SLAB = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,12 +50,25 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bounds the Arrow batches that go to Python: by rows here, and by bytes where Spark can."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def mapped(df: DataFrame, mapper: Mapper, schema: str) -> DataFrame:
+    """df.mapInArrow, whose workers give memory back: they live on and would hold what one large batch once needed."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from mapper(batches)
+        finally:
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, text and key: what the operators read. Null texts are empty; key tells apart rows that share a doc_id.
 
@@ -193,7 +209,7 @@ def merged(parts: DataFrame, dtype: type, how: str) -> np.ndarray:
         if held:
             yield batch(slice=pa.array(list(held), pa.int32()), blob=pa.array([x.tobytes() for x in held.values()], pa.binary()))
 
-    got = parts.repartition(12, "slice").mapInArrow(unite, "slice int, blob binary").collect()
+    got = parts.repartition(12, "slice").transform(mapped, unite, "slice int, blob binary").collect()
     return np.frombuffer(b"".join(bytes(r.blob) for r in sorted(got, key=lambda r: r.slice)), dtype)
 
 
@@ -215,7 +231,7 @@ def hash_filter(keys: DataFrame, n: int) -> np.ndarray:
         if table is not None:
             yield slices_of(table)
 
-    got = merged(keys.mapInArrow(fill, "slice int, blob binary"), np.uint8, "or")
+    got = merged(keys.transform(mapped, fill, "slice int, blob binary"), np.uint8, "or")
     return got if len(got) else np.zeros(bits // 8, np.uint8)
 
 
@@ -261,7 +277,3 @@ def by_key(batches: Iterable[pa.RecordBatch], column: str, most_rows: int, most_
 
 def parts_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-Batches = Iterable[pa.RecordBatch]
-Mapper = Callable[[Batches], Iterator[pa.RecordBatch]]

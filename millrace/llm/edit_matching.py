@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Batches, batch, small_batches, texts, utf8
+from .common import LOWER, Batches, batch, mapped, small_batches, texts, utf8
 
 #: Bytes of items that are sent to every task; larger benchmarks are searched in parts of this size.
 PART_BYTES = 4 << 20
@@ -156,7 +156,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08
                 at = pa.array(rows, pa.int64())
                 yield batch(doc_id=b.column("doc_id").take(at), key=b.column("key").take(at), item_id=pa.array(ids, pa.int64()), distance=pa.array(distances, pa.int32()))
 
-        found = base.mapInArrow(search, schema)
+        found = base.transform(mapped, search, schema)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
@@ -178,4 +178,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.0
                 clean.append(not any(m.matches(text) for m in matchers))
             yield b.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema) if parts else docs
+    return docs.transform(mapped, keep, docs.schema) if parts else docs

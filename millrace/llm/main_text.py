@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, small_batches
+from .common import Batches, batch, mapped, small_batches
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|iframe|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>?)""",
@@ -202,4 +202,4 @@ def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column:
             yield batch(page_id=b.column("page_id"), url=b.column("url"), text=pa.array(text, pa.string()), n_chars=np.array([len(x) for x in text], np.int64))
 
     picked = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html"))
-    return picked.mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+    return picked.transform(mapped, extract, "page_id long, url string, text string, n_chars long")

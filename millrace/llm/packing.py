@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, ragged, small_batches, stored, utf8
+from .common import Batches, batch, mapped, ragged, small_batches, stored, utf8
 
 #: Words that a worker remembers; then it starts anew.
 REMEMBERED = 300_000
@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, i
                     blobs.append(ids[a : a + size].tobytes())
             yield batch(doc_id=b.column("doc_id").take(pa.array(rows, pa.int64())), piece=pa.array(number, pa.int32()), start=pa.array(start, pa.int64()), length=pa.array([len(x) // 4 for x in blobs], pa.int64()), ids_crc32=pa.array([zlib.crc32(x) for x in blobs], pa.int64()), ids=pa.array(blobs, pa.binary()))
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).transform(mapped, cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 class OpenSequences:
@@ -145,7 +145,7 @@ def best_fit(cut: DataFrame, size: int = 2048, open_sequences: int = 4096, shard
 
     kept = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = dealt.select("shard", "turn", *kept).repartition(shards, "shard").sortWithinPartitions("shard", "turn", "doc_id", "piece", "ids_crc32")
-    return rows.mapInArrow(pack, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return rows.transform(mapped, pack, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, size: int = 2048, open_sequences: int = 4096) -> DataFrame:

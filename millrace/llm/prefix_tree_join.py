@@ -5,7 +5,7 @@
    sets it holds, as packed arrays; chains of sets of like sizes under one n-gram give groups outside which there are no links.
 3. Each different set of a group is stored once in a trie of ordered n-grams. A set walks the trie: branches share the overlap
    that they have in common, and a branch ends when what remains of it cannot reach the threshold. Sets that are known to be in
-   one component aren't compared again. Groups beyond BLOCK_SETS are cut into blocks, and every pair of blocks is joined.
+   one component aren't compared again. Groups beyond BLOCK_GRAMS are cut into blocks, and every pair of blocks is joined.
 
 Equal sets are collapsed before anything is compared, so copies are never expanded into pairs.
 
@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Batches, batch, group_starts, hash_filter, longs, may_hold, merged, mix, parts_for, prefix_hashes, ragged, slices_of, span_hashes, stored, texts, utf8, words
+from .common import U64, Batches, batch, group_starts, hash_filter, longs, mapped, may_hold, merged, mix, parts_for, prefix_hashes, ragged, slices_of, span_hashes, stored, texts, utf8, words
 from .components import connected_components
 
 #: Counters of the global order: 4 MB in all, whatever the corpus.
 COUNTERS = 1 << 20
-#: Different sets that one task joins.
-BLOCK_SETS = 4000
+#: N-grams of all sets that one task joins.
+BLOCK_GRAMS = 2_000_000
 
 
 def ngram_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +119,9 @@ class Trie:
     """Ordered sets as a tree of token runs; sets[k] is an array of local token numbers, in the global order."""
 
     def __init__(self, sets: list[np.ndarray]):
-        order = sorted(range(len(sets)), key=lambda k: sets[k].tolist())
-        self.sets, self.runs, self.below, self.leaves, self.depth, self.sizes = sets, [np.zeros(0, np.int64)], [[]], [[]], [0], [[1 << 60, 0]]
-        path, last = [0], np.zeros(0, np.int64)
+        order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u4").tobytes())
+        self.sets, self.runs, self.below, self.leaves, self.depth, self.sizes = sets, [np.zeros(0, np.int32)], [[]], [[]], [0], [[1 << 60, 0]]
+        path, last = [0], np.zeros(0, np.int32)
         for k in order:
             s = sets[k]
             m = min(len(s), len(last))
@@ -199,7 +199,8 @@ class Trie:
 def join_group(keys: list[np.ndarray]) -> list[int]:
     """The component of each set (the number of its first set), by walks through one trie."""
     flat = np.concatenate(keys)
-    local = np.unique(flat, return_inverse=True)[1]
+    local = np.unique(flat, return_inverse=True)[1].astype(np.int32)
+    del flat
     at = np.cumsum([0, *map(len, keys)])
     sets = [local[a:z] for a, z in zip(at[:-1], at[1:], strict=True)]
     trie, mark = Trie(sets), np.zeros(int(local.max()) + 1, bool)
@@ -240,7 +241,7 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
         none = pa.nulls(s.num_rows, pa.int64())
         yield batch(doc_id=none, key=none, set=none, n=none, slice=s.column(0), blob=s.column(1))
 
-    first = stored(base.mapInArrow(counted, "doc_id long, key long, set long, n long, slice int, blob binary"))
+    first = stored(base.transform(mapped, counted, "doc_id long, key long, set long, n long, slice int, blob binary"))
     rows = first.where("slice is null").select("doc_id", "key", "set", "n")
     counts = merged(first.where("slice is not null").select("slice", "blob"), np.uint32, "sum")
     table = spark.sparkContext.broadcast(counts if len(counts) else np.zeros(COUNTERS, np.uint32))
@@ -281,8 +282,8 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
         if shard is not None:
             yield from _shard_links(held, links)
 
-    sent = base.mapInArrow(prefixes, "shard int, links boolean, blob binary").repartition(shards, "shard").sortWithinPartitions("shard", "links")
-    near = connected_components(sent.mapInArrow(grouped, "u long, v long"))
+    sent = base.transform(mapped, prefixes, "shard int, links boolean, blob binary").repartition(shards, "shard").sortWithinPartitions("shard", "links")
+    near = connected_components(sent.transform(mapped, grouped, "u long, v long"))
     group = near.select(F.col("u").alias("set"), F.col("v").alias("group")).unionByName(near.select(F.col("v").alias("set"), F.col("v").alias("group")).distinct())
     group = stored(group)
     wanted = spark.sparkContext.broadcast(hash_filter(group.select("set"), group.count()))
@@ -297,14 +298,15 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
                 keys = ordered(grams, off, table.value)
                 yield batch(set=ids[one].view(np.int64), keys=pa.array([keys[off[k] : off[k + 1]].tobytes() for k in one], pa.binary()))
 
-    sized = group.groupBy("group").agg((F.floor((F.count("set") - 1) / BLOCK_SETS) + 1).cast("int").alias("blocks"))
+    weight = group.join(rows.where("n > 0").groupBy("set").agg(F.min("n").alias("n")), "set")
+    sized = stored(weight.groupBy("group").agg((F.floor((F.sum("n") - 1) / BLOCK_GRAMS) + 1).cast("int").alias("blocks")))
     cut = sized.where("blocks > 1").limit(1).count() > 0
     member = group.join(sized, "group")
     # blocks of a large group: every set visits every pair of blocks that holds its own
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
     member = member.select("set", "group", F.explode(pairs).alias("block")) if cut else member.select("set", "group", F.lit(0).alias("block"))
-    held = base.mapInArrow(contents, "set long, keys binary").dropDuplicates(["set"]).join(member, "set")
+    held = base.transform(mapped, contents, "set long, keys binary").dropDuplicates(["set"]).join(member, "set")
 
     def joined(batches: Batches) -> Iterator[pa.RecordBatch]:
         last, ids, keys = None, [], []
@@ -319,7 +321,7 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
         if ids:
             yield from _group_links(ids, keys)
 
-    links = held.select("group", "block", "set", "keys").repartition(2 * parts_for(spark), "group", "block").sortWithinPartitions("group", "block", "set").mapInArrow(joined, "u long, v long")
+    links = held.select("group", "block", "set", "keys").repartition(2 * parts_for(spark), "group", "block").sortWithinPartitions("group", "block", "set").transform(mapped, joined, "u long, v long")
     links = stored(links)
     if cut:
         links = connected_components(links)

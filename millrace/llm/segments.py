@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLAB, U64, Batches, batch, hash_filter, longs, may_hold, mix, parts_for, powers, prefix_hashes, span_hashes, stored, INVERSE
+from .common import INVERSE, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, span_hashes, stored
 
 #: Low bits of a sliding minimum that hold the place, so that one array gives both; slabs are shorter than that.
 PLACE_BITS = 24
@@ -102,7 +102,7 @@ def repeated_segments(docs: DataFrame, units, window: int, gram: int, across_row
                 else:
                     yield batch(m=_signed(m[first]), a=np.zeros(len(first), np.int64), z=(last > first).astype(np.int64))
 
-    counted = docs.mapInArrow(anchors, "m long, a long, z long").groupBy("m")
+    counted = docs.transform(mapped, anchors, "m long, a long, z long").groupBy("m")
     again = counted.agg(F.min("a").alias("a"), F.max("z").alias("z")) if across_rows else counted.agg((F.count("a") + F.sum("z")).alias("z"), F.lit(1).alias("a"))
     again = stored(again.where("z > a").select("m"))
     table = docs.sparkSession.sparkContext.broadcast(hash_filter(again, again.count()))
@@ -115,7 +115,7 @@ def repeated_segments(docs: DataFrame, units, window: int, gram: int, across_row
                 rows, s, c, m, h = (x[ok] for x in (rows, s, c, m, h))
                 yield batch(key=keys[rows], doc_id=ids[rows], start=s.astype(np.int64), n=c.astype(np.int32), m=_signed(m), h=_signed(h))
 
-    return stored(docs.mapInArrow(kept, "key long, doc_id long, start long, n int, m long, h long"))
+    return stored(docs.transform(mapped, kept, "key long, doc_id long, start long, n int, m long, h long"))
 
 
 def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
                 ok = ok[one]
                 yield batch(m=_signed(m[ok]), h=_signed(h[ok]), n=c[ok].astype(np.int32), content=pa.array([cut(off[r] + x, off[r] + x + k + window - 1) for r, x, k in zip(rows[ok].tolist(), s[ok].tolist(), c[ok].tolist(), strict=True)], pa.binary()))
 
-    got = docs.mapInArrow(found, "m long, h long, n int, content binary")
+    got = docs.transform(mapped, found, "m long, h long, n int, content binary")
     return got.join(anchors.select("m"), "m", "left_semi").groupBy("m", "h", "n").agg(F.min("content").alias("content"))
 
 
@@ -152,7 +152,7 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
             yield batch(m=m, h=h, n=n.astype(np.int32), first=pa.array([[r[0] for r in x] for x in runs], pa.list_(pa.int32())), count=pa.array([[r[1] for r in x] for x in runs], pa.list_(pa.int32())), value=pa.array([[r[2] for r in x] for x in runs], pa.list_(pa.int64())))
 
     cols = ["m", "h", "n", weight, "content"]
-    return rows.select(*cols).repartition(4 * parts_for(docs.sparkSession), "m").sortWithinPartitions("m", "h", "n").mapInArrow(shards, schema)
+    return rows.select(*cols).repartition(4 * parts_for(docs.sparkSession), "m").sortWithinPartitions("m", "h", "n").transform(mapped, shards, schema)
 
 
 #: Bytes of segments that one index covers; groups of one anchor beyond it are compared block by block.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, ragged, stored, texts, utf8, words
+from .common import Batches, batch, mapped, ragged, stored, texts, utf8, words
 from .fm_index import FMIndex
 from .segments import repeated_segments, verdicts
 from .suffix_dedup import covered, spans_of, with_spans
@@ -83,4 +83,4 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 24, id_column
                 removed.append(sum(z - a for a, z in gone))
             yield batch(doc_id=b.column("doc_id"), key=b.column("key"), n_words=np.diff(rows).astype(np.int64), n_removed=pa.array(removed, pa.int64()), kept=pa.array(kept, pa.binary()).cast(pa.string()), kept_sha256=pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()))
 
-    return with_spans(base, spans).mapInArrow(cut, "doc_id long, key long, n_words long, n_removed long, kept string, kept_sha256 string")
+    return with_spans(base, spans).transform(mapped, cut, "doc_id long, key long, n_words long, n_removed long, kept string, kept_sha256 string")

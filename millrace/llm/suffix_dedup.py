@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, Batches, batch, longs, ragged, stored, texts, utf8
+from .common import BYTE_VALUES, Batches, batch, longs, mapped, ragged, stored, texts, utf8
 from .grouping import suffix_arrays
 from .segments import repeated_segments, verdicts
 
@@ -110,4 +110,4 @@ def suffix_array_dedup(docs: DataFrame, length: int = 200, gram: int = 100, id_c
                 runs.append(len(gone))
             yield batch(doc_id=b.column("doc_id"), key=b.column("key"), n_bytes=np.diff(off), n_removed=pa.array(removed, pa.int64()), n_spans=pa.array(runs, pa.int64()), kept=pa.array(kept, pa.binary()), kept_sha256=pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()))
 
-    return with_spans(base, spans).mapInArrow(cut, "doc_id long, key long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return with_spans(base, spans).transform(mapped, cut, "doc_id long, key long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, small_batches, utf8, words
+from .common import Batches, batch, mapped, small_batches, utf8, words
 
 NONE = -1
 #: Words up to this many bytes are walked side by side, longer ones one by one.
@@ -172,4 +172,4 @@ def token_counts(docs: DataFrame, starting: set[bytes], continuing: set[bytes],
             total = np.r_[0, np.cumsum(each)]
             yield batch(doc_id=b.column("doc_id"), n_bytes=np.diff(off), n_words=np.diff(rows).astype(np.int64), n_tokens=total[rows[1:]] - total[rows[:-1]])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(count, "doc_id long, n_bytes long, n_words long, n_tokens long")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).transform(mapped, count, "doc_id long, n_bytes long, n_words long, n_tokens long")

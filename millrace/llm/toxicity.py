@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, LOWER, U64, Batches, batch, mix, powers, ragged, small_batches, utf8, words
+from .common import BASE, BYTE_VALUES, LOWER, U64, Batches, batch, mapped, mix, powers, ragged, small_batches, utf8, words
 
 WIDTH, STRIDE = 48, 24
 GRAM, GRAM_BITS, VECTOR_BITS = 5, 18, 12
@@ -336,7 +336,7 @@ def _scored(docs: DataFrame, model: Model, text_column: str, finish, schema) ->
         for b in batches:
             yield finish(b, sent.value.score(*utf8(b.column(text_column))))
 
-    return docs.mapInArrow(score, schema)
+    return docs.transform(mapped, score, schema)
 
 
 def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
