@@ -4,8 +4,8 @@ Documents are turned into token ids, followed by an end id; only those longer th
 but fixed order in shards of bounded size. A shard keeps a fixed number of open sequences in a bitset keyed by free space: a piece
 goes where it leaves the least space; if it fits nowhere and all places are taken, the fullest sequence closes first.
 
-Words are encoded once and looked up: the tokenizer never merges across white space, so the ids of a text are those of its parts
-between ASCII white space. Texts are encoded whole.
+Words are encoded once and looked up: the tokenizer lowers letters and never merges across white space or between letters and
+marks, so the ids of a text are those of its parts. Texts are encoded whole.
 
 Defined results: a null or empty text is one piece that holds the end id alone; a null doc_id stays null; rows that share a doc_id
 are documents of their own; an empty table gives an empty table; other columns are not read.
@@ -14,6 +14,7 @@ are documents of their own; an empty table gives an empty table; other columns a
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,39 +29,69 @@ from .common import Batches, batch, mapped, ragged, small_batches, stored, utf8
 REMEMBERED = 300_000
 
 
+#: A full stop or comma between a letter and white space is a part of its own for the tokenizer, too.
+MARK = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
+
+
 class WordIds:
-    """Token ids of texts, by parts between ASCII white space."""
+    """Token ids of texts, by parts between ASCII white space. Parts that are new are learned many at once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a part
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[bytes, int] = {}
         self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _encode(self, parts: list[str]) -> list[list[int]]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            got = [e.ids for e in encode([w.decode() for w in part], add_special_tokens=False)]
-            length = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.uint32, int(length.sum()))
-            self.place.update(zip(part, range(len(self.start), len(self.start) + len(part)), strict=True))
-            self.start = np.r_[self.start, len(self.ids) + np.cumsum(length) - length]
-            self.length, self.ids = np.r_[self.length, length], np.r_[self.ids, flat]
+        return [e.ids for e in encode(parts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain, other = [], []
+        for w in new:
+            text = w.decode()
+            # letters that normalization leaves as they are make one run of tokens, of which the last ends a word
+            (plain if text.isalpha() and max(text) < "\u0180" else other).append((w, text))
+        ids, lengths, known = [self.ids], [self.length], []
+        groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
+        for group, got in zip(groups, self._encode([" ".join(x for _, x in g) for g in groups]), strict=True):
+            got = np.array(got, np.uint32)
+            last = np.flatnonzero(self.ends[got])
+            if len(last) != len(group) or last[-1] != len(got) - 1:
+                other += group
+                continue
+            ids.append(got)
+            lengths.append(np.diff(np.r_[-1, last]))
+            known += [w for w, _ in group]
+        for k in range(0, len(other), 5000):
+            got = self._encode([x for _, x in other[k : k + 5000]])
+            lengths.append(np.fromiter(map(len, got), np.int64, len(got)))
+            ids.append(np.fromiter((i for x in got for i in x), np.uint32))
+            known += [w for w, _ in other[k : k + 5000]]
+        self.place.update(zip(known, range(len(self.start), len(self.start) + len(known)), strict=True))
+        self.ids, self.length = np.concatenate(ids), np.concatenate(lengths)
+        self.start = np.cumsum(self.length) - self.length
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text. The tokenizer lowers letters itself; texts that may hold its special tokens go to it whole."""
         if len(self.place) > REMEMBERED:
             self._forget()
-        parts = [t.split() for t in texts]
-        new = set().union(*parts) - self.place.keys() if parts else set()
+        parts = [None if b"<|" in t else MARK.sub(rb" \1", t.lower()).split() for t in texts]
+        new = set().union(*(p for p in parts if p)) - self.place.keys()
         if new:
             self._learn(list(new))
-        for words in parts:
+        for text, words in zip(texts, parts, strict=True):
+            if words is None:
+                yield np.array(self._encode([text.decode()])[0], np.uint32)
+                continue
             at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
             yield self.ids[ragged(self.start[at], self.length[at])]
 
