@@ -61,10 +61,9 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 24, id_column
     base = texts(docs, id_column, text_column)
     segs = repeated_segments(base, word_units, window, gram, across_rows=True)
     distinct = stored(segs.groupBy("m", "h", "n").agg(F.min("doc_id").alias("d")))
-    found = verdicts(distinct, base, word_units, window, gram, lambda m, n, d, c: least_documents(m, n, d, c, window), "d")
+    found = stored(verdicts(distinct, base, word_units, window, gram, lambda m, n, d, c: least_documents(m, n, d, c, window), "d"))
     one = lambda c, t: F.array(c.cast(t))
     alone = distinct.join(found.select("m", "h", "n"), ["m", "h", "n"], "left_anti").select("m", "h", "n", one(F.lit(0), "int").alias("first"), one(F.col("n"), "int").alias("count"), one(F.col("d"), "long").alias("value"))
-    found = stored(found)
     spans = spans_of(segs, alone.unionByName(found), lambda value, doc: value < doc)
 
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
