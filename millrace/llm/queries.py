@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .block_join import nearest_neighbours
+from .context_tree import score_texts
 from .edit_matching import contaminated
 from .main_text import extract_main_text
 from .packing import best_fit_packing
@@ -31,6 +32,11 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op2_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 def op3_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -68,6 +74,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup,
+        op2_context_tree_weighting,
         op3_block_matrix_join,
         op4_best_fit_packing,
         op5_ngram_jaccard_join,
