@@ -1,8 +1,8 @@
 """N-gram Jaccard join by prefix trees: links documents whose sets of word n-grams have a Jaccard similarity of 0.8 or more.
 
 1. One pass counts n-grams in a hashed table of fixed size, which gives one global order of all n-grams: rare ones first.
-2. Sets that can be linked share an n-gram among their first |x| - ceil(0.8 |x|) + 1. Each task sends these, summed up for the
-   sets it holds, as packed arrays; chains of sets of like sizes under one n-gram give groups outside which there are no links.
+2. Sets that can be linked share an n-gram among their first |x| - ceil(0.8 |x|) + 1. Each task sends these as packed arrays; sets
+   under one n-gram whose sizes and places allow a link are joined to groups outside which there are no links.
 3. Each different set of a group is stored once in a trie of ordered n-grams. A set walks the trie: branches share the overlap
    that they have in common, and a branch ends when what remains of it cannot reach the threshold. Sets that are known to be in
    one component aren't compared again. Groups beyond BLOCK_GRAMS are cut into blocks, and every pair of blocks is joined.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Batches, batch, group_starts, hash_filter, longs, mapped, may_hold, merged, mix, parts_for, prefix_hashes, ragged, slices_of, span_hashes, stored, texts, utf8, words
+from .common import U64, Batches, batch, hash_filter, longs, mapped, may_hold, merged, mix, parts_for, prefix_hashes, ragged, slices_of, span_hashes, stored, texts, utf8, words
 from .components import connected_components
 
 #: Counters of the global order: 4 MB in all, whatever the corpus.
@@ -77,26 +77,35 @@ def prefix_lengths(n: np.ndarray) -> np.ndarray:
     return n - (4 * n + 4) // 5 + 1
 
 
-def chains(token: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of sets under one n-gram whose sizes don't leave a gap that no link can cross: token, node, low, high of each run, and
-    the links from each of its nodes to its first."""
-    order = np.lexsort((low, token))
-    token, node, low, high = token[order], node[order], low[order], high[order]
-    if not len(token):
-        return token, node, low, high, node, node
-    first = np.zeros(len(token), np.int64)
-    at = group_starts(token)
-    first[at] = 1
-    # the greatest size so far, within each n-gram: sizes are below 2**40
-    rank = np.cumsum(first) << 40
-    reach = np.maximum.accumulate(rank + high) - rank
-    new = first.astype(bool)
-    new[1:] |= 4 * low[1:] > 5 * reach[:-1]
-    at = np.flatnonzero(new)
-    last = np.r_[at[1:], len(token)] - 1
-    root = np.repeat(node[at], np.diff(np.r_[at, len(token)]))
-    link = root != node
-    return token[at], node[at], low[at], reach[last], node[link], root[link]
+def bucket_links(token: np.ndarray, node: np.ndarray, size: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links u, v that join the sets under each n-gram that could be linked there, and the rows that later links may still need.
+
+    A pair is only asked for under its first common n-gram. With the n-gram at place i of n, the overlap is n - i at most, so that
+    the other set has at most reach = (5n - 9i) / 4 n-grams; and each must be within the reach of the other. Sets with reach >= n
+    are linked to the earlier (smaller) set that reaches farthest, which is enough to join all that reach each other; a row that
+    the same set outreaches isn't needed any more. Others are only linked to smaller sets.
+    """
+    tokens = np.unique(token, return_inverse=True)[1].astype(np.int64) << 34
+    strong = reach >= size
+    at = np.flatnonzero(strong)
+    at = at[np.lexsort((-reach[at], tokens[at] + size[at]))]
+    if not len(at):
+        return node[:0], node[:0], np.ones(len(token), bool)
+    base = tokens[at]
+    far = np.maximum.accumulate(base + reach[at])
+    grows = np.r_[True, far[1:] > far[:-1]]
+    best = np.maximum.accumulate(np.where(grows, np.arange(len(at)), 0))
+    before = np.r_[0, best[:-1]]
+    met = np.r_[False, far[:-1] >= base[1:] + size[at][1:]]  # a farther reach of another n-gram is below base
+    weak = np.flatnonzero(~strong)
+    k = np.searchsorted(base + size[at], tokens[weak] + reach[weak], "right") - 1
+    hit = (k >= 0) & (far[np.maximum(k, 0)] >= tokens[weak] + size[weak])
+    u = np.r_[node[at[met]], node[weak[hit]]]
+    v = np.r_[node[at[before[met]]], node[at[best[k[hit]]]]]
+    needed = np.ones(len(token), bool)
+    needed[at[~grows]] = False
+    other = u != v
+    return u[other], v[other], needed
 
 
 def local_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,14 +268,16 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
             keys = ordered(grams, off, table.value)
             p = prefix_lengths(n[one])
             token = keys[ragged(off[one], p)]
-            sizes = np.repeat(n[one], p)
-            token, node, low, high, u, v = chains(token, np.repeat(ids[one], p), sizes, sizes)
-            packed = np.stack([token, node, low.astype(np.uint64), high.astype(np.uint64)], axis=1)
+            sizes, node = np.repeat(n[one], p), np.repeat(ids[one], p)
+            reach = (5 * sizes - 9 * ragged(np.zeros(len(p), np.int64), p)) // 4
+            u, v, needed = bucket_links(token, node, sizes, reach)
+            token = token[needed]
+            packed = np.stack([token, node[needed], (sizes[needed] << 32 | reach[needed]).astype(np.uint64)], axis=1)
             shard = (mix(token) % U64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             packed, at = packed[order], np.searchsorted(shard[order], np.arange(shards + 1))
             some = np.flatnonzero(np.diff(at))
-            blobs = [np.ascontiguousarray(_pack(packed[at[k] : at[k + 1]])).tobytes() for k in some]
+            blobs = [np.ascontiguousarray(packed[at[k] : at[k + 1]]).tobytes() for k in some]
             links = np.stack(local_components(u, v), axis=1) if len(u) else np.zeros((0, 2), np.uint64)
             yield batch(shard=pa.array([*some, int(shard[0])], pa.int32()), links=pa.array([False] * len(some) + [True]), blob=pa.array([*blobs, np.ascontiguousarray(links).tobytes()], pa.binary()))
 
@@ -332,14 +343,8 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
     return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _pack(rows: np.ndarray) -> np.ndarray:
-    """token, node, and the two sizes in one: 24 bytes a row."""
-    out = rows[:, :3].copy()
-    out[:, 2] = rows[:, 2] << U64(32) | rows[:, 3]
-    return out
-
-
 def _unpack(blob: bytes) -> np.ndarray:
+    """Rows of n-gram, set, and size and reach in one: 24 bytes each."""
     return np.frombuffer(blob, np.uint64).reshape(-1, 3)
 
 
@@ -347,7 +352,7 @@ def _shard_links(held: list[np.ndarray], links: list[np.ndarray]) -> Iterator[pa
     u, v = [x[:, 0] for x in links], [x[:, 1] for x in links]
     if held:
         t = np.concatenate(held)
-        *_, a, b = chains(t[:, 0], t[:, 1], (t[:, 2] >> U64(32)).astype(np.int64), (t[:, 2] & U64(0xFFFFFFFF)).astype(np.int64))
+        a, b, _ = bucket_links(t[:, 0], t[:, 1], (t[:, 2] >> U64(32)).astype(np.int64), (t[:, 2] & U64(0xFFFFFFFF)).astype(np.int64))
         u.append(a)
         v.append(b)
     u, v = np.concatenate(u), np.concatenate(v)

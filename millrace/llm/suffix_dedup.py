@@ -84,8 +84,11 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).join(spans, ["key", "id"], "left").select("key", "doc_id", "text", "spans")
 
 
-def suffix_array_dedup(docs: DataFrame, length: int = 200, gram: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, key, n_bytes, n_removed, n_spans, kept (binary: the remaining bytes) and kept_sha256 of every row of docs."""
+def suffix_array_dedup(docs: DataFrame, length: int = 200, gram: int = 100, id_column: str = "doc_id", text_column: str = "text", as_text: bool = False) -> DataFrame:
+    """doc_id, key, n_bytes, n_removed, n_spans, kept (the remaining bytes) and kept_sha256 of every row of docs.
+
+    kept is binary, as a cut may go through a character; as_text makes it a string without the characters that were cut through.
+    """
     base = texts(docs, id_column, text_column)
     segs = repeated_segments(base, byte_units, length, gram, across_rows=False)
     distinct = stored(segs.groupBy("m", "h", "n").agg(F.count("key").alias("w")))
@@ -108,6 +111,6 @@ def suffix_array_dedup(docs: DataFrame, length: int = 200, gram: int = 100, id_c
                 kept.append(b"".join(row[i:j].tobytes() for i, j in zip(stay[::2], stay[1::2], strict=True)))
                 removed.append(sum(z - a for a, z in gone))
                 runs.append(len(gone))
-            yield batch(doc_id=b.column("doc_id"), key=b.column("key"), n_bytes=np.diff(off), n_removed=pa.array(removed, pa.int64()), n_spans=pa.array(runs, pa.int64()), kept=pa.array(kept, pa.binary()), kept_sha256=pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()))
+            yield batch(doc_id=b.column("doc_id"), key=b.column("key"), n_bytes=np.diff(off), n_removed=pa.array(removed, pa.int64()), n_spans=pa.array(runs, pa.int64()), kept=pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), kept_sha256=pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()))
 
-    return with_spans(base, spans).transform(mapped, cut, "doc_id long, key long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return with_spans(base, spans).transform(mapped, cut, f"doc_id long, key long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}, kept_sha256 string")
