@@ -1,6 +1,410 @@
-"""The registry of queries and of their SQL."""
+"""Queries over the driver's tables for every operator, and the same in SQL. Keys follow the operator inventory."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import scalar as S
+from .functions import vision as V
+from .operators import calibrate as C
+from .operators import evaluate as E
+from .operators import gate as G
+from .operators import relational as R
+from .streaming import replay, window_counts
+
+THRESHOLD = 0.25
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# margins and thresholds: the halves of a stored vector stand for positive and negative logits
+
+
+def margins(spark, d):
+    e = F.col("embedding").cast("array<double>")
+    return table(spark, d, "embeddings").select("vec_id", "label", V.margin(F.slice(e, 1, 32), F.slice(e, 33, 32), 3).alias("m")).select("vec_id", "label", "m.*")
+
+
+MARGIN = """
+e as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
+p as (select vec_id, label, list_reverse_sort(v[1:32]) as a, list_reverse_sort(v[33:64]) as b from e),
+m as (select vec_id, label, (a[1] + a[2] + a[3]) / 3 as pos_score, (b[1] + b[2] + b[3]) / 3 as neg_score,
+  (a[1] + a[2] + a[3]) / 3 - (b[1] + b[2] + b[3]) / 3 as margin, cast(3 as int) as effective_k from p)"""
+
+
+@query(f"with {MARGIN} select * from m")
+def margin_topk(spark, d):
+    """AG2, AG3."""
+    return margins(spark, d)
+
+
+@query(f"with {MARGIN} select vec_id, margin, case when margin >= {THRESHOLD} then 'accept' else 'reject' end as decision from m")
+def margin_decision(spark, d):
+    """PF4."""
+    return margins(spark, d).select("vec_id", "margin", G.margin_decision(F.col("margin"), THRESHOLD).alias("decision"))
+
+
+@query(f"with {MARGIN} select case when margin >= {THRESHOLD} then 'accept' else 'reject' end as decision, count(*) as n from m group by 1")
+def margin_decision_counts(spark, d):
+    """AG10, SK3."""
+    return G.decision_counts(margin_decision(spark, d))
+
+
+SWEEP = f"""{MARGIN},
+s as (select margin as threshold, sum(label % 2) as pos, count(*) as n from m group by margin),
+r as (select threshold, sum(pos) over w as tp, sum(n) over w as taken, sum(pos) over () as all_pos, sum(n) over () as all_n
+  from s window w as (order by threshold desc rows between unbounded preceding and current row)),
+c as (select threshold, cast(all_n - all_pos - taken + tp as bigint) as tn, cast(taken - tp as bigint) as fp, cast(all_pos - tp as bigint) as fn, cast(tp as bigint) as tp from r),
+q as (select *, case when tp + fp > 0 then cast(tp as double) / (tp + fp) else 0.0 end as precision, case when tp + fn > 0 then cast(tp as double) / (tp + fn) else 0.0 end as recall from c),
+f as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0.0 end as f1 from q)"""
+
+
+def swept(spark, d):
+    return C.sweep(margins(spark, d).select("margin", (F.col("label") % 2).alias("label")))
+
+
+@query(f"with {SWEEP} select * from f")
+def sweep_candidates(spark, d):
+    """AG4-AG6, AG9, WN1, SO7."""
+    return swept(spark, d)
+
+
+@query(f"with {SWEEP} select * from f order by f1 desc, recall desc, precision desc, threshold limit 1")
+def best_f1(spark, d):
+    """AG7."""
+    return C.best_f1(swept(spark, d))
+
+
+@query(f"with {SWEEP} select * from f where precision >= 0.5 order by recall desc, f1 desc, precision desc, threshold limit 1")
+def best_at_min_precision(spark, d):
+    """AG8."""
+    return C.best_at_min_precision(swept(spark, d), 0.5)
+
+
+# scalar functions
+
+
+@query("select event_id, case when value > 50 then 50.0 when value < 5 then 5.0 else value end as clamped, coalesce(try_cast(event_type as double), -1.0) as number, event_type in ('view', 'click') as flag from events")
+def clamp_safe_float(spark, d):
+    """SF1-SF3."""
+    word = F.when(F.col("event_type").isin("view", "click"), "Yes").otherwise(" off ")
+    return table(spark, d, "events").select("event_id", S.clamp(F.col("value"), 5.0, 50.0).alias("clamped"), S.safe_float(F.col("event_type"), -1.0).alias("number"), S.parse_bool(word).alias("flag"))
+
+
+@query(r"select page_id, regexp_replace(url, '/+$', '') as path, list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1) as name, case when regexp_matches(list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1), '^.+\.[^.]+$') then regexp_extract(list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1), '^(.+)\.[^.]+$', 1) else list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1) end as stem from pages")
+def path_parts(spark, d):
+    """SF5."""
+    return table(spark, d, "pages").select("page_id", F.regexp_replace("url", "/+$", "").alias("path"), S.basename(F.col("url")).alias("name"), S.stem(F.col("url")).alias("stem"))
+
+
+@query("select p_partkey, coalesce(nullif(regexp_replace(regexp_replace(p_name || ' #' || p_brand || '.', '[^a-zA-Z0-9_.-]', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'task') as slug from part")
+def slug(spark, d):
+    """SF11."""
+    return table(spark, d, "part").select("p_partkey", S.slug(F.concat("p_name", F.lit(" #"), "p_brand", F.lit("."))).alias("slug"))
+
+
+@query("select c_custkey, c_mktsegment as prefix, cast(c_custkey % 100000 as int) as counter from customer")
+def output_counter(spark, d):
+    """SF10."""
+    name = F.concat("c_mktsegment", F.lit("_"), F.format_string("%05d", F.col("c_custkey") % 100000), F.lit("_.png"))
+    return table(spark, d, "customer").select("c_custkey", S.output_prefix(name).alias("prefix"), S.output_counter(name).alias("counter"))
+
+
+@query("select c_custkey, 'run_' || c_mktsegment || '_' || cast(c_nationkey as varchar) || '_{other}' as rendered, case when c_custkey % 2 = 0 then '.jpg' else '.png' end as ext from customer")
+def templates(spark, d):
+    """SF4, SF6."""
+    ext = F.when(F.col("c_custkey") % 2 == 0, "JPEG").otherwise(" .png")
+    return table(spark, d, "customer").select("c_custkey", S.render("run_${segment}_{nation}_{other}", {"segment": F.col("c_mktsegment"), "nation": F.col("c_nationkey")}).alias("rendered"), S.image_extension(ext).alias("ext"))
+
+
+@query("select o_orderkey, case cast(('0x' || substr(sha256('salt|' || cast(o_orderkey as varchar)), 1, 8)) as bigint) % 3 when 0 then 'a' when 1 then 'b' else 'c' end as choice from orders")
+def dynamic_choice(spark, d):
+    """SF8."""
+    return table(spark, d, "orders").select("o_orderkey", S.choice(["a", "b", "c"], "salt", F.col("o_orderkey")).alias("choice"))
+
+
+# gate: triples of a vector stand for keypoints, its first values for a box
+
+
+def detections(spark, d):
+    e = F.col("embedding").cast("array<double>")
+    box = F.array(F.lit(0.0), F.lit(0.0), F.abs(F.get(e, F.lit(0))) * 200, F.abs(F.get(e, F.lit(1))) * 200)
+    points = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda k: F.array(F.get(e, k * 3), F.get(e, k * 3 + 1), F.get(e, k * 3 + 2)))
+    made = lambda score, b: F.struct(F.lit(1).alias("label"), score.alias("score"), b.alias("box"), points.alias("keypoints"))
+    return table(spark, d, "embeddings").select("vec_id", e.alias("e"), made(F.get(e, F.lit(2)), box).alias("person"), made(F.get(e, F.lit(3)), box).alias("pose"))
+
+
+DET = """
+e as (select vec_id, cast(embedding as double[]) as v from embeddings),
+g as (select vec_id, v, v[3] as person, v[4] as pose, (abs(v[1]) * 200) * (abs(v[2]) * 200) / 10000.0 as area,
+  cast(len(list_filter(range(17), lambda k: v[k * 3 + 3] >= 0.05)) as int) as points from e),
+h as (select *, person >= 0.0 as person_ok, pose >= 0.0 as pose_ok from g),
+r as (select vec_id, area, case when pose_ok then points else 0 end as valid_keypoints, list_filter([
+  case when not person_ok and not pose_ok then 'no_person_detected' end, case when area < 0.01 then 'bbox_too_small' end,
+  case when area > 0.5 then 'bbox_too_large' end, case when pose_ok and points < 6 then 'insufficient_keypoints' end,
+  case when not pose_ok then 'pose_missing' end], lambda x: x is not null) as reasons from h)"""
+
+
+def gated(spark, d):
+    gate = G.pose_gate(F.col("person"), F.col("pose"), F.lit(100), F.lit(100), min_score=0.0, min_keypoints=6, keypoint_threshold=0.05, min_area=0.01, max_area=0.5)
+    return detections(spark, d).select("vec_id", gate.alias("g")).select("vec_id", "g.*")
+
+
+ROUTES = {"no_person_detected": "reject", "bbox_too_small": "reject", "bbox_too_large": "reject", "insufficient_keypoints": "uncertain", "pose_missing": "uncertain"}
+ROUTED = "case when len(reasons) = 0 then 'accept' when len(list_filter(reasons, lambda x: x not in ('insufficient_keypoints', 'pose_missing'))) = 0 then 'uncertain' else 'reject' end"
+
+
+@query(f"with {DET} select vec_id, case when len(reasons) = 0 then 'accept' else 'reject' end as decision, array_to_string(reasons, ',') as reject_reasons, area as bbox_area_ratio, 'bbox' as roi_source, valid_keypoints from r")
+def pose_gate(spark, d):
+    """PF6, PF7, PF9."""
+    return gated(spark, d).withColumn("reject_reasons", F.concat_ws(",", "reject_reasons"))
+
+
+@query(f"with {DET} select vec_id, case when area < 0.01 or area > 0.5 or points < 6 then 'reject' else 'accept' end as decision, points as valid_keypoints from g")
+def single_gate(spark, d):
+    """PF10."""
+    gate = G.single_gate(F.col("pose.box"), F.col("pose.keypoints"), F.lit(100), F.lit(100), min_keypoints=6, keypoint_threshold=0.05, min_area=0.01, max_area=0.5)
+    return detections(spark, d).select("vec_id", gate.alias("g")).select("vec_id", "g.decision", "g.valid_keypoints")
+
+
+@query(f"with {DET} select {ROUTED} as decision, count(*) as n from r group by 1")
+def route_counts(spark, d):
+    """PF12, AG10, SK4."""
+    return G.decision_counts(gated(spark, d).select(G.route(F.col("reject_reasons"), ROUTES).alias("decision")))
+
+
+@query("with e as (select vec_id, cast(embedding as double[]) as v from embeddings), b as (select vec_id, list_max(list_filter(v[1:8], lambda x: x >= 0.0)) as score from e) select vec_id, score from b")
+def best_detection(spark, d):
+    """PF8."""
+    found = F.transform(F.slice("e", 1, 8), lambda x: F.struct(F.lit(1).alias("label"), x.alias("score")))
+    return detections(spark, d).select("vec_id", V.best_detection(found, 0.0)["score"].alias("score"))
+
+
+# joins: orders stand for images, their lines for annotations
+
+
+@query("select l_orderkey, count(*) as n_annotations from lineitem group by 1")
+def coco_ann_count(spark, d):
+    """SC8, AG11."""
+    return R.annotation_counts(table(spark, d, "lineitem"), "l_orderkey")
+
+
+@query("""
+with i as (select o_orderkey, 'x/' || cast(o_orderkey % 7000 as varchar) || '.jpg' as image_path from orders),
+c as (select o_custkey as id, cast(o_custkey as varchar) || case when o_custkey % 2 = 0 then '.jpg' else '.png' end as name, cast(o_custkey as varchar) as stem from orders group by 1),
+a as (select o_custkey as id, count(*) as n from orders where o_orderstatus = 'F' group by 1),
+m as (select i.*, coalesce(x.id, y.id) as id from i left join c x on x.name = string_split(i.image_path, '/')[2] left join c y on y.stem = string_split(string_split(i.image_path, '/')[2], '.')[1])
+select m.o_orderkey, m.image_path, case when a.n > 0 then m.id end as coco_image_id, a.n as n_annotations from m left join a on a.id = m.id""")
+def coco_resolve(spark, d):
+    """JN1."""
+    orders = table(spark, d, "orders")
+    images = orders.select("o_orderkey", F.concat(F.lit("x/"), (F.col("o_orderkey") % 7000).cast("string"), F.lit(".jpg")).alias("image_path"))
+    ids = orders.select(F.col("o_custkey").alias("id")).distinct()
+    coco = ids.select("id", F.concat(F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, ".jpg").otherwise(".png")).alias("file_name"))
+    counts = R.annotation_counts(orders.where("o_orderstatus = 'F'"), "o_custkey").withColumnRenamed("o_custkey", "image_id")
+    return R.resolve_label(images, coco, counts)
+
+
+@query("select l_orderkey, string_agg(cast(cast(l_quantity as int) as varchar), ',' order by l_linenumber, l_quantity, l_partkey, l_suppkey, l_extendedprice) as quantities from lineitem where l_linestatus = 'F' and l_quantity >= 10 and l_orderkey in (select o_orderkey from orders where o_orderstatus <> 'P') group by 1")
+def pose_collect(spark, d):
+    """PF16, JN7, JN8, AG20."""
+    images = table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
+    order = F.struct("l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_extendedprice")
+    got = R.group_annotations(table(spark, d, "lineitem"), images, "l_orderkey", (F.col("l_linestatus") == "F") & (F.col("l_quantity") >= 10), F.col("l_quantity").cast("int"), order)
+    return got.select("l_orderkey", F.concat_ws(",", F.transform("values", lambda x: x.cast("string"))).alias("quantities"))
+
+
+@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+def missing_image(spark, d):
+    """PF17, JN6."""
+    return R.without_files(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+
+
+@query("select l_orderkey from lineitem where l_returnflag = 'R' group by 1 having count(*) = 1")
+def single_person_subset(spark, d):
+    """OR13."""
+    return R.single_only(table(spark, d, "lineitem"), "l_orderkey", F.col("l_returnflag") == "R")
+
+
+@query("select d.doc_id, l.quality from documents d join labels l using (doc_id)")
+def require_labels(spark, d):
+    """PF18, JN2."""
+    return R.labelled(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select("doc_id", "quality"), ["doc_id"], "quality", True)
+
+
+# splits, unions and numbers
+
+SPLIT = "select doc_id, row_number() over (order by md5('{seed}:' || cast(doc_id as varchar)), doc_id) as r, count(*) over () as n from {rows}"
+
+
+@query(f"select doc_id, case when r <= greatest(1, floor(n * 0.2)) then 'val' else 'train' end as split from ({SPLIT.format(seed=42, rows='documents')})")
+def split_train_val(spark, d):
+    """SO4."""
+    return R.split_train_val(table(spark, d, "documents").select("doc_id"), "doc_id", 0.2, 42)
+
+
+@query(f"with a as ({SPLIT.format(seed=42, rows='documents')}), b as ({SPLIT.format(seed=43, rows='(select doc_id from a where r > 100)')}) select doc_id, 'test' as split from a where r <= 100 union all select doc_id, case when r <= greatest(1, floor(n * 0.15)) then 'val' else 'train' end from b")
+def split_holdout(spark, d):
+    """SO5, SO6."""
+    return R.split_with_holdout(table(spark, d, "documents").select("doc_id"), "doc_id", 100, 0.15, 42)
+
+
+@query("select 'real_' || c_name as name, 'train' as split from customer where c_nationkey % 2 = 0 union all select 'synth_' || s_name, 'train' from supplier where s_nationkey % 2 = 0 union all select p_name, 'val' from part where p_size > 45")
+def mixed_union(spark, d):
+    """SO2, SO3."""
+    split = lambda c: F.when(F.col(c) % 2 == 0, "train").otherwise("val").alias("split")
+    real, synthetic = table(spark, d, "customer").select(F.col("c_name").alias("name"), split("c_nationkey")), table(spark, d, "supplier").select(F.col("s_name").alias("name"), split("s_nationkey"))
+    return R.mixed_dataset(real, synthetic, table(spark, d, "part").where("p_size > 45").select(F.col("p_name").alias("name")))
+
+
+@query("select c_custkey as id, c_name as name, cast(null as double) as balance, 0 as _file from customer union all select s_suppkey, s_name, s_acctbal, 1 from supplier")
+def manifest_union(spark, d):
+    """SO1, SC10."""
+    return R.union_manifests(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))).select("id", "name", "balance", "_file")
+
+
+@query("select o_orderkey, printf('row_%07d', row_number() over (order by o_orderkey) - 1) as generated_id from orders where o_orderstatus = 'F'")
+def seq_ids(spark, d):
+    """WN2, WN3, PF1, PF2."""
+    return R.numbered(table(spark, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey"), [F.col("o_orderkey")], "row_", 7)
+
+
+# lineage and jobs
+
+
+@query("select c.c_nationkey, c.c_custkey, m.ref_id, m.candidates from customer c join (select s_nationkey, arg_min(s_suppkey, s_acctbal * 1000000 + s_suppkey) as ref_id, count(*) as candidates from supplier group by 1) m on m.s_nationkey = c.c_nationkey")
+def exact_match(spark, d):
+    """JN4."""
+    refs = table(spark, d, "supplier").select(F.col("s_nationkey").alias("name"), F.col("s_suppkey").alias("ref_id"), (F.col("s_acctbal") * 1000000 + F.col("s_suppkey")).alias("pos"))
+    return R.exact_matches(table(spark, d, "customer").select(F.col("c_nationkey").alias("name"), "c_custkey"), refs).select(F.col("name").alias("c_nationkey"), "c_custkey", "ref_id", "candidates")
+
+
+@query("with f as (select c_nationkey as prefix, c_name as name, row_number() over (partition by c_nationkey order by c_custkey, c_name) as t from customer), r as (select s_nationkey as prefix, s_suppkey as ref_id, row_number() over (partition by s_nationkey order by s_suppkey) as t from supplier) select f.prefix, f.name, r.ref_id from f join r on r.prefix = f.prefix and r.t = f.t")
+def prefix_pairing(spark, d):
+    """JN5, WN4."""
+    files = table(spark, d, "customer").select(F.col("c_nationkey").alias("prefix"), F.col("c_name").alias("name"), F.col("c_custkey").alias("counter"))
+    return R.rank_pairs(files, table(spark, d, "supplier").select(F.col("s_nationkey").alias("prefix"), F.col("s_suppkey").alias("ref_id"))).select("prefix", "name", "ref_id")
+
+
+@query("with g as (select o_custkey as prefix, o_orderpriority as run, count(*) as n from orders group by 1, 2) select prefix, run from (select *, row_number() over (partition by prefix order by n desc, run desc) as t from g) where t = 1")
+def run_group(spark, d):
+    """AG18."""
+    return R.chosen_runs(table(spark, d, "orders").select(F.col("o_custkey").alias("prefix"), F.col("o_orderpriority").alias("run"), F.col("o_orderpriority").alias("run_order")))
+
+
+@query("with r as (select o_custkey, cast(floor(o_totalprice) as int) as w, row_number() over (partition by o_custkey order by o_orderkey desc) as t from orders) select c.c_custkey as guide_image_id, r.w as anchor_width, case when r.w is not null then r.w = 1000 + cast(floor(c.c_acctbal) as int) end as size_match_anchor from customer c left join r on r.o_custkey = c.c_custkey and r.t = 1")
+def dims_enrich(spark, d):
+    """JN3."""
+    real = table(spark, d, "orders").select(F.col("o_custkey").alias("sample_id"), F.expr("cast(floor(o_totalprice) as int)").alias("width"), F.lit(1).alias("height"), F.col("o_orderkey").alias("pos"))
+    synthetic = table(spark, d, "customer").select(F.col("c_custkey").alias("guide_image_id"), (1000 + F.expr("cast(floor(c_acctbal) as int)")).alias("width"), F.lit(1).alias("height"))
+    return R.dimensions(synthetic, real).select("guide_image_id", "anchor_width", "size_match_anchor")
+
+
+@query("select count(distinct nullif(trim(event_type), '')) as jobs from events")
+def job_count(spark, d):
+    """AG17."""
+    return R.job_count(table(spark, d, "events"), "event_type")
+
+
+@query("select j as job, s.s_suppkey as anchor_id, j + 1000 as seed from range(500) t(j) join (select s_suppkey, row_number() over (order by s_suppkey) - 1 as k, count(*) over () as n from supplier) s on s.k = j % s.n")
+def job_plan(spark, d):
+    """JN9, WN5."""
+    anchors = R.ranked(table(spark, d, "supplier").select(F.col("s_suppkey").alias("anchor_id")), "anchor_id", [F.col("anchor_id")])
+    return R.job_plan(anchors.select("anchor_id", (F.col("rank") - 1).alias("turn")), 500, 1000)
+
+
+@query("select c_custkey as sample_id, k as k, 7 + c_custkey * 100 + k as seed from customer, (select cast(unnest(range(3)) as int) as k) order by c_custkey, k limit 1000")
+def local_stub_plan(spark, d):
+    """JN10, SL3."""
+    real = table(spark, d, "customer").select(F.col("c_custkey").alias("sample_id"), F.col("c_custkey").alias("pos"))
+    return R.stub_plan(real, 3, 7, 1000).select("sample_id", "k", "seed")
+
+
+@query("select p_partkey, concat_ws(',', case when p_size > 30 then 'width>30' end, case when p_size * 2 > 80 then 'height>80' end, case when greatest(p_size, p_size * 2) > 90 then 'long_edge>90' end) as reason from part")
+def anchor_filter(spark, d):
+    """PF15."""
+    return table(spark, d, "part").select("p_partkey", G.size_reasons(F.col("p_size"), F.col("p_size") * 2, max_width=30, max_height=80, max_long_edge=90).alias("reason"))
+
+
+# labels
+
+
+@query("select conv_id, turn, role from conversations")
+def flatten_annotations(spark, d):
+    """SF17."""
+    from .sources import flatten_annotations as flatten
+
+    tasks = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("id")).agg(F.collect_list(F.struct("turn", "role")).alias("annotations"))
+    return flatten(tasks).select(F.col("task_id").alias("conv_id"), "annotation.turn", "annotation.role")
+
+
+@query("select vec_id, cast(case when x >= 0.5 then 2 when x > 0 then 1 else 0 end as int) as visibility from (select vec_id, cast(embedding[1] as double) * 5 as x from embeddings)")
+def visibility(spark, d):
+    """SF13."""
+    return table(spark, d, "embeddings").select("vec_id", V.visibility(F.get("embedding", F.lit(0)).cast("double") * 5, 0.5).alias("visibility"))
+
+
+# reports
+
+
+@query("with s as (select case when s_nationkey % 2 = 0 then 'real' else 'synthetic' end as source, s_acctbal as score from supplier) select count(*) as total, count(*) filter (where source = 'real') as real, count(*) filter (where source = 'synthetic') as synthetic from s")
+def mix_report(spark, d):
+    """AG15."""
+    rows = table(spark, d, "supplier").select(F.when(F.col("s_nationkey") % 2 == 0, "real").otherwise("synthetic").alias("source"))
+    return E.mix_report(rows).select("total", "real", "synthetic")
+
+
+@query("select cast(s_suppkey as varchar) as sample_id, 'real' as source, 'low_asf_score' as reason, s_acctbal as score from supplier order by s_acctbal, s_suppkey limit 5")
+def hard_cases(spark, d):
+    """SL1, PF22."""
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("sample_id"), F.lit("real").alias("source"), F.col("s_acctbal").alias("score"), F.col("s_suppkey").alias("pos"))
+    return E.hard_cases(rows)
+
+
+@query("select min(p_size) as min_width, max(p_size) as max_width, min(p_size * 2) as min_height, max(p_size * 2) as max_height, count(*) filter (where p_size > 10) as with_label, count(*) filter (where p_size <= 10) as without_label from part")
+def resolution_stats(spark, d):
+    """AG12."""
+    rows = table(spark, d, "part").select(F.col("p_size").alias("width"), (F.col("p_size") * 2).alias("height"), F.when(F.col("p_size") > 10, "x").alias("label"))
+    return E.resolution_stats(rows).select("min_width", "max_width", "min_height", "max_height", "with_label", "without_label")
+
+
+@query("select o_orderpriority, case when count(*) filter (where o_orderstatus = 'F') < count(*) * 0.5 then 'tighten_filter' else 'relax_filter' end as action from orders group by 1")
+def policy_feedback(spark, d):
+    """AG23, AG24."""
+    share = table(spark, d, "orders").groupBy("o_orderpriority").agg((F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count(F.lit(1))).alias("v"))
+    return share.select("o_orderpriority", E.policy(F.col("v"), 0.5, F.lit(0.6))["action"].alias("action"))
+
+
+@query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
+def duplicate_stems(spark, d):
+    """AG22."""
+    rows = table(spark, d, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("stem"))
+    return R.duplicated(rows, "stem").select("stem.l_orderkey", "stem.l_linenumber", "n")
+
+
+# streams
+
+
+@query("select date_trunc('day', ts)::timestamp as day, event_type, count(*) as n from events group by 1, 2")
+def stream_window_counts(spark, d):
+    """Windowed counts of a finite stream, over all its events."""
+    events = table(spark, d, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{d}/events.parquet*")
+    return replay(window_counts(stream), f"counts_{uuid.uuid4().hex}")
