@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import Batches, batch, mapped, ragged, small_batches, stored, utf8
 
 #: Words that a worker remembers; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 #: A full stop or comma between a letter and white space is a part of its own for the tokenizer, too.
@@ -96,18 +96,26 @@ class WordIds:
             yield self.ids[ragged(self.start[at], self.length[at])]
 
 
+#: What this worker has learned, for its next tasks.
+_LEARNED: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    if path not in _LEARNED:
+        _LEARNED[path] = WordIds(path)
+    return _LEARNED[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids (binary, little-endian unsigned 32-bit) of every piece."""
     small_batches(docs.sparkSession, 1000)
-    held: list[WordIds] = []
 
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
-        if not held:
-            held.append(WordIds(tokenizer))
+        learned = word_ids(tokenizer)
         for b in batches:
             data, off = utf8(b.column("text"))
             rows, number, start, blobs = [], [], [], []
-            for row, ids in enumerate(held[0].encode([data[a:z].tobytes() for a, z in zip(off[:-1], off[1:], strict=True)])):
+            for row, ids in enumerate(learned.encode([data[a:z].tobytes() for a, z in zip(off[:-1], off[1:], strict=True)])):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, a in enumerate(range(0, len(ids), size)):
                     rows.append(row)
