@@ -94,5 +94,27 @@ pairs as (
   from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from pairs)
 select query_id, cast(n as int) as rank, vec_id, score from ranked where n <= 20
+""",
+    "op5_ngram_jaccard_join": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+g as (select distinct doc_id, case when len(ws) >= 5 then md5(array_to_string(ws[i:i + 4], ' ')) else md5(array_to_string(ws, ' ')) end as k
+      from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w where len(ws) > 0)),
+n as (select doc_id, count(*) as n from g group by 1),
+o as (select a.doc_id as a, b.doc_id as b, count(*) as o from g a join g b on a.k = b.k and a.doc_id <> b.doc_id group by 1, 2),
+l as (select o.a, o.b from o join n x on x.doc_id = o.a join n y on y.doc_id = o.b where 100 * o.o >= 80 * (x.n + y.n - o.o)),
+r as (select a, b from l union select r.a, l.b from r join l on l.a = r.b),
+c as (select a, min(b) as b from r group by 1)
+select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(w.doc_id, coalesce(c.b, w.doc_id)) as component_id
+from w left join n using (doc_id) left join c on c.a = w.doc_id
+""",
+    "op6_substring_dedup": r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+h as (select doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) as k from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from w where len(ws) >= 50)),
+m as (select k, min(doc_id) as d from h group by 1),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as j from (select h.doc_id, h.i from h join m on m.k = h.k and m.d < h.doc_id)),
+each as (select doc_id, unnest(ws) as x, unnest(range(1, len(ws) + 1)) as j from w),
+kept as (select e.doc_id, string_agg(e.x, ' ' order by e.j) as t, count(*) as n from each e anti join gone g on g.doc_id = e.doc_id and g.j = e.j group by 1)
+select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(kept.n, 0) as bigint) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
+from w left join kept using (doc_id)
 """,
 }

@@ -155,7 +155,7 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
     return rows.select(*cols).repartition(4 * parts_for(docs.sparkSession), "m").sortWithinPartitions("m", "h", "n").transform(mapped, shards, schema)
 
 
-#: Bytes of segments that one index covers; groups of one anchor beyond it are compared block by block.
+#: Bytes of segments that one index covers; the different segments of one anchor always stay together, so that such a group may be larger.
 INDEX_BYTES = 1 << 20
 
 
