@@ -27,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, Batches, batch, by_key, longs, mapped, parts_for, ragged, stored, texts, utf8, words
+from .common import LOWER, U64, Batches, batch, by_key, longs, mapped, parts_for, ragged, small_batches, stored, texts, utf8, words
 
 DEPTH = 5
 #: Entries of one table that is sent to tasks; with its free places it takes up to 67 MB.
 PART = 2_750_000
 #: Bytes or words that a task holds before it sums them up.
-HOLD = 1 << 21
+HOLD = 1 << 20
 GRAMS, WORDS, TOKENS = 0, 1, 2
 
 
@@ -264,6 +264,7 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
     """
     base = texts(docs, id_column, text_column).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     spark = docs.sparkSession
+    small_batches(spark, 300)  # each byte takes several words of 8 bytes on its way
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
         runs, seen, tokens = Tally(), Tally(), 0
