@@ -82,7 +82,8 @@ def hashed_rank(column: Column, seed: int) -> list[Column]:
 
 def ranked(ids: DataFrame, column: str, order: list[Column]) -> DataFrame:
     """ids with rank from 1 over all rows, without one task that sorts them all: sorted ranges are numbered, then shifted."""
-    parts = ids.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number, so that both uses number the same ranges
+    parts = ids.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     parts = parts.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
