@@ -4,7 +4,8 @@ A byte is eight binary decisions; each decision has a context tree over the byte
 tree holds a Krichevsky-Trofimov estimate, and context-tree weighting mixes the estimates of all depths. The block probabilities
 have a closed form in the counts, so the trees are learned from counts alone, in any order: gathering is one pass over all training
 texts that counts runs of DEPTH + 1 bytes. The weighting goes bottom up: subtrees below two context bytes are weighted where their
-counts lie, the two levels above (at most 256 + 65,536 contexts) on the driver. Scoring reads the trees as they are after all
+counts lie, the two levels above (at most 256 + 65,536 contexts) on the driver. A context of two bytes with more than SUBTREE runs is
+cut into subtrees below three bytes, or four; their sums are added up by an aggregation for the nodes above them. Scoring reads the trees as they are after all
 training texts. A context that training never saw ends its branch, which then counts as the node above.
 
 Texts are lower-cased (A-Z); a text begins after DEPTH zero bytes and ends with one. Beside the model's score stands the base: the
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, U64, Batches, batch, by_key, longs, mapped, parts_for, ragged, small_batches, stored, texts, utf8, words
@@ -34,6 +35,8 @@ DEPTH = 5
 PART = 2_750_000
 #: Bytes or words that a task holds before it sums them up.
 HOLD = 1 << 20
+#: Different runs under four context bytes, at most; and those of one subtree that is weighted at once, unless it has four.
+MOST_RUNS = SUBTREE = 1 << 16
 GRAMS, WORDS, TOKENS = 0, 1, 2
 
 
@@ -179,28 +182,70 @@ def log10_of(run: np.ndarray, found: dict[int, Level]) -> np.ndarray:
 def learned(counts: DataFrame) -> DataFrame:
     """key, value: log10 of the probability of every run, for counts (key, n) of all runs; those not seen in training have n = 0."""
     spark = counts.sparkSession
-    # the two latest context bytes decide where a subtree lies
-    placed = stored(counts.select("key", "n", F.shiftright(F.col("key"), 8).bitwiseAND(F.lit(65535)).alias("top")).repartition(parts_for(spark), "top").sortWithinPartitions("top", "key"))
-    placed = placed.repartition(parts_for(spark), "top").sortWithinPartitions("top", "key")
+
+    def last(depth: int) -> Column:
+        return F.shiftright(F.col("key"), 8).bitwiseAND(F.lit((1 << 8 * depth) - 1))
+
+    def large(runs: DataFrame, depth: int) -> DataFrame | None:
+        """The contexts of that depth that have more than SUBTREE runs: at most one for each SUBTREE of all runs."""
+        got = runs.groupBy(last(depth).alias(f"large{depth}")).count().where(F.col("count") > SUBTREE).drop("count").collect()
+        return F.broadcast(spark.createDataFrame(got, f"large{depth} long")) if got else None
+
+    # the latest context bytes decide where a subtree lies: two of them, or as many more as keep it within bounds; four always do
+    runs, depth = counts.select("key", "n"), F.lit(2)
+    two_large = large(runs, 2)
+    if two_large is not None:
+        three_large = large(runs.join(two_large, last(2) == F.col("large2"), "left_semi"), 3)
+        runs = runs.join(two_large, last(2) == F.col("large2"), "left")
+        runs = runs.withColumn("large3", F.lit(None).cast("long")) if three_large is None else runs.join(three_large, last(3) == F.col("large3"), "left")
+        depth = F.when(F.col("large2").isNull(), 2).when(F.col("large3").isNull(), 3).otherwise(4)
+    place = F.when(depth == 2, last(2)).when(depth == 3, last(3)).otherwise(last(4)).bitwiseOR(F.shiftleft(depth.cast("long"), 32))
+    placed = stored(runs.select("key", "n", place.alias("place")).repartition(parts_for(spark), "place").sortWithinPartitions("place", "key"))
+    placed = placed.repartition(parts_for(spark), "place").sortWithinPartitions("place", "key")
+
+    def whole(batches: Batches) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Depth, runs and counts of whole subtrees, many small ones of one depth at once."""
+        for t, goes_on in by_key(batches, "place", MOST_RUNS + 1, 1 << 40):
+            assert not goes_on, "a subtree of four context bytes has at most MOST_RUNS runs"
+            run, n, depth = longs(t.column("key").combine_chunks()).view(np.uint64), longs(t.column("n").combine_chunks()), longs(t.column("place").combine_chunks()) >> 32
+            for d in (2, 3, 4):
+                if (depth == d).any():
+                    yield d, run[depth == d], n[depth == d]
 
     def subtrees(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for t, goes_on in by_key(batches, "top", 1 << 16, 1 << 40):
-            assert not goes_on, "a subtree of two context bytes must fit one table"
-            two = levels(longs(t.column("key").combine_chunks()).view(np.uint64), longs(t.column("n").combine_chunks()), 2)[2]
-            yield batch(key=two.keys.view(np.int64), zeros=two.zeros, ones=two.ones, log=two.log)
-
-    got = mapped(placed, subtrees, "key long, zeros long, ones long, log double").toArrow().combine_chunks()
-    column = lambda c: got.column(c).to_numpy() if got.num_rows else np.zeros(0, np.float64 if c == "log" else np.int64)
-    order = np.argsort(column("key"), kind="stable")
-    two = Level(column("key").view(np.uint64)[order], column("zeros")[order], column("ones")[order], None)
-    two.log = column("log")[order]
+        """Nodes of two context bytes; of subtrees that lie deeper, what they add to the nodes above."""
+        for d, run, n in whole(batches):
+            top = levels(run, n, d)[d]
+            keys, zeros, ones, log = (top.keys, top.zeros, top.ones, top.log) if d == 2 else top.parents()
+            yield batch(depth=pa.array(np.full(len(keys), d), pa.int32()), key=keys.view(np.int64), zeros=zeros, ones=ones, log=log)
+
+    nodes = mapped(placed, subtrees, "depth int, key long, zeros long, ones long, log double")
+    if two_large is not None:
+        nodes = nodes.groupBy("depth", "key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log")))
+    got = nodes.toArrow().combine_chunks()
+
+    def column(c: str) -> np.ndarray:
+        return got.column(c).to_numpy() if got.num_rows else np.zeros(0, np.float64 if c == "log" else np.int64)
+
+    def of(depth: int) -> tuple[np.ndarray, ...]:
+        here = column("depth") == depth
+        return column("key").view(np.uint64)[here], column("zeros")[here], column("ones")[here], column("log")[here]
+
+    def united(*some: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        return summed(*(np.concatenate(c) for c in zip(*some, strict=True)))
+
+    # above deeper subtrees: nodes of three and of two context bytes
+    three = Level(*united(of(4)))
+    above = Level(*united(of(3), three.parents()))
+    keys, zeros, ones, log = united(of(2), (above.keys, above.zeros, above.ones, above.log))
+    two = Level(keys, zeros, ones, None)
+    two.log = log
     one = Level(*two.parents())
-    upper = spark.sparkContext.broadcast({1: one, 0: Level(*one.parents())})
+    upper = spark.sparkContext.broadcast({3: three, 2: above, 1: one, 0: Level(*one.parents())})
 
     def estimates(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for t, _ in by_key(batches, "top", 1 << 16, 1 << 40):
-            run, n = longs(t.column("key").combine_chunks()).view(np.uint64), longs(t.column("n").combine_chunks())
-            found = levels(run, n, 2) | upper.value
+        for d, run, n in whole(batches):
+            found = upper.value | levels(run, n, d)
             for k in range(0, len(run), 1 << 16):
                 yield batch(key=run[k : k + (1 << 16)].view(np.int64), value=log10_of(run[k : k + (1 << 16)], found))
 

@@ -221,6 +221,29 @@ def test_context_tree(docs, rows):
     same([(*r[:5], f"{r.base_score:.6g}", f"{r.score:.6g}") for r in got], expected)
 
 
+def test_context_tree_large_subtrees(spark, docs, monkeypatch):
+    import numpy as np
+
+    from millrace.llm import context_tree as C
+
+    a, b, c = (x.ravel().astype(np.uint64) for x in np.meshgrid(*[np.arange(41)] * 3))
+    place = lambda *x: sum(np.uint64(1 << 8 * k) * np.asarray(v, np.uint64) for k, v in enumerate(reversed(x)))
+    deep = place(a, b, 9, 7, 8, c)  # 68,921 runs below three context bytes, 1,681 below four
+    wide = place(a, b, c, 5, 6, 65 + (a + b * c) % np.uint64(3))  # 68,921 runs below two context bytes, 1,681 below three
+    few = place(a[:500], 1, b[:500], 2, c[:500], 4)
+    run = np.unique(np.concatenate([deep, wide, few]))
+    n = np.arange(len(run)) * 7 % 5  # some are not seen in training
+    counts = spark.createDataFrame(list(zip(run.view(np.int64).tolist(), n.tolist(), strict=True)), "key long, n long")
+    expected = dict(zip(run.view(np.int64).tolist(), C.log10_of(run, C.levels(run, n, 0)).tolist(), strict=True))
+    got = {r.key: r.value for r in C.learned(counts).collect()}
+    assert got.keys() == expected.keys() and max(abs(got[k] - expected[k]) for k in got) < 1e-9
+
+    score = lambda: [(*r[:5], f"{r.base_score:.6g}", f"{r.score:.6g}") for r in C.score_texts(docs, F.col("doc_id") % 7 == 2).collect()]
+    whole = score()
+    monkeypatch.setattr(C, "SUBTREE", 20)
+    same(score(), whole)
+
+
 def test_edit_matching(spark, docs, rows):
     from millrace.llm.edit_matching import contaminated, decontaminate, normal
 
