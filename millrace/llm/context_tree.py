@@ -376,10 +376,17 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
     once = counts.where((F.col("kind") == WORDS) & (F.col("n") == 1)).select(F.col("key").alias("word"))
     asked = rows.where("held_out and size(rare) > 0").dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").agg(F.count("word").alias("k"))
     found = asked.join(once, "word").groupBy("doc_id", "key").agg(F.sum("k").alias("k"))
-    both = rows.drop("rare").join(found, ["key", "doc_id"], "left").withColumn("k", F.coalesce("k", F.lit(0)))
+
+    def with_same(found: DataFrame, how: str) -> DataFrame:
+        """both, joined to what was found for its rows; a null doc_id equals a null doc_id."""
+        found = found.withColumnsRenamed({"doc_id": "same_id", "key": "same_key"})
+        return both.join(found, (F.col("key") == F.col("same_key")) & F.col("doc_id").eqNullSafe(F.col("same_id")), how).drop("same_id", "same_key")
+
+    both = rows.drop("rare")
+    both = with_same(found, "left").withColumn("k", F.coalesce("k", F.lit(0)))
     for table in run_tables[1:]:
-        more = score(table).groupBy("doc_id", "key").agg(F.max("score").alias("more"), F.min("score").alias("least"))
-        both = both.join(more, ["key", "doc_id"]).withColumn("score", F.col("score") + F.col("more")).drop("more", "least")
+        more = score(table).groupBy("doc_id", "key").agg(F.max("score").alias("more"))
+        both = with_same(more, "inner").withColumn("score", F.col("score") + F.col("more")).drop("more")
     scale = float(np.log10(train_tokens + vocabulary + 1))
     return both.select(
         "doc_id",

@@ -244,6 +244,22 @@ def test_context_tree_large_subtrees(spark, docs, monkeypatch):
     same(score(), whole)
 
 
+def test_context_tree_parts(docs, rows, monkeypatch):
+    from millrace.llm import context_tree as C
+
+    def score(held_out):
+        return [(*r[:5], f"{r.base_score:.6g}", f"{r.score:.6g}") for r in C.score_texts(docs, held_out).collect()]
+
+    some, null = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.col("doc_id").isNull() | (F.col("doc_id") == 12)
+    whole = score(some)
+    rare = score(null)
+    words = (rows[3][1] or "").lower().split()  # the text of one row with a null doc_id is known from another row
+    assert [r[3] for r in rare if r[0] is None and r[2] > 1] == [len(words) + 1]
+    monkeypatch.setattr(C, "PART", 12_000)
+    same(score(some), whole)
+    assert sum(r[0] is None for r in whole) == 2
+
+
 def test_edit_matching(spark, docs, rows):
     from millrace.llm.edit_matching import contaminated, decontaminate, normal
 
