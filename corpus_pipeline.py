@@ -32,14 +32,16 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of the n-gram join; of repeated rows of it, all but one go, too.
+    """One row of each group of near copies: that with the smallest doc_id (null comes last), then the least key.
 
-    Documents without words, or with a null doc_id that no other row of their component has, stay.
+    Of repeated rows of it, all but one go, too. All documents without words stay.
     """
-    found = prefix_tree_join(docs)
-    stays = found.where("component_id is null or doc_id = component_id").select(F.col("key").alias("_row_key"), F.coalesce("doc_id", F.lit(-1)).alias("_id")).distinct()
-    once = _keyed(docs).dropDuplicates(["doc_id", "_row_key"]).withColumn("_id", F.coalesce("doc_id", F.lit(-1)))
-    return once.join(stays, ["_row_key", "_id"], "left_semi").select(*docs.columns)
+    found = prefix_tree_join(docs).where("n_shingles > 0")
+    least = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("key").alias("_row_key"))).alias("least"))
+    stays = least.select("least._id", "least._row_key")
+    has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = _keyed(docs.where(has_words)).withColumn("_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["_row_key", "_id"])
+    return once.join(stays, ["_row_key", "_id"], "left_semi").select(*docs.columns).unionByName(docs.where(~has_words))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -235,7 +235,10 @@ def join_group(keys: list[np.ndarray]) -> list[int]:
 
 
 def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, key, n_shingles, component_id of every row of docs, by links of 0.8 or more."""
+    """doc_id, key, n_shingles, component_id, group of every row of docs, by links of 0.8 or more.
+
+    group is the same for all rows of a component, whatever their ids, and null for texts without words.
+    """
     base = texts(docs, id_column, text_column)
     spark = docs.sparkSession
 
@@ -340,7 +343,7 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
     least = labelled.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("key").alias("k"))
     several = least.where("k > 1").select("root", "least")
     out = labelled.join(several, "root", "left")
-    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("root")).alias("group"))
 
 
 def _unpack(blob: bytes) -> np.ndarray:

@@ -68,3 +68,18 @@ def test_nulls_repeats_and_nothing(spark):
     for _, stage in P.STAGES:
         assert stage(spark, docs, SF).count() > 0
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_one_row_of_each_group(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    a, b, c = (" ".join(f"{w}{k % 37}x{k % 11}" for k in range(90)) for w in ("red", "green", "blue"))
+    texts = [(None, a), (None, a + " end"), (None, a), (5, b), (5, b + " end"), (5, b), (9, b + " tail"), (None, c), (4, c + " end"), (6, "alone"), (None, "single")]
+    texts += [(None, None), (None, ""), (None, None), (7, " \t\n"), (7, " \t\n"), (None, "\u00a0")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in texts], schema)
+    got = [(r.doc_id, r.text) for r in P.one_of_near_copies(spark, docs, SF).collect()]
+    count = collections.Counter(got)
+    assert sum(n for (_, t), n in count.items() if t and t.startswith("red")) == 1
+    assert [(i, n) for (i, t), n in count.items() if t and t.startswith("green")] == [(5, 1)]
+    assert [(i, n) for (i, t), n in count.items() if t and t.startswith("blue")] == [(4, 1)]
+    rest = {x: n for x, n in count.items() if not (x[1] or "").startswith(("red", "green", "blue"))}
+    assert rest == {(6, "alone"): 1, (None, "single"): 1, (None, None): 2, (None, ""): 1, (7, " \t\n"): 2, (None, "\u00a0"): 1}
