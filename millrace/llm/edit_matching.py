@@ -6,8 +6,8 @@ with Myers' bit-parallel edit distance, so the result is exact for the budget.
 
 Texts are compared in lower case (A-Z) with runs of white space (0x20, 0x09 to 0x0D) as one space, trimmed.
 
-Defined results: a null or empty text matches nothing; null, empty and repeated items are left out (of items with one normal text
-the least id stands for all); rows that share a doc_id are documents of their own; an empty table of documents or items gives no
+Defined results: a null or empty text matches nothing; items with a null or empty text and repeated items are left out (of items with
+one normal text the least id stands for all, a null id if there is no other); an item with a null id is reported with it; rows that share a doc_id are documents of their own; an empty table of documents or items gives no
 matches; other columns are not read. Documents are searched whole, however long.
 """
 
@@ -73,7 +73,7 @@ class Pattern:
 class Matcher:
     """All pieces of some items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, bytes]], error_rate: float):
+    def __init__(self, items: list[tuple[int | None, bytes]], error_rate: float):
         import ahocorasick
 
         self.items, self.budgets, self.patterns = items, [int(len(t) * error_rate) for _, t in items], {}
@@ -87,7 +87,7 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
-    def matches(self, text: bytes) -> list[tuple[int, int]]:
+    def matches(self, text: bytes) -> list[tuple[int | None, int]]:
         """(item_id, distance) of every item within its budget of some stretch of a normal text."""
         windows: dict[int, list[tuple[int, int]]] = {}
         if not len(self.automaton):
@@ -110,17 +110,17 @@ class Matcher:
             found = [d for a, z in joined if (d := self._distance(k, text[a:z])) is not None]
             if found:
                 out.append((self.items[k][0], min(found)))
-        return sorted(out)
+        return sorted(out, key=lambda m: (m[0] is None, m))
 
     def _distance(self, k: int, text: bytes) -> int | None:
         return 0 if self.items[k][1] in text else self.patterns[k].distance(text, self.budgets[k])
 
 
-def item_parts(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[int, bytes]]]:
+def item_parts(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[int | None, bytes]]]:
     """Normal items in parts of bounded size, read one partition at a time."""
-    rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).cast("string").alias("text")).where("text is not null and item_id is not null")
+    rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).cast("string").alias("text")).where("text is not null")
     part, size, seen = [], 0, set()
-    for r in rows.orderBy("item_id", "text").toLocalIterator():
+    for r in rows.orderBy(F.col("item_id").asc_nulls_last(), "text").toLocalIterator():
         text = normal(r.text.encode())
         if not text or hash(text) in seen:
             continue

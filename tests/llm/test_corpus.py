@@ -285,6 +285,18 @@ def test_edit_matching(spark, docs, rows):
     assert decontaminate(docs, bench).columns == docs.columns
 
 
+def test_items_without_id(spark, docs, rows):
+    from millrace.llm.edit_matching import contaminated, decontaminate
+
+    items = [rows[k][1][:150] for k in (5, 6, 15)]
+    bench = spark.createDataFrame([(None, items[0]), (None, items[1]), (7, items[1]), (8, items[2]), (None, items[2][10:]), (None, None)], "item_id long, text string")
+    got = contaminated(docs, bench).select("doc_id", "item_id", "distance").collect()
+    holds = lambda x: [i for i, t in rows if data(x).lower() in data(t).lower()]
+    exact = [(i, n, 0) for x, n in ((items[0], None), (items[1], 7), (items[2], 8), (items[2][10:], None)) for i in holds(x)]
+    same([r for r in got if not r.distance], exact)
+    assert holds(items[0]) and decontaminate(docs, bench.where("item_id is null").limit(1)).count() < len(rows)
+
+
 def test_neighbours(spark):
     from millrace.llm.block_join import nearest_neighbours
 
