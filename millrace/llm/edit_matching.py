@@ -13,7 +13,8 @@ matches; other columns are not read. Documents are searched whole, however long.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -136,10 +137,14 @@ def item_parts(benchmark: DataFrame, id_column: str, text_column: str) -> Iterat
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08, id_column: str = "doc_id", text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, key, item_id, distance of every pair of a document and an item that it holds within error_rate edits a byte."""
+    return _matches(docs, item_parts(benchmark, item_id, item_text), error_rate, id_column, text_column)
+
+
+def _matches(docs: DataFrame, parts: Iterable[list[tuple[int | None, bytes]]], error_rate: float, id_column: str, text_column: str) -> DataFrame:
     base = texts(docs, id_column, text_column)
     schema = "doc_id long, key long, item_id long, distance int"
     out = None
-    for part in item_parts(benchmark, item_id, item_text):
+    for part in parts:
         items = docs.sparkSession.sparkContext.broadcast(part)
 
         def search(batches: Batches, items=items) -> Iterator[pa.RecordBatch]:
@@ -162,20 +167,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08, id_column: str = "doc_id", text_column: str = "text", **names) -> DataFrame:
-    """The rows of docs that hold no benchmark item, with all their columns; one narrow pass that decides row by row."""
-    parts = list(item_parts(benchmark, names.get("item_id", "item_id"), names.get("item_text", "text")))
+    """The rows of docs that hold no benchmark item, with all their columns.
+
+    Items of one part are looked for in one narrow pass that decides row by row. More are looked for part by part, in tasks of their
+    own, and the rows found are left out by a join.
+    """
+    parts = item_parts(benchmark, names.get("item_id", "item_id"), names.get("item_text", "text"))
+    first, second = next(parts, None), next(parts, None)
+    if first is None:
+        return docs
+    if second is not None:
+        found = _matches(docs, chain((first, second), parts), error_rate, id_column, text_column)
+        found = found.select(F.coalesce("doc_id", F.lit(-1)).alias("_found_id"), F.col("key").alias("_found_key")).distinct()
+        number, text = F.col(id_column).cast("long"), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+        # a null id is not taken for -1: the key depends on the id
+        return docs.join(found, (F.xxhash64(number, text) == F.col("_found_key")) & (F.coalesce(number, F.lit(-1)) == F.col("_found_id")), "left_anti")
     small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(parts)
+    items = docs.sparkSession.sparkContext.broadcast(first)
 
     def keep(batches: Batches) -> Iterator[pa.RecordBatch]:
-        matchers = [Matcher(p, error_rate) for p in sent.value]
+        matcher = Matcher(items.value, error_rate)
         for b in batches:
             data, off = utf8(b.column(text_column))
             low = LOWER[data]
             clean = []
             for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-                text = b" ".join(low[a:z].tobytes().split())
-                clean.append(not any(m.matches(text) for m in matchers))
+                clean.append(not matcher.matches(b" ".join(low[a:z].tobytes().split())))
             yield b.filter(pa.array(clean, pa.bool_()))
 
-    return docs.transform(mapped, keep, docs.schema) if parts else docs
+    return docs.transform(mapped, keep, docs.schema)

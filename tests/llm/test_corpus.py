@@ -297,6 +297,25 @@ def test_items_without_id(spark, docs, rows):
     assert holds(items[0]) and decontaminate(docs, bench.where("item_id is null").limit(1)).count() < len(rows)
 
 
+def test_decontaminate_by_parts(spark, docs, rows, monkeypatch):
+    from pyspark import SparkContext
+
+    from millrace.llm import edit_matching as E
+
+    items = [(k, rows[k][1][:150]) for k in (3, 5, 6, 13, 15)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(E.decontaminate(docs, bench).collect(), key=str)
+    assert 0 < len(whole) < len(rows)
+    sent = []
+    monkeypatch.setattr(E, "PART_BYTES", 200)
+    with monkeypatch.context() as m:
+        send = SparkContext.broadcast
+        m.setattr(SparkContext, "broadcast", lambda self, value: (sent.append(value), send(self, value))[1])
+        got = E.decontaminate(docs, bench)
+        assert sorted(got.collect(), key=str) == whole and got.columns == docs.columns
+    assert len(sent) == 3 and all(len(part) <= 2 and isinstance(part[0], tuple) for part in sent)
+
+
 def test_neighbours(spark):
     from millrace.llm.block_join import nearest_neighbours
 
