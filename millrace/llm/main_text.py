@@ -3,7 +3,8 @@
 A page is read once into a tree of its block elements. Every paragraph passes points for its length and its commas to the elements
 around it, less and less with the distance; an element's points are discounted by the share of its text that stands in links. The
 best element and those of its siblings that hold running text are kept, without what is never the article: menus, headers,
-footers, side bars, notices, adverts, forms, scripts, styles and comments.
+footers, side bars, notices, adverts, forms, scripts, styles and comments. Classes and ids tell of these only where the element does
+not hold most of the page's running text: a wrapper may be named for what it stands beside.
 
 Defined results: null, empty and text-free pages give an empty text; broken markup is read as browsers do, roughly: end tags may be
 missing, quotes may stay open, and a page may end anywhere; repeated rows are extracted on their own; a null id or url stays null;
@@ -42,6 +43,8 @@ NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form
 NEVER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner comment comments disqus reply replies discussion menu nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login share sharing social related recommended widget pagination pager skip toolbar".split()
 )
+#: Names of what has running text of its own that is not the article.
+TALK = frozenset("comment comments disqus reply replies discussion related recommended".split())
 ALWAYS = frozenset("html body article main".split())
 SEPARATOR = re.compile(r"[\s_\-:]+")
 #: Levels that a paragraph's points reach, and the least characters of a paragraph that gives points.
@@ -49,16 +52,21 @@ LEVELS, LEAST = 5, 25
 
 
 class Tree:
-    """Block elements of one page (parent, tag) and its blocks of text (element, text, characters in links), in page order."""
+    """Block elements of one page (parent, tag) and its blocks of text (element, text, characters in links), in page order.
 
-    def __init__(self, page: str):
-        self.parent, self.tag, self.blocks = [-1], ["html"], []
-        self._text, self._links = [], 0
-        stack: list[tuple[str, int, bool]] = [("html", 0, False)]  # tag, nearest block, whether it is left out
+    Elements whose names are never the article's are left out but for those whose start is in spared (all, if it is None). named has
+    of each such element its start, whether it is of TALK, and the one around it (-1 for none); within of each block element the one
+    around it, and owner of each block of text the one that it stands in.
+    """
+
+    def __init__(self, page: str, spared: frozenset[int] | None = frozenset()):
+        self.parent, self.tag, self.within, self.blocks, self.named, self.owner = [-1], ["html"], [-1], [], [], []
+        self._text, self._links, self._owner = [], 0, None
+        stack: list[tuple[str, int, bool, int]] = [("html", 0, False, -1)]  # tag, nearest block, whether it is left out, nearest of named
         links, at = 0, 0
         for m in TOKEN.finditer(page):
             if m.start() > at and not stack[-1][2]:
-                self._add(page[at : m.start()], links)
+                self._add(page[at : m.start()], links, stack[-1][3])
             at = m.end()
             name = m[3]
             if name is None:
@@ -94,20 +102,28 @@ class Tree:
                 links = sum(1 for x in stack if x[0] == "a")
                 self.parent.append(stack[-1][1])
                 self.tag.append(name)
+                self.within.append(stack[-1][3])
                 node = len(self.tag) - 1
             else:
                 node = stack[-1][1]
                 links += name == "a"
             attributes = m[4]
-            out = stack[-1][2] or name in NEVER or len(attributes) > 4 and name not in ALWAYS and _left_out(attributes)
+            out, inside = stack[-1][2] or name in NEVER, stack[-1][3]
+            if not out and len(attributes) > 4 and name not in ALWAYS:
+                out, names = _left_out(attributes)
+                if names and not out:
+                    self.named.append((m.start(), not TALK.isdisjoint(names), inside))
+                    inside = len(self.named) - 1
+                    out = spared is not None and m.start() not in spared
             if not attributes.rstrip(">").endswith("/") or name in BLOCKS or name == "a":
-                stack.append((name, node, out))
+                stack.append((name, node, out, inside))
         if at < len(page) and not stack[-1][2]:
-            self._add(page[at:], links)
+            self._add(page[at:], links, stack[-1][3])
         self._end_block(stack[-1][1])
 
-    def _add(self, text: str, links: int) -> None:
+    def _add(self, text: str, links: int, owner: int) -> None:
         self._text.append(text)
+        self._owner = owner if self._owner is None else min(self._owner, owner)
         if links:
             self._links += len(text)
 
@@ -116,7 +132,8 @@ class Tree:
             text = " ".join(html.unescape("".join(self._text)).split())
             if text:
                 self.blocks.append((node, text, min(self._links, len(text))))
-            self._text, self._links = [], 0
+                self.owner.append(-1 if self._owner is None else self._owner)
+            self._text, self._links, self._owner = [], 0, None
 
     def _close(self, stack: list, name: str) -> None:
         """Ends what the start of a block element ends."""
@@ -137,21 +154,79 @@ class Tree:
                     break
 
 
-def _left_out(attributes: str) -> bool:
+def _left_out(attributes: str) -> tuple[bool, set[str]]:
+    """Whether an element is hidden or has a role that is never the article's; and such names among its classes and id."""
+    names = set()
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in NEVER_ROLES:
-            return True
+            return True, names
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id") and not NEVER_NAMES.isdisjoint(SEPARATOR.split(value)):
-            return True
-    return False
+            return True, names
+        if name in ("class", "id"):
+            names |= NEVER_NAMES.intersection(SEPARATOR.split(value))
+    return False, names
+
+
+def _gain(text: str, links: int, tag: str) -> float:
+    """The points of a paragraph."""
+    return 0.0 if len(text) < LEAST or tag in HEADINGS else (1 + text.count(",") + min(3, len(text) / 100)) * (1 - links / len(text))
+
+
+def _read(page: str) -> Tree:
+    """The page without what its names leave out, but with named elements that wrap the article.
+
+    Such an element has more than half of the page's running text (or, where there is none, an article element); nine tenths, if the
+    main heading stands elsewhere. It holds an article element, or no text of such an element stands elsewhere. What is named as talk
+    has text of its own: it only counts as a wrapper if it holds the main heading, or if there is nothing else.
+    """
+    tree = Tree(page)
+    if not tree.named:
+        return tree
+    every = Tree(page, None)
+    n = len(every.named)
+    gain, headed, article = [0.0] * (n + 1), [False] * (n + 1), [False] * (n + 1)  # the last is for text outside of all
+    body = [0] * (n + 1)  # blocks of text in article elements
+    for (node, text, links), k in zip(every.blocks, every.owner, strict=True):
+        gain[k] += _gain(text, links, every.tag[node])
+        inside = False
+        while node >= 0:
+            headed[every.within[node]] |= every.tag[node] in ("h1", "main")
+            article[every.within[node]] |= every.tag[node] in ("article", "main")
+            inside |= every.tag[node] in ("article", "main")
+            node = every.parent[node]
+        body[k] += inside
+    own, bodies = gain[:], body[:]
+    for k in range(n - 1, -1, -1):
+        up = every.named[k][2]
+        if up >= 0:
+            gain[up] += gain[k]
+            headed[up] |= headed[k]
+            article[up] |= article[k]
+    total, titled = sum(own), headed[-1] or article[-1]
+    talk = [every.named[k][1] and not headed[k] and (gain[k] < total - 1e-9 or titled or not total) for k in range(n)]
+    out = talk[:]
+    for k in range(n):
+        out[k] |= every.named[k][2] >= 0 and out[every.named[k][2]]
+    rest, text = [0.0 if out[k] else own[k] for k in range(n)], [0 if out[k] else bodies[k] for k in range(n)]
+    whole, all_text = sum(rest) + own[-1], sum(text) + bodies[-1]
+    for k in range(n - 1, -1, -1):
+        if every.named[k][2] >= 0:
+            rest[every.named[k][2]] += rest[k]
+            text[every.named[k][2]] += text[k]
+
+    def wraps(k: int) -> bool:
+        if not whole or article[k]:
+            return article[k] and rest[k] >= whole / 2
+        return text[k] == all_text and rest[k] > whole * (0.9 if headed[-1] and not headed[k] else 0.5)
+
+    spared = {every.named[k][0] for k in range(n) if not out[k] and wraps(k)}
+    return Tree(page, frozenset(spared)) if spared else tree
 
 
 def main_text(page: str) -> str:
     """The blocks of the article, joined by line ends."""
-    tree = Tree(page)
+    tree = _read(page)
     if not tree.blocks:
         return ""
     n = len(tree.tag)
@@ -162,9 +237,9 @@ def main_text(page: str) -> str:
             chars[up] += len(text)
             linked[up] += links
             up = tree.parent[up]
-        if len(text) < LEAST or tree.tag[node] in HEADINGS:
+        gain = _gain(text, links, tree.tag[node])
+        if not gain:
             continue
-        gain = (1 + text.count(",") + min(3, len(text) / 100)) * (1 - links / len(text))
         up, level = (tree.parent[node] if tree.tag[node] in PARAGRAPHS else node), 1
         while up >= 0 and level <= LEVELS:
             points[up] += gain / level

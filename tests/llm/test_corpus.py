@@ -369,6 +369,26 @@ def test_main_text():
     assert main_text("plain  text") == "plain text"
 
 
+def test_main_text_in_named_wrappers():
+    from millrace.llm.main_text import main_text
+
+    body = "".join(f"<p>Paragraph {k}, of the article, with words, commas, and more of them.</p>" for k in range(3))
+    text = "\n".join(f"Paragraph {k}, of the article, with words, commas, and more of them." for k in range(3))
+    ad = "<div class='ad-box'><p>Buy, buy, and buy some more of this.</p></div>"
+    talk = "<div id=comments>" + "<article class=comment><p>Nice, really nice, I like all of this, very, very much.</p></article>" * 9 + "</div>"
+    for name in ("content no-sidebar", "layout-with-menu", "has_banner", "page share:on"):
+        assert main_text(f"<body><div class='{name}'>{body}{ad}</div><footer>end</footer>") == text
+        assert main_text(f"<body><div class='{name}'><article><h1>Title</h1>{body}</article>{ad}{talk}</div>") == "Title\n" + text
+        assert main_text(f"<body><section id='{name}'><div class=with-nav><main>{body}{ad}</main></div></section>{talk}") == text
+        assert main_text(f"<body><x-app class='{name}'><div>{body}</div>{ad}</x-app>") == text
+        assert main_text(f"<body><div class='{name}'><article><p>Brief.</p></article></div>") == "Brief."
+    assert main_text(f"<body><div class='post has-comments'><h1>Title</h1>{body}{talk}</div>") == "Title\n" + text
+    assert main_text(f"<body><article>{body}</article>{talk}{ad}") == text
+    assert main_text(f"<body><article><h1>Title</h1></article>{talk}") == "Title"
+    assert main_text(f"<body>{ad}<article><h1>Title</h1><p>Brief.</article>") == "Title\nBrief."
+    assert main_text(f"<body>{ad}<article><h1>Title</h1><p>Somewhat longer than brief.</article>") == "Title\nSomewhat longer than brief."
+
+
 def test_pages(spark):
     from millrace.llm.main_text import extract_main_text
 
