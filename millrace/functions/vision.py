@@ -1,4 +1,4 @@
-"""Expressions over logits, boxes, keypoints and detections (AG2-AG3, PF6-PF8, PF11, PF14, SF12-SF16)."""
+"""Expressions over logits, boxes, keypoints and detections (AG2-AG3, PF6-PF8, PF11, PF14, SF12-SF14, SF16)."""
 
 from __future__ import annotations
 

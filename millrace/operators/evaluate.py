@@ -1,4 +1,4 @@
-"""Reports and feedback (AG12-AG16, AG21, AG23, AG24, SL1, PF22, PF23)."""
+"""Reports and feedback (AG12, AG13, AG15, AG16, AG23, AG24, SL1, PF22, PF23)."""
 
 from __future__ import annotations
 

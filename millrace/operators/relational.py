@@ -1,4 +1,4 @@
-"""Joins, splits, unions and numbering (JN1-JN8, PF16-PF18, SO1-SO6, WN2-WN6, SC8, AG11, AG17-AG22, AG25, OR13)."""
+"""Joins, splits, unions and numbering (JN1-JN8, PF16-PF18, SO1-SO6, WN2-WN6, SC8, AG11, AG17, AG18, AG20, AG22, AG25, OR13)."""
 
 from __future__ import annotations
 
