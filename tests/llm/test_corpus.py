@@ -225,7 +225,9 @@ def test_context_tree_large_subtrees(spark, docs, monkeypatch):
     import numpy as np
 
     from millrace.llm import context_tree as C
+    from millrace.llm.common import small_batches
 
+    small_batches(spark, 300)
     a, b, c = (x.ravel().astype(np.uint64) for x in np.meshgrid(*[np.arange(41)] * 3))
     place = lambda *x: sum(np.uint64(1 << 8 * k) * np.asarray(v, np.uint64) for k, v in enumerate(reversed(x)))
     deep = place(a, b, 9, 7, 8, c)  # 68,921 runs below three context bytes, 1,681 below four
@@ -244,20 +246,19 @@ def test_context_tree_large_subtrees(spark, docs, monkeypatch):
     same(score(), whole)
 
 
-def test_context_tree_parts(docs, rows, monkeypatch):
+def test_context_tree_parts(spark, monkeypatch):
     from millrace.llm import context_tree as C
 
-    def score(held_out):
-        return [(*r[:5], f"{r.base_score:.6g}", f"{r.score:.6g}") for r in C.score_texts(docs, held_out).collect()]
-
-    some, null = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.col("doc_id").isNull() | (F.col("doc_id") == 12)
-    whole = score(some)
-    rare = score(null)
-    words = (rows[3][1] or "").lower().split()  # the text of one row with a null doc_id is known from another row
-    assert [r[3] for r in rare if r[0] is None and r[2] > 1] == [len(words) + 1]
-    monkeypatch.setattr(C, "PART", 12_000)
-    same(score(some), whole)
-    assert sum(r[0] is None for r in whole) == 2
+    few = [(1, "unique zebra text"), (2, "more of this"), (None, "unique zebra"), (None, None), (None, "unique zebra"), (2, "more of this")]
+    docs = spark.createDataFrame(few, "doc_id long, text string")
+    score = lambda held_out: [(*r[:5], f"{r.base_score:.6g}", f"{r.score:.6g}") for r in C.score_texts(docs, held_out).collect()]
+    null, one = F.col("doc_id").isNull(), F.col("doc_id") == 1
+    whole = [score(null), score(one)]
+    assert sorted(r[3] for r in whole[0] if r[0] is None) == [1, 3, 3]  # words that training has once are known
+    monkeypatch.setattr(C, "PART", 16)
+    for w, held_out in zip(whole, (null, one), strict=True):
+        assert len(w) == len(few)
+        same(score(held_out), w)
 
 
 def test_edit_matching(spark, docs, rows):
