@@ -8,10 +8,13 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,40 +32,75 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Maps A-Z to a-z and leaves the other bytes.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Words of more bytes are hashed one by one: long regular words can have equal polynomial hashes modulo 2**64, whatever the base.
+LONG_WORD = 64
 #: Bytes that one step works on at once; bounds the memory of a Python worker.
 SLAB = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or in tests (where it is unset) a folder of this machine."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine, in local mode only."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         got = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got.rstrip("/")
 
 
+_PLACES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df, written to the shared folder and read again: cuts the lineage, and survives the loss of any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    return out
+
 
+def dropped(df: DataFrame) -> None:
+    """Removes a table that `stored` wrote, once nothing will read it again."""
+    if path := _PLACES.pop(df, None):
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds the Arrow batches that go to Python: by rows here, and by bytes where Spark can."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that go to Python, in the same way for all operators, which cut them further by themselves."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
-def mapped(df: DataFrame, mapper: Mapper, schema: str) -> DataFrame:
-    """df.mapInArrow, whose workers give memory back: they live on and would hold what one large batch once needed."""
+
+def cut_batches(batches: Batches, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most so many rows, and of at most about so many bytes unless one row alone has more."""
+    for b in batches:
+        if b.num_rows <= rows and b.nbytes <= size:
+            yield b
+            continue
+        each = np.full(b.num_rows, 64, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+                each += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total, a = np.cumsum(each), 0
+        while a < b.num_rows:
+            z = max(a + 1, min(a + rows, int(np.searchsorted(total, size + (total[a - 1] if a else 0), "right"))))
+            yield b.slice(a, z - a)
+            a = z
+
+
+def mapped(df: DataFrame, mapper: Mapper, schema: str, rows: int = 1000, size: int = 4 << 20) -> DataFrame:
+    """df.mapInArrow over batches of at most so many rows and bytes. Its workers give memory back: they live on and would hold
+    what one large batch once needed."""
+    small_batches(df.sparkSession)
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
         try:
-            yield from mapper(batches)
+            yield from mapper(cut_batches(batches, rows, size))
         finally:
             ctypes.CDLL(None).malloc_trim(0)
 
@@ -74,7 +112,6 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
     Rows that are equal in both have the same key and get the same result; other columns, whatever their names, are not read.
     """
-    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     return picked.withColumn("key", F.xxhash64("doc_id", "text"))
 
@@ -135,13 +172,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(32))
 
 
-def words(data: np.ndarray, off: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The words of all rows: their hashes, first bytes and end bytes, and the offsets of the rows in these.
-
-    Words never cross rows. Works through the bytes in slabs that end at white space or between rows.
-    """
-    if lower:
-        data = LOWER[data]
+def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First bytes and end bytes of the words of all rows, and the offsets of the rows in these. Words never cross rows."""
     space = IS_SPACE[data]
     starts = ~space
     first = np.zeros(len(data) + 1, bool)
@@ -151,15 +183,28 @@ def words(data: np.ndarray, off: np.ndarray, lower: bool = False) -> tuple[np.nd
         starts[1:] &= space[:-1] | first[1 : len(data)]
         ends[:-1] &= space[1:] | first[1 : len(data)]
     s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    rows = np.searchsorted(s, off)
+    return s, e, np.searchsorted(s, off)
+
+
+def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the words at ascending places. Works through the bytes in slabs that end between words."""
     h, k = np.empty(len(s), np.uint64), 0
     while k < len(s):
         j = max(k + 1, int(np.searchsorted(e, s[k] + SLAB, "right")))
         at = s[k]
-        p = prefix_hashes(BYTE_VALUES[data[at : e[j - 1]]])
-        h[k:j] = span_hashes(p, s[k:j] - at, e[k:j] - at)
+        if e[k] - at <= SLAB:
+            p = prefix_hashes(BYTE_VALUES[data[at : e[j - 1]]])
+            h[k:j] = span_hashes(p, s[k:j] - at, e[k:j] - at)
         k = j
-    return h, s, e, rows
+    for k in np.flatnonzero(e - s > LONG_WORD).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(data[s[k] : e[k]], 20240229)
+    return h
+
+
+def words(data: np.ndarray, off: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all rows: their hashes, first bytes and end bytes, and the offsets of the rows in these."""
+    s, e, rows = word_spans(data, off)
+    return word_hashes(LOWER[data] if lower else data, s, e), s, e, rows
 
 
 def group_starts(*columns: np.ndarray) -> np.ndarray:

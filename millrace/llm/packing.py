@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, mapped, ragged, small_batches, stored, utf8
+from .common import Batches, batch, mapped, ragged, stored, utf8
 
 #: Words that a worker remembers; then it starts anew.
 REMEMBERED = 500_000
@@ -108,8 +108,6 @@ def word_ids(path: str) -> WordIds:
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids (binary, little-endian unsigned 32-bit) of every piece."""
-    small_batches(docs.sparkSession, 1000)
-
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
         learned = word_ids(tokenizer)
         for b in batches:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, mapped, small_batches, utf8, words
+from .common import Batches, batch, mapped, utf8, words
 
 NONE = -1
 #: Words up to this many bytes are walked side by side, longer ones one by one.
@@ -157,7 +157,6 @@ def piece_vocabulary(path: str, mark: str = "▁") -> tuple[set[bytes], set[byte
 
 def token_counts(docs: DataFrame, starting: set[bytes], continuing: set[bytes], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_words, n_tokens of every row of docs. The vocabulary has a fixed size and is sent to every task."""
-    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((starting, continuing))
     held: list[LongestMatch] = []
 

@@ -5,8 +5,9 @@ Each word enters by itself and by its characters: a learned vector of the word (
 half cover the whole text; a network reads each window in both directions, pools the states by attention and gives a logit. The
 score of a text is that of its most toxic window, so a text may be of any length.
 
-The network is fitted on a bounded sample: at most `sample` labelled rows of either class, with texts of at most LONGEST
-characters, chosen by a hash of the id; near copies within it are left out. Everything else reads all rows.
+The network is fitted on a bounded sample: at most `sample` labelled rows of either class, and of these as many as have
+`sample_bytes` of text in all (but one of either class at least), in the order of a hash of the id; rows of any length are taken, and
+taken whole. Near copies within the sample are left out. Everything else reads all rows.
 
 Defined results: a null or empty text, or one without words, gets the share of toxic rows among the labelled training rows; if
 these have one class only (or there are none), so does every text. Labels that are null are not used; of several labels of one id
@@ -23,24 +24,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, LOWER, U64, Batches, batch, mapped, mix, powers, ragged, small_batches, utf8, words
+from .common import BASE, BYTE_VALUES, LOWER, U64, Batches, batch, mapped, mix, powers, ragged, stored, utf8, word_hashes, word_spans
 
 WIDTH, STRIDE = 48, 24
 GRAM, GRAM_BITS, VECTOR_BITS = 5, 18, 12
 HIDDEN, VECTOR, ATTENTION = 8, 8, 8
 FACTS = 3  # log-odds of the word, mean and greatest log-odds of its 5-grams
-LONGEST = 100_000
 #: Words known to the network: in at least so many training rows, and at most so many.
 KNOWN_ROWS, KNOWN_WORDS = 3, 50_000
-#: Windows of one text that a training step reads; longer texts give a random choice.
-STEP_WINDOWS = 24
+#: Windows that are read at once; a text may have any number of them.
+TOGETHER = 2048
+
+
+#: ASCII characters that are neither letters nor digits: a word counts without those around it.
+IS_MARK = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
+def bare_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes, end bytes and row offsets of the words in lower case, without marks around them; of marks alone as they are."""
+    s, e, rows = word_spans(data, off)
+    inner = np.r_[np.flatnonzero(~IS_MARK[data]), len(data)]
+    a, z = np.searchsorted(inner, s), np.searchsorted(inner, e) - 1
+    has = a <= z
+    s, e = np.where(has, inner[a], s), np.where(has, inner[np.maximum(z, 0)] + 1, e)
+    return word_hashes(LOWER[data], s, e), s, e, rows
 
 
 class Words:
-    """The different words of some rows: their hashes and the buckets of their byte 5-grams."""
+    """The different ones of some words (hashes, first and end bytes): their hashes and the buckets of their byte 5-grams."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray):
-        h, s, e, self.rows = words(data, off, lower=True)
+    def __init__(self, data: np.ndarray, h: np.ndarray, s: np.ndarray, e: np.ndarray):
         self.hashes, first, self.index = np.unique(h, return_index=True, return_inverse=True)
         s, n = s[first], (e - s)[first]
         size = np.maximum(GRAM, n + 2)
@@ -177,16 +190,19 @@ class Model:
         out = np.full(len(off) - 1, self.prior)
         if self.network is None or not len(out):
             return out
-        w = Words(data, off)
-        if not len(w.hashes):
+        h, s, e, rows = bare_words(data, off)
+        row, first, n = windows(rows)
+        if not len(row):
             return out
         p = self.network.p
-        x, _ = self.vectors(w, self.facts(w))
-        x = x @ np.concatenate([p["Wf"], p["Wb"]], axis=1) + np.concatenate([p["cf"], p["cb"]])
-        row, first, n = windows(w.rows)
         logit = np.empty(len(row), np.float32)
-        for k in range(0, len(row), 8192):
-            logit[k : k + 8192] = self.network.forward(*gather(x, w.index, first[k : k + 8192], n[k : k + 8192]))
+        for k in range(0, len(row), TOGETHER):
+            f, c = first[k : k + TOGETHER], n[k : k + TOGETHER]
+            a, z = int(f[0]), int((f + c).max())
+            w = Words(data, h[a:z], s[a:z], e[a:z])
+            x, _ = self.vectors(w, self.facts(w))
+            x = x @ np.concatenate([p["Wf"], p["Wb"]], axis=1) + np.concatenate([p["cf"], p["cb"]])
+            logit[k : k + TOGETHER] = self.network.forward(*gather(x, w.index, f - a, c))
         at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         out[row[at]] = sigmoid(np.maximum.reduceat(logit, at).astype(np.float64))
         return out
@@ -202,7 +218,7 @@ def gather(x: np.ndarray, index: np.ndarray, first: np.ndarray, n: np.ndarray) -
 def different(texts: list[bytes]) -> np.ndarray:
     """The texts without those that share half of 8 least hashes of word pairs with an earlier one: copies would pass for evidence."""
     off = np.r_[0, np.cumsum([len(t) for t in texts])]
-    h, _, _, rows = words(np.frombuffer(b"".join(texts), np.uint8), off, lower=True)
+    h, _, _, rows = bare_words(np.frombuffer(b"".join(texts), np.uint8), off)
     kept, seen = [], [{} for _ in range(8)]
     for k in range(len(texts)):
         own = h[rows[k] : rows[k + 1]]
@@ -219,6 +235,57 @@ def different(texts: list[bytes]) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
+def _parts(chosen: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for k in range(0, len(chosen), TOGETHER):
+        yield chosen[k : k + TOGETHER], label[k : k + TOGETHER]
+
+
+class Step:
+    """Windows of one training step (first words, numbers of words and labels of their rows): their logits and the gradients."""
+
+    def __init__(self, net: Network, w: Words, place: np.ndarray, facts: list[np.ndarray], stays: np.ndarray, first: np.ndarray, n: np.ndarray, label: np.ndarray):
+        self.net, p = net, net.p
+        used, where = np.unique(w.index[np.minimum(first + np.arange(WIDTH)[:, None], len(w.index) - 1)], return_inverse=True)
+        where = where.reshape(WIDTH, len(first))
+        mask = (np.arange(WIDTH)[:, None] < n).astype(np.float32)[:, :, None]
+        size = np.diff(w.first)[used]
+        bucket = w.grams[ragged(w.first[used], size)] & ((1 << VECTOR_BITS) - 1)
+        mean_gram = np.add.reduceat(p["gram"][bucket], np.cumsum(size) - size, axis=0) / size[:, None]
+        learned = np.concatenate([np.where(place[used][:, None] > 0, p["word"][place[used]], 0), mean_gram], axis=1).astype(np.float32)
+        self.stays = stays[used][:, None]
+        learned = learned * self.stays * 2
+        self.fact = np.where(label[None, :, None] == 1, facts[1][used][where], facts[0][used][where])
+        self.x = np.concatenate([self.fact, learned[where]], axis=2).astype(np.float32)
+        self.W = np.concatenate([p["Wf"], p["Wb"]], axis=1)
+        self.mask, self.where, self.size, self.bucket, self.place, self.keep = mask, where, size, bucket, place[used], None
+
+    def forward(self, keep: bool) -> np.ndarray:
+        p = self.net.p
+        self.keep = {} if keep else None
+        return self.net.forward(self.x @ self.W + np.concatenate([p["cf"], p["cb"]]), self.mask, self.keep)
+
+    def told(self) -> np.ndarray:
+        """Of each window what its most telling word says."""
+        return np.where(self.mask[:, :, 0] > 0, self.fact[:, :, 0] + self.fact[:, :, 2], -99).max(axis=0)
+
+    def backward(self, grad: np.ndarray) -> dict:
+        p = self.net.p
+        if self.keep is None:
+            self.forward(True)
+        g, dx = self.net.backward(grad, self.mask, self.keep)
+        self.keep = None
+        flat = dx.reshape(-1, dx.shape[2])
+        gw = self.x.reshape(-1, self.x.shape[2]).T @ flat
+        g |= {"Wf": gw[:, : 3 * HIDDEN], "Wb": gw[:, 3 * HIDDEN :], "cf": flat[:, : 3 * HIDDEN].sum(0), "cb": flat[:, 3 * HIDDEN :].sum(0)}
+        back = flat @ self.W[FACTS:].T
+        n = len(self.place)
+        each = np.stack([np.bincount(self.where.ravel(), back[:, j], n) for j in range(2 * VECTOR)], axis=1).astype(np.float32) * self.stays * 2
+        g["word"] = np.zeros_like(p["word"])
+        np.add.at(g["word"], self.place, each[:, :VECTOR] * (self.place > 0)[:, None])
+        g["gram"] = np.stack([np.bincount(self.bucket, np.repeat(each[:, VECTOR + j] / self.size, self.size), 1 << VECTOR_BITS) for j in range(VECTOR)], axis=1).astype(np.float32)
+        return g
+
+
 def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 90, rows_a_step: int = 48, seed: int = 7) -> Model:
     """A model of the training rows, after about as many steps; both classes weigh the same."""
     model = Model(prior)
@@ -229,8 +296,10 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 90, ro
     if not (toxic == 1).any() or not (toxic == 0).any():
         return model
     off = np.r_[0, np.cumsum([len(t) for t in texts])]
-    w = Words(np.frombuffer(b"".join(texts), np.uint8), off)
-    doc = np.repeat(np.arange(len(texts)), np.diff(w.rows))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    h, s, e, rows_at = bare_words(data, off)
+    w = Words(data, h, s, e)
+    doc = np.repeat(np.arange(len(texts)), np.diff(rows_at))
     pair = np.unique(doc * len(w.hashes) + w.index)
     d, k = pair // max(1, len(w.hashes)), pair % max(1, len(w.hashes))
     per = np.diff(w.first)[k]
@@ -243,7 +312,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 90, ro
     often = np.sort(often[np.argsort(-rows[often], kind="stable")][:KNOWN_WORDS])
     model.known = w.hashes[often]
     net = model.network = Network(len(model.known), seed)
-    row, first, n = windows(w.rows)
+    row, first, n = windows(rows_at)
     facts = [model.facts(w, c) for c in (0, 1)]
     _, place = model.vectors(w, facts[0])
     rng, done, mean, square = np.random.default_rng(seed), 0, {}, {}
@@ -254,45 +323,37 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 90, ro
         order = rng.permutation(has)
         for s in range(0, len(order), rows_a_step):
             docs = order[s : s + rows_a_step]
-            chosen = [np.sort(rng.choice(np.arange(at[i], at[i + 1]), min(STEP_WINDOWS, at[i + 1] - at[i]), replace=False)) for i in docs]
-            own = np.repeat(np.arange(len(docs)), [len(c) for c in chosen])
-            chosen = np.concatenate(chosen)
-            used, where = np.unique(w.index[np.minimum(first[chosen] + np.arange(WIDTH)[:, None], len(w.index) - 1)], return_inverse=True)
-            where = where.reshape(WIDTH, len(chosen))
-            mask = (np.arange(WIDTH)[:, None] < n[chosen]).astype(np.float32)[:, :, None]
-            p = net.p
-            grams = ragged(w.first[used], np.diff(w.first)[used])
-            size = np.diff(w.first)[used]
-            bucket = w.grams[grams] & ((1 << VECTOR_BITS) - 1)
-            mean_gram = np.add.reduceat(p["gram"][bucket], np.cumsum(size) - size, axis=0) / size[:, None]
-            learned = np.concatenate([np.where(place[used][:, None] > 0, p["word"][place[used]], 0), mean_gram], axis=1).astype(np.float32)
-            stays = (rng.random((len(used), 1)) < 0.5).astype(np.float32)  # of half the words only the log-odds are seen
-            learned = learned * stays * 2
+            own = np.repeat(np.arange(len(docs)), at[docs + 1] - at[docs])
+            chosen = ragged(at[docs], at[docs + 1] - at[docs])
             label = toxic[docs][own]
-            fact = np.where(label[None, :, None] == 1, facts[1][used][where], facts[0][used][where])
-            x = np.concatenate([fact, learned[where]], axis=2).astype(np.float32)
-            W = np.concatenate([p["Wf"], p["Wb"]], axis=1)
-            keep: dict = {}
-            logit = net.forward(x @ W + np.concatenate([p["cf"], p["cb"]]), mask, keep)
+            stays = (rng.random(len(w.hashes)) < 0.5).astype(np.float32)  # of half the words only the log-odds are seen
             start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            one = len(chosen) <= TOGETHER
+            step = lambda c, y: Step(net, w, place, facts, stays, first[c], n[c], y)  # noqa: B023, E731
+            parts, logit, told = [], [], []
+            for c, y in _parts(chosen, label):
+                x = step(c, y)
+                logit.append(x.forward(keep=one))
+                told.append(x.told())
+                if one:
+                    parts = [x]
+            logit, told = np.concatenate(logit), np.concatenate(told)
             top = np.maximum.reduceat(logit, start)
             # the window that decides; at first, in toxic rows, the one with the most telling word
-            rank = np.where((label == 1) & (2 * done < steps), np.where(mask[:, :, 0] > 0, fact[:, :, 0] + fact[:, :, 2], -99).max(axis=0), logit)
+            rank = np.where((label == 1) & (2 * done < steps), told, logit)
             best = np.zeros(len(logit), bool)
             best[[i + int(np.argmax(rank[i:j])) for i, j in zip(start, np.r_[start[1:], len(logit)], strict=True)]] = True
             # of a clean row every window learns a little
             grad = np.where(best, np.where(label == 1, sigmoid(logit) - 1, sigmoid(top)[own]), np.where(label == 0, 0.2 * sigmoid(logit), 0)) * weight[label] / len(docs)
             grad = grad.astype(np.float32)
-            g, dx = net.backward(grad, mask, keep)
-            flat = dx.reshape(-1, dx.shape[2])
-            gw = x.reshape(-1, x.shape[2]).T @ flat
-            g |= {"Wf": gw[:, : 3 * HIDDEN], "Wb": gw[:, 3 * HIDDEN :], "cf": flat[:, : 3 * HIDDEN].sum(0), "cb": flat[:, 3 * HIDDEN :].sum(0)}
-            back = flat @ W[FACTS:].T
-            each = np.stack([np.bincount(where.ravel(), back[:, j], len(used)) for j in range(2 * VECTOR)], axis=1).astype(np.float32) * stays * 2
-            g["word"] = np.zeros_like(p["word"])
-            np.add.at(g["word"], place[used], each[:, :VECTOR] * (place[used] > 0)[:, None])
-            g["gram"] = np.stack([np.bincount(bucket, np.repeat(each[:, VECTOR + j] / size, size), 1 << VECTOR_BITS) for j in range(VECTOR)], axis=1).astype(np.float32)
-            done += 1
+            if not one:  # once more, for the windows that learn
+                chosen, label, grad = chosen[grad != 0], label[grad != 0], grad[grad != 0]
+                parts = (step(c, y) for c, y in _parts(chosen, label))
+            g = {}
+            for k, x in enumerate(parts):
+                for name, v in x.backward(grad[k * TOGETHER : (k + 1) * TOGETHER]).items():
+                    g[name] = g[name] + v if name in g else v
+            done, p = done + 1, net.p
             scale = min(1.0, 1.0 / (1e-6 + np.sqrt(sum(float((v * v).sum()) for v in g.values()))))
             for name, v in g.items():  # Adam
                 v = v * scale + (0.003 * p[name] if name in ("word", "gram") else 0)
@@ -309,7 +370,7 @@ def held_out(doc_id, folds: int = 5):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int, id_column: str, text_column: str, label_id: str, label: str) -> tuple[list[bytes], np.ndarray, float]:
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int, sample_bytes: int, id_column: str, text_column: str, label_id: str, label: str) -> tuple[list[bytes], np.ndarray, float]:
     """Texts and labels of the sample, and the share of toxic rows among all labelled training rows."""
     known = labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -318,25 +379,32 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, id_column: st
         return [], np.zeros(0, np.int64), float((toxic or 0) / total) if total else 0.0
     order = F.xxhash64("doc_id")
     picked = known.where("y = 1").orderBy(order, "doc_id").limit(sample).unionByName(known.where("y = 0").orderBy(order, "doc_id").limit(sample))
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")).where(F.length("text") <= LONGEST)
-    got = rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).orderBy("doc_id").collect()  # at most 2 * sample rows
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    drawn = stored(rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")))  # at most 2 * sample rows
+    sizes = drawn.select("doc_id", "y", F.octet_length("text").alias("n")).orderBy(order, "doc_id").collect()
+    taken, held = [], {0: 0, 1: 0}
+    for r in sizes:
+        if not held[r.y] or held[r.y] + r.n <= sample_bytes // 2:
+            taken.append(r.doc_id)
+        held[r.y] += r.n + 1
+    chosen = docs.sparkSession.createDataFrame([(i,) for i in taken], "doc_id long")
+    got = drawn.join(F.broadcast(chosen), "doc_id", "left_semi").orderBy("doc_id").collect()
     return [r.text.encode() for r in got], np.array([r.y for r in got], np.int64), toxic / total
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, id_column: str = "doc_id", text_column: str = "text", label_id: str = "doc_id", label: str = "toxic") -> Model:
-    texts, y, prior = training_rows(docs, labels, sample, id_column, text_column, label_id, label)
+def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, sample_bytes: int = 16 << 20, id_column: str = "doc_id", text_column: str = "text", label_id: str = "doc_id", label: str = "toxic") -> Model:
+    texts, y, prior = training_rows(docs, labels, sample, sample_bytes, id_column, text_column, label_id, label)
     return fit(texts, y, prior)
 
 
 def _scored(docs: DataFrame, model: Model, text_column: str, finish, schema) -> DataFrame:
-    small_batches(docs.sparkSession, 1000)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield finish(b, sent.value.score(*utf8(b.column(text_column))))
 
-    return docs.transform(mapped, score, schema)
+    return docs.transform(mapped, score, schema, rows=500, size=1 << 20)
 
 
 def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
