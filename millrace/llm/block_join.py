@@ -1,13 +1,15 @@
 """Nearest neighbours by a block matrix join: int8 product tiles with error bounds, exact scores for what survives, heaps to merge.
 
-Candidates are dealt to stripes of bounded size, and every block of queries visits every stripe: a stated query set against all
-rows, in blocks. A tile is the product of the int8 codes of a block and a stripe. With x = sx*a + dx and y = sy*b + dy,
+Candidates are dealt to stripes of bounded size, and every query visits every stripe: a stated query set against all rows, in blocks.
+Stripes are as large as a task can hold, since each takes all queries once more. A tile is the product of the int8 codes of a block of
+queries and of a block of the stripe. With x = sx*a + dx and y = sy*b + dy,
 |x.y - sx*sy*(a.b)| <= |x||dy| + |dx|(|y| + |dy|), so a candidate whose upper bound lies below the k-th greatest lower bound of its
-query cannot be among the k nearest. The others are computed again in double precision. Each pair of query and stripe gives one
+query, or below the k-th score that the stripe has given so far, cannot be among the k nearest. The others are computed again in double precision. Each pair of query and stripe gives one
 sorted list; the lists of a query are merged with a heap. The result is exact, so recall is 1.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors are only compared
-with others of their dimension; rows equal in id and vector count once; ties go to the smaller id; fewer than k candidates give
+with others of their dimension; rows equal in id and vector count once; rows with one id and different vectors are candidates of
+each other; ties go to the smaller id; fewer than k candidates give
 fewer rows; an empty table gives an empty table; other columns are not read.
 """
 
@@ -22,17 +24,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, longs, mapped, small_batches
+from .common import Batches, batch, longs, mapped, parts_for
 
-#: Candidates of one stripe, at most about this many; queries of one block.
-STRIPE, BLOCK = 8192, 512
+#: Bytes of the vectors of one stripe, at most about so many as doubles; candidates of a stripe, at least about so many where there
+#: are more tasks than large stripes.
+STRIPE_BYTES, LEAST = 32 << 20, 4096
+#: Candidates and queries of one tile.
+TILE, BLOCK = 8192, 256
+#: Pairs whose exact scores are computed at once.
+MOST = 1 << 16
 
 
 class Coded:
     """Vectors of one dimension, their int8 codes and the bounds of their errors."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, x: np.ndarray):
+        self.ids, self.keys, self.x = ids, keys, x
         self.scale = np.abs(x).max(axis=1) / 127
         self.codes = np.rint(x / self.scale[:, None]).astype(np.int8)
         self.error = np.sqrt(((x - self.codes * self.scale[:, None]) ** 2).sum(axis=1))
@@ -55,20 +62,27 @@ def exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest(q: Coded, c: Coded, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def nearest(q: Coded, stripe: list[Coded], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each query ids and scores of its k nearest of the stripe, best first."""
-    product, bound = tile(q, c)
-    own = q.ids[:, None] == c.ids
-    low = np.where(own, -np.inf, product - bound)
-    least = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(low), -np.inf)
-    i, j = np.nonzero((product + bound >= least[:, None]) & ~own)
-    score = exact(q.x[i], c.x[j])
-    order = np.lexsort((c.ids[j], -score, i))
-    i, j, score = i[order], j[order], score[order]
-    at = np.searchsorted(i, np.arange(len(q.ids) + 1))
+    n = len(q.ids)
+    query, score, ids = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    floor = np.full(n, -np.inf)  # the k-th score so far
+    for c in stripe:
+        product, bound = tile(q, c)
+        own = (q.keys[:, None] == c.keys) & (q.ids[:, None] == c.ids)
+        low = np.where(own, -np.inf, product - bound)
+        least = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k]) if low.shape[1] >= k else floor
+        i, j = np.nonzero((product + bound >= least[:, None]) & ~own)
+        fresh = [exact(q.x[i[a : a + MOST]], c.x[j[a : a + MOST]]) for a in range(0, len(i), MOST)]
+        query, score, ids = np.r_[query, i], np.concatenate([score, *fresh]), np.r_[ids, c.ids[j]]
+        order = np.lexsort((ids, -score, query))
+        query, score, ids = query[order], score[order], ids[order]
+        turn = np.arange(len(query)) - np.searchsorted(query, query)
+        floor[query[turn == k - 1]] = score[turn == k - 1]
+        query, score, ids = query[turn < k], score[turn < k], ids[turn < k]
+    at = np.searchsorted(query, np.arange(n + 1))
     for a, z in zip(at[:-1], at[1:], strict=True):
-        z = min(z, a + k)
-        yield c.ids[j[a:z]], score[a:z]
+        yield ids[a:z], score[a:z]
 
 
 def _matrices(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -81,18 +95,34 @@ def _matrices(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, flat[at[rows][:, None] + np.arange(d)]
 
 
+def _coded(held: list[pa.Table]) -> dict[int, list[Coded]]:
+    """The different candidates of a stripe, by dimension, in blocks."""
+    if not held:
+        return {}
+    whole = pa.concat_tables(held).combine_chunks()
+    ids, keys = longs(whole.column("id").combine_chunks()), longs(whole.column("key").combine_chunks())
+    order = np.lexsort((ids, keys))
+    first = order[np.r_[True, (keys[order][1:] != keys[order][:-1]) | (ids[order][1:] != ids[order][:-1])]]
+    out: dict[int, list[Coded]] = {}
+    for a in range(0, len(first), TILE):
+        part = first[a : a + TILE]
+        for r, x in _matrices(whole.column("vector").take(pa.array(part)).combine_chunks()):
+            out.setdefault(x.shape[1], []).append(Coded(ids[part[r]], keys[part[r]], x))
+    return out
+
+
 def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest rows of every row for which the condition `queries` holds."""
     spark = vectors.sparkSession
-    small_batches(spark, BLOCK)
     v = F.col("vector")
     sound = F.size(v) > 0
     for bad in (lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")),):
         sound &= ~F.exists(v, bad)
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & sound & F.exists(v, lambda x: x != 0)).withColumn("key", F.xxhash64("id", "vector"))
-    stripes = max(1, -(-vectors.count() // STRIPE))
-    own = rows.select(F.pmod(F.xxhash64("id"), F.lit(stripes)).cast("int").alias("stripe"), F.lit(0).alias("kind"), "key", "id", "vector")
+    count, values = rows.agg(F.count("id"), F.sum(F.size("vector"))).first()
+    stripes = max(1, -(-(values or 0) * 8 // STRIPE_BYTES), min(parts_for(spark), count // LEAST))
+    own = rows.select(F.pmod(F.xxhash64("key"), F.lit(stripes)).cast("int").alias("stripe"), F.lit(0).alias("kind"), "key", "id", "vector")
     asked = rows.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"), F.lit(1).alias("kind"), "key", "id", "vector")
 
     def tiles(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -111,21 +141,15 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_colu
                     held.append(part)
                     continue
                 if coded is None:
-                    coded = {}
-                    if held:
-                        whole = pa.concat_tables(held).combine_chunks()
-                        _, first = np.unique(longs(whole.column("key").combine_chunks()), return_index=True)
-                        whole = whole.take(pa.array(first)).combine_chunks()
-                        ids = longs(whole.column("id").combine_chunks())
-                        coded = {x.shape[1]: Coded(ids[r], x) for r, x in _matrices(whole.column("vector").combine_chunks())}
+                    coded = _coded(held)
                     held = []
                 ids, keys = longs(part.column("id").combine_chunks()), longs(part.column("key").combine_chunks())
                 for r, x in _matrices(part.column("vector").combine_chunks()):
                     if (c := coded.get(x.shape[1])) is not None:
-                        lists = list(nearest(Coded(ids[r], x), c, k))
+                        lists = list(nearest(Coded(ids[r], keys[r], x), c, k))
                         yield batch(key=keys[r], query_id=ids[r], stripe=pa.array(np.full(len(r), stripe), pa.int32()), ids=pa.array([y[0] for y in lists], pa.list_(pa.int64())), scores=pa.array([y[1] for y in lists], pa.list_(pa.float64())))
 
-    found = own.unionByName(asked).repartition(stripes, "stripe").sortWithinPartitions("stripe", "kind", "key").transform(mapped, tiles, "key long, query_id long, stripe int, ids array<long>, scores array<double>")
+    found = own.unionByName(asked).repartition(stripes, "stripe").sortWithinPartitions("stripe", "kind", "key").transform(mapped, tiles, "key long, query_id long, stripe int, ids array<long>, scores array<double>", rows=BLOCK)
 
     def merge(batches: Batches) -> Iterator[pa.RecordBatch]:
         held, last = {}, None
