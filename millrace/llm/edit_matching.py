@@ -6,24 +6,27 @@ with Myers' bit-parallel edit distance, so the result is exact for the budget.
 
 Texts are compared in lower case (A-Z) with runs of white space (0x20, 0x09 to 0x0D) as one space, trimmed.
 
-Defined results: a null or empty text matches nothing; items with a null or empty text and repeated items are left out (of items with
-one normal text the least id stands for all, a null id if there is no other); an item with a null id is reported with it; rows that share a doc_id are documents of their own; an empty table of documents or items gives no
-matches; other columns are not read. Documents are searched whole, however long.
+Items that are equal after this are looked for once, under one key, and reported under the id of each of them.
+
+Defined results: a null or empty text matches nothing; items with a null or empty text are left out; an item with a null id is
+reported with it, and one that is repeated with the same id once; rows that share a doc_id are documents of their own; an empty table
+of documents or items gives no matches; other columns are not read. Documents are searched whole, however long.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Batches, batch, mapped, small_batches, texts, utf8
+from .common import LOWER, Batches, batch, mapped, texts, utf8
 
-#: Bytes of items that are sent to every task; larger benchmarks are searched in parts of this size.
+#: Bytes of items that are sent to every task, about; larger benchmarks are searched in parts of this size.
 PART_BYTES = 4 << 20
+#: Items whose ids are sent to every task; more are joined by a shuffle.
+FEW_ITEMS = 100_000
 
 
 def normal(text: bytes) -> bytes:
@@ -72,9 +75,9 @@ class Pattern:
 
 
 class Matcher:
-    """All pieces of some items in one automaton."""
+    """All pieces of some items (key, normal text) in one automaton."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], error_rate: float):
+    def __init__(self, items: list[tuple[str, bytes]], error_rate: float):
         import ahocorasick
 
         self.items, self.budgets, self.patterns = items, [int(len(t) * error_rate) for _, t in items], {}
@@ -88,8 +91,8 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
-    def matches(self, text: bytes) -> list[tuple[int | None, int]]:
-        """(item_id, distance) of every item within its budget of some stretch of a normal text."""
+    def matches(self, text: bytes) -> list[tuple[str, int]]:
+        """(key, distance) of every item within its budget of some stretch of a normal text."""
         windows: dict[int, list[tuple[int, int]]] = {}
         if not len(self.automaton):
             return []
@@ -111,79 +114,77 @@ class Matcher:
             found = [d for a, z in joined if (d := self._distance(k, text[a:z])) is not None]
             if found:
                 out.append((self.items[k][0], min(found)))
-        return sorted(out, key=lambda m: (m[0] is None, m))
+        return out
 
     def _distance(self, k: int, text: bytes) -> int | None:
         return 0 if self.items[k][1] in text else self.patterns[k].distance(text, self.budgets[k])
 
 
-def item_parts(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[int | None, bytes]]]:
-    """Normal items in parts of bounded size, read one partition at a time."""
-    rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).cast("string").alias("text")).where("text is not null")
-    part, size, seen = [], 0, set()
-    for r in rows.orderBy(F.col("item_id").asc_nulls_last(), "text").toLocalIterator():
-        text = normal(r.text.encode())
-        if not text or hash(text) in seen:
-            continue
-        seen.add(hash(text))
-        part.append((r.item_id, text))
-        size += len(text)
-        if size > PART_BYTES:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def benchmark_items(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """item_id, text (normal), item (its key) of every different item."""
+    lower = F.translate(F.col(text_column).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    text = F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "))
+    rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), text.alias("text")).where("text <> ''").distinct()
+    return rows.withColumn("item", F.sha2("text", 256))
+
+
+def item_parts(items: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
+    """Key and text of the different items, in parts of bounded size that are read one at a time."""
+    once = items.select("item", "text").distinct()
+    size = once.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = -(-size // PART_BYTES)
+    for k in range(parts):
+        part = once.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k).orderBy("item").collect()
+        if part:
+            yield [(r.item, r.text.encode()) for r in part]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08, id_column: str = "doc_id", text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, key, item_id, distance of every pair of a document and an item that it holds within error_rate edits a byte."""
-    return _matches(docs, item_parts(benchmark, item_id, item_text), error_rate, id_column, text_column)
-
-
-def _matches(docs: DataFrame, parts: Iterable[list[tuple[int | None, bytes]]], error_rate: float, id_column: str, text_column: str) -> DataFrame:
-    base = texts(docs, id_column, text_column)
-    schema = "doc_id long, key long, item_id long, distance int"
-    out = None
-    for part in parts:
-        items = docs.sparkSession.sparkContext.broadcast(part)
-
-        def search(batches: Batches, items=items) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items.value, error_rate)
-            for b in batches:
-                data, off = utf8(b.column("text"))
-                low = LOWER[data]
-                rows, ids, distances = [], [], []
-                for row, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
-                    for i, d in matcher.matches(b" ".join(low[a:z].tobytes().split())):
-                        rows.append(row)
-                        ids.append(i)
-                        distances.append(d)
-                at = pa.array(rows, pa.int64())
-                yield batch(doc_id=b.column("doc_id").take(at), key=b.column("key").take(at), item_id=pa.array(ids, pa.int64()), distance=pa.array(distances, pa.int32()))
-
-        found = base.transform(mapped, search, schema)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08, id_column: str = "doc_id", text_column: str = "text", **names) -> DataFrame:
+    items = benchmark_items(benchmark, item_id, item_text)
+    found = None
+    for part in item_parts(items):
+        more = _matches(docs, part, error_rate, id_column, text_column)
+        found = more if found is None else found.unionByName(more)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], "doc_id long, key long, item_id long, distance int")
+    ids = items.select("item", "item_id")
+    return found.join(F.broadcast(ids) if ids.count() <= FEW_ITEMS else ids, "item").select("doc_id", "key", "item_id", "distance")
+
+
+def _matches(docs: DataFrame, part: list[tuple[str, bytes]], error_rate: float, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, key, item, distance of the items of one part."""
+    items = docs.sparkSession.sparkContext.broadcast(part)
+
+    def search(batches: Batches) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(items.value, error_rate)
+        for b in batches:
+            data, off = utf8(b.column("text"))
+            low = LOWER[data]
+            rows, keys, distances = [], [], []
+            for row, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
+                for i, d in matcher.matches(b" ".join(low[a:z].tobytes().split())):
+                    rows.append(row)
+                    keys.append(i)
+                    distances.append(d)
+            at = pa.array(rows, pa.int64())
+            yield batch(doc_id=b.column("doc_id").take(at), key=b.column("key").take(at), item=pa.array(keys, pa.string()), distance=pa.array(distances, pa.int32()))
+
+    return texts(docs, id_column, text_column).transform(mapped, search, "doc_id long, key long, item string, distance int")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.08, id_column: str = "doc_id", text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of docs that hold no benchmark item, with all their columns.
 
-    Items of one part are looked for in one narrow pass that decides row by row. More are looked for part by part, in tasks of their
-    own, and the rows found are left out by a join.
+    Items are looked for part by part: each part is one narrow pass that decides row by row about the rows that are left.
     """
-    parts = item_parts(benchmark, names.get("item_id", "item_id"), names.get("item_text", "text"))
-    first, second = next(parts, None), next(parts, None)
-    if first is None:
-        return docs
-    if second is not None:
-        found = _matches(docs, chain((first, second), parts), error_rate, id_column, text_column)
-        found = found.select(F.coalesce("doc_id", F.lit(-1)).alias("_found_id"), F.col("key").alias("_found_key")).distinct()
-        number, text = F.col(id_column).cast("long"), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-        # a null id is not taken for -1: the key depends on the id
-        return docs.join(found, (F.xxhash64(number, text) == F.col("_found_key")) & (F.coalesce(number, F.lit(-1)) == F.col("_found_id")), "left_anti")
-    small_batches(docs.sparkSession)
-    items = docs.sparkSession.sparkContext.broadcast(first)
+    for part in item_parts(benchmark_items(benchmark, item_id, item_text)):
+        docs = docs.transform(mapped, _keeps(docs, part, error_rate, text_column), docs.schema)
+    return docs
+
+
+def _keeps(docs: DataFrame, part: list[tuple[str, bytes]], error_rate: float, text_column: str):
+    items = docs.sparkSession.sparkContext.broadcast(part)
 
     def keep(batches: Batches) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(items.value, error_rate)
@@ -195,4 +196,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.0
                 clean.append(not matcher.matches(b" ".join(low[a:z].tobytes().split())))
             yield b.filter(pa.array(clean, pa.bool_()))
 
-    return docs.transform(mapped, keep, docs.schema)
+    return keep
