@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, mapped, small_batches
+from .common import Batches, batch, mapped
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|iframe|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>?)""",
@@ -46,11 +46,59 @@ NEVER_NAMES = frozenset(
 #: Names of what has running text of its own that is not the article.
 TALK = frozenset("comment comments disqus reply replies discussion related recommended".split())
 ALWAYS = frozenset("html body article main".split())
+#: Names that also begin names of other things: they count alone, at the end of a name, and before one of BOXES or of NEVER_NAMES.
+ALSO_WORDS = frozenset("notice social related alert promo promotion discussion share sharing reply replies recommended menu modal banner skip ad".split())
+BOXES = frozenset(
+    "area bar block blocks board box boxes button buttons card cards container content dialog entry feed form frame group header icon icons inner item items label layer link links list message messages module panel popup post posts row section set slot strip text title tools top unit wrap wrapper zone".split()
+)
 SEPARATOR = re.compile(r"[\s_\-:]+")
 #: Levels that a paragraph's points reach, and the least characters of a paragraph that gives points.
 LEVELS, LEAST = 5, 25
 
 
+class Open:
+    """The open elements (tag, nearest block, whether it is left out, nearest of named), with the places of each tag and of the blocks,
+    so that no step looks at more of them than it ends."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, bool, int]] = [("html", 0, False, -1)]
+        self.places: dict[str, list[int]] = {"html": [0]}
+        self.blocks = [0]
+
+    @property
+    def links(self) -> int:
+        return len(self.places.get("a", ()))
+
+    def push(self, element: tuple[str, int, bool, int]) -> None:
+        k = len(self.stack)
+        self.stack.append(element)
+        self.places.setdefault(element[0], []).append(k)
+        if element[0] in BLOCKS:
+            self.blocks.append(k)
+
+    def last(self, *tags: str) -> int:
+        return max((held[-1] for t in tags if (held := self.places.get(t))), default=-1)
+
+    def cut(self, k: int) -> None:
+        """Ends the elements from the place k on."""
+        for tag, *_ in self.stack[k:]:
+            self.places[tag].pop()
+        del self.stack[k:]
+        while self.blocks[-1] >= k:
+            self.blocks.pop()
+
+    def make_room(self, name: str) -> None:
+        """Ends what the start of a block element ends."""
+        k = self.blocks[-1]
+        tag = self.stack[k][0]
+        if k and (tag == "p" or tag in HEADINGS and name in HEADINGS):
+            self.cut(k)
+        if name in ENDS_BEFORE:
+            k = self.last(*ENDS_BEFORE[name])
+            if k > max(0, self.last(*ENDS_AT[name])):
+                self.cut(k)
+
+
 class Tree:
     """Block elements of one page (parent, tag) and its blocks of text (element, text, characters in links), in page order.
 
@@ -62,11 +110,12 @@ class Tree:
     def __init__(self, page: str, spared: frozenset[int] | None = frozenset()):
         self.parent, self.tag, self.within, self.blocks, self.named, self.owner = [-1], ["html"], [-1], [], [], []
         self._text, self._links, self._owner = [], 0, None
-        stack: list[tuple[str, int, bool, int]] = [("html", 0, False, -1)]  # tag, nearest block, whether it is left out, nearest of named
-        links, at = 0, 0
+        open_ = Open()
+        at = 0
         for m in TOKEN.finditer(page):
-            if m.start() > at and not stack[-1][2]:
-                self._add(page[at : m.start()], links, stack[-1][3])
+            top = open_.stack[-1]
+            if m.start() > at and not top[2]:
+                self._add(page[at : m.start()], open_.links, top[3])
             at = m.end()
             name = m[3]
             if name is None:
@@ -76,39 +125,29 @@ class Tree:
                 self._text.append(" ")
                 continue
             if name in BLOCKS:
-                self._end_block(stack[-1][1])
+                self._end_block(top[1])
             if m[2]:
-                k = len(stack) - 1
-                while k > 0 and stack[k][0] != name:
-                    if name not in BLOCKS and stack[k][0] in BLOCKS or name in PARAGRAPHS and stack[k][0] in ("article", "main", "body", "table"):
-                        k = 0
-                        break
-                    k -= 1
-                if k > 0:
-                    links -= sum(1 for x in stack[k:] if x[0] == "a")
-                    del stack[k:]
+                k = open_.last(name)
+                if k > 0 and (name in BLOCKS or k > open_.blocks[-1]) and (name not in PARAGRAPHS or k > open_.last("article", "main", "body", "table")):
+                    open_.cut(k)
                 continue
             if name in EMPTY:
-                if name in BLOCKS:
-                    continue
                 continue
             if name in ("html", "body", "head"):
                 if name == "body":
-                    del stack[1:]
-                    links = 0
+                    open_.cut(1)
                 continue
             if name in BLOCKS:
-                self._close(stack, name)
-                links = sum(1 for x in stack if x[0] == "a")
-                self.parent.append(stack[-1][1])
+                open_.make_room(name)
+                top = open_.stack[-1]
+                self.parent.append(top[1])
                 self.tag.append(name)
-                self.within.append(stack[-1][3])
+                self.within.append(top[3])
                 node = len(self.tag) - 1
             else:
-                node = stack[-1][1]
-                links += name == "a"
+                node = top[1]
             attributes = m[4]
-            out, inside = stack[-1][2] or name in NEVER, stack[-1][3]
+            out, inside = top[2] or name in NEVER, top[3]
             if not out and len(attributes) > 4 and name not in ALWAYS:
                 out, names = _left_out(attributes)
                 if names and not out:
@@ -116,10 +155,11 @@ class Tree:
                     inside = len(self.named) - 1
                     out = spared is not None and m.start() not in spared
             if not attributes.rstrip(">").endswith("/") or name in BLOCKS or name == "a":
-                stack.append((name, node, out, inside))
-        if at < len(page) and not stack[-1][2]:
-            self._add(page[at:], links, stack[-1][3])
-        self._end_block(stack[-1][1])
+                open_.push((name, node, out, inside))
+        top = open_.stack[-1]
+        if at < len(page) and not top[2]:
+            self._add(page[at:], open_.links, top[3])
+        self._end_block(top[1])
 
     def _add(self, text: str, links: int, owner: int) -> None:
         self._text.append(text)
@@ -135,24 +175,6 @@ class Tree:
                 self.owner.append(-1 if self._owner is None else self._owner)
             self._text, self._links, self._owner = [], 0, None
 
-    def _close(self, stack: list, name: str) -> None:
-        """Ends what the start of a block element ends."""
-        for k in range(len(stack) - 1, 0, -1):
-            tag = stack[k][0]
-            if tag == "p" or tag in HEADINGS and name in HEADINGS:
-                del stack[k:]
-                break
-            if tag in BLOCKS:
-                break
-        if name in ENDS_BEFORE:
-            for k in range(len(stack) - 1, 0, -1):
-                tag = stack[k][0]
-                if tag in ENDS_AT[name]:
-                    break
-                if tag in ENDS_BEFORE[name]:
-                    del stack[k:]
-                    break
-
 
 def _left_out(attributes: str) -> tuple[bool, set[str]]:
     """Whether an element is hidden or has a role that is never the article's; and such names among its classes and id."""
@@ -164,7 +186,11 @@ def _left_out(attributes: str) -> tuple[bool, set[str]]:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True, names
         if name in ("class", "id"):
-            names |= NEVER_NAMES.intersection(SEPARATOR.split(value))
+            for whole in value.split():
+                parts = SEPARATOR.split(whole)
+                for part, then in zip(parts, [*parts[1:], ""], strict=True):
+                    if part in NEVER_NAMES and (part not in ALSO_WORDS or not then or then in BOXES or then in NEVER_NAMES or then.isdigit()):
+                        names.add(part)
     return False, names
 
 
@@ -187,15 +213,20 @@ def _read(page: str) -> Tree:
     n = len(every.named)
     gain, headed, article = [0.0] * (n + 1), [False] * (n + 1), [False] * (n + 1)  # the last is for text outside of all
     body = [0] * (n + 1)  # blocks of text in article elements
+    size = len(every.tag)
+    inside, filled = [False] * size, [False] * size  # whether an article element is around, and whether there is text
+    for node in range(size):
+        inside[node] = every.tag[node] in ("article", "main") or every.parent[node] >= 0 and inside[every.parent[node]]
     for (node, text, links), k in zip(every.blocks, every.owner, strict=True):
         gain[k] += _gain(text, links, every.tag[node])
-        inside = False
-        while node >= 0:
+        body[k] += inside[node]
+        filled[node] = True
+    for node in range(size - 1, -1, -1):
+        if filled[node]:
             headed[every.within[node]] |= every.tag[node] in ("h1", "main")
             article[every.within[node]] |= every.tag[node] in ("article", "main")
-            inside |= every.tag[node] in ("article", "main")
-            node = every.parent[node]
-        body[k] += inside
+            if every.parent[node] >= 0:
+                filled[every.parent[node]] = True
     own, bodies = gain[:], body[:]
     for k in range(n - 1, -1, -1):
         up = every.named[k][2]
@@ -232,11 +263,8 @@ def main_text(page: str) -> str:
     n = len(tree.tag)
     points, chars, linked = [0.0] * n, [0] * n, [0] * n
     for node, text, links in tree.blocks:
-        up = node
-        while up >= 0:
-            chars[up] += len(text)
-            linked[up] += links
-            up = tree.parent[up]
+        chars[node] += len(text)
+        linked[node] += links
         gain = _gain(text, links, tree.tag[node])
         if not gain:
             continue
@@ -244,6 +272,9 @@ def main_text(page: str) -> str:
         while up >= 0 and level <= LEVELS:
             points[up] += gain / level
             up, level = tree.parent[up], level + 1
+    for k in range(n - 1, 0, -1):
+        chars[tree.parent[k]] += chars[k]
+        linked[tree.parent[k]] += linked[k]
     score = [p * (1 - linked[k] / chars[k]) * (1.5 if tree.tag[k] in ("article", "main") else 1) if chars[k] else 0.0 for k, p in enumerate(points)]
     best = max(range(n), key=lambda k: (score[k], k))
     if score[best] == 0:  # no running text: the article element if there is one, else the page
@@ -269,12 +300,10 @@ def main_text(page: str) -> str:
 
 def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row of pages."""
-    small_batches(pages.sparkSession, 500)
-
     def extract(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = [main_text(x or "") for x in b.column("html").to_pylist()]
             yield batch(page_id=b.column("page_id"), url=b.column("url"), text=pa.array(text, pa.string()), n_chars=np.array([len(x) for x in text], np.int64))
 
     picked = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html"))
-    return picked.transform(mapped, extract, "page_id long, url string, text string, n_chars long")
+    return picked.transform(mapped, extract, "page_id long, url string, text string, n_chars long", rows=500)
