@@ -1,18 +1,18 @@
 """Language-model scores by context-tree weighting over bytes.
 
-A byte is eight binary decisions; each decision has a context tree over the bytes before it, up to DEPTH of them. Every node of a
+A byte is eight binary decisions; each decision has a context tree over the bytes before it, up to `depth` of them. Every node of a
 tree holds a Krichevsky-Trofimov estimate, and context-tree weighting mixes the estimates of all depths. The block probabilities
 have a closed form in the counts, so the trees are learned from counts alone, in any order: gathering is one pass over all training
-texts that counts runs of DEPTH + 1 bytes. The weighting goes bottom up: subtrees below two context bytes are weighted where their
+texts that counts runs of depth + 1 bytes. The weighting goes bottom up: subtrees below two context bytes are weighted where their
 counts lie, the two levels above (at most 256 + 65,536 contexts) on the driver. A context of two bytes with more than SUBTREE runs is
-cut into subtrees below three bytes, or four; their sums are added up by an aggregation for the nodes above them. Scoring reads the trees as they are after all
-training texts. A context that training never saw ends its branch, which then counts as the node above.
+cut into subtrees below three bytes, or more; their sums are added up by an aggregation for the nodes above them. Scoring reads the
+trees as they are after all training texts. A context that training never saw ends its branch, which then counts as the node above.
 
 Texts are lower-cased (A-Z); a text begins after DEPTH zero bytes and ends with one. Beside the model's score stands the base: the
 probability of the text's words and its end under add-one counts of the training tokens.
 
-Tables that score (runs of bytes, and words that occur twice or more) are sent to tasks in parts of bounded size; with more than
-one part, the texts are read once for each. Words that occur once in training are only asked for by held-out rows and are joined.
+The estimates of runs are sent to tasks as tables of at most PART entries, with one pass over the texts for each; a model of more than
+MOST_PASSES tables is not sent but joined. The most frequent words are one table of at most PART entries; the others are joined.
 
 Defined results: a null text is empty: its tokens are the end alone; a null doc_id belongs to training; rows are scored on their
 own, so repeated rows get the same score (and count as often in training); without training rows every decision is even and the
@@ -28,28 +28,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, Batches, batch, by_key, longs, mapped, parts_for, ragged, small_batches, stored, texts, utf8, words
+from .common import LOWER, U64, Batches, batch, by_key, longs, mapped, parts_for, ragged, stored, texts, utf8, words
 
 DEPTH = 5
 #: Entries of one table that is sent to tasks; with its free places it takes up to 67 MB.
 PART = 2_750_000
+#: Passes over the texts, at most, with one table each; beyond these all runs of the texts are joined to the model by one shuffle,
+#: which moves some 30 bytes for each byte of text. SALTS: into so many partitions one run may go there.
+MOST_PASSES, SALTS = 16, 8
 #: Bytes or words that a task holds before it sums them up.
 HOLD = 1 << 20
-#: Different runs under four context bytes, at most; and those of one subtree that is weighted at once, unless it has four.
+#: Different runs under all context bytes but one, at most; and those of one subtree that is weighted at once, unless it has these.
 MOST_RUNS = SUBTREE = 1 << 16
 GRAMS, WORDS, TOKENS = 0, 1, 2
 
 
-def grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of DEPTH + 1 bytes that end at each byte and at the end of each row, oldest byte first, and the rows' offsets."""
+def grams(data: np.ndarray, off: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of depth + 1 bytes that end at each byte and at the end of each row, oldest byte first, and the rows' offsets."""
     n = np.diff(off)
-    at = np.cumsum(n + DEPTH + 1) - n - 1
-    padded = np.zeros(int(n.sum()) + (DEPTH + 1) * len(n), np.uint64)
+    at = np.cumsum(n + depth + 1) - n - 1
+    padded = np.zeros(int(n.sum()) + (depth + 1) * len(n), np.uint64)
     padded[ragged(at, n)] = LOWER[data]
     places = ragged(at, n + 1)
     run = np.zeros(len(padded), np.uint64)
-    for k in range(DEPTH + 1):
-        run[DEPTH:] |= padded[DEPTH - k : len(padded) - k] << U64(8 * k)
+    for k in range(depth + 1):
+        run[depth:] |= padded[depth - k : len(padded) - k] << U64(8 * k)
     return run[places], np.r_[0, np.cumsum(n + 1)]
 
 
@@ -144,112 +147,112 @@ class Level:
         return np.where(here, p, 0.5), here
 
 
-def decisions(run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def decisions(run: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each run the eight decisions of its byte: context (latest byte first), bits so far, bit; each of shape (8, runs)."""
     context = np.zeros(len(run), np.uint64)
-    for k in range(1, DEPTH + 1):
-        context |= (run >> U64(8 * k) & U64(255)) << U64(8 * (DEPTH - k))
+    for k in range(1, depth + 1):
+        context |= (run >> U64(8 * k) & U64(255)) << U64(8 * (depth - k))
     j = np.arange(8, dtype=np.uint64)[:, None]
     byte = (run & U64(255))[None, :]
     return np.broadcast_to(context, (8, len(run))), U64(1) << j | byte >> U64(8) - j, (byte >> U64(7) - j & U64(1)).astype(bool)
 
 
-def key_at(context: np.ndarray, bits: np.ndarray, depth: int) -> np.ndarray:
-    return context >> U64(8 * (DEPTH - depth)) << U64(8) | bits
+def key_at(context: np.ndarray, bits: np.ndarray, skipped: int) -> np.ndarray:
+    """Nodes of contexts without their `skipped` oldest bytes."""
+    return context >> U64(8 * skipped) << U64(8) | bits
 
 
-def levels(run: np.ndarray, n: np.ndarray, top: int) -> dict[int, Level]:
-    """The weighted levels from DEPTH up to top of the runs that occur n times in training."""
+def levels(run: np.ndarray, n: np.ndarray, top: int, depth: int = DEPTH) -> dict[int, Level]:
+    """The weighted levels from depth up to top of the runs that occur n times in training."""
     run, n = run[n > 0], n[n > 0]
-    context, bits, bit = decisions(run)
+    context, bits, bit = decisions(run, depth)
     count = np.broadcast_to(n, bit.shape).ravel()
     flat = bit.ravel()
-    out = {DEPTH: Level(*summed(key_at(context, bits, DEPTH).ravel(), np.where(flat, 0, count), np.where(flat, count, 0)), None)}
-    for d in range(DEPTH - 1, top - 1, -1):
+    out = {depth: Level(*summed(key_at(context, bits, 0).ravel(), np.where(flat, 0, count), np.where(flat, count, 0)), None)}
+    for d in range(depth - 1, top - 1, -1):
         out[d] = Level(*out[d + 1].parents())
     return out
 
 
-def log10_of(run: np.ndarray, found: dict[int, Level]) -> np.ndarray:
+def log10_of(run: np.ndarray, found: dict[int, Level], depth: int = DEPTH) -> np.ndarray:
     """log10 of the probability of each run's last byte after the others."""
-    context, bits, bit = decisions(run)
+    context, bits, bit = decisions(run, depth)
     p = known = None
-    for d in range(DEPTH, -1, -1):
-        p, known = found[d].mixed(key_at(context, bits, d).ravel(), bit.ravel(), p, known)
+    for d in range(depth, -1, -1):
+        p, known = found[d].mixed(key_at(context, bits, depth - d).ravel(), bit.ravel(), p, known)
     return np.log10(p).reshape(bit.shape).sum(axis=0)
 
 
-def learned(counts: DataFrame) -> DataFrame:
+def learned(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """key, value: log10 of the probability of every run, for counts (key, n) of all runs; those not seen in training have n = 0."""
     spark = counts.sparkSession
 
-    def last(depth: int) -> Column:
-        return F.shiftright(F.col("key"), 8).bitwiseAND(F.lit((1 << 8 * depth) - 1))
-
-    def large(runs: DataFrame, depth: int) -> DataFrame | None:
-        """The contexts of that depth that have more than SUBTREE runs: at most one for each SUBTREE of all runs."""
-        got = runs.groupBy(last(depth).alias(f"large{depth}")).count().where(F.col("count") > SUBTREE).drop("count").collect()
-        return F.broadcast(spark.createDataFrame(got, f"large{depth} long")) if got else None
-
-    # the latest context bytes decide where a subtree lies: two of them, or as many more as keep it within bounds; four always do
-    runs, depth = counts.select("key", "n"), F.lit(2)
-    two_large = large(runs, 2)
-    if two_large is not None:
-        three_large = large(runs.join(two_large, last(2) == F.col("large2"), "left_semi"), 3)
-        runs = runs.join(two_large, last(2) == F.col("large2"), "left")
-        runs = runs.withColumn("large3", F.lit(None).cast("long")) if three_large is None else runs.join(three_large, last(3) == F.col("large3"), "left")
-        depth = F.when(F.col("large2").isNull(), 2).when(F.col("large3").isNull(), 3).otherwise(4)
-    place = F.when(depth == 2, last(2)).when(depth == 3, last(3)).otherwise(last(4)).bitwiseOR(F.shiftleft(depth.cast("long"), 32))
+    def last(d: int) -> Column:
+        return F.shiftright(F.col("key"), 8).bitwiseAND(F.lit((1 << 8 * d) - 1))
+
+    # the latest context bytes decide where a subtree lies: two of them, or as many more as keep it within bounds; all but one always do
+    runs, place, cut = counts.select("key", "n"), last(2).bitwiseOR(F.lit(2 << 56)), 2
+    for d in range(2, depth - 1):
+        within = runs if d == 2 else runs.where(F.col(f"large{d - 1}").isNotNull())
+        # at most one for each SUBTREE of all runs
+        large = within.groupBy(last(d).alias(f"large{d}")).count().where(F.col("count") > SUBTREE).drop("count").collect()
+        if not large:
+            break
+        runs = runs.join(F.broadcast(spark.createDataFrame(large, f"large{d} long")), last(d) == F.col(f"large{d}"), "left")
+        cut = d + 1
+        place = F.when(F.col(f"large{d}").isNotNull(), last(d + 1).bitwiseOR(F.lit(d + 1 << 56))).otherwise(place)
     placed = stored(runs.select("key", "n", place.alias("place")).repartition(parts_for(spark), "place").sortWithinPartitions("place", "key"))
     placed = placed.repartition(parts_for(spark), "place").sortWithinPartitions("place", "key")
 
     def whole(batches: Batches) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Depth, runs and counts of whole subtrees, many small ones of one depth at once."""
         for t, goes_on in by_key(batches, "place", MOST_RUNS + 1, 1 << 40):
-            assert not goes_on, "a subtree of four context bytes has at most MOST_RUNS runs"
-            run, n, depth = longs(t.column("key").combine_chunks()).view(np.uint64), longs(t.column("n").combine_chunks()), longs(t.column("place").combine_chunks()) >> 32
-            for d in (2, 3, 4):
-                if (depth == d).any():
-                    yield d, run[depth == d], n[depth == d]
+            assert not goes_on, "a subtree of all context bytes but one has at most MOST_RUNS runs"
+            run, n, at = longs(t.column("key").combine_chunks()).view(np.uint64), longs(t.column("n").combine_chunks()), longs(t.column("place").combine_chunks()) >> 56
+            for d in np.unique(at).tolist():
+                yield d, run[at == d], n[at == d]
 
     def subtrees(batches: Batches) -> Iterator[pa.RecordBatch]:
         """Nodes of two context bytes; of subtrees that lie deeper, what they add to the nodes above."""
         for d, run, n in whole(batches):
-            top = levels(run, n, d)[d]
+            top = levels(run, n, d, depth)[d]
             keys, zeros, ones, log = (top.keys, top.zeros, top.ones, top.log) if d == 2 else top.parents()
             yield batch(depth=pa.array(np.full(len(keys), d), pa.int32()), key=keys.view(np.int64), zeros=zeros, ones=ones, log=log)
 
-    nodes = mapped(placed, subtrees, "depth int, key long, zeros long, ones long, log double")
-    if two_large is not None:
+    nodes = mapped(placed, subtrees, "depth int, key long, zeros long, ones long, log double", rows=1 << 16)
+    if cut > 2:
         nodes = nodes.groupBy("depth", "key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log")))
     got = nodes.toArrow().combine_chunks()
 
     def column(c: str) -> np.ndarray:
         return got.column(c).to_numpy() if got.num_rows else np.zeros(0, np.float64 if c == "log" else np.int64)
 
-    def of(depth: int) -> tuple[np.ndarray, ...]:
-        here = column("depth") == depth
+    def of(d: int) -> tuple[np.ndarray, ...]:
+        here = column("depth") == d
         return column("key").view(np.uint64)[here], column("zeros")[here], column("ones")[here], column("log")[here]
 
     def united(*some: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
         return summed(*(np.concatenate(c) for c in zip(*some, strict=True)))
 
-    # above deeper subtrees: nodes of three and of two context bytes
-    three = Level(*united(of(4)))
-    above = Level(*united(of(3), three.parents()))
-    keys, zeros, ones, log = united(of(2), (above.keys, above.zeros, above.ones, above.log))
+    # nodes above deeper subtrees
+    upper: dict[int, Level] = {}
+    for d in range(cut - 1, 1, -1):
+        upper[d] = Level(*united(of(d + 1), *([upper[d + 1].parents()] if d + 1 in upper else [])))
+    above = [] if 2 not in upper else [(upper[2].keys, upper[2].zeros, upper[2].ones, upper[2].log)]
+    keys, zeros, ones, log = united(of(2), *above)
     two = Level(keys, zeros, ones, None)
     two.log = log
-    one = Level(*two.parents())
-    upper = spark.sparkContext.broadcast({3: three, 2: above, 1: one, 0: Level(*one.parents())})
+    upper[1] = Level(*two.parents())
+    upper[0] = Level(*upper[1].parents())
+    sent = spark.sparkContext.broadcast(upper)
 
     def estimates(batches: Batches) -> Iterator[pa.RecordBatch]:
         for d, run, n in whole(batches):
-            found = upper.value | levels(run, n, d)
+            found = sent.value | levels(run, n, d, depth)
             for k in range(0, len(run), 1 << 16):
-                yield batch(key=run[k : k + (1 << 16)].view(np.int64), value=log10_of(run[k : k + (1 << 16)], found))
+                yield batch(key=run[k : k + (1 << 16)].view(np.int64), value=log10_of(run[k : k + (1 << 16)], found, depth))
 
-    return mapped(placed, estimates, "key long, value double")
+    return mapped(placed, estimates, "key long, value double", rows=1 << 16)
 
 
 # tables that score
@@ -293,30 +296,28 @@ class Table:
         return out
 
 
-def tables(entries: DataFrame, n: int, dtype: type) -> Iterator[Table]:
-    """The entries (key, value) in tables of at most about PART entries, one after the other."""
-    parts = max(1, -(-n // PART))
-    for k in range(parts):
-        part = entries if parts == 1 else entries.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == k)
-        t = part.toArrow().combine_chunks()
-        yield Table(t.column("key").to_numpy().astype(np.int64).view(np.uint64), t.column("value").to_numpy().astype(dtype)) if t.num_rows else Table(np.zeros(0, np.uint64), np.zeros(0, dtype))
+def table_of(entries: DataFrame, dtype: type) -> Table:
+    t = entries.toArrow().combine_chunks()
+    return Table(t.column("key").to_numpy().astype(np.int64).view(np.uint64), t.column("value").to_numpy().astype(dtype)) if t.num_rows else Table(np.zeros(0, np.uint64), np.zeros(0, dtype))
 
 
-def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of docs.
 
-    held_out: a condition on the column doc_id; rows for which it holds are not learned from.
+    held_out: a condition on the column doc_id; rows for which it holds are not learned from. depth: bytes of context, 3 to 7.
     """
+    if not 3 <= depth <= 7:
+        raise ValueError("depth must be 3 to 7")
     base = texts(docs, id_column, text_column).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     spark = docs.sparkSession
-    small_batches(spark, 300)  # each byte takes several words of 8 bytes on its way
+    small = {"rows": 300, "size": 1 << 20}  # each byte takes several words of 8 bytes on its way
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
         runs, seen, tokens = Tally(), Tally(), 0
         for b in batches:
             data, off = utf8(b.column("text"))
             out = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            run, at = grams(data, off)
+            run, at = grams(data, off, depth)
             h, _, _, rows = words(data, off, lower=True)
             for part, n in ((~out, 1), (out, 0)):
                 runs.add(run[ragged(at[:-1][part], np.diff(at)[part])], n)
@@ -327,55 +328,46 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
         yield from seen.rows(WORDS)
         yield batch(kind=pa.array([TOKENS], pa.int32()), key=pa.array([0], pa.int64()), n=pa.array([tokens], pa.int64()))
 
-    counts = stored(mapped(base, count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    counts = stored(mapped(base, count, "kind int, key long, n long", **small).groupBy("kind", "key").agg(F.sum("n").alias("n")))
     about = {r.kind: r for r in counts.groupBy("kind").agg(F.count("key").alias("k"), F.sum("n").alias("n"), F.count(F.when(F.col("n") > 1, 1)).alias("often")).collect()}
     size = lambda kind, field: about[kind][field] if kind in about else 0
     train_tokens = size(TOKENS, "n")
     ends = train_tokens - size(WORDS, "n")  # one for each training row
     vocabulary = size(WORDS, "k") + (ends > 0)
-    runs = stored(learned(counts.where(F.col("kind") == GRAMS)))
-    often = counts.where((F.col("kind") == WORDS) & (F.col("n") > 1)).select("key", F.col("n").alias("value"))
-    run_tables = [spark.sparkContext.broadcast(t) for t in tables(runs, size(GRAMS, "k"), np.float64)]
-    word_tables = [spark.sparkContext.broadcast(t) for t in tables(often, size(WORDS, "often"), np.int32)]
-
-    def score(table) -> DataFrame:
-        """key, doc_id, score of the runs that the table holds."""
-
-        def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                data, off = utf8(b.column("text"))
-                run, at = grams(data, off)
-                total = np.add.reduceat(table.value.get(run, 0.0), at[:-1]) if b.num_rows else np.zeros(0)
-                yield batch(doc_id=b.column("doc_id"), key=b.column("key"), held_out=b.column("held_out"), n_bytes=np.diff(off), score=total)
-
-        return mapped(base, run, "doc_id long, key long, held_out boolean, n_bytes long, score double")
+    # words that occur at least so many times are in one table of bounded size; the others are joined
+    known = counts.where(F.col("kind") == WORDS).select("key", F.col("n").alias("value"))
+    least, often = 2, size(WORDS, "often")
+    while often > PART:
+        least *= 2
+        often = known.where(F.col("value") >= least).count()
+    word_table = spark.sparkContext.broadcast(table_of(known.where(F.col("value") >= least), np.int64))
+
+    runs = stored(learned(counts.where(F.col("kind") == GRAMS), depth))
+    parts = max(1, -(-size(GRAMS, "k") // PART))
+    passes = parts <= MOST_PASSES
+    run_table = spark.sparkContext.broadcast(table_of(runs if parts == 1 else _part(runs, parts, 0), np.float64) if passes else None)
 
     def read(batches: Batches) -> Iterator[pa.RecordBatch]:
-        """One row for each row of docs: score and what its frequent words give; and the rare words of held-out rows."""
-        run_table, word_table = run_tables[0].value, word_tables[0].value
+        """One row for each row of docs: what the run table and the word table give; and the words that the table may not have."""
         for b in batches:
             data, off = utf8(b.column("text"))
-            run, at = grams(data, off)
-            total = np.add.reduceat(run_table.get(run, 0.0), at[:-1]) if b.num_rows else np.zeros(0)
             h, _, _, rows = words(data, off, lower=True)
-            c = word_table.get(h, 0).astype(np.int64)
-            for more in word_tables[1:]:
-                c = np.maximum(c, more.value.get(h, 0))
+            c = word_table.value.get(h, 0).astype(np.int64)
             out = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             owner = np.repeat(np.arange(b.num_rows), np.diff(rows))
-            c[(c == 0) & ~out[owner]] = 1  # a training row's own words are in training
+            if least == 2:
+                c[(c == 0) & ~out[owner]] = 1  # a training row's own words are in training
             add = lambda x: np.bincount(owner, x, b.num_rows)
             n = np.diff(rows)
             logs = add(np.log10(c + 1.0)) + (np.log10(ends + 1.0))
             known = add(c > 0).astype(np.int64) + (ends > 0)
             rare = np.flatnonzero(c == 0)
             asked = [h[rare[a:z]].view(np.int64) for a, z in _spans(owner[rare], b.num_rows)]
-            yield batch(doc_id=b.column("doc_id"), key=b.column("key"), held_out=b.column("held_out"), n_bytes=np.diff(off), n_tokens=n.astype(np.int64) + 1, n_known=known, logs=logs, score=total, rare=pa.array(asked, pa.list_(pa.int64())))
+            yield batch(doc_id=b.column("doc_id"), key=b.column("key"), held_out=b.column("held_out"), n_bytes=np.diff(off), n_tokens=n.astype(np.int64) + 1, n_known=known, logs=logs, score=_run_scores(data, off, run_table.value, depth), rare=pa.array(asked, pa.list_(pa.int64())))
 
-    rows = stored(mapped(base, read, "doc_id long, key long, held_out boolean, n_bytes long, n_tokens long, n_known long, logs double, score double, rare array<long>"))
-    once = counts.where((F.col("kind") == WORDS) & (F.col("n") == 1)).select(F.col("key").alias("word"))
-    asked = rows.where("held_out and size(rare) > 0").dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").agg(F.count("word").alias("k"))
-    found = asked.join(once, "word").groupBy("doc_id", "key").agg(F.sum("k").alias("k"))
+    rows = stored(mapped(base, read, "doc_id long, key long, held_out boolean, n_bytes long, n_tokens long, n_known long, logs double, score double, rare array<long>", **small))
+    asked = rows.where("size(rare) > 0").dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("rare").alias("word")).groupBy("doc_id", "key", "word").agg(F.count("word").alias("k"))
+    found = asked.join(known.where(F.col("value") < least).withColumnRenamed("key", "word"), "word").groupBy("doc_id", "key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.log10(F.col("value") + 1.0)).alias("more_logs"))
 
     def with_same(found: DataFrame, how: str) -> DataFrame:
         """both, joined to what was found for its rows; a null doc_id equals a null doc_id."""
@@ -383,9 +375,12 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
         return both.join(found, (F.col("key") == F.col("same_key")) & F.col("doc_id").eqNullSafe(F.col("same_id")), how).drop("same_id", "same_key")
 
     both = rows.drop("rare")
-    both = with_same(found, "left").withColumn("k", F.coalesce("k", F.lit(0)))
-    for table in run_tables[1:]:
-        more = score(table).groupBy("doc_id", "key").agg(F.max("score").alias("more"))
+    both = with_same(found, "left").withColumn("k", F.coalesce("k", F.lit(0))).withColumn("more_logs", F.coalesce("more_logs", F.lit(0.0)))
+    if not passes:
+        both = with_same(_joined_scores(base, runs, depth, small), "inner").withColumn("score", F.col("more")).drop("more")
+    for k in range(1, parts if passes else 1):
+        table = spark.sparkContext.broadcast(table_of(_part(runs, parts, k), np.float64))
+        more = _pass(base, table, depth, small).groupBy("doc_id", "key").agg(F.max("score").alias("more"))
         both = with_same(more, "inner").withColumn("score", F.col("score") + F.col("more")).drop("more")
     scale = float(np.log10(train_tokens + vocabulary + 1))
     return both.select(
@@ -394,12 +389,59 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
         "n_tokens",
         (F.col("n_known") + F.col("k")).alias("n_known"),
         F.lit(int(train_tokens)).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.col("k") * float(np.log10(2)) - F.col("n_tokens") * scale).alias("base_score"),
+        (F.col("logs") + F.col("more_logs") - F.col("n_tokens") * scale).alias("base_score"),
         "score",
         (-F.col("score") * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
 
 
+def _part(runs: DataFrame, parts: int, k: int) -> DataFrame:
+    return runs.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == k)
+
+
+def _run_scores(data: np.ndarray, off: np.ndarray, table: Table | None, depth: int) -> np.ndarray:
+    """Of each row the log10 of the runs that the table holds."""
+    if table is None or len(off) == 1:
+        return np.zeros(len(off) - 1)
+    run, at = grams(data, off, depth)
+    return np.add.reduceat(table.get(run, 0.0), at[:-1])
+
+
+def _pass(base: DataFrame, table, depth: int, small: dict) -> DataFrame:
+    """doc_id, key, score of the runs that a table (a broadcast) holds."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield batch(doc_id=b.column("doc_id"), key=b.column("key"), score=_run_scores(*utf8(b.column("text")), table.value, depth))
+
+    return mapped(base, run, "doc_id long, key long, score double", **small)
+
+
+def _joined_scores(base: DataFrame, runs: DataFrame, depth: int, small: dict) -> DataFrame:
+    """doc_id, key, more: the score of every different row, by one join of all runs; those of a row are counted before it.
+
+    Runs meet their estimates in the partitions of the run; where one run is in very many rows, its rows are dealt over SALTS
+    partitions, and so is its estimate.
+    """
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            run, at = grams(*utf8(b.column("text")), depth)
+            row = np.repeat(np.arange(b.num_rows), np.diff(at))
+            order = np.lexsort((run, row))
+            run, row = run[order], row[order]
+            new = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (row[1:] != row[:-1])]) if len(run) else np.zeros(0, np.int64)
+            for k in range(0, len(new), 1 << 17):
+                s = new[k : k + (1 << 17)]
+                e = np.r_[new[k + 1 : k + (1 << 17)], new[k + (1 << 17)] if k + (1 << 17) < len(new) else len(run)]
+                where = pa.array(row[s])
+                yield batch(doc_id=b.column("doc_id").take(where), key=b.column("key").take(where), run=run[s].view(np.int64), n=e - s)
+
+    each = mapped(base.dropDuplicates(["doc_id", "key"]), run, "doc_id long, key long, run long, n long", **small).withColumn("salt", F.pmod("key", F.lit(SALTS)))
+    salted = runs.select(F.col("key").alias("run"), "value", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")).alias("salt"))
+    return each.join(salted, ["run", "salt"]).groupBy("doc_id", "key").agg(F.sum(F.col("n") * F.col("value")).alias("more"))
+
+
 def _spans(owner: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
     at = np.searchsorted(owner, np.arange(n + 1))
     return zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
