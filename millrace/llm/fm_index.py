@@ -1,6 +1,8 @@
 """A compressed FM-index: the Burrows-Wheeler transform of a text in a wavelet matrix of packed bits, searched backwards.
 
-All searches run side by side: a step of every search is one set of numpy operations.
+Beside the wavelet matrix it keeps one byte a symbol (the length that neighbouring suffixes share, up to the depth of the searches), the
+starts of the blocks of suffixes that share a whole search or all of it but one symbol, and one value for each of the former. The suffix
+array is gone once these are made. All searches run side by side: a step of every search is one set of numpy operations.
 """
 
 from __future__ import annotations
@@ -77,31 +79,54 @@ def common_prefixes(sa: np.ndarray, ranks: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _nearest_smaller(lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, n = lcp.tolist(), len(lcp)
-    left, right, stack = [0] * n, [n - 1] * n, []
-    for i, v in enumerate(values):
-        while stack and values[stack[-1]] > v:
-            right[stack.pop()] = i
-        left[i] = stack[-1] if stack and values[stack[-1]] < v else (left[stack[-1]] if stack else 0)
-        stack.append(i)
-    return np.array(left), np.array(right)
+#: Lengths whose least is kept, to jump over them.
+BLOCK = 64
 
 
 class FMIndex:
-    """Of a text of integers above 0; searches are exact for up to depth symbols."""
+    """Of a text of integers above 0; searches are exact for up to depth symbols (254 at most). values: one for each place of the text,
+    of which least_of gives the least of the places where a search of depth symbols ends."""
 
-    def __init__(self, text: np.ndarray, depth: int):
+    def __init__(self, text: np.ndarray, depth: int, values: np.ndarray | None = None):
+        if not 0 < depth < 255:
+            raise ValueError("depth must be 1 to 254")
         text = np.r_[text, 0]
-        self.depth, self.symbols = depth, int(text.max()) + 1
-        self.sa, ranks = sorted_suffixes(text, depth + 1)
-        self.lcp = common_prefixes(self.sa, ranks)
-        self.wavelet = Wavelet(text[self.sa - 1], self.symbols)
+        self.depth, self.symbols, self.size = depth, int(text.max()) + 1, len(text)
+        sa, ranks = sorted_suffixes(text, depth + 1)
+        self.lcp = np.minimum(common_prefixes(sa, ranks), depth).astype(np.uint8)
+        del ranks
+        self.wavelet = Wavelet(text[sa - 1], self.symbols)
         self.less = np.r_[0, np.cumsum(np.bincount(text, minlength=self.symbols))]
-        self.left, self.right = _nearest_smaller(self.lcp)
-        cut = np.flatnonzero(self.lcp[:-1] < depth - 1)  # blocks of suffixes that share depth - 1 symbols
-        block = np.searchsorted(cut, np.arange(len(text)), "right") - 1
-        self.block_start, self.block_end = cut[block], np.r_[cut[1:], len(text)][block]
+        self.nearly = np.flatnonzero(self.lcp[:-1] < depth - 1).astype(np.int32)  # blocks of suffixes that share depth - 1 symbols
+        self.whole = np.flatnonzero(self.lcp[:-1] < depth).astype(np.int32)
+        self.least = None if values is None else np.minimum.reduceat(np.r_[values, np.iinfo(np.int64).max][sa], self.whole)
+        padded = np.r_[self.lcp, np.zeros(-len(self.lcp) % BLOCK, np.uint8)]
+        self.lows = padded.reshape(-1, BLOCK).min(axis=1)
+
+    def least_of(self, low: np.ndarray) -> np.ndarray:
+        """The least value of each interval of a search of depth symbols, which begins at low."""
+        return self.least[np.searchsorted(self.whole, low, "right") - 1]
+
+    def _less_before(self, k: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The last place before k where neighbours share less than v > 0 symbols; there is one, as the first shares none."""
+        k = k - 1
+        todo = np.flatnonzero(self.lcp[k] >= v)
+        while len(todo):
+            at = k[todo]
+            whole = (at % BLOCK == BLOCK - 1) & (self.lows[at // BLOCK] >= v[todo])
+            k[todo] = at = at - np.where(whole, BLOCK, 1)
+            todo = todo[self.lcp[at] >= v[todo]]
+        return k
+
+    def _less_after(self, k: np.ndarray, v: np.ndarray) -> np.ndarray:
+        k = k + 1
+        todo = np.flatnonzero(self.lcp[k] >= v)
+        while len(todo):
+            at = k[todo]
+            whole = (at % BLOCK == 0) & (self.lows[at // BLOCK] >= v[todo])
+            k[todo] = at = at + np.where(whole, BLOCK, 1)
+            todo = todo[self.lcp[at] >= v[todo]]
+        return k
 
     def matching_statistics(self, stream: np.ndarray, bounds: np.ndarray):
         """Of each place of the streamed documents: how many symbols from there occur in the text (up to depth), and the interval.
@@ -109,13 +134,15 @@ class FMIndex:
         Documents are read backwards, all in step. A symbol that doesn't extend the match shortens it to its parent interval.
         """
         n = len(stream)
-        length, low, high = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, len(self.sa), np.int64)
+        length, low, high = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, self.size, np.int64)
         live = np.flatnonzero(np.diff(bounds) > 0)
         at, first = bounds[1:][live] - 1, bounds[:-1][live]
-        lo, hi, size = np.zeros(len(live), np.int64), np.full(len(live), len(self.sa), np.int64), np.zeros(len(live), np.int64)
+        lo, hi, size = np.zeros(len(live), np.int64), np.full(len(live), self.size, np.int64), np.zeros(len(live), np.int64)
+        ends = np.r_[self.nearly[1:], self.size]
         while len(at):
-            full = size >= self.depth
-            lo[full], hi[full], size[full] = self.block_start[lo[full]], self.block_end[lo[full]], self.depth - 1
+            full = np.flatnonzero(size >= self.depth)
+            block = np.searchsorted(self.nearly, lo[full], "right") - 1
+            lo[full], hi[full], size[full] = self.nearly[block], ends[block], self.depth - 1
             c = stream[at]
             known = (c > 0) & (c < self.symbols)
             both = self.wavelet.rank(np.tile(np.where(known, c, 0), 2), np.r_[lo, hi]) + np.tile(self.less[np.where(known, c, 0)], 2)
@@ -128,9 +155,11 @@ class FMIndex:
             up = np.flatnonzero(~done)
             if len(up):
                 k = np.where(self.lcp[lo[up]] >= self.lcp[hi[up]], lo[up], hi[up])
-                size[up] = self.lcp[k]
-                root = self.lcp[k] == 0
-                lo[up], hi[up] = np.where(root, 0, self.left[k]), np.where(root, len(self.sa), self.right[k])
+                v = self.lcp[k]
+                size[up] = v
+                some = v > 0
+                lo[up], hi[up] = 0, self.size
+                lo[up[some]], hi[up[some]] = self._less_before(k[some], v[some]), self._less_after(k[some], v[some])
             at = at - done
             keep = at >= first
             at, first, lo, hi, size = at[keep], first[keep], lo[keep], hi[keep], size[keep]

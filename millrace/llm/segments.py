@@ -5,10 +5,14 @@ equal windows have equal anchors at equal places. Consecutive windows of a row t
 corpus is a list of segments, and windows can only be equal between segments of one anchor:
 
 1. anchors are counted over all rows, and a bounded filter of those that occur again is made;
-2. only segments of these anchors are kept, as hashes; equal segments are counted together, before and after the shuffle;
-3. of anchors with several different segments one text of each goes to the shards where an index (a suffix array or an FM-index)
-   tells which windows of one segment occur in another;
+2. only segments of these anchors are kept, as 128-bit digests of their contents; equal segments are counted together, before and
+   after the shuffle;
+3. one copy of each different segment goes to the shards, by its anchor, where an index (a suffix array or an FM-index) tells which
+   windows of one segment occur in another;
 4. the verdict of each different segment goes back to its rows.
+
+Hashes of anchors only bring segments together. That segments are equal rests on the digest (XXH3, 128 bits, of the bytes themselves);
+that windows of different segments are equal is seen in the contents.
 """
 
 from __future__ import annotations
@@ -17,10 +21,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import INVERSE, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, span_hashes, stored
+from .common import INVERSE, MOST_BITS, BITS_EACH, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, stored
 
 #: Low bits of a sliding minimum that hold the place, so that one array gives both; slabs are shorter than that.
 PLACE_BITS = 24
@@ -43,8 +48,8 @@ def pieces(lengths: np.ndarray, window: int, limit: int = SLAB) -> Iterator[list
         yield held
 
 
-def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the units between bounds: first window, number of windows, anchor hash and content hash of every segment."""
+def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the units between bounds: first window, number of windows and anchor hash of every segment."""
     n, width = len(values), window - gram + 1
     p = prefix_hashes(values)
     g = mix((p[gram:] - p[: n - gram + 1]) * powers(INVERSE, n + 1)[: n - gram + 1])
@@ -67,19 +72,38 @@ def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int) ->
     end = valid.copy()
     end[:-1] &= (place[1:] != place[:-1]) | ~valid[1:]
     s, e = np.flatnonzero(new), np.flatnonzero(end) + 1
-    return s, e - s, g[place[s]], span_hashes(p, s, e - 1 + window)
+    return s, e - s, g[place[s]]
+
+
+class Units:
+    """The units of some texts: their hashes, the offsets of the rows in these, and the bytes of each (from at[k] to at[k + 1])."""
+
+    def __init__(self, values: np.ndarray, off: np.ndarray, raw: np.ndarray, at: np.ndarray | None):
+        self.values, self.off, self.raw, self.at = values, off, raw, at
+
+    def places(self, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int]]:
+        if self.at is not None:
+            start, end = self.at[start], self.at[end]
+        return zip(start.tolist(), end.tolist(), strict=True)
+
+    def digests(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Two 64-bit halves of the digest of the units in each [start, end)."""
+        raw = memoryview(np.ascontiguousarray(self.raw))
+        return np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[a:z]) for a, z in self.places(start, end)]), np.int64).reshape(-1, 2)
+
+    def contents(self, start: np.ndarray, end: np.ndarray) -> pa.Array:
+        return pa.array([self.raw[a:z].tobytes() for a, z in self.places(start, end)], pa.binary())
 
 
-def scan(units, window: int, gram: int, b: pa.RecordBatch) -> Iterator[tuple]:
-    """(rows, first units, windows, anchors, contents) of a batch with key, doc_id, text; units gives values and row offsets."""
-    values, off, _ = units(b.column("text"))
-    for group in pieces(np.diff(off), window):
+def scan(u: Units, window: int, gram: int) -> Iterator[tuple]:
+    """(rows, first units in the row, windows, anchors) of the segments of some texts."""
+    for group in pieces(np.diff(u.off), window):
         bounds = np.cumsum([0, *(z - a for _, a, z in group)])
-        part = np.concatenate([values[off[r] + a : off[r] + z] for r, a, z in group]) if len(group) > 1 else values[off[group[0][0]] + group[0][1] : off[group[0][0]] + group[0][2]]
-        s, c, m, h = segments(part, bounds, window, gram)
+        part = np.concatenate([u.values[u.off[r] + a : u.off[r] + z] for r, a, z in group]) if len(group) > 1 else u.values[u.off[group[0][0]] + group[0][1] : u.off[group[0][0]] + group[0][2]]
+        s, c, m = segments(part, bounds, window, gram)
         k = np.searchsorted(bounds, s, "right") - 1
         rows, froms = np.array([x[0] for x in group]), np.array([x[1] for x in group])
-        yield rows[k], s - bounds[k] + froms[k], c, m, h
+        yield rows[k], s - bounds[k] + froms[k], c, m
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -87,12 +111,12 @@ def _signed(h: np.ndarray) -> np.ndarray:
 
 
 def repeated_segments(docs: DataFrame, units, window: int, gram: int, across_rows: bool) -> DataFrame:
-    """key, doc_id, start, n, m, h of all segments whose anchor m occurs again: anywhere, or across_rows under another doc_id."""
+    """key, doc_id, start, n, m, h, g of all segments whose anchor m occurs again: anywhere, or across_rows under another doc_id."""
 
     def anchors(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = longs(b.column("doc_id"))
-            for rows, _, _, m, _ in scan(units, window, gram, b):
+            for rows, _, _, m in scan(units(b.column("text")), window, gram):
                 order = np.lexsort((ids[rows], m)) if across_rows else np.argsort(m)
                 m, d = m[order], ids[rows][order]
                 first = np.flatnonzero(np.r_[True, m[1:] != m[:-1]]) if len(m) else np.zeros(0, int)
@@ -105,54 +129,73 @@ def repeated_segments(docs: DataFrame, units, window: int, gram: int, across_row
     counted = docs.transform(mapped, anchors, "m long, a long, z long").groupBy("m")
     again = counted.agg(F.min("a").alias("a"), F.max("z").alias("z")) if across_rows else counted.agg((F.count("a") + F.sum("z")).alias("z"), F.lit(1).alias("a"))
     again = stored(again.where("z > a").select("m"))
-    table = docs.sparkSession.sparkContext.broadcast(hash_filter(again, again.count()))
+    n = again.count()
+    table = docs.sparkSession.sparkContext.broadcast(hash_filter(again, n))
 
     def kept(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys = longs(b.column("doc_id")), longs(b.column("key"))
-            for rows, s, c, m, h in scan(units, window, gram, b):
+            ids, keys, u = longs(b.column("doc_id")), longs(b.column("key")), units(b.column("text"))
+            for rows, s, c, m in scan(u, window, gram):
                 ok = may_hold(table.value, m)
-                rows, s, c, m, h = (x[ok] for x in (rows, s, c, m, h))
-                yield batch(key=keys[rows], doc_id=ids[rows], start=s.astype(np.int64), n=c.astype(np.int32), m=_signed(m), h=_signed(h))
+                rows, s, c, m = (x[ok] for x in (rows, s, c, m))
+                at = u.off[rows] + s
+                d = u.digests(at, at + c + window - 1)
+                yield batch(key=keys[rows], doc_id=ids[rows], start=s.astype(np.int64), n=c.astype(np.int32), m=_signed(m), h=d[:, 0], g=d[:, 1])
 
-    return stored(docs.transform(mapped, kept, "key long, doc_id long, start long, n int, m long, h long"))
+    found = docs.transform(mapped, kept, "key long, doc_id long, start long, n int, m long, h long, g long", size=2 << 20)
+    if n * BITS_EACH > MOST_BITS:  # the filter lets much through
+        found = found.join(again, "m", "left_semi")
+    return stored(found)
+
+
+#: Segments that one task remembers, so that it sends one copy of each.
+REMEMBERED = 1 << 20
 
 
 def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataFrame) -> DataFrame:
-    """m, h, n, content of one copy of every different segment of the given anchors (m); content is binary."""
+    """h, g, content of one copy of every different segment of the given anchors (m), and perhaps of others; content is binary."""
     table = docs.sparkSession.sparkContext.broadcast(hash_filter(anchors, anchors.count()))
 
     def found(batches: Batches) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            _, off, cut = units(b.column("text"))
-            for rows, s, c, m, h in scan(units, window, gram, b):
+            u = units(b.column("text"))
+            for rows, s, c, m in scan(u, window, gram):
                 ok = np.flatnonzero(may_hold(table.value, m))
-                _, one = np.unique(np.stack([m[ok], h[ok], c[ok].astype(np.uint64)]), axis=1, return_index=True)
-                ok = ok[one]
-                yield batch(m=_signed(m[ok]), h=_signed(h[ok]), n=c[ok].astype(np.int32), content=pa.array([cut(off[r] + x, off[r] + x + k + window - 1) for r, x, k in zip(rows[ok].tolist(), s[ok].tolist(), c[ok].tolist(), strict=True)], pa.binary()))
-
-    got = docs.transform(mapped, found, "m long, h long, n int, content binary")
-    return got.join(anchors.select("m"), "m", "left_semi").groupBy("m", "h", "n").agg(F.min("content").alias("content"))
-
-
-def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int, resolve, weight: str) -> DataFrame:
-    """m, h, n, runs of each different segment; distinct has these and the column named by weight.
-
-    resolve(m, windows, weights, contents) gives for each row the runs (first window, windows, value) it finds. Anchors with one
-    segment only need no index: all their windows have that segment's own weight, which the caller reads from distinct.
+                at = (u.off[rows] + s)[ok]
+                end = at + c[ok] + window - 1
+                d = u.digests(at, end)
+                new = []
+                for k, x in enumerate(d[:, 0].tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        new.append(k)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                yield batch(h=d[new, 0], g=d[new, 1], content=u.contents(at[new], end[new]))
+
+    return docs.transform(mapped, found, "h long, g long, content binary", size=2 << 20)
+
+
+def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int, resolve, weight: str, every: bool) -> DataFrame:
+    """h, g, runs of each different segment; distinct has m, h, g, n and the column named by weight.
+
+    resolve(m, windows, weights, contents) gives for each row the runs (first window, windows, value) it finds. Unless every segment
+    is wanted, anchors with one segment only get no index: all their windows have that segment's own weight, which the caller reads
+    from distinct.
     """
-    several = stored(distinct.groupBy("m").agg(F.count("h").alias("k")).where("k > 1").select("m"))
-    texts = segment_texts(docs, units, window, gram, several)
-    rows = texts.join(distinct, ["m", "h", "n"])
-    schema = "m long, h long, n int, first array<int>, count array<int>, value array<long>"
+    anchors = stored(distinct.groupBy("m").agg(F.count("h").alias("k")).where(f"k > {0 if every else 1}").select("m"))
+    wanted = distinct if every else distinct.join(anchors, "m", "left_semi")
+    rows = segment_texts(docs, units, window, gram, anchors).dropDuplicates(["h", "g"]).join(wanted, ["h", "g"])
+    schema = "h long, g long, first array<int>, count array<int>, value array<long>"
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for m, h, n, w, content in grouped(batches, weight):
+        for m, h, g, n, w, content in grouped(batches, weight):
             runs = resolve(m, n, w, content)
-            yield batch(m=m, h=h, n=n.astype(np.int32), first=pa.array([[r[0] for r in x] for x in runs], pa.list_(pa.int32())), count=pa.array([[r[1] for r in x] for x in runs], pa.list_(pa.int32())), value=pa.array([[r[2] for r in x] for x in runs], pa.list_(pa.int64())))
+            yield batch(h=h, g=g, first=pa.array([[r[0] for r in x] for x in runs], pa.list_(pa.int32())), count=pa.array([[r[1] for r in x] for x in runs], pa.list_(pa.int32())), value=pa.array([[r[2] for r in x] for x in runs], pa.list_(pa.int64())))
 
-    cols = ["m", "h", "n", weight, "content"]
-    return rows.select(*cols).repartition(4 * parts_for(docs.sparkSession), "m").sortWithinPartitions("m", "h", "n").transform(mapped, shards, schema)
+    cols = ["m", "h", "g", "n", weight, "content"]
+    return rows.select(*cols).repartition(4 * parts_for(docs.sparkSession), "m").sortWithinPartitions("m", "h", "g").transform(mapped, shards, schema)
 
 
 #: Bytes of segments that one index covers; the different segments of one anchor always stay together, so that such a group may be larger.
@@ -164,16 +207,16 @@ def grouped(batches: Iterable[pa.RecordBatch], weight: str) -> Iterator[tuple]:
     held: list[tuple] = []
     size = 0
     for b in batches:
-        for row in zip(*(b.column(c).to_pylist() for c in ("m", "h", "n", weight, "content")), strict=True):
+        for row in zip(*(b.column(c).to_pylist() for c in ("m", "h", "g", "n", weight, "content")), strict=True):
             if size > INDEX_BYTES and row[0] != held[-1][0]:
                 yield _columns(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
+            size += len(row[5])
     if held:
         yield _columns(held)
 
 
 def _columns(rows: list[tuple]) -> tuple:
-    m, h, n, w, content = zip(*rows, strict=True)
-    return np.array(m), np.array(h), np.array(n), np.array(w), list(content)
+    m, h, g, n, w, content = zip(*rows, strict=True)
+    return np.array(m), np.array(h), np.array(g), np.array(n), np.array(w), list(content)

@@ -1,8 +1,9 @@
 """Substring dedup: removes the words covered by `window` consecutive words that also start in a document with a smaller doc_id.
 
-Segments (see segments.py) bring windows that may be equal together. Each shard holds its segments in one compressed FM-index,
-streams them through it backwards, and reports the intervals whose matching statistics reach the window; the least doc_id of such
-an interval decides.
+Segments (see segments.py) bring windows that may be equal together. Each shard holds one copy of its segments in a compressed
+FM-index, and the segments of all documents are streamed through it backwards: matching statistics tell how many words from each place
+on occur in the index, and the intervals of those that reach the window are reported; the least doc_id in such an interval decides.
+Words are told apart by their bytes.
 
 Defined results: a null text has no words; a null doc_id comes after all others; rows that share a doc_id are one document in the
 order of documents, so they take nothing from each other; an empty table gives an empty table; other columns are not read, so
@@ -21,38 +22,36 @@ from pyspark.sql import functions as F
 
 from .common import Batches, batch, mapped, ragged, stored, texts, utf8, words
 from .fm_index import FMIndex
-from .segments import repeated_segments, verdicts
+from .segments import Units, repeated_segments, verdicts
 from .suffix_dedup import covered, spans_of, with_spans
 
 
-def word_units(column: pa.Array):
-    h, _, _, off = words(*utf8(column))
-    return h, off, lambda a, z: h[a:z].tobytes()
+def word_units(column: pa.Array) -> Units:
+    """The words of each row; their bytes are those of the word and a space."""
+    data, off = utf8(column)
+    h, s, e, rows = words(data, off)
+    at = np.r_[0, np.cumsum(e - s + 1)]
+    raw = np.r_[data, np.uint8(32)][ragged(s, e - s + 1)]
+    raw[at[1:] - 1] = 32
+    return Units(h, rows, raw, at)
 
 
 def least_documents(m: np.ndarray, n: np.ndarray, doc: np.ndarray, contents: list[bytes], window: int) -> list[list[tuple[int, int, int]]]:
     """Of each segment the runs of its windows with the least document in which they start."""
-    sizes = np.array([len(c) // 8 for c in contents])
-    at = np.cumsum(sizes + 1) - sizes - 1
-    symbols = np.unique(np.frombuffer(b"".join(contents), np.uint64), return_inverse=True)[1] + 2
+    number: dict[bytes, int] = {}
+    streams = [np.array([number.setdefault(w, len(number) + 2) for w in c.split(b" ")[:-1]], np.int64) for c in contents]
+    sizes = np.array([len(x) for x in streams])
+    stream, first = np.concatenate(streams), np.cumsum(sizes) - sizes
     text = np.ones(int(sizes.sum()) + len(contents), np.int64)
-    text[ragged(at, sizes)] = symbols
-    index = FMIndex(text, window)
-    length, low, _ = index.matching_statistics(symbols, np.r_[0, np.cumsum(sizes)])
-    owner = np.repeat(np.arange(len(contents)), sizes + 1)
-    docs = np.r_[doc[owner], np.iinfo(np.int64).max][index.sa]
-    cut = np.flatnonzero(index.lcp[:-1] < window)  # intervals of suffixes that share a whole window
-    least = np.minimum.reduceat(docs, cut)
-    starts = np.cumsum(sizes) - sizes
-    places = ragged(starts, n)
-    assert (length[places] >= window).all(), "a segment must be found in its own shard"
-    value = least[np.searchsorted(cut, low[places], "right") - 1]
-    row = np.repeat(np.arange(len(n)), n)
-    new = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (row[1:] != row[:-1])])
+    text[ragged(np.cumsum(sizes + 1) - sizes - 1, sizes)] = stream
+    index = FMIndex(text, window, np.repeat(doc, sizes + 1))
+    length, low, _ = index.matching_statistics(stream, np.r_[0, np.cumsum(sizes)])
+    at = np.flatnonzero(length >= window)  # the intervals that are reported
+    value, row = index.least_of(low[at]), np.repeat(np.arange(len(n)), sizes)[at]
+    new = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)]) if len(at) else at
     out: list[list[tuple[int, int, int]]] = [[] for _ in contents]
-    first = np.cumsum(n) - n
-    for a, z in zip(new.tolist(), np.r_[new[1:], len(value)].tolist(), strict=True):
-        out[row[a]].append((a - int(first[row[a]]), z - a, int(value[a])))
+    for a, z in zip(new.tolist(), np.r_[new[1:], len(at)].tolist(), strict=True):
+        out[row[a]].append((int(at[a] - first[row[a]]), z - a, int(value[a])))
     return out
 
 
@@ -60,11 +59,9 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 24, id_column
     """doc_id, key, n_words, n_removed, kept (the remaining words) and kept_sha256 of every row of docs."""
     base = texts(docs, id_column, text_column)
     segs = repeated_segments(base, word_units, window, gram, across_rows=True)
-    distinct = stored(segs.groupBy("m", "h", "n").agg(F.min("doc_id").alias("d")))
-    found = stored(verdicts(distinct, base, word_units, window, gram, lambda m, n, d, c: least_documents(m, n, d, c, window), "d"))
-    one = lambda c, t: F.array(c.cast(t))
-    alone = distinct.join(found.select("m", "h", "n"), ["m", "h", "n"], "left_anti").select("m", "h", "n", one(F.lit(0), "int").alias("first"), one(F.col("n"), "int").alias("count"), one(F.col("d"), "long").alias("value"))
-    spans = spans_of(segs, alone.unionByName(found), lambda value, doc: value < doc)
+    distinct = stored(segs.groupBy("m", "h", "g", "n").agg(F.min("doc_id").alias("d")))
+    found = stored(verdicts(distinct, base, word_units, window, gram, lambda m, n, d, c: least_documents(m, n, d, c, window), "d", every=True))
+    spans = spans_of(segs, found, lambda value, doc: value < doc)
 
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -20,16 +20,16 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_VALUES, Batches, batch, longs, mapped, ragged, stored, texts, utf8
 from .grouping import suffix_arrays
-from .segments import repeated_segments, verdicts
+from .segments import Units, repeated_segments, verdicts
 
 NO_ID = (1 << 63) - 1
 #: Low bits of a span that hold its number of windows; a segment never has so many.
 COUNT_BITS = 22
 
 
-def byte_units(column: pa.Array):
+def byte_units(column: pa.Array) -> Units:
     data, off = utf8(column)
-    return BYTE_VALUES[data], off, lambda a, z: data[a:z].tobytes()
+    return Units(BYTE_VALUES[data], off, data, None)
 
 
 def repeats(m: np.ndarray, n: np.ndarray, weight: np.ndarray, contents: list[bytes], length: int) -> list[list[tuple[int, int, int]]]:
@@ -74,8 +74,8 @@ def covered(spans: np.ndarray, length: int, n: int) -> list[tuple[int, int]]:
 
 
 def spans_of(segs: DataFrame, verdict: DataFrame, wanted) -> DataFrame:
-    """key, id, spans: of each row the packed spans of windows whose run has a wanted value; verdict has m, h, n, first, count, value."""
-    runs = segs.join(verdict, ["m", "h", "n"]).select("key", "doc_id", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
+    """key, id, spans: of each row the packed spans of windows whose run has a wanted value; verdict has h, g, first, count, value."""
+    runs = segs.join(verdict, ["h", "g"]).select("key", "doc_id", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
     packed = F.shiftleft(F.col("start") + F.col("r.first"), COUNT_BITS) + F.col("r.count")
     return runs.where(wanted(F.col("r.value"), F.col("doc_id"))).groupBy("key", F.col("doc_id").alias("id")).agg(F.collect_list(packed).alias("spans"))
 
@@ -91,11 +91,11 @@ def suffix_array_dedup(docs: DataFrame, length: int = 200, gram: int = 100, id_c
     """
     base = texts(docs, id_column, text_column)
     segs = repeated_segments(base, byte_units, length, gram, across_rows=False)
-    distinct = stored(segs.groupBy("m", "h", "n").agg(F.count("key").alias("w")))
-    found = verdicts(distinct, base, byte_units, length, gram, lambda m, n, w, c: repeats(m, n, w, c, length), "w")
+    distinct = stored(segs.groupBy("m", "h", "g", "n").agg(F.count("key").alias("w")))
+    found = verdicts(distinct, base, byte_units, length, gram, lambda m, n, w, c: repeats(m, n, w, c, length), "w", every=False)
     one = lambda c, t: F.array(c.cast(t))
-    whole = distinct.where("w > 1").select("m", "h", "n", one(F.lit(0), "int").alias("first"), one(F.col("n"), "int").alias("count"), one(F.lit(1), "long").alias("value"))
-    partly = found.where(F.size("first") > 0).join(distinct.where("w = 1").select("m", "h", "n"), ["m", "h", "n"])
+    whole = distinct.where("w > 1").select("h", "g", one(F.lit(0), "int").alias("first"), one(F.col("n"), "int").alias("count"), one(F.lit(1), "long").alias("value"))
+    partly = found.where(F.size("first") > 0).join(distinct.where("w = 1").select("h", "g"), ["h", "g"])
     spans = spans_of(segs, whole.unionByName(partly), lambda value, _: value > 0)
 
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
