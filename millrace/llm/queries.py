@@ -87,6 +87,22 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_array_dedup": """
+with b as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
+c as (select doc_id, n, 200 * j as f, substr(h, cast(400 * j + 1 as bigint), 800) as x from (select doc_id, h, n, unnest(range(0, (n + 199) // 200)) as j from b where n >= 200)),
+w as (select doc_id, f + i as i, md5(substr(x, cast(2 * i + 1 as bigint), 400)) as k from (select doc_id, n, f, x, unnest(range(0, 200)) as i from c) where f + i <= n - 200),
+again as (select k from w group by 1 having count(*) > 1),
+hit as (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 200 then 0 else 1 end as fresh from w semi join again using (k)),
+run as (select doc_id, i, sum(fresh) over (partition by doc_id order by i) as r from hit),
+span as (select doc_id, min(i) as a, max(i) + 200 as z from run group by doc_id, r),
+edge as (select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) as before from span),
+piece as (select e.doc_id, e.a as turn, substr(h, cast(2 * before + 1 as bigint), cast(2 * (e.a - before) as bigint)) as x from edge e join b using (doc_id)
+          union all select b.doc_id, b.n + 1, substr(h, cast(2 * coalesce(s.z, 0) + 1 as bigint)) from b left join (select doc_id, max(z) as z from span group by 1) s using (doc_id)),
+kept as (select doc_id, string_agg(x, '' order by turn) as x from piece group by 1),
+gone as (select doc_id, sum(z - a) as removed, count(*) as spans from span group by 1)
+select b.doc_id, cast(b.n as bigint) as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, cast(coalesce(spans, 0) as bigint) as n_spans, sha256(unhex(kept.x)) as kept_sha256
+from b join kept using (doc_id) left join gone using (doc_id)
+""",
     "op3_block_matrix_join": """
 with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
 pairs as (
