@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 
 MOST_ROUNDS = 60
 
@@ -27,7 +27,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     e = stored(links.where("u <> v").distinct())
     before = None
     for _ in range(MOST_ROUNDS):
-        e = stored(_small_star(_large_star(e)).where("u <> v").distinct())
+        last, e = e, stored(_small_star(_large_star(e)).where("u <> v").distinct())
+        dropped(last)
         now = e.agg(F.count("u"), F.sum(F.shiftright(F.xxhash64("u", "v"), 20))).first()
         if tuple(now) == before:
             return e

@@ -30,6 +30,10 @@ from .components import connected_components
 COUNTERS = 1 << 20
 #: N-grams of all sets that one task joins.
 BLOCK_GRAMS = 2_000_000
+#: Bytes of the prefixes in one shard, about.
+SHARD_BYTES = 32 << 20
+#: Rows of one component are joined to what is known of it in so many partitions.
+SALTS = 8
 
 
 def ngram_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +261,9 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
     rows = first.where("slice is null").select("doc_id", "key", "set", "n")
     counts = merged(first.where("slice is not null").select("slice", "blob"), np.uint32, "sum")
     table = spark.sparkContext.broadcast(counts if len(counts) else np.zeros(COUNTERS, np.uint32))
-    shards = 2 * parts_for(spark)
+    # as many shards as the prefixes need
+    entries = rows.agg(F.sum(F.floor(F.col("n") / 5) + 1)).first()[0] or 0
+    shards = max(2 * parts_for(spark), -(-entries * 24 // SHARD_BYTES))
 
     def prefixes(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -313,8 +319,9 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
                 yield batch(set=ids[one].view(np.int64), keys=pa.array([keys[off[k] : off[k + 1]].tobytes() for k in one], pa.binary()))
 
     weight = group.join(rows.where("n > 0").groupBy("set").agg(F.min("n").alias("n")), "set")
-    sized = stored(weight.groupBy("group").agg((F.floor((F.sum("n") - 1) / BLOCK_GRAMS) + 1).cast("int").alias("blocks")))
-    cut = sized.where("blocks > 1").limit(1).count() > 0
+    sized = stored(weight.groupBy("group").agg((F.floor((F.sum("n") - 1) / BLOCK_GRAMS) + 1).cast("int").alias("blocks"), F.sum("n").alias("grams")))
+    most, grams_in_all = sized.agg(F.max("blocks"), F.sum(F.col("grams") * F.col("blocks"))).first()
+    cut, tasks = (most or 0) > 1, max(2 * parts_for(spark), -(-(grams_in_all or 0) // (4 * BLOCK_GRAMS)))
     member = group.join(sized, "group")
     # blocks of a large group: every set visits every pair of blocks that holds its own
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
@@ -335,14 +342,16 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
         if ids:
             yield from _group_links(ids, keys)
 
-    links = held.select("group", "block", "set", "keys").repartition(2 * parts_for(spark), "group", "block").sortWithinPartitions("group", "block", "set").transform(mapped, joined, "u long, v long")
+    links = held.select("group", "block", "set", "keys").repartition(tasks, "group", "block").sortWithinPartitions("group", "block", "set").transform(mapped, joined, "u long, v long")
     links = stored(links)
     if cut:
         links = connected_components(links)
-    labelled = rows.join(links.select(F.col("u").alias("set"), F.col("v").alias("root")), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    salt = F.pmod("key", F.lit(SALTS)).alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")).alias("salt")
+    labelled = rows.select("*", salt).join(links.select(F.col("u").alias("set"), F.col("v").alias("root"), salts), ["set", "salt"], "left").withColumn("root", F.coalesce("root", "set"))
     least = labelled.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("key").alias("k"))
-    several = least.where("k > 1").select("root", "least")
-    out = labelled.join(several, "root", "left")
+    several = least.where("k > 1").select("root", "least", salts)
+    out = labelled.join(several, ["root", "salt"], "left")
     return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("root")).alias("group"))
 
 
