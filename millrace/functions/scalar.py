@@ -1,4 +1,4 @@
-"""Scalar expressions: coercion, clamping, paths, slugs, names and templates (SF1-SF6, SF10, SF11, SF21)."""
+"""Scalar expressions: coercion, clamping, paths, slugs, names and templates (SF1-SF6, SF8-SF11, SF21, SF22, PF21)."""
 
 from __future__ import annotations
 
@@ -39,9 +39,10 @@ def safe_float(c: Column, default: float | None) -> Column:
 
 
 def parse_bool(c: Column, default: bool = False) -> Column:
-    """SF3: known words in any case; other non-empty texts are true, null is the default."""
+    """SF3: known words in any case; other texts are true unless they are empty, numbers unless they are 0; null is the default."""
     word = F.lower(strip(c.cast("string")))
-    return F.when(c.isNull(), F.lit(default)).when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False).otherwise(word != "")
+    other = F.when(F.typeof(c) == "string", c.cast("string") != "").otherwise(F.coalesce(c.cast("string").try_cast("double") != 0, F.lit(True)))
+    return F.when(c.isNull(), F.lit(default)).when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False).otherwise(other)
 
 
 def image_extension(c: Column) -> Column:
@@ -89,18 +90,38 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
 
 
 def render(template: str, fields: dict[str, Column]) -> Column:
-    """SF6: $name, ${name} and {name} replaced by columns; unknown names stay as they are, $$ is a dollar."""
+    """SF6: $name and ${name} are replaced by columns, then {name}, also where a column brought it in; unknown names stay as they are,
+    $$ is a dollar. Values of the second pass are not read again."""
+    value = {k: F.coalesce(c.cast("string"), F.lit("")) for k, c in fields.items()}
     parts, last = [], 0
-    for m in re.finditer(r"\$\$|\$\{(\w+)\}|\$(\w+)|\{(\w+)\}", template):
+    for m in re.finditer(r"\$\$|\$\{(\w+)\}|\$(\w+)", template):
         parts.append(F.lit(template[last : m.start()]))
-        name = m[1] or m[2] or m[3]
-        if m[0] == "$$":
-            parts.append(F.lit("$"))
-        else:
-            parts.append(F.coalesce(fields[name].cast("string"), F.lit("")) if name in fields else F.lit(m[0]))
+        name = m[1] or m[2]
+        parts.append(F.lit("$") if m[0] == "$$" else value.get(name, F.lit(m[0])))
         last = m.end()
-    parts.append(F.lit(template[last:]))
-    return F.concat(*parts)
+    text = F.concat(*parts, F.lit(template[last:]))
+    if not fields:
+        return text
+    known = F.create_map(*(x for k, v in value.items() for x in (F.lit("{" + k + "}"), v)))
+    return F.array_join(F.transform(F.split(text, r"(?=\{\w+\})|(?<=\})"), lambda p: F.coalesce(F.try_element_at(known, p), p)), "")
+
+
+def filename_prefix(task: Column, service: Column, default: str = "ComfyUI") -> Column:
+    """SF9: service_task, or the one of them that isn't blank, or the default."""
+    return F.coalesce(F.nullif(F.concat_ws("_", non_blank(service), non_blank(task)), F.lit("")), F.lit(default))
+
+
+def generation_mode(graph: Column, prefix: Column) -> Column:
+    """PF21: by the graph's name, canny before flux_dev; else by the prefix of the file names."""
+    name = F.lower(F.coalesce(graph, F.lit("")))
+    plain = name.contains("flux_dev") | F.coalesce(prefix, F.lit("")).startswith("prompt_only")
+    return F.when(name.contains("canny"), "prompt_canny").when(plain, "prompt_only").otherwise("unknown")
+
+
+def augmentation(seed: Column) -> Column:
+    """SF22: the parameters of an augmented copy, from a hash of its seed: struct of flip, degrees (within 8) and brightness (0.85 to 1.25)."""
+    part = lambda name: F.pmod(F.xxhash64(seed, F.lit(name)), F.lit(1 << 20)) / float(1 << 20)
+    return F.struct((part("flip") < 0.5).alias("flip"), (part("degrees") * 16 - 8).alias("degrees"), (0.85 + part("brightness") * 0.4).alias("brightness"))
 
 
 def choice(options: list[str], salt: str, *key: Column) -> Column:

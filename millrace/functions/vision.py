@@ -1,4 +1,4 @@
-"""Expressions over logits, boxes, keypoints and detections (AG2-AG3, PF6-PF8, PF11, PF14, SF12-SF14, SF16)."""
+"""Expressions over logits, boxes, keypoints, detections and labels (AG2-AG3, PF6-PF8, PF11, PF14, SF12-SF16, UD11)."""
 
 from __future__ import annotations
 
@@ -23,8 +23,9 @@ def margin(positive: Column, negative: Column, k: int = 3) -> Column:
 
 
 def bbox_area_ratio(box: Column, width: Column, height: Column) -> Column:
-    """PF6: not clamped to 1; 0 for a bad size or fewer than 4 coordinates."""
-    side = lambda i: F.greatest(F.lit(0.0), F.get(box, F.lit(i + 2)) - F.get(box, F.lit(i)))
+    """PF6: not clamped to 1; 0 for a bad size or fewer than 4 coordinates; a null coordinate is 0."""
+    at = lambda i: F.coalesce(F.get(box, F.lit(i)), F.lit(0.0))
+    side = lambda i: F.greatest(F.lit(0.0), at(i + 2) - at(i))
     sound = (width > 0) & (height > 0) & (F.size(box) >= 4)
     return F.coalesce(F.when(sound, side(0) * side(1) / (width * height).cast("double")), F.lit(0.0))
 
@@ -66,6 +67,35 @@ def visibility(confidence: Column, threshold: float) -> Column:
     return F.when(confidence >= threshold, 2).when(confidence > 0, 1).otherwise(0)
 
 
+def pose_label_line(box: Column, points: Column, confidences: Column, threshold: float) -> Column:
+    """SF13: 0 cx cy w h and 17 keypoints of x y and visibility, all of them normalized already; missing confidences are 0."""
+    head = F.concat_ws(" ", F.lit("0"), F.concat_ws(" ", F.transform(F.slice(box, 1, 4), _number)))
+    at = lambda k, j: F.coalesce(F.get(F.get(points, k), F.lit(j)), F.lit(0.0))
+    point = lambda k: F.concat_ws(" ", _number(at(k, 0)), _number(at(k, 1)), visibility(F.coalesce(F.get(confidences, k), F.lit(0.0)), threshold).cast("string"))
+    return F.concat_ws(" ", head, F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(KEYPOINTS - 1)), point)))
+
+
+def segment_line(label: Column, flat: Column) -> Column:
+    """SF15: class x y x y ... with six places."""
+    return F.concat_ws(" ", label.cast("string"), F.concat_ws(" ", F.transform(flat, _number)))
+
+
+def polygons(result: Column, classes: list[str]) -> Column:
+    """SF14: of an annotation's results (array of type and value with polygonlabels and points) the polygons of known classes, in order:
+    structs of class number and flat points. The first label counts; polygons with fewer than three sound points are left out."""
+    number = F.create_map(*(x for k, c in enumerate(classes) for x in (F.lit(c), F.lit(k))))
+    label = lambda r: F.try_element_at(number, F.get(r["value"]["polygonlabels"], F.lit(0)))
+    made = F.transform(F.filter(result, lambda r: r["type"] == "polygonlabels"), lambda r: F.struct(label(r).alias("label"), polygon_points(r["value"]["points"]).alias("points")))
+    return F.coalesce(F.filter(made, lambda p: p["label"].isNotNull() & p["points"].isNotNull()), F.array().cast("array<struct<label:int,points:array<double>>>"))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """UD11: the cosine of two vectors; null where one has no length."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return F.when(norm > 0, dot(a, b) / norm)
+
+
 def _unit(c: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def checked(scores: DataFrame, score: str = "margin", label: str = "label") -> DataFrame:
-    """AG9: fails on null or NaN scores and labels other than 0 and 1."""
+    """AG9: fails on null or NaN scores and labels other than 0 and 1, and on an empty table."""
+    if scores.isEmpty():
+        raise ValueError("scores must not be empty")
     ok = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isin(0, 1)
     return scores.where(F.coalesce(ok, F.lit(False)) | F.raise_error(F.lit("scores must be numbers and labels 0 or 1")).cast("boolean"))
 
@@ -22,11 +24,17 @@ def metrics(tp, fp, fn) -> list:
 def sweep(scores: DataFrame, score: str = "margin", label: str = "label") -> DataFrame:
     """AG6: threshold, tn, fp, fn, tp, precision, recall, f1 for every different score, at which score >= threshold accepts.
 
-    Equal scores are counted first, so that the running sums only see different ones.
+    Equal scores are counted first, so that the running sums only see different ones. These are dealt to ranges, summed up within each
+    range and raised by the sums of the ranges above it, so that no task sees them all.
     """
     each = checked(scores, score, label).groupBy(F.col(score).alias("threshold")).agg(F.sum(label).alias("pos"), F.count(label).alias("n"))
-    down, whole = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0), each.agg(F.sum("pos").alias("all_pos"), F.sum("n").alias("all_n"))
-    run = each.select("threshold", F.sum("pos").over(down).alias("tp"), F.sum("n").over(down).alias("taken")).crossJoin(F.broadcast(whole))
+    ranges = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = each.repartitionByRange(ranges, F.desc("threshold")).withColumn("_range", F.spark_partition_id())
+    down = Window.partitionBy("_range").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    above, every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(0))
+    sums = dealt.groupBy("_range").agg(F.sum("pos").alias("p"), F.sum("n").alias("c"))
+    before = sums.select("_range", *(F.coalesce(F.sum(x).over(above), F.lit(0)).alias(f"{x}_above") for x in "pc"), F.sum("p").over(every).alias("all_pos"), F.sum("c").over(every).alias("all_n"))
+    run = dealt.join(F.broadcast(before), "_range").select("threshold", (F.sum("pos").over(down) + F.col("p_above")).alias("tp"), (F.sum("n").over(down) + F.col("c_above")).alias("taken"), "all_pos", "all_n")
     counted = run.select("threshold", (F.col("all_n") - F.col("all_pos") - F.col("taken") + F.col("tp")).alias("tn"), (F.col("taken") - F.col("tp")).alias("fp"), (F.col("all_pos") - F.col("tp")).alias("fn"), "tp")
     return counted.select("*", *metrics(F.col("tp"), F.col("fp"), F.col("fn")))
 
@@ -36,8 +44,11 @@ def best_f1(swept: DataFrame) -> DataFrame:
     return swept.orderBy(F.desc("f1"), F.desc("recall"), F.desc("precision"), F.asc("threshold")).limit(1)
 
 
-def best_at_min_precision(swept: DataFrame, least: float) -> DataFrame:
-    """AG8: of those with enough precision greatest recall, then F1, then precision, then the smaller threshold; empty if none."""
+def best_at_min_precision(swept: DataFrame, least: float, required: bool = False) -> DataFrame:
+    """AG8: of those with enough precision greatest recall, then F1, then precision, then the smaller threshold; if none has, the table
+    is empty, or it fails if one is required."""
     if not 0 <= least <= 1:
         raise ValueError("min_precision must be within 0 and 1")
+    if required and swept.where(F.col("precision") >= least).isEmpty():
+        raise ValueError("no threshold reaches min_precision")
     return swept.where(F.col("precision") >= least).orderBy(F.desc("recall"), F.desc("f1"), F.desc("precision"), F.asc("threshold")).limit(1)

@@ -1,11 +1,11 @@
-"""Quality gates and routing (PF4, PF5, PF9, PF10, PF12, PF13, PF15)."""
+"""Quality gates and routing (PF3-PF5, PF9-PF13, PF15)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vision import bbox_area_ratio, valid_keypoints
+from ..functions.vision import bbox_area_ratio, segmentation_area, valid_keypoints
 
 ACTIONS = ("reject", "uncertain")
 
@@ -69,6 +69,47 @@ def size_reasons(width: Column, height: Column, *, max_width: int = 0, max_heigh
     return F.concat_ws(",", *(F.when(c > most, f"{name}>{most}") for c, most, name in each if most))
 
 
+def failed(reason: str, min_keypoints: int = 12, keypoint_threshold: float = 0.5) -> Column:
+    """PF13: the result of a row whose image or model failed: rejected for that reason, with zeros."""
+    return F.struct(F.lit("reject").alias("decision"), F.lit("reject").alias("raw_gate_decision"), F.lit(0.0).alias("person_score"), F.lit(0.0).alias("pose_score"), F.lit(0.0).alias("bbox_area_ratio"), F.lit("none").alias("roi_source"), F.lit(0).alias("valid_keypoints"), F.lit(min_keypoints).alias("min_keypoints"), F.lit(keypoint_threshold).alias("keypoint_score_threshold"), F.array(F.lit(reason)).alias("reject_reasons"))
+
+
+def gated_rows(rows: DataFrame, actions: dict[str, str], *, min_score: float = 0.25, min_keypoints: int = 12, keypoint_threshold: float = 0.5, min_area: float = 0.05, max_area: float = 1.0) -> DataFrame:
+    """PF3, PF9, PF11-PF13: the second filter's score table.
+
+    rows: sample_id, image_path, width, height, person, pose (detections or null), and the error of each step, null if it went well:
+    image_error, pose_error, detection_error; area (a text or null) overrides the box. The first error decides.
+    """
+    ok = pose_gate(F.col("person"), F.col("pose"), F.col("width"), F.col("height"), segmentation_area(F.col("area")), min_score=min_score, min_keypoints=min_keypoints, keypoint_threshold=keypoint_threshold, min_area=min_area, max_area=max_area)
+    score = lambda d: F.coalesce(F.col(f"{d}.score"), F.lit(0.0))
+    gate = rows.withColumn("g", ok)
+    good = F.struct(route(F.col("g.reject_reasons"), actions).alias("decision"), F.col("g.decision").alias("raw_gate_decision"), score("person").alias("person_score"), score("pose").alias("pose_score"), F.col("g.bbox_area_ratio"), F.col("g.roi_source"), F.col("g.valid_keypoints"), F.lit(min_keypoints).alias("min_keypoints"), F.lit(keypoint_threshold).alias("keypoint_score_threshold"), F.col("g.reject_reasons"))
+    bad = lambda reason: failed(reason, min_keypoints, keypoint_threshold)
+    out = F.when(F.col("image_error").isNotNull(), bad("image_read_error")).when(F.col("pose_error").isNotNull(), bad("pose_inference_error")).when(F.col("detection_error").isNotNull(), bad("detection_inference_error")).otherwise(good)
+    return gate.select("sample_id", "image_path", out.alias("r")).select("sample_id", "image_path", "r.*")
+
+
+def anchors_by_size(rows: DataFrame, files: DataFrame | None, path_field: str, **limits: int) -> DataFrame:
+    """PF15: rows with reason, blank for those that stay: missing_path_field:X, missing_file, or what is too large.
+
+    rows: width, height and the path field; files: path of every file that is there (None: all are).
+    """
+    path = F.nullif(F.trim(F.col(path_field)), F.lit(""))
+    there = F.lit(True)
+    if files is not None:
+        rows = rows.join(files.select(F.col("path").alias(path_field), F.lit(True).alias("_there")).distinct(), path_field, "left")
+        there = F.coalesce("_there", F.lit(False))
+    reason = F.when(path.isNull(), f"missing_path_field:{path_field}").when(~there, "missing_file").otherwise(size_reasons(F.col("width"), F.col("height"), **limits))
+    return rows.withColumn("reason", reason).drop("_there")
+
+
+def anchor_stats(rows: DataFrame) -> DataFrame:
+    """PF15: how many there were, stay, and go by reason."""
+    count = lambda c: F.count(F.when(c, 1))
+    r = F.col("reason")
+    return rows.agg(F.count(F.lit(1)).alias("total"), count(r == "").alias("kept"), count(r == "missing_file").alias("missing_file"), count(r.startswith("missing_path_field")).alias("missing_path_field"), count(r.contains(">")).alias("too_large"))
+
+
 def decision_counts(rows: DataFrame, column: str = "decision") -> DataFrame:
     """AG10."""
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))

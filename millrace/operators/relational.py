@@ -1,4 +1,4 @@
-"""Joins, splits, unions and numbering (JN1-JN8, PF16-PF18, SO1-SO6, WN2-WN6, SC8, AG11, AG17, AG18, AG20, AG22, AG25, OR13)."""
+"""Joins, splits, unions and numbering (JN1-JN8, PF16-PF18, SO1-SO6, WN2-WN6, SC8, AG11, AG17, AG18, AG20-AG22, AG25, SL2, SL3, OR13)."""
 
 from __future__ import annotations
 
@@ -53,6 +53,14 @@ def group_annotations(annotations: DataFrame, images: DataFrame, key: str, keep:
     return kept.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["v"]).alias("values"))
 
 
+def subset(keys: DataFrame, key: str, images: DataFrame, annotations: DataFrame, licences: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """OR13: of the chosen images (key) the images, their annotations and the licences they use. images: key, license; annotations: key;
+    licences: id."""
+    kept = images.join(keys.select(key).distinct(), key, "left_semi")
+    used = kept.select(F.col("license").alias("id")).distinct()
+    return kept, annotations.join(keys.select(key).distinct(), key, "left_semi"), licences.join(used, "id", "left_semi")
+
+
 def single_only(annotations: DataFrame, key: str, keep: Column) -> DataFrame:
     """OR13: keys with exactly one annotation to keep."""
     return annotations.where(keep).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n = 1").select(key)
@@ -61,19 +69,16 @@ def single_only(annotations: DataFrame, key: str, keep: Column) -> DataFrame:
 # splits
 
 
-def split_sizes(total: int, ratio: float | None = None, count: int | None = None, at_least_one: bool = False) -> int:
-    """SO5."""
+def split_size(total: Column, ratio: float | None = None, count: int | None = None, at_least_one: bool = False) -> Column:
+    """SO5: how many of a counted total a split takes: a count, which must not exceed it, or a share of it, rounded down; else none."""
     if ratio is not None and count is not None:
         raise ValueError("give a ratio or a count")
+    if count is not None and count < 0 or ratio is not None and not 0 <= ratio < 1:
+        raise ValueError("a count must not be negative, a ratio must be within 0 and 1")
     if count is not None:
-        if not 0 <= count <= total:
-            raise ValueError("count must be within 0 and the total")
-        return count
-    ratio = ratio or 0.0
-    if not 0 <= ratio < 1:
-        raise ValueError("ratio must be within 0 and 1")
-    n = int(total * ratio)
-    return max(1, n) if at_least_one and total and ratio else n
+        return F.when(total >= count, F.lit(count).cast("long")).otherwise(F.raise_error(F.lit("count must be within the total")).cast("long"))
+    least = F.least(total, F.lit(int(at_least_one and bool(ratio))))
+    return F.greatest(least, F.floor(total * F.lit(float(ratio or 0)))).cast("long")
 
 
 def hashed_rank(column: Column, seed: int) -> list[Column]:
@@ -96,12 +101,12 @@ def split_train_val(ids: DataFrame, column: str, ratio: float, seed: int) -> Dat
     return ranked(ids.select(column), column, hashed_rank(F.col(column), seed)).crossJoin(F.broadcast(size)).select(column, F.when(F.col("rank") <= F.col("_val"), "val").otherwise("train").alias("split"))
 
 
-def split_with_holdout(ids: DataFrame, column: str, test_count: int, val_ratio: float, seed: int) -> DataFrame:
-    """SO6: the test ids first, train and val from the rest with the next seed."""
-    order = hashed_rank(F.col(column), seed)
-    first = ranked(ids.select(column), column, order)
-    test = first.where(F.col("rank") <= test_count).select(column, F.lit("test").alias("split"))
-    return test.unionByName(split_train_val(first.where(F.col("rank") > test_count).select(column), column, val_ratio, seed + 1))
+def split_with_holdout(ids: DataFrame, column: str, val_ratio: float, seed: int, test_ratio: float | None = None, test_count: int | None = None) -> DataFrame:
+    """SO5, SO6: the test ids first, train and val from the rest with the next seed."""
+    size = ids.agg(split_size(F.count(F.lit(1)), test_ratio, test_count, at_least_one=True).alias("_test"))
+    first = ranked(ids.select(column), column, hashed_rank(F.col(column), seed)).crossJoin(F.broadcast(size))
+    test = first.where(F.col("rank") <= F.col("_test")).select(column, F.lit("test").alias("split"))
+    return test.unionByName(split_train_val(first.where(F.col("rank") > F.col("_test")).select(column), column, val_ratio, seed + 1))
 
 
 # unions and numbers
@@ -133,6 +138,20 @@ def numbered(rows: DataFrame, order: list[Column], prefix: str, width: int, star
     return ranked(rows, order[0], order).withColumn("generated_id", padded_id(prefix, F.col("rank") - 1 + start, width)).drop("rank")
 
 
+def last_rows(rows: DataFrame, key: str, pos: str) -> DataFrame:
+    """AG25: one row for each key: the last one, at the place of the first, in pos."""
+    every = [c for c in rows.columns if c not in (key, pos)]
+    one = rows.groupBy(key).agg(F.min(pos).alias(pos), F.max_by(F.struct(*every), pos).alias("_last"))
+    return one.select(key, pos, *(F.col(f"_last.{c}").alias(c) for c in every))
+
+
+def limited(rows: DataFrame, most: int, *order: str) -> DataFrame:
+    """SL2, SL3: the first rows in an order; 0 is no limit, a negative one fails."""
+    if most < 0:
+        raise ValueError("a limit must not be negative")
+    return rows.orderBy(*order).limit(most) if most else rows
+
+
 # lineage
 
 
@@ -146,6 +165,12 @@ def dimensions(synthetic: DataFrame, real: DataFrame) -> DataFrame:
     return synthetic.join(last, "guide_image_id", "left").withColumn("size_match_anchor", same)
 
 
+def size_counts(rows: DataFrame) -> DataFrame:
+    """JN3: how many rows of dimensions() could be compared, and how many have the size of their guide image."""
+    same = F.col("size_match_anchor")
+    return rows.agg(F.count(same).alias("checked"), F.count(F.when(same, 1)).alias("matching"), F.count(F.when(~same, 1)).alias("differing"))
+
+
 def exact_matches(files: DataFrame, refs: DataFrame) -> DataFrame:
     """JN4: each file's first reference of its name, and how many there are. files: name; refs: name, ref_id, pos."""
     many = refs.groupBy("name").agg(F.min_by("ref_id", F.struct("pos", "ref_id")).alias("ref_id"), F.count(F.lit(1)).alias("candidates"))
@@ -176,6 +201,11 @@ def job_plan(anchors: DataFrame, target: int, seed: int) -> DataFrame:
     return jobs.join(anchors, "turn").select(F.col("id").alias("job"), "anchor_id", (F.col("id") + seed).alias("seed"))
 
 
+def copied(files: DataFrame) -> DataFrame:
+    """AG21: samples of a copied split: half of its images and labels together. files: kind (images or labels)."""
+    return files.agg(F.floor(F.count(F.when(F.col("kind").isin("images", "labels"), 1)) / 2).alias("copied"))
+
+
 def stub_plan(real: DataFrame, each: int, seed: int, most: int = 0) -> DataFrame:
     """JN10: `each` jobs for every real row, seed + pos * 100 + k, limited in order (0: all). real: sample_id, pos."""
     jobs = real.select("sample_id", "pos", F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("k")).withColumn("seed", seed + F.col("pos") * 100 + F.col("k"))
@@ -183,5 +213,13 @@ def stub_plan(real: DataFrame, each: int, seed: int, most: int = 0) -> DataFrame
 
 
 def duplicated(rows: DataFrame, column: str) -> DataFrame:
-    """AG22."""
+    """AG22: values that more than one row has, and how many."""
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def check_unique(rows: DataFrame, column: str, owner: str) -> DataFrame:
+    """AG22: rows, if no value occurs twice; else it fails and names two owners of the least such value."""
+    twice = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.min(owner).alias("a"), F.max(owner).alias("b")).where("n > 1").orderBy(column).first()
+    if twice:
+        raise ValueError(f"{twice[0]} belongs to {twice.a} and {twice.b}")
+    return rows

@@ -12,6 +12,8 @@ from .functions import vision as V
 from .operators import calibrate as C
 from .operators import evaluate as E
 from .operators import gate as G
+from .operators import labels as L
+from .operators import manifests as M
 from .operators import relational as R
 from .streaming import replay, window_counts
 
@@ -177,11 +179,11 @@ def pose_gate(spark, d):
     return gated(spark, d).withColumn("reject_reasons", F.concat_ws(",", "reject_reasons"))
 
 
-@query(f"with {DET} select vec_id, case when area < 0.01 or area > 0.5 or points < 6 then 'reject' else 'accept' end as decision, points as valid_keypoints from g")
+@query(f"with {DET} select vec_id, case when area < 0.01 or area > 0.5 or points < 6 then 'reject' else 'accept' end as decision, concat_ws(',', case when area < 0.01 then 'bbox_too_small' end, case when area > 0.5 then 'bbox_too_large' end, case when points < 6 then 'insufficient_keypoints' end) as reject_reasons, area as bbox_area_ratio, points as valid_keypoints from g")
 def single_gate(spark, d):
     """PF10."""
     gate = G.single_gate(F.col("pose.box"), F.col("pose.keypoints"), F.lit(100), F.lit(100), min_keypoints=6, keypoint_threshold=0.05, min_area=0.01, max_area=0.5)
-    return detections(spark, d).select("vec_id", gate.alias("g")).select("vec_id", "g.decision", "g.valid_keypoints")
+    return detections(spark, d).select("vec_id", gate.alias("g")).select("vec_id", "g.*").withColumn("reject_reasons", F.concat_ws(",", "reject_reasons"))
 
 
 @query(f"with {DET} select {ROUTED} as decision, count(*) as n from r group by 1")
@@ -190,10 +192,10 @@ def route_counts(spark, d):
     return G.decision_counts(gated(spark, d).select(G.route(F.col("reject_reasons"), ROUTES).alias("decision")))
 
 
-@query("with e as (select vec_id, cast(embedding as double[]) as v from embeddings), b as (select vec_id, list_max(list_filter(v[1:8], lambda x: x >= 0.0)) as score from e) select vec_id, score from b")
+@query("with e as (select vec_id, cast(embedding as double[]) as v from embeddings), b as (select vec_id, list_max(list_filter(v, lambda x: x >= 0.0)) as score from e) select vec_id, score from b")
 def best_detection(spark, d):
     """PF8."""
-    found = F.transform(F.slice("e", 1, 8), lambda x: F.struct(F.lit(1).alias("label"), x.alias("score")))
+    found = F.transform("e", lambda x: F.struct(F.lit(1).alias("label"), x.alias("score")))
     return detections(spark, d).select("vec_id", V.best_detection(found, 0.0)["score"].alias("score"))
 
 
@@ -231,10 +233,10 @@ def pose_collect(spark, d):
     return got.select("l_orderkey", F.concat_ws(",", F.transform("values", lambda x: x.cast("string"))).alias("quantities"))
 
 
-@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P' and o_custkey is not null)")
 def missing_image(spark, d):
     """PF17, JN6."""
-    return R.without_files(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return R.without_files(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("select l_orderkey from lineitem where l_returnflag = 'R' group by 1 having count(*) = 1")
@@ -263,7 +265,7 @@ def split_train_val(spark, d):
 @query(f"with a as ({SPLIT.format(seed=42, rows='documents')}), b as ({SPLIT.format(seed=43, rows='(select doc_id from a where r > 100)')}) select doc_id, 'test' as split from a where r <= 100 union all select doc_id, case when r <= greatest(1, floor(n * 0.15)) then 'val' else 'train' end from b")
 def split_holdout(spark, d):
     """SO5, SO6."""
-    return R.split_with_holdout(table(spark, d, "documents").select("doc_id"), "doc_id", 100, 0.15, 42)
+    return R.split_with_holdout(table(spark, d, "documents").select("doc_id"), "doc_id", 0.15, 42, test_count=100)
 
 
 @query("select 'real_' || c_name as name, 'train' as split from customer where c_nationkey % 2 = 0 union all select 'synth_' || s_name, 'train' from supplier where s_nationkey % 2 = 0 union all select p_name, 'val' from part where p_size > 45")
@@ -309,12 +311,27 @@ def run_group(spark, d):
     return R.chosen_runs(table(spark, d, "orders").select(F.col("o_custkey").alias("prefix"), F.col("o_orderpriority").alias("run"), F.col("o_orderpriority").alias("run_order")))
 
 
-@query("with r as (select o_custkey, cast(floor(o_totalprice) as int) as w, row_number() over (partition by o_custkey order by o_orderkey desc) as t from orders) select c.c_custkey as guide_image_id, r.w as anchor_width, case when r.w is not null then r.w = 1000 + cast(floor(c.c_acctbal) as int) end as size_match_anchor from customer c left join r on r.o_custkey = c.c_custkey and r.t = 1")
+DIMS = """
+r as (select o_custkey, cast(o_orderkey % 4 as int) as w, cast(o_orderkey % 3 as int) as h, row_number() over (partition by o_custkey order by o_orderkey desc) as t from orders),
+s as (select c_custkey as guide_image_id, cast(c_custkey % 4 as int) as width, cast(c_custkey % 3 as int) as height, r.w as anchor_width, r.h as anchor_height, r.w = cast(c_custkey % 4 as int) and r.h = cast(c_custkey % 3 as int) as size_match_anchor from customer left join r on r.o_custkey = c_custkey and r.t = 1)"""
+
+
+def dimensioned(spark, d):
+    size = lambda c, w, h: ((F.col(c) % 4).cast("int").alias(w), (F.col(c) % 3).cast("int").alias(h))
+    real = table(spark, d, "orders").select(F.col("o_custkey").alias("sample_id"), *size("o_orderkey", "width", "height"), F.col("o_orderkey").alias("pos"))
+    return R.dimensions(table(spark, d, "customer").select(F.col("c_custkey").alias("guide_image_id"), *size("c_custkey", "width", "height")), real)
+
+
+@query(f"with {DIMS} select * from s")
 def dims_enrich(spark, d):
     """JN3."""
-    real = table(spark, d, "orders").select(F.col("o_custkey").alias("sample_id"), F.expr("cast(floor(o_totalprice) as int)").alias("width"), F.lit(1).alias("height"), F.col("o_orderkey").alias("pos"))
-    synthetic = table(spark, d, "customer").select(F.col("c_custkey").alias("guide_image_id"), (1000 + F.expr("cast(floor(c_acctbal) as int)")).alias("width"), F.lit(1).alias("height"))
-    return R.dimensions(synthetic, real).select("guide_image_id", "anchor_width", "size_match_anchor")
+    return dimensioned(spark, d)
+
+
+@query(f"with {DIMS} select count(size_match_anchor) as checked, count(*) filter (where size_match_anchor) as matching, count(*) filter (where not size_match_anchor) as differing from s")
+def dims_counts(spark, d):
+    """JN3: the counters."""
+    return R.size_counts(dimensioned(spark, d))
 
 
 @query("select count(distinct nullif(trim(event_type), '')) as jobs from events")
@@ -346,13 +363,14 @@ def anchor_filter(spark, d):
 # labels
 
 
-@query("select conv_id, turn, role from conversations")
+@query("select c_custkey as task_id, o_orderkey as annotation_id, o_orderstatus as status, o_orderkey is not null as has_annotation from customer left join orders on o_custkey = c_custkey and o_orderstatus = 'P'")
 def flatten_annotations(spark, d):
-    """SF17."""
+    """SF17: customers stand for tasks, their pending orders for annotations; most have none."""
     from .sources import flatten_annotations as flatten
 
-    tasks = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("id")).agg(F.collect_list(F.struct("turn", "role")).alias("annotations"))
-    return flatten(tasks).select(F.col("task_id").alias("conv_id"), "annotation.turn", "annotation.role")
+    orders = table(spark, d, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list(F.struct("o_orderkey", "o_orderstatus")).alias("annotations"))
+    tasks = table(spark, d, "customer").select(F.col("c_custkey").alias("id")).join(orders, "id", "left")
+    return flatten(tasks).select("task_id", F.col("annotation.o_orderkey").alias("annotation_id"), F.col("annotation.o_orderstatus").alias("status"), "has_annotation")
 
 
 @query("select vec_id, cast(case when x >= 0.5 then 2 when x > 0 then 1 else 0 end as int) as visibility from (select vec_id, cast(embedding[1] as double) * 5 as x from embeddings)")
@@ -364,11 +382,11 @@ def visibility(spark, d):
 # reports
 
 
-@query("with s as (select case when s_nationkey % 2 = 0 then 'real' else 'synthetic' end as source, s_acctbal as score from supplier) select count(*) as total, count(*) filter (where source = 'real') as real, count(*) filter (where source = 'synthetic') as synthetic from s")
+@query("with s as (select case when s_nationkey % 2 = 0 then 'real' else 'synthetic' end as source, s_acctbal as score from supplier) select count(*) as total, count(*) filter (where source = 'real') as real, count(*) filter (where source = 'synthetic') as synthetic, round_even(count(*) filter (where source = 'real') / count(*), 4) as real_ratio, round_even(count(*) filter (where source = 'synthetic') / count(*), 4) as synthetic_ratio from s")
 def mix_report(spark, d):
-    """AG15."""
+    """AG15, SF21."""
     rows = table(spark, d, "supplier").select(F.when(F.col("s_nationkey") % 2 == 0, "real").otherwise("synthetic").alias("source"))
-    return E.mix_report(rows).select("total", "real", "synthetic")
+    return E.mix_report(rows)
 
 
 @query("select cast(s_suppkey as varchar) as sample_id, 'real' as source, 'low_asf_score' as reason, s_acctbal as score from supplier order by s_acctbal, s_suppkey limit 5")
@@ -378,18 +396,18 @@ def hard_cases(spark, d):
     return E.hard_cases(rows)
 
 
-@query("select min(p_size) as min_width, max(p_size) as max_width, min(p_size * 2) as min_height, max(p_size * 2) as max_height, count(*) filter (where p_size > 10) as with_label, count(*) filter (where p_size <= 10) as without_label from part")
+@query("select avg(p_size) as mean_width, avg(p_size * 2) as mean_height, min(p_size) as min_width, max(p_size) as max_width, min(p_size * 2) as min_height, max(p_size * 2) as max_height, count(*) filter (where p_size > 10) as with_label, count(*) filter (where p_size <= 10) as without_label from part")
 def resolution_stats(spark, d):
     """AG12."""
     rows = table(spark, d, "part").select(F.col("p_size").alias("width"), (F.col("p_size") * 2).alias("height"), F.when(F.col("p_size") > 10, "x").alias("label"))
-    return E.resolution_stats(rows).select("min_width", "max_width", "min_height", "max_height", "with_label", "without_label")
+    return E.resolution_stats(rows)
 
 
-@query("select o_orderpriority, case when count(*) filter (where o_orderstatus = 'F') < count(*) * 0.5 then 'tighten_filter' else 'relax_filter' end as action from orders group by 1")
+@query("select o_orderpriority, case when count(*) filter (where o_orderstatus = 'F') < count(*) * 0.5 then 'tighten_filter' else 'relax_filter' end as action, cast(case when count(*) filter (where o_orderstatus = 'F') < count(*) * 0.5 then 0.65 else 0.57 end as double) as next_threshold from orders group by 1")
 def policy_feedback(spark, d):
     """AG23, AG24."""
     share = table(spark, d, "orders").groupBy("o_orderpriority").agg((F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count(F.lit(1))).alias("v"))
-    return share.select("o_orderpriority", E.policy(F.col("v"), 0.5, F.lit(0.6))["action"].alias("action"))
+    return share.select("o_orderpriority", E.policy(F.col("v"), 0.5, F.lit(0.6)).alias("p")).select("o_orderpriority", "p.*")
 
 
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
@@ -399,6 +417,350 @@ def duplicate_stems(spark, d):
     return R.duplicated(rows, "stem").select("stem.l_orderkey", "stem.l_linenumber", "n")
 
 
+# manifests
+
+MANIFESTS = """
+m as (select case when c_custkey % 3 = 0 then '  ' else 'c' || c_custkey end as sample_id, case when c_custkey % 2 = 0 then ' s/' || c_name || ' ' end as synthetic_image_path, 'p/' || c_name as image_path, c_custkey as pos, 0 as _file from customer
+  union all select case when s_suppkey % 2 = 0 then 's' || s_suppkey end, null, 'q/' || s_name, s_suppkey, 1 from supplier),
+n as (select *, row_number() over (partition by _file order by pos) - 1 as own, row_number() over (order by _file, pos) - 1 as whole from m)"""
+
+
+def manifests(spark, d):
+    first = table(spark, d, "customer").select(F.when(F.col("c_custkey") % 3 == 0, "  ").otherwise(F.concat(F.lit("c"), "c_custkey")).alias("sample_id"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit(" s/"), "c_name", F.lit(" "))).alias("synthetic_image_path"), F.concat(F.lit("p/"), "c_name").alias("image_path"), F.col("c_custkey").alias("pos"))
+    second = table(spark, d, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("s"), "s_suppkey")).alias("sample_id"), F.concat(F.lit("q/"), "s_name").alias("image_path"), F.col("s_suppkey").alias("pos"))
+    return R.union_manifests(first, second)
+
+
+@query(f"with {MANIFESTS} select coalesce(nullif(trim(sample_id), ''), printf('row_%07d', own)) as sample_id, coalesce(nullif(trim(synthetic_image_path), ''), image_path) as image_path from n")
+def filter_inputs(spark, d):
+    """PF1, SC10, SO1: ids by the place within each file."""
+    return M.filter_inputs(manifests(spark, d), "pos", "_file")
+
+
+@query(f"with {MANIFESTS} select coalesce(nullif(trim(sample_id), ''), printf('row_%07d', whole)) as sample_id, image_path, pos as raw_pos from n")
+def filter_rows(spark, d):
+    """PF2, PF3: ids by the place in all rows, and the row itself."""
+    rows = manifests(spark, d).withColumn("turn", F.struct("_file", "pos"))
+    return M.filter_inputs(rows, "turn", raw=True, paths=("image_path", "imagepath", "path")).select("sample_id", "image_path", F.col("raw.pos").alias("raw_pos"))
+
+
+@query(f"with {MANIFESTS} select coalesce(nullif(trim(sample_id), ''), regexp_replace(string_split(image_path, '/')[2], '(.)[.][^.]+$', '\\1')) as sample_id, image_path as path from m")
+def aliases(spark, d):
+    """PF19."""
+    rows = manifests(spark, d)
+    return rows.select(M.sample_id(rows).alias("sample_id"), M.image_path(rows).alias("path"))
+
+
+@query("""
+select 'g' || o_orderkey as synthetic_id, 'o' || o_orderkey || '.png' as synthetic_image_name, 'd/o' || o_orderkey || '.png' as synthetic_image_path, 640 as width, 480 as height,
+  case when o_orderkey % 3 = 0 then 'effective' when o_orderkey % 3 = 1 then 'own' else 'default' end as prompt_text, o_orderkey as seed,
+  case when o_orderkey % 2 = 0 then 'a' || o_custkey else '' end as guide_image_id, 'image_guided' as guide_type,
+  case when o_orderstatus = 'F' then 'flux_canny.json' else 'ref' end as config_ref, 'g' || o_orderkey as ids from orders""")
+def trace_rows(spark, d):
+    """PF20."""
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(F.concat(F.lit("g"), k).alias("sample_id"), F.concat(F.lit("d/o"), k, F.lit(".png")).alias("image_path"), F.lit(640).alias("width"), F.lit(480).alias("height"), F.when(k % 3 == 0, " effective ").alias("effective_prompt_text"), F.when(k % 3 <= 1, "own").otherwise(" ").alias("prompt_text"), k.alias("seed"), F.lit(" ").alias("guide_image_id"), F.when(k % 2 == 0, F.concat(F.lit("a"), "o_custkey")).alias("anchor_real_sample_id"), F.when(F.col("o_orderstatus") == "F", "flux_canny.json").alias("comfy_prompt_graph_source"), F.lit(None).cast("array<string>").alias("synthetic_image_ids"))
+    return M.trace_rows(rows, "ref", "image_guided", "default").withColumn("ids", F.concat_ws(",", "synthetic_image_ids")).drop("synthetic_image_ids")
+
+
+@query("select o_orderkey, case when o_orderstatus = 'F' then 'prompt_canny' when o_orderstatus = 'O' or o_orderkey % 2 = 0 then 'prompt_only' else 'unknown' end as mode from orders")
+def generation_mode(spark, d):
+    """PF21."""
+    graph = F.when(F.col("o_orderstatus") == "F", "x/Flux_Dev_CANNY.json").when(F.col("o_orderstatus") == "O", "FLUX_dev.json")
+    prefix = F.when(F.col("o_orderkey") % 2 == 0, "prompt_only_1").otherwise("other")
+    return table(spark, d, "orders").select("o_orderkey", S.generation_mode(graph, prefix).alias("mode"))
+
+
+CLEAN = "c as (select l_orderkey, case l_returnflag when 'A' then 'exact' when 'R' then 'prefix' else 'no_reference' end as map_method, l_linenumber as candidates from lineitem)"
+
+
+@query(f"with {CLEAN} select count(*) as output_image_count, count(*) filter (where map_method = 'exact') as matched_exact_count, count(*) filter (where map_method = 'prefix') as matched_prefix_count, count(*) filter (where map_method = 'no_reference') as no_reference_count, count(*) filter (where map_method = 'exact' and candidates > 1) as ambiguous_exact_filename_count, count(*) filter (where map_method = 'prefix' and candidates > 1) as ambiguous_prefix_count, count(*) filter (where map_method <> 'no_reference') as matched_total_count, (select count(*) from orders) as reference_row_count, cast(2 as int) as reference_manifest_count from c")
+def clean_summary(spark, d):
+    """AG19."""
+    method = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "R", "prefix").otherwise("no_reference")
+    return M.clean_summary(table(spark, d, "lineitem").select(method.alias("map_method"), F.col("l_linenumber").alias("candidates")), table(spark, d, "orders"), 2)
+
+
+@query("select c_name as output_filename, 'no_reference' as map_method, 'unknown' as generation_mode, cast(null as varchar) as synthetic_id, cast(null as varchar) as config_ref from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null and o_orderstatus = 'P')")
+def unmatched_files(spark, d):
+    """JN6, SL4."""
+    files = table(spark, d, "customer").select(F.col("c_name").alias("output_filename"), "c_custkey")
+    matched = files.join(table(spark, d, "orders").where("o_orderstatus = 'P'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    return M.clean_manifest(M.unmatched(files.drop("c_custkey"), matched))
+
+
+@query("select cast(floor(count(*) / 2) as bigint) as copied from lineitem where l_returnflag in ('A', 'R')")
+def copied_files(spark, d):
+    """AG21."""
+    kind = F.when(F.col("l_returnflag") == "A", "images").when(F.col("l_returnflag") == "R", "labels").otherwise("other")
+    return R.copied(table(spark, d, "lineitem").select(kind.alias("kind")))
+
+
+@query("with r as (select o_custkey, min(o_orderkey) as pos, max(o_orderkey) as k from orders group by 1) select r.o_custkey, pos, o_orderstatus, o_totalprice from r join orders o on o.o_orderkey = r.k")
+def last_rows(spark, d):
+    """AG25, WN6."""
+    return R.last_rows(table(spark, d, "orders").select("o_custkey", F.col("o_orderkey").alias("pos"), "o_orderstatus", "o_totalprice"), "o_custkey", "pos")
+
+
+@query("select o_orderkey from orders order by o_totalprice, o_orderkey limit 77")
+def limited_rows(spark, d):
+    """SL2, SL3, SL5."""
+    return R.limited(table(spark, d, "orders"), 77, "o_totalprice", "o_orderkey").select("o_orderkey")
+
+
+@query("select c_custkey as c_custkey, c_custkey % 5 as n, case when c_custkey % 5 = 0 then null else cast(to_json({'image': 'i/' || c_name}) as varchar) end as data from customer where c_custkey % 5 <> 0")
+def import_tasks(spark, d):
+    """SK13."""
+    rows = table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % 5).alias("n"), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("i/"), "c_name")).otherwise(" ").alias("image_url"))
+    return M.import_tasks(rows).select("meta.c_custkey", "meta.n", F.to_json("data").alias("data"))
+
+
+@query("select o_orderkey || '_' || l_linenumber || '_0' as sample_id, 'sub/' || l_partkey || '.png' as image_path, 'synthetic' as source, 'comfyui' as generation_backend, cast(l_linenumber as varchar) as comfy_node_id, l_partkey || '.png' as comfy_filename, 'sub' as comfy_subfolder, 'output' as comfy_type from (select distinct o_orderkey, l_linenumber, max(l_partkey) over (partition by o_orderkey, l_linenumber) as l_partkey from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus = 'P') where l_partkey in (select p_partkey from part where p_size > 25)")
+def history_outputs(spark, d):
+    """SC15: orders stand for jobs, their lines for nodes."""
+    image = F.array(F.struct(F.concat("l_partkey", F.lit(".png")).alias("filename"), F.lit("sub").alias("subfolder"), F.lit("output").alias("type")), F.struct(F.lit("x.png").alias("filename"), F.lit("sub").alias("subfolder"), F.lit("temp").alias("type")))
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"))
+    nodes = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("l_linenumber").cast("string"), image))).alias("outputs"))
+    jobs = table(spark, d, "orders").where("o_orderstatus = 'P'").join(nodes, "o_orderkey").select(F.col("o_orderkey").cast("string").alias("prompt_id"), "outputs")
+    return M.history_outputs(jobs, table(spark, d, "part").where("p_size > 25").select(F.concat(F.lit("sub/"), "p_partkey", F.lit(".png")).alias("path")))
+
+
+# settings of names, prompts and graphs
+
+
+@query("select c_custkey, case when c_custkey % 4 = 0 then 'ComfyUI' when c_custkey % 4 = 1 then 's_t' when c_custkey % 4 = 2 then 't' else 's' end as prefix from customer")
+def filename_prefix(spark, d):
+    """SF9."""
+    k = F.col("c_custkey") % 4
+    return table(spark, d, "customer").select("c_custkey", S.filename_prefix(F.when(k.isin(1, 2), " t "), F.when(k.isin(1, 3), "s").otherwise(" ")).alias("prefix"))
+
+
+@query("select c_custkey, 'a ' || c_mktsegment || ' no ' || c_custkey || ' seed ' || (c_custkey + 5) || ' {unknown} ' || c_mktsegment as text from customer")
+def prompt_text(spark, d):
+    """SF6, SF7: a chosen word may name another field."""
+    from .functions.graphs import prompt_text as text
+
+    made = text("a $style no ${sample_index} seed {seed} {unknown} $other", {"style": F.lit("not this"), "segment": F.col("c_mktsegment")}, {"style": F.col("c_mktsegment"), "other": F.lit("{segment}")}, F.col("c_custkey"), F.col("c_custkey") + 5)
+    return table(spark, d, "customer").select("c_custkey", made.alias("text"))
+
+
+@query("select c_custkey, c_custkey % 3 = 0 as api, c_custkey % 3 = 1 as ui, case when c_custkey % 3 = 0 then c_custkey end as seed from customer")
+def prompt_graphs(spark, d):
+    """SF18, SF19."""
+    from .functions import graphs
+
+    k = F.col("c_custkey")
+    graph = F.when(k % 3 == 0, '{"3": {"class_type": "K", "inputs": {"seed": 1, "model": ["4", 0]}}}').when(k % 3 == 1, '{"nodes": [], "links": []}').otherwise('{"3": 1}')
+    rows = table(spark, d, "customer").select("c_custkey", graph.alias("g")).select("c_custkey", "g", graphs.is_api_graph(F.col("g")).alias("api"), graphs.is_ui_graph(F.col("g")).alias("ui"))
+    patched = graphs.with_inputs(F.when(F.col("api"), F.col("g")), {("3", "seed"): k})
+    return rows.select("c_custkey", "api", "ui", F.get_json_object(patched, "$.3.inputs.seed").cast("long").alias("seed"))
+
+
+@query("select c_custkey, case when c_custkey % 2 = 0 then '/near/' || c_name when c_custkey % 3 = 0 then '/far/' || c_name else '/near/' || c_name end as image_path from customer")
+def resolved_paths(spark, d):
+    """SC11."""
+    from .sources.files import resolved_paths as resolve
+
+    rows = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("image_path"))
+    place = F.when(F.col("c_custkey") % 2 == 0, "/near/").when(F.col("c_custkey") % 3 == 0, "/far/").otherwise("/else/")
+    return resolve(rows, table(spark, d, "customer").select(F.concat(place, "c_name").alias("path")), "/near", "/far")
+
+
+@query("select c_custkey, case when c_custkey % 2 = 0 then 'd/' || c_name || '.png' end as image_path from customer")
+def images_by_name(spark, d):
+    """SC16."""
+    from .sources.files import images_by_name as find
+
+    name = F.concat("c_name", F.lit(".png"))
+    files = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.concat(F.lit("d/"), name).alias("path"))
+    return find(table(spark, d, "customer").select("c_custkey", F.concat(F.lit("http://x/y/"), name).alias("image")), files).select("c_custkey", "image_path")
+
+
+# failing rows, sizes and labels
+
+
+@query("""
+select vec_id, case when vec_id % 5 = 0 or vec_id % 7 = 0 or vec_id % 11 = 0 then 'reject' when area < 0.3 then 'reject' when points < 6 then 'uncertain' else 'accept' end as decision,
+  case when vec_id % 5 = 0 or vec_id % 7 = 0 or vec_id % 11 = 0 then 'none' else 'segmentation' end as roi_source,
+  case when vec_id % 5 = 0 or vec_id % 7 = 0 or vec_id % 11 = 0 then 0.0 else area end as bbox_area_ratio,
+  case when vec_id % 5 = 0 or vec_id % 7 = 0 or vec_id % 11 = 0 then 0.0 else cast(0.9 as double) end as pose_score,
+  cast(case when vec_id % 5 = 0 or vec_id % 7 = 0 or vec_id % 11 = 0 then 0 else points end as int) as valid_keypoints,
+  case when vec_id % 5 = 0 then 'image_read_error' when vec_id % 7 = 0 then 'pose_inference_error' when vec_id % 11 = 0 then 'detection_inference_error'
+    else concat_ws(',', case when area < 0.3 then 'bbox_too_small' end, case when points < 6 then 'insufficient_keypoints' end) end as reject_reasons
+from (select vec_id, least(greatest(cast(embedding[5] as double) * 4, 0.0), 1.0) as area, len(list_filter(range(17), lambda k: cast(embedding[k * 3 + 3] as double) >= 0.05)) as points from embeddings)""")
+def gated_rows(spark, d):
+    """PF11, PF13: errors before the gate, and areas that come before the box."""
+    k = F.col("vec_id")
+    error = lambda n: F.when(k % n == 0, "broken")
+    pose = F.struct(F.lit(1).alias("label"), F.lit(0.9).alias("score"), F.array().cast("array<double>").alias("box"), F.col("pose.keypoints").alias("keypoints"))
+    rows = detections(spark, d).select("vec_id", k.alias("sample_id"), F.lit("p").alias("image_path"), F.lit(100).alias("width"), F.lit(100).alias("height"), F.lit(None).cast("struct<label:int,score:double,box:array<double>,keypoints:array<array<double>>>").alias("person"), pose.alias("pose"), (F.get("e", F.lit(4)) * 4).cast("string").alias("area"), error(5).alias("image_error"), error(7).alias("pose_error"), error(11).alias("detection_error"))
+    found = G.gated_rows(rows, ROUTES, min_score=0.0, min_keypoints=6, keypoint_threshold=0.05, min_area=0.3)
+    return found.select(F.col("sample_id").alias("vec_id"), "decision", "roi_source", "bbox_area_ratio", "pose_score", "valid_keypoints", F.concat_ws(",", "reject_reasons").alias("reject_reasons"))
+
+
+ANCHORS = "a as (select p_partkey, case when p_partkey % 10 = 0 then 'missing_path_field:image_path' when p_partkey % 10 = 1 then 'missing_file' else concat_ws(',', case when p_size > 30 then 'width>30' end, case when p_size * 2 > 80 then 'height>80' end) end as reason from part)"
+
+
+def anchored(spark, d):
+    path = F.when(F.col("p_partkey") % 10 != 0, F.concat(F.lit("f/"), "p_partkey")).otherwise(" ")
+    rows = table(spark, d, "part").select("p_partkey", path.alias("image_path"), F.col("p_size").alias("width"), (F.col("p_size") * 2).alias("height"))
+    files = table(spark, d, "part").where("p_partkey % 10 > 1").select(F.concat(F.lit("f/"), "p_partkey").alias("path"))
+    return G.anchors_by_size(rows, files, "image_path", max_width=30, max_height=80)
+
+
+@query(f"with {ANCHORS} select * from a")
+def anchor_reasons(spark, d):
+    """PF15: with the files and paths that are missing."""
+    return anchored(spark, d).select("p_partkey", "reason")
+
+
+@query(f"with {ANCHORS} select count(*) as total, count(*) filter (where reason = '') as kept, count(*) filter (where reason = 'missing_file') as missing_file, count(*) filter (where reason like 'missing_path%') as missing_path_field, count(*) filter (where reason like '%>%') as too_large from a")
+def anchor_stats(spark, d):
+    """PF15: the counters."""
+    return G.anchor_stats(anchored(spark, d))
+
+
+@query("select vec_id, cast(len(list_filter(range(21), lambda k: embedding[k * 3 + 3] > 0)) as int) as visible from embeddings")
+def visible_keypoints(spark, d):
+    """SF16."""
+    return table(spark, d, "embeddings").select("vec_id", V.visible_keypoints(F.slice("embedding", 1, 63)).alias("visible"))
+
+
+@query("select vec_id, cast(len(list_filter(range(8), lambda k: k % 2 = 0 and embedding[k + 1] >= 0)) as int) as n, cast(sum(c) as double) as confidence from (select vec_id, embedding, cast(unnest(list_transform(range(8), lambda k: case when k % 2 = 0 and embedding[k + 1] >= 0 and k < 4 then k else 0 end)) as int) as c from embeddings) group by vec_id, embedding")
+def person_candidates(spark, d):
+    """PF14, UD4: class 0 becomes label 1; missing confidences are 0."""
+    e, eight = F.col("embedding").cast("array<double>"), F.sequence(F.lit(0), F.lit(7))
+    kinds = F.transform(eight, lambda k: F.when((k % 2 == 0) & (F.get(e, k) >= 0), 0).otherwise(3))
+    points = F.transform(eight, lambda k: F.array(F.array(k.cast("double"), k.cast("double")), F.array(F.lit(1.0), F.lit(1.0))))
+    sure = F.transform(eight, lambda k: F.when(k < 4, F.array(k.cast("double"))))
+    boxes = F.transform(eight, lambda k: F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
+    found = V.candidates(boxes, F.slice(e, 1, 8), kinds, points, sure)
+    total = F.aggregate(found, F.lit(0.0), lambda s, x: s + F.get(F.get(x["keypoints"], F.lit(0)), F.lit(2)) + F.get(F.get(x["keypoints"], F.lit(1)), F.lit(2)))
+    return table(spark, d, "embeddings").select("vec_id", F.size(found).alias("n"), total.alias("confidence"))
+
+
+@query("""
+with a as (select o_orderkey as image_id, 'o' || o_orderkey || '.jpg' as file_name, l_linenumber as id, l_partkey as p, '0 ' || printf('%.6f %.6f %.6f %.6f', least(1.0, ((l_partkey % 90) + 5.0) / 100), 0.15, 0.1, 0.1) as head
+           from orders join lineitem on l_orderkey = o_orderkey where o_orderkey % 8 = 0),
+k as (select *, list_aggregate(list_transform(range(17), lambda j: printf('%.6f %.6f ', ((p + j) % 100) / 100, 0.25) || cast((p + j) % 3 as varchar)), 'string_agg', ' ') as points from a)
+select image_id, file_name, string_agg(head || ' ' || points, chr(10) order by id, head || ' ' || points) || chr(10) as label from k group by 1, 2""")
+def pose_labels(spark, d):
+    """SF12, SK7, AG20: lines stand for persons."""
+    p = F.col("l_partkey")
+    flat = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda j: F.array(((p + j) % 100).cast("double"), F.lit(50.0), ((p + j) % 3).cast("double"))))
+    box = F.array((p % 90).cast("double"), F.lit(20.0), F.lit(10.0), F.lit(20.0))
+    images = table(spark, d, "orders").where("o_orderkey % 8 = 0").select(F.col("o_orderkey").alias("image_id"), F.concat(F.lit("o"), "o_orderkey", F.lit(".jpg")).alias("file_name"), F.lit(100).alias("width"), F.lit(200).alias("height"))
+    people = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("image_id"), F.col("l_linenumber").alias("id"), box.alias("bbox"), flat.alias("keypoints"))
+    return L.pose_labels(images, people)
+
+
+PREDICTED = """
+p as (select vec_id, case when vec_id % 6 = 0 then 'error' when vec_id % 6 = 1 then 'no_boxes' when vec_id % 6 = 2 then 'no_keypoints' end as skipped,
+  list_aggregate(list_transform(range(17), lambda j: printf('%.6f %.6f ', ((vec_id + j) % 10) / 10, 0.5) || case when (vec_id + j) % 3 = 2 then '2' when (vec_id + j) % 3 = 1 then '1' else '0' end), 'string_agg', ' ') as points from embeddings)"""
+
+
+def predicted(spark, d):
+    k, places = F.col("vec_id"), F.sequence(F.lit(0), F.lit(16))
+    xy = F.transform(places, lambda j: F.array(((k + j) % 10) / 10, F.lit(0.5)))
+    sure = F.transform(places, lambda j: F.when((k + j) % 3 == 2, 0.5).when((k + j) % 3 == 1, 0.25))
+    boxes = F.when(k % 6 == 1, F.array().cast("array<array<double>>")).otherwise(F.array(F.array(*map(F.lit, (0.5, 0.5, 0.25, 0.125)))))
+    rows = table(spark, d, "embeddings").select(k.alias("sample_id"), F.lit("p").alias("image_path"), boxes.alias("boxes"), F.when(k % 6 != 2, F.array(xy)).alias("points"), F.array(sure).alias("confidences"), F.when(k % 6 == 0, "broken").alias("error"))
+    return L.predicted_labels(rows, 0.5)
+
+
+@query(f"with {PREDICTED} select vec_id, skipped, cast(case when skipped is null then 1 else 0 end as int) as n_persons, case when skipped is null then '0 0.500000 0.500000 0.250000 0.125000 ' || points || chr(10) end as label from p")
+def predicted_labels(spark, d):
+    """SF13, UD6."""
+    return predicted(spark, d).select(F.col("sample_id").alias("vec_id"), "skipped", "n_persons", "label")
+
+
+@query(f"with {PREDICTED} select coalesce(skipped, 'written') as outcome, count(*) as n from p group by 1")
+def skipped_rows(spark, d):
+    """PF25, SF24."""
+    return L.skip_counts(predicted(spark, d))
+
+
+@query("""
+with t as (select c_custkey, o_orderkey from customer join orders on o_custkey = c_custkey where c_custkey % 2 = 0 and o_orderkey % 3 < 2)
+select c_custkey || '_c' as sample_id, 'd/' || c_custkey || '_c.png' as image_path, string_agg(cast(o_orderkey % 3 as varchar) || printf(' 0.000000 0.000000 1.000000 0.500000 %.6f 1.000000', (o_orderkey % 100) / 100), chr(10) order by o_orderkey) || chr(10) as label from t group by c_custkey""")
+def segment_labels(spark, d):
+    """SF14, SF15, JN8: orders stand for polygons; a third of them has an unknown class, and every one a useless item beside it."""
+    k, number = F.col("o_orderkey"), lambda *x: F.array(*(F.lit(float(v)) for v in x))
+    points = F.array(number(0, -5), number(200, 50), number(7), F.array((k % 100).cast("double"), F.lit(100.0)))
+    name = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("z")), (k % 3 + 1).cast("int"))
+    item = lambda kind, p: F.struct(F.lit(kind).alias("type"), F.struct(F.array(name, F.lit("b")).alias("polygonlabels"), p.alias("points")).alias("value"))
+    result = F.array(item("polygonlabels", points), item("rectanglelabels", points), item("polygonlabels", F.slice(points, 1, 2)))
+    tasks = table(spark, d, "orders").select(F.concat(F.lit("s3://x/"), "o_custkey", F.lit("_c.png")).alias("image"), k.alias("pos"), result.alias("result"))
+    files = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.concat(F.lit("d/"), "c_custkey", F.lit("_c.png")).alias("path"))
+    return L.segment_labels(tasks, files, ["a", "b"])
+
+
+@query("with s as (select vec_id, cast(embedding[1:32] as double[]) as a, cast(embedding[33:64] as double[]) as b from embeddings) select vec_id, list_inner_product(a, b) / (sqrt(list_inner_product(a, a)) * sqrt(list_inner_product(b, b))) as cosine from s where list_inner_product(a, a) > 0 and list_inner_product(b, b) > 0")
+def half_cosine(spark, d):
+    """UD11."""
+    e = F.col("embedding").cast("array<double>")
+    return table(spark, d, "embeddings").select("vec_id", V.cosine(F.slice(e, 1, 32), F.slice(e, 33, 32)).alias("cosine")).where("cosine is not null")
+
+
+# more reports
+
+
+@query("select coalesce(avg(s_acctbal) filter (where s_nationkey % 3 = 0), 0.0) as real_mean, coalesce(avg(s_acctbal) filter (where s_nationkey % 3 = 1), 0.0) as synthetic_mean from supplier")
+def slice_means(spark, d):
+    """AG13."""
+    source = F.when(F.col("s_nationkey") % 3 == 0, "real").when(F.col("s_nationkey") % 3 == 1, "synthetic").otherwise("other")
+    return E.slice_means(table(spark, d, "supplier").select(source.alias("source"), F.col("s_acctbal").alias("score")))
+
+
+@query("""
+with v as (select p_partkey, (p_partkey % 101) / 100 as t, (p_size % 7) / 10 as r, (p_size % 5) / 10 as s from part),
+m as (select *, round_even(greatest(0.0, least(1.0, 0.4 + t * 0.5 + r * 0.08)), 4) as map50 from v)
+select p_partkey, map50, round_even(greatest(0.0, least(1.0, map50 - 0.13)), 4) as map50_95, round_even(greatest(0.0, least(1.0, 0.35 + t * 0.4 + s * 0.12)), 4) as iou_mean, round_even(greatest(0.01, least(1.0, 0.35 - t * 0.25)), 4) as calibration_error,
+  case when map50 < 0.65 then 'tighten_filter' else 'relax_filter' end as action from m""")
+def metric_formulas(spark, d):
+    """AG14, AG24."""
+    t, r, s = (F.col("p_partkey") % 101) / 100, (F.col("p_size") % 7) / 10, (F.col("p_size") % 5) / 10
+    found = table(spark, d, "part").select("p_partkey", E.metric_formulas(t, r, s).alias("m")).select("p_partkey", "m.*")
+    return found.withColumn("action", E.seg_policy(F.col("map50")))
+
+
+@query("select p_partkey, greatest(0.0, least(0.99, round_even(0.5 + least(p_size / 100, 0.35) - 0.15 * abs((p_partkey % 11) / 10 - 0.5), 4))) as metric from part")
+def train_metric(spark, d):
+    """AG16."""
+    return table(spark, d, "part").select("p_partkey", E.train_metric(F.col("p_size"), (F.col("p_partkey") % 11) / 10).alias("metric"))
+
+
+@query("select 0 as turn, count(*) filter (where c_nationkey < 9) as real, count(*) filter (where c_nationkey > 19) as synthetic, count(*) as total from customer union all select 1, count(*), 0, count(*) from supplier")
+def dataset_sources(spark, d):
+    """PF23: by the prefix of names, or by the path where no name has one."""
+    name = F.concat(F.when(F.col("c_nationkey") < 9, "real_").when(F.col("c_nationkey") > 19, "synth_").otherwise("other_"), "c_name")
+    first = E.path_sources(table(spark, d, "customer").select(name.alias("name")), "x/synth")
+    return first.select(F.lit(0).alias("turn"), "*").unionByName(E.path_sources(table(spark, d, "supplier").select(F.col("s_name").alias("name")), "x/Real_only").select(F.lit(1).alias("turn"), "*"))
+
+
+@query(f"with a as ({SPLIT.format(seed=42, rows='documents')}), b as ({SPLIT.format(seed=43, rows='(select doc_id from a where r > greatest(1, floor(n * 0.15)))')}) select doc_id, 'test' as split from a where r <= greatest(1, floor(n * 0.15)) union all select doc_id, case when r <= greatest(1, floor(n * 0.2)) then 'val' else 'train' end from b")
+def split_by_ratio(spark, d):
+    """SO5, SO6: the test split by a ratio."""
+    return R.split_with_holdout(table(spark, d, "documents").select("doc_id"), "doc_id", 0.2, 42, test_ratio=0.15)
+
+
+@query("select 'real_' || c_name as name, case when c_nationkey % 3 = 0 then 'train' else 'val' end as split from customer where c_nationkey % 3 < 2 union all select 'synth_' || s_name, 'train' from supplier")
+def mixed_legacy(spark, d):
+    """SO3 without a shared evaluation set: train and val of both."""
+    split = F.when(F.col("c_nationkey") % 3 == 0, "train").when(F.col("c_nationkey") % 3 == 1, "val").otherwise("test")
+    return R.mixed_dataset(table(spark, d, "customer").select(F.col("c_name").alias("name"), split.alias("split")), table(spark, d, "supplier").select(F.col("s_name").alias("name"), F.lit("train").alias("split")))
+
+
+@query("select 'image' as kind, o_orderkey as id from orders where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R' group by 1 having count(*) = 1) union all select 'annotation', l_partkey from lineitem where l_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R' group by 1 having count(*) = 1) union all select distinct 'licence', o_custkey % 25 from orders where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R' group by 1 having count(*) = 1)")
+def single_person_tables(spark, d):
+    """OR13: images, annotations and licences of the subset."""
+    lines = table(spark, d, "lineitem")
+    images = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 25).alias("license"))
+    kept, annotations, licences = R.subset(R.single_only(lines, "l_orderkey", F.col("l_returnflag") == "R"), "l_orderkey", images, lines, spark.range(25))
+    row = lambda df, kind, c: df.select(F.lit(kind).alias("kind"), F.col(c).cast("long").alias("id"))
+    return row(kept, "image", "l_orderkey").unionByName(row(annotations, "annotation", "l_partkey")).unionByName(row(licences, "licence", "id"))
+
+
 # streams
 
 

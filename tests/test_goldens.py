@@ -105,13 +105,18 @@ def test_threshold():
 
 def test_splits(spark):
     ids = spark.createDataFrame([(k,) for k in range(5)], "id long")
-    got = R.split_with_holdout(ids, "id", 2, 0.34, 42)
+    got = R.split_with_holdout(ids, "id", 0.34, 42, test_count=2)
     counts = dict(map(tuple, got.groupBy("split").count().collect()))
     assert counts == {"train": 2, "val": 1, "test": 2}
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, R.split_with_holdout(ids, "id", 2, 0.34, 42).collect()))
-    assert R.split_sizes(5, count=2) == 2 and R.split_sizes(3, ratio=0.2, at_least_one=True) == 1
-    with pytest.raises(ValueError):
-        R.split_sizes(5, ratio=0.1, count=1)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, R.split_with_holdout(ids, "id", 0.34, 42, test_count=2).collect()))
+    n = lambda k: F.lit(k).cast("long")
+    r = one(spark, a=R.split_size(n(5), count=2), b=R.split_size(n(3), ratio=0.2, at_least_one=True), c=R.split_size(n(0), ratio=0.2, at_least_one=True), d=R.split_size(n(9), ratio=0.5), e=R.split_size(n(9)), f=R.split_size(n(9), ratio=0.0, at_least_one=True))
+    assert tuple(r) == (2, 1, 0, 4, 0, 0)
+    for bad in ({"ratio": 0.1, "count": 1}, {"ratio": 1.0}, {"count": -1}):
+        with pytest.raises(ValueError):
+            R.split_size(n(5), **bad)
+    with pytest.raises(Exception, match="within the total"):
+        one(spark, a=R.split_size(n(5), count=6))
 
 
 def test_mixed_dataset(spark):
@@ -169,7 +174,8 @@ def test_rows_that_fail_keep_their_error(spark):
 
 
 def test_manifests(spark, tmp_path):
-    from millrace.sources import coco_tables, filter_inputs, read_manifest, write_manifest
+    from millrace.operators.manifests import filter_inputs
+    from millrace.sources import coco_tables, read_manifest, write_manifest
 
     rows = spark.createDataFrame([("a", None, "p", 0), (" ", "s", "q", 1)], "sample_id string, synthetic_image_path string, image_path string, pos int")
     write_manifest(rows, str(tmp_path / "m"))
@@ -187,13 +193,13 @@ def test_plans(spark, tmp_path):
     tasks, go_on = parse_plan(plan)
     assert [a.kind for a in tasks[1].actions] == ["a", "b", "c"] and not go_on
     seen = []
-    assert run_plan(plan, lambda t: 0, lambda a, t: seen.append((a.kind, t.name))) == {"tasks": [("x", 0), ("y", 0)], "exit": 0}
-    assert seen == [("a", "x"), ("a", "y"), ("c", "y")]
+    assert run_plan(plan, lambda t: 0, lambda a, t: seen.append((a.kind, t.name))) == {"tasks": [("s_1", 0), ("s_2", 0)], "exit": 0, "jobs": 2, "results": [{"stage": "s", "name": "s_1", "code": 0, "actions": [("a", "ok")]}, {"stage": "s", "name": "s_2", "code": 0, "actions": [("a", "ok"), ("c", "ok")]}]}
+    assert seen == [("a", "s_1"), ("a", "s_2"), ("c", "s_2")]
 
     def broken(a, t):
         raise RuntimeError
 
-    assert run_plan(plan, lambda t: 0, broken)["tasks"] == [("x", 90)]
+    assert run_plan(plan, lambda t: 0, broken)["tasks"] == [("s_1", 90)]
     runner = Runner(spark, str(tmp_path), {"make": lambda s, c, _: s.range(c["n"]), "double": lambda s, c, d: d.union(d)})
     for expected in ("completed", "skipped"):
         assert runner.run(["make", "double"], {"make": {"n": 3}}).count() == 6
@@ -203,9 +209,245 @@ def test_plans(spark, tmp_path):
         runner.run(["other"], {})
 
 
+def test_plan_settings(tmp_path):
+    from millrace.plans import alone, parse_actions, parse_plan, run_plan, truth, wired
+
+    assert [truth(x, True) for x in ("false", " ON ", None, 0, "", "other")] == [False, True, True, False, False, True]
+    a = parse_actions([{"type": "x", "on": " Success ", "enabled": "no", "timeout_sec": "3"}])[0]
+    assert (a.on, a.enabled, a.timeout_sec) == ("success", False, 3)
+    for bad in ([{"type": " "}], [{"type": "x", "on": "never"}], [{"type": "x", "timeout_sec": 0}], "x"):
+        with pytest.raises(ValueError):
+            parse_actions(bad)
+    plan = {"serial_plan": {"continue_on_error": "yes", "stages": [{"tasks": ["a.yaml"]}, {"tasks": [{"config": "b.yaml", "name": "b"}]}]}}
+    tasks, go_on = parse_plan(plan)
+    assert [(t.stage, t.name) for t in tasks] == [("stage_1", "stage_1_1"), ("stage_2", "b")] and go_on
+    out = run_plan(plan, lambda t: int(t.name == "stage_1_1"), lambda a, t: None, str(tmp_path / "s" / "summary.json"))
+    assert out["exit"] == 1 and len(json.loads((tmp_path / "s" / "summary.json").read_text())["results"]) == 2
+    with pytest.raises(ValueError):
+        parse_plan({"serial_plan": {"stages": [{"name": "x"}]}})
+    assert wired({"filter": {"input_manifests": ["m"]}}, "r") == {"filter": {"input_manifests": ["m"]}, "generate": {"real_manifest": "r/dataloader/real_manifest.jsonl"}}
+    with alone(str(tmp_path / "lock")):
+        with pytest.raises(RuntimeError), alone(str(tmp_path / "lock")):
+            pass
+    with alone(str(tmp_path / "lock")):
+        pass
+
+
+def test_round_of_stages(spark, tmp_path):
+    from millrace.plans import ROUNDS, Runner
+    from millrace.plans.stages import stages
+    from millrace.sources import write_manifest
+
+    real = spark.createDataFrame([(f"r{k}", f"d/{k}.png", "real", 8, 6, "l" if k % 2 else None, k) for k in range(6)], "sample_id string, image_path string, source string, width int, height int, label_path string, pos long")
+    write_manifest(real, str(tmp_path / "real"))
+
+    def load():
+        return (lambda texts: [len(x) for x in texts]), (lambda inputs, vectors: [[float(v) for v in vectors] for _ in inputs])
+
+    runner = Runner(spark, str(tmp_path / "run"), stages(load))
+    settings = {"dataloader": {"manifest": str(tmp_path / "real"), "require_labels": True}, "generate": {"synth_per_real": 2}, "filter": {"positive": ["long text"], "negative": ["text"], "threshold": 5}, "train": {"max_train_samples": 4}, "eval": {"target_map50": 0.5}}
+    got = runner.run(ROUNDS["whole"], settings).first()
+    assert runner.summary["completed"] == ROUNDS["whole"] and got.map50 == 0.6325 and got.policy.action == "relax_filter"
+    with pytest.raises(Exception, match="no network"):
+        runner.run(["train_yolo_pose"], {})
+    assert runner.summary["status"] == "failed"
+
+
+def test_graphs(spark):
+    from millrace.functions import graphs
+
+    good = '{"3": {"class_type": "K", "inputs": {"seed": 1}}}'
+    r = one(spark, a=graphs.with_inputs(F.lit(good), {("3", "seed"): F.lit(9), ("7", "text"): F.lit('x "y"'), ("", "z"): F.lit(1)}), b=graphs.is_api_graph(F.lit("{}")), c=graphs.is_api_graph(F.lit(good)), d=graphs.is_ui_graph(F.lit(good)), e=graphs.checked_graph(F.lit(good)))
+    assert json.loads(r.a) == {"3": {"class_type": "K", "inputs": {"seed": 9}}, "7": {"inputs": {"text": 'x "y"'}}} and (r.b, r.c, r.d, r.e) == (False, True, False, good)
+    with pytest.raises(Exception, match="editor file"):
+        one(spark, a=graphs.checked_graph(F.lit('{"nodes": [], "links": []}')))
+
+
+def test_coercions(spark):
+    r = one(spark, a=S.parse_bool(F.lit(0.0)), b=S.parse_bool(F.lit(" ")), c=S.parse_bool(F.lit("")), d=S.parse_bool(F.lit(2)), e=S.parse_bool(F.lit(None).cast("string"), True), f=S.parse_bool(F.lit(True)), g=V.bbox_area_ratio(F.array(F.lit(None).cast("double"), *map(F.lit, (0.0, 10.0, 10.0))), F.lit(10), F.lit(10)), h=S.render("$a {b}", {"a": F.lit("{b}{x}"), "b": F.lit("{a}")}), i=V.cosine(doubles(1, 0), doubles(0, 0)))
+    assert tuple(r) == (False, True, False, True, True, True, 1.0, "{a}{x} {a}", None)
+    p = one(spark, a=S.augmentation(F.lit(7))).a
+    assert -8 <= p.degrees <= 8 and 0.85 <= p.brightness <= 1.25
+
+
+def test_calibration_fails_on_nothing(spark):
+    with pytest.raises(ValueError, match="empty"):
+        C.sweep(spark.createDataFrame([], "margin double, label int"))
+    with pytest.raises(ValueError, match="no threshold"):
+        C.best_at_min_precision(swept(spark, [0.1, 0.9], [1, 0]), 0.9, required=True)
+
+
+def test_batched_models(spark):
+    from millrace.operators.scoring import device, job_results, margin_rows, predict_rows
+
+    def load():
+        calls = []
+
+        def model(inputs):
+            calls.append(len(inputs))
+            if any(x < 0 for x in inputs):
+                raise ValueError("negative")
+            return [(x, max(calls)) for x in inputs]
+
+        return model
+
+    rows = spark.createDataFrame([(float(k if k != 5 else -5),) for k in range(10)], "x double").coalesce(1)
+    got = {r.x: r for r in predict_rows(rows, load, "x", "struct<v:double,most:int>", batch_size=4).collect()}
+    assert got[-5.0].score is None and got[-5.0].error == "ValueError: negative" and got[3.0].score == (3.0, 4) and sum(r.error is None for r in got.values()) == 9
+
+    def margins():
+        return (lambda texts: [float(len(x)) for x in texts]), (lambda images, vectors: [None if i == "bad" else [v * len(i) for v in vectors] for i in images])
+
+    m = {r.image_path: r for r in margin_rows(spark.createDataFrame([("abc",), ("bad",)], "image_path string"), margins, ["12", "1234"], ["1"], 5.0, top_k=1).collect()}
+    assert (m["abc"].margin, m["abc"].decision, m["bad"].margin, m["bad"].decision) == (9.0, "accept", None, "reject")
+
+    def client():
+        asked = []
+
+        def fetch(name):
+            asked.append(name)
+            return None if asked.count(name) < 3 or name == "late" else f"done {name}"
+
+        return (lambda request: request), fetch
+
+    jobs = spark.createDataFrame([(1, "a"), (2, "late")], "job long, request string")
+    got = {r.job: r for r in job_results(jobs, client, timeout=0.05, every=0.01, retries=1).collect()}
+    assert got[1].result == "done a" and got[2].error.startswith("TimeoutError")
+    assert device("cuda:0", lambda: False) == "cpu" and device("cpu", lambda: True) == "cpu"
+
+
+def test_files(spark, tmp_path):
+    import struct
+    import zipfile
+
+    from millrace.sources import image_size
+    from millrace.sources import files as X
+
+    for name in ("b.png", "a.png", "c.jpg", "below/d.png"):
+        (tmp_path / "f" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "f" / name).write_bytes(b"x")
+    names = lambda df: [r.path.split("/")[-1] for r in df.orderBy("pattern", "path").collect()]
+    assert names(X.listing(spark, str(tmp_path / "f"), ["*.jpg", "*.png", "a*"])) == ["c.jpg", "a.png", "b.png", "a.png"]
+    assert names(X.listing(spark, str(tmp_path / "f"), ["**/*.png"], 2)) == ["a.png", "b.png"]
+    with zipfile.ZipFile(tmp_path / "set.zip", "w") as z:
+        for k in range(5):
+            z.writestr(f"set/{k}.txt", str(k))
+        z.writestr("__other/x", "y")
+    spark.dataSource.register(X.ArchiveSource)
+    assert sorted(map(tuple, spark.read.format("zip_members").option("path", str(tmp_path / "set.zip")).load().collect())) == [(f"{k}.txt", str(k).encode()) for k in range(5)]
+    (tmp_path / "l.json").write_text(json.dumps([{"imagepath": "a", "label": " Accept"}, {"path": "b", "label": "reject"}]))
+    assert [tuple(r) for r in X.labelled_rows(spark, str(tmp_path / "l.json")).collect()] == [("a", "accept", 1), ("b", "reject", 0)]
+    (tmp_path / "bad.json").write_text(json.dumps([{"imagepath": "a", "label": "maybe"}]))
+    with pytest.raises(Exception, match="label must be"):
+        X.labelled_rows(spark, str(tmp_path / "bad.json")).collect()
+    assert X.manifest_paths(" a ") == ["a"] and X.manifest_paths(["a", " ", "b"]) == ["a", "b"]
+    with pytest.raises(ValueError):
+        X.manifest_paths([None, " "])
+    assert X.resolve_path("a.png", str(tmp_path / "f"), "/root") == str(tmp_path / "f" / "a.png")
+    assert X.resolve_path("none", "/x", "/y", "root") == "/y/none" and X.resolve_path("none", "/x", "/y") == "/x/none"
+    (tmp_path / "d" / "images" / "val").mkdir(parents=True)
+    assert X.eval_split(str(tmp_path / "d")) == "val"
+    with pytest.raises(FileNotFoundError):
+        X.eval_split(str(tmp_path))
+    assert X.manifest_settings(None)["guide_type"] == "prompt" and not X.needs_real_rows("comfyui", "prompt")
+    png = b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", 640, 480)
+    bmp = b"BM" + bytes(16) + struct.pack("<ii", 30, -20)
+    jpeg = b"\xff\xd8\xff\xe0" + struct.pack(">H", 16) + bytes(14) + b"\xff\xe1" + struct.pack(">H", 300) + bytes(298) + b"\xff\xc2" + struct.pack(">HBHH", 17, 8, 777, 1234) + bytes(9)
+    vp8 = b"RIFF" + bytes(4) + b"WEBPVP8 " + bytes(10) + struct.pack("<HH", 176, 144)
+    vp8x = b"RIFF" + bytes(4) + b"WEBPVP8X" + bytes(8) + (4000 - 1).to_bytes(3, "little") + (3000 - 1).to_bytes(3, "little")
+    vp8l = b"RIFF" + bytes(4) + b"WEBPVP8L" + bytes(4) + b"\x2f" + ((100 - 1) | (50 - 1) << 14).to_bytes(4, "little")
+    rows = spark.createDataFrame([(k, bytearray(x)) for k, x in enumerate([png, bmp, jpeg, vp8, vp8x, vp8l, b"text", b"", b"\xff\xd8\xff"])], "k int, content binary")
+    got = [tuple(r.s) for r in rows.select("k", image_size(F.col("content")).alias("s")).orderBy("k").collect()]
+    assert got == [(640, 480), (30, 20), (1234, 777), (176, 144), (4000, 3000), (100, 50), (None, None), (None, None), (None, None)]
+
+
+def test_pages_of_a_service(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.parse import parse_qs, urlparse
+
+    from millrace.operators.manifests import import_tasks
+    from millrace.sources import files as X
+    from millrace.sources.sinks import post_tasks
+
+    got = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_GET(self):
+            page = int(parse_qs(urlparse(self.path).query)["page"][0])
+            found = [{"id": 10 * page + k} for k in range(3)] if page <= 5 else []
+            body = json.dumps({"results": found, "next": "x" if page < 5 else None}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def do_POST(self):
+            got.append((self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            self.send_response(201)
+            self.end_headers()
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}/"
+        spark.dataSource.register(X.PagesSource)
+        for parts in (1, 3):
+            rows = spark.read.format("task_pages").options(base_url=url, token="t", project="1", page_size="3", partitions=str(parts)).load().collect()
+            assert sorted(json.loads(r.task)["id"] for r in rows) == [10 * p + k for p in range(1, 6) for k in range(3)]
+        tasks = import_tasks(spark.createDataFrame([("u", 1), (None, 2), ("v", 3)], "image_url string, n int").coalesce(1))
+        post_tasks(tasks, url, "t", 1)
+        assert got == [("Token t", [{"data": {"image": "u"}, "meta": {"image_url": "u", "n": 1}}, {"data": {"image": "v"}, "meta": {"image_url": "v", "n": 3}}])]
+        with pytest.raises(ValueError):
+            import_tasks(spark.createDataFrame([(1,)], "n int"))
+    finally:
+        server.shutdown()
+
+
+def test_sinks(spark, tmp_path):
+    import zipfile
+
+    from millrace.sources import files as X
+    from millrace.sources import sinks as K
+
+    scores = spark.createDataFrame([("a", "accept"), ("b", "reject"), ("c", "accept")], "sample_id string, decision string")
+    K.write_by_decision(scores, str(tmp_path / "s"), ("accept", "reject", "uncertain"))
+    count = lambda d: spark.read.schema("sample_id string").json(str(tmp_path / "s" / d)).count()
+    assert [count(d) for d in ("scores", "accept", "reject", "uncertain")] == [3, 2, 1, 0]
+    with pytest.raises(Exception, match="unknown decision"):
+        K.write_by_decision(scores, str(tmp_path / "t"), ("accept",))
+    (tmp_path / "i").mkdir()
+    for k in range(3):
+        (tmp_path / "i" / f"{k}.png").write_text(str(k))
+    rows = spark.createDataFrame([(f"{k}.png", "train" if k else "val", f"label {k}\n") for k in range(3)], "file_name string, split string, label string")
+    for _ in range(2):  # again gives the same
+        K.write_label_files(rows, str(tmp_path / "d"), str(tmp_path / "i"))
+    found = sorted(str(p.relative_to(tmp_path / "d")) for p in (tmp_path / "d").rglob("*") if p.is_file())
+    assert found == ["images/train/1.png", "images/train/2.png", "images/val/0.png", "labels/train/1.txt", "labels/train/2.txt", "labels/val/0.txt"]
+    path = K.write_dataset(str(tmp_path / "d"), K.dataset_document(str(tmp_path / "d"), ["person"], {"train": "train", "val": "val"}))
+    told = X.dataset_settings(path)
+    assert told["train"] == "images/train" and told["kpt_shape"] == [17, 3] and len(told["flip_idx"]) == 17 and X.dataset_folder(told, path) == str(tmp_path / "d")
+    for mode in K.MODES:
+        K.place_files(spark.createDataFrame([(str(tmp_path / "i" / "1.png"), str(tmp_path / "m" / mode))], "source string, target string"), mode)
+        assert (tmp_path / "m" / mode).read_text() == "1" and (tmp_path / "m" / mode).is_symlink() == (mode == "symlink")
+    with pytest.raises(ValueError):
+        K.place_file("a", "b", "move")
+    assert K.zip_folder(str(tmp_path / "i"), str(tmp_path / "z.zip")) == 3 and zipfile.ZipFile(tmp_path / "z.zip").namelist() == ["0.png", "1.png", "2.png"]
+    told = K.write_generated(scores, str(tmp_path / "g"), {"write_trace_artifacts": True, "trace_synth_name": "t.jsonl"}, {"n": 3})
+    assert spark.read.json(told["trace_synth_manifest"]).count() == 3 and json.loads((tmp_path / "g" / "report.json").read_text()) == told
+    assert K.output_folder(None, str(tmp_path / "o"), "x") == (str(tmp_path / "o"), "default") and K.output_folder(None, str(tmp_path / "z.zip" / "o"), str(tmp_path / "fb"))[1] == "fallback"
+    settings = {"run": {"run_id": "r", "artifacts_root": str(tmp_path / "a")}}
+    assert K.filter_input_path({}) == "artifacts/runs/m1_local_run/filter/siglip2_input_manifest.jsonl" and K.save_filter_inputs(scores, settings).startswith(str(tmp_path / "a" / "r" / "filter"))
+    assert R.check_unique(scores, "sample_id", "decision") is scores
+    with pytest.raises(ValueError, match="belongs to accept and reject"):
+        R.check_unique(scores.withColumn("x", F.lit("same")), "x", "decision")
+
+
 def test_native_operators_stay_in_the_engine(spark):
     from millrace.queries import QUERIES
 
-    for name in ("pose_gate", "sweep_candidates", "coco_resolve", "split_holdout"):
+    for name in ("pose_gate", "sweep_candidates", "coco_resolve", "split_holdout", "filter_inputs", "trace_rows", "pose_labels", "segment_labels", "gated_rows", "clean_summary"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
