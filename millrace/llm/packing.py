@@ -4,8 +4,9 @@ Documents are turned into token ids, followed by an end id; only those longer th
 but fixed order in shards of bounded size. A shard keeps a fixed number of open sequences in a bitset keyed by free space: a piece
 goes where it leaves the least space; if it fits nowhere and all places are taken, the fullest sequence closes first.
 
-Words are encoded once and looked up: the tokenizer lowers letters and never merges across white space or between letters and
-marks, so the ids of a text are those of its parts. Texts are encoded whole.
+Words are encoded once and looked up, where the tokenizer's settings allow it (NORMALIZER, PIECES): such a tokenizer lowers letters
+and never merges across white space or between letters and marks, so the ids of a text are those of its parts. Any other tokenizer
+encodes the texts itself. Texts are encoded whole.
 
 Defined results: a null or empty text is one piece that holds the end id alone; a null doc_id stays null; rows that share a doc_id
 are documents of their own; an empty table gives an empty table; other columns are not read.
@@ -13,6 +14,7 @@ are documents of their own; an empty table gives an empty table; other columns a
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -25,6 +27,15 @@ from pyspark.sql import functions as F
 
 from .common import Batches, batch, mapped, ragged, stored, utf8
 
+#: Settings of tokenizers that read word by word: fixed values of the format.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECES = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: Words that a worker remembers; then it starts anew.
 REMEMBERED = 500_000
 
@@ -96,13 +107,37 @@ class WordIds:
             yield self.ids[ragged(self.start[at], self.length[at])]
 
 
+class TextIds:
+    """Token ids of texts by any tokenizer, a few texts at once."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        for k in range(0, len(texts), 64):
+            for e in self.tokenizer.encode_batch([t.decode() for t in texts[k : k + 64]], add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
+
+
+def by_word(path: str) -> bool:
+    """Whether the tokenizer reads word by word, so that WordIds gives its ids."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    model = found.get("model") or {}
+    plain = model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+    return plain and found.get("normalizer") == NORMALIZER and found.get("pre_tokenizer") == PIECES and all(t["content"].startswith("<|") for t in found.get("added_tokens") or [])
+
+
 #: What this worker has learned, for its next tasks.
-_LEARNED: dict[str, WordIds] = {}
+_LEARNED: dict[str, WordIds | TextIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str) -> WordIds | TextIds:
     if path not in _LEARNED:
-        _LEARNED[path] = WordIds(path)
+        _LEARNED[path] = (WordIds if by_word(path) else TextIds)(path)
     return _LEARNED[path]
 
 

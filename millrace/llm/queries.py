@@ -70,6 +70,17 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "distance")
 
 
+def base_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op2 says beside the model's score, to six places, since sums of logarithms depend on their order."""
+    found = op2_context_tree_weighting(spark, sf_dir)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+def exact_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of op10 whose item stands in the document as it is."""
+    return op10_benchmark_decontamination(spark, sf_dir).where("distance = 0").select("doc_id", "item_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +94,8 @@ QUERIES = {
         op8_toxicity,
         op9_html_extraction,
         op10_benchmark_decontamination,
+        base_word_scores,
+        exact_benchmark_hits,
     )
 }
 
@@ -132,5 +145,20 @@ each as (select doc_id, unnest(ws) as x, unnest(range(1, len(ws) + 1)) as j from
 kept as (select e.doc_id, string_agg(e.x, ' ' order by e.j) as t, count(*) as n from each e anti join gone g on g.doc_id = e.doc_id and g.j = e.j group by 1)
 select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(kept.n, 0) as bigint) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
 from w left join kept using (doc_id)
+""",
+    "base_word_scores": r"""
+with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab),
+w as (select doc_id, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ord(x) as bigint))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 2, false) as held_out,
+  list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), '') as ws from documents, tab),
+t as (select doc_id, held_out, unnest(ws) as x from w),
+c as (select x, count(*) as c from t where not held_out group by 1),
+s as (select cast(sum(c) as bigint) as n, count(*) as v from c)
+select t.doc_id, t.held_out, count(*) as n_tokens, count(c.c) as n_known, any_value(s.n) as train_tokens, round(sum(log10((coalesce(c.c, 0) + 1) / (s.n + s.v + 1))), 6) as base_score
+from t left join c using (x) cross join s group by 1, 2
+""",
+    "exact_benchmark_hits": r"""
+with d as (select doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as t from documents),
+b as (select distinct item_id, trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as t from benchmark)
+select doc_id, item_id from d join b on b.t <> '' and contains(d.t, b.t)
 """,
 }

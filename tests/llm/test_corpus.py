@@ -158,6 +158,23 @@ def test_packing(docs, rows):
         assert at <= 256
 
 
+def test_packing_by_any_tokenizer(docs, tmp_path):
+    import json
+
+    from millrace.llm import packing as K
+    from millrace.llm.queries import vocabulary
+
+    path = vocabulary("word_bpe_49k.json")
+    assert K.by_word(path) and not K.by_word(vocabulary("byte_bpe_50k.json"))
+    settings = json.loads(open(path, encoding="utf-8").read())
+    settings["normalizer"]["normalizers"].append({"type": "NFC"})  # the same ids by other settings
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(settings))
+    assert not K.by_word(str(other))
+    cut = lambda p: [tuple(r) for r in K.pieces(docs, p, 256).drop("ids").collect()]
+    same(cut(str(other)), cut(path))
+
+
 def test_token_counts(docs, rows):
     from millrace.llm.token_counts import token_counts
 
@@ -461,6 +478,45 @@ def test_main_text_in_named_wrappers():
     assert main_text(f"<body>{ad}<article><h1>Title</h1><p>Somewhat longer than brief.</article>") == "Title\nSomewhat longer than brief."
 
 
+def test_pages_against_a_plain_reading(spark):
+    """Pages whose article is one element: a reading of that element alone gives the same."""
+    import os
+    from html.parser import HTMLParser
+
+    from millrace.llm.main_text import extract_main_text
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            if tag == "br":
+                self.blocks[-1] += " "
+            elif tag in ("article", "p", "h1", "h2", "h3", "ul", "ol", "li", "div", "blockquote", "pre"):
+                self.blocks.append("")
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            if tag in ("article", "p", "h1", "h2", "h3", "ul", "ol", "li", "div", "blockquote", "pre"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.blocks[-1] += data
+
+    pages = spark.read.parquet(f"{os.environ.get('TEST_SF_DIR', '/root/testdata/sf0.01')}/pages.parquet")
+    expected = {}
+    for r in pages.collect():
+        reader = Article()
+        reader.feed(r.html or "")
+        reader.close()
+        expected[r.page_id] = "\n".join(x for b in reader.blocks if (x := " ".join(b.split())))
+    got = {r.page_id: r.text for r in extract_main_text(pages).collect()}
+    assert got == expected and len(got) >= 40
+
+
 def test_pages(spark):
     from millrace.llm.main_text import extract_main_text
 
