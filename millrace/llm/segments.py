@@ -9,6 +9,7 @@ corpus is a list of segments, and windows can only be equal between segments of
    after the shuffle;
 3. one copy of each different segment goes to the shards, by its anchor, where an index (a suffix array or an FM-index) tells which
    windows of one segment occur in another;
+   windows of one segment occur in another; the segments of an anchor that has very many are cut by other anchors first;
 4. the verdict of each different segment goes back to its rows.
 
 Hashes of anchors only bring segments together. That segments are equal rests on the digest (XXH3, 128 bits, of the bytes themselves);
@@ -48,11 +49,11 @@ def pieces(lengths: np.ndarray, window: int, limit: int = SLAB) -> Iterator[list
         yield held
 
 
-def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the units between bounds: first window, number of windows and anchor hash of every segment."""
     n, width = len(values), window - gram + 1
     p = prefix_hashes(values)
-    g = mix((p[gram:] - p[: n - gram + 1]) * powers(INVERSE, n + 1)[: n - gram + 1])
+    g = mix((p[gram:] - p[: n - gram + 1]) * powers(INVERSE, n + 1)[: n - gram + 1] ^ U64(salt))
     mask = U64((1 << PLACE_BITS) - 1)
     low = (g & ~mask) | np.arange(len(g), dtype=np.uint64)
     step = 1
@@ -95,12 +96,12 @@ class Units:
         return pa.array([self.raw[a:z].tobytes() for a, z in self.places(start, end)], pa.binary())
 
 
-def scan(u: Units, window: int, gram: int) -> Iterator[tuple]:
+def scan(u: Units, window: int, gram: int, salt: int = 0) -> Iterator[tuple]:
     """(rows, first units in the row, windows, anchors) of the segments of some texts."""
     for group in pieces(np.diff(u.off), window):
         bounds = np.cumsum([0, *(z - a for _, a, z in group)])
         part = np.concatenate([u.values[u.off[r] + a : u.off[r] + z] for r, a, z in group]) if len(group) > 1 else u.values[u.off[group[0][0]] + group[0][1] : u.off[group[0][0]] + group[0][2]]
-        s, c, m = segments(part, bounds, window, gram)
+        s, c, m = segments(part, bounds, window, gram, salt)
         k = np.searchsorted(bounds, s, "right") - 1
         rows, froms = np.array([x[0] for x in group]), np.array([x[1] for x in group])
         yield rows[k], s - bounds[k] + froms[k], c, m
@@ -177,8 +178,13 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
     return docs.transform(mapped, found, "h long, g long, content binary", size=2 << 20)
 
 
-def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int, resolve, weight: str, every: bool) -> DataFrame:
-    """h, g, runs of each different segment; distinct has m, h, g, n and the column named by weight.
+#: Different segments of one anchor that one task takes; those of an anchor with more are cut by other anchors, so many times at most.
+HOT, LEVELS = 512, 3
+
+
+def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, every: bool) -> DataFrame:
+    """h, g, runs of each different segment; distinct has m, h, g, n and the column named by weight; combine aggregates weights of equal
+    segments.
 
     resolve(m, windows, weights, contents) gives for each row the runs (first window, windows, value) it finds. Unless every segment
     is wanted, anchors with one segment only get no index: all their windows have that segment's own weight, which the caller reads
@@ -187,6 +193,36 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
     anchors = stored(distinct.groupBy("m").agg(F.count("h").alias("k")).where(f"k > {0 if every else 1}").select("m"))
     wanted = distinct if every else distinct.join(anchors, "m", "left_semi")
     rows = segment_texts(docs, units, window, gram, anchors).dropDuplicates(["h", "g"]).join(wanted, ["h", "g"])
+    return _indexed(stored(rows.select("m", "h", "g", "n", weight, "content")), units, window, gram, resolve, weight, combine, 1)
+
+
+def _indexed(rows: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, level: int) -> DataFrame:
+    hot = rows.groupBy("m").agg(F.count("h").alias("k")).where(F.col("k") > HOT).select("m")
+    if level > LEVELS or hot.isEmpty():
+        return _shards(rows, resolve, weight)
+    hot = stored(hot)
+
+    def split(batches: Batches) -> Iterator[pa.RecordBatch]:
+        """The segments of the contents by anchors of another hash, with the places of their windows."""
+        for b in batches:
+            h, g, w = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "g", weight))
+            u = units(b.column("content"))
+            for r, s, c, m in scan(u, window, gram, level * 0x9E3779B97F4A7C15 % (1 << 64)):
+                at = u.off[r] + s
+                end = at + c + window - 1
+                d = u.digests(at, end)
+                yield batch(h=h[r], g=g[r], start=s.astype(np.int32), m=_signed(m), part_h=d[:, 0], part_g=d[:, 1], n=c.astype(np.int32), **{weight: w[r]}, content=u.contents(at, end))
+
+    cut = stored(mapped(rows.join(hot, "m", "left_semi").select("h", "g", weight, "content"), split, f"h long, g long, start int, m long, part_h long, part_g long, n int, {weight} long, content binary", size=1 << 20))
+    parts = cut.groupBy("m", F.col("part_h").alias("h"), F.col("part_g").alias("g"), "n").agg(combine(weight).alias(weight), F.min("content").alias("content"))
+    found = _indexed(stored(parts), units, window, gram, resolve, weight, combine, level + 1).withColumnsRenamed({"h": "part_h", "g": "part_g"})
+    runs = cut.select("h", "g", "start", "part_h", "part_g").join(found, ["part_h", "part_g"]).select("h", "g", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
+    whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct((F.col("start") + F.col("r.first")).alias("first"), F.col("r.count"), F.col("r.value"))).alias("r"))
+    back = whole.select("h", "g", *(F.col(f"r.{c}").alias(c) for c in ("first", "count", "value")))
+    return _shards(rows.join(hot, "m", "left_anti"), resolve, weight).unionByName(back)
+
+
+def _shards(rows: DataFrame, resolve, weight: str) -> DataFrame:
     schema = "h long, g long, first array<int>, count array<int>, value array<long>"
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +231,7 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
             yield batch(h=h, g=g, first=pa.array([[r[0] for r in x] for x in runs], pa.list_(pa.int32())), count=pa.array([[r[1] for r in x] for x in runs], pa.list_(pa.int32())), value=pa.array([[r[2] for r in x] for x in runs], pa.list_(pa.int64())))
 
     cols = ["m", "h", "g", "n", weight, "content"]
-    return rows.select(*cols).repartition(4 * parts_for(docs.sparkSession), "m").sortWithinPartitions("m", "h", "g").transform(mapped, shards, schema)
+    return rows.select(*cols).repartition(4 * parts_for(rows.sparkSession), "m").sortWithinPartitions("m", "h", "g").transform(mapped, shards, schema)
 
 
 #: Bytes of segments that one index covers; the different segments of one anchor always stay together, so that such a group may be larger.

@@ -60,7 +60,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 24, id_column
     base = texts(docs, id_column, text_column)
     segs = repeated_segments(base, word_units, window, gram, across_rows=True)
     distinct = stored(segs.groupBy("m", "h", "g", "n").agg(F.min("doc_id").alias("d")))
-    found = stored(verdicts(distinct, base, word_units, window, gram, lambda m, n, d, c: least_documents(m, n, d, c, window), "d", every=True))
+    found = stored(verdicts(distinct, base, word_units, window, gram, lambda m, n, d, c: least_documents(m, n, d, c, window), "d", F.min, every=True))
     spans = spans_of(segs, found, lambda value, doc: value < doc)
 
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:

@@ -92,7 +92,7 @@ def suffix_array_dedup(docs: DataFrame, length: int = 200, gram: int = 100, id_c
     base = texts(docs, id_column, text_column)
     segs = repeated_segments(base, byte_units, length, gram, across_rows=False)
     distinct = stored(segs.groupBy("m", "h", "g", "n").agg(F.count("key").alias("w")))
-    found = verdicts(distinct, base, byte_units, length, gram, lambda m, n, w, c: repeats(m, n, w, c, length), "w", every=False)
+    found = verdicts(distinct, base, byte_units, length, gram, lambda m, n, w, c: repeats(m, n, w, c, length), "w", F.sum, every=False)
     one = lambda c, t: F.array(c.cast(t))
     whole = distinct.where("w > 1").select("h", "g", one(F.lit(0), "int").alias("first"), one(F.col("n"), "int").alias("count"), one(F.lit(1), "long").alias("value"))
     partly = found.where(F.size("first") > 0).join(distinct.where("w = 1").select("h", "g"), ["h", "g"])

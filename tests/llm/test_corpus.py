@@ -99,6 +99,36 @@ def test_substring_dedup(docs, rows):
     same(substring_dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), expected)
 
 
+@pytest.fixture(scope="module")
+def variants(spark):
+    """Copies with an edit each, a shared passage inside, and copies of copies: one anchor has many different segments."""
+    rng = random.Random(12)
+    w = prose(rng, 160).split()
+    out = []
+    for k in range(60):
+        v = list(w)
+        v[rng.randrange(len(v))] = f"edit{k}"
+        out += [" ".join(v)] * (1 + (k % 7 == 0))
+    return spark.createDataFrame(list(enumerate(out)), "doc_id long, text string").repartition(3)
+
+
+def test_anchors_with_many_segments(variants, monkeypatch):
+    from millrace.llm import segments as S
+    from millrace.llm.substring_dedup import substring_dedup
+    from millrace.llm.suffix_dedup import suffix_array_dedup
+
+    both = lambda: [[tuple(r) for r in f(variants).drop("key", "kept").collect()] for f in (suffix_array_dedup, substring_dedup)]
+    whole = both()
+    assert all(sum(r[2] > 0 for r in x) > 30 for x in whole)
+    cut = []
+    monkeypatch.setattr(S, "HOT", 4)
+    indexed = S._indexed
+    monkeypatch.setattr(S, "_indexed", lambda *a: (cut.append(a[-1]), indexed(*a))[1])
+    for x, y in zip(both(), whole, strict=True):
+        same(x, y)
+    assert max(cut) > 1
+
+
 def test_prefix_tree_join(docs, rows):
     from millrace.llm.prefix_tree_join import prefix_tree_join
 
