@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from .operators import gate as G
 from .operators import labels as L
 from .operators import manifests as M
 from .operators import relational as R
-from .streaming import replay, window_counts
+from .streaming import decisions, replay, window_counts
 
 THRESHOLD = 0.25
 QUERIES: dict = {}
@@ -705,11 +703,12 @@ def half_cosine(spark, d):
 # more reports
 
 
-@query("select coalesce(avg(s_acctbal) filter (where s_nationkey % 3 = 0), 0.0) as real_mean, coalesce(avg(s_acctbal) filter (where s_nationkey % 3 = 1), 0.0) as synthetic_mean from supplier")
+@query("select round(coalesce(avg(s_acctbal) filter (where s_nationkey % 3 = 0), 0.0), 6) as real_mean, round(coalesce(avg(s_acctbal) filter (where s_nationkey % 3 = 1), 0.0), 6) as synthetic_mean from supplier")
 def slice_means(spark, d):
     """AG13."""
     source = F.when(F.col("s_nationkey") % 3 == 0, "real").when(F.col("s_nationkey") % 3 == 1, "synthetic").otherwise("other")
-    return E.slice_means(table(spark, d, "supplier").select(source.alias("source"), F.col("s_acctbal").alias("score")))
+    found = E.slice_means(table(spark, d, "supplier").select(source.alias("source"), F.col("s_acctbal").alias("score")))
+    return found.select(*(F.round(c, 6).alias(c) for c in found.columns))  # sums of doubles depend on their order
 
 
 @query("""
@@ -769,4 +768,13 @@ def stream_window_counts(spark, d):
     """Windowed counts of a finite stream, over all its events."""
     events = table(spark, d, "events")
     stream = spark.readStream.schema(events.schema).parquet(f"{d}/events.parquet*")
-    return replay(window_counts(stream), f"counts_{uuid.uuid4().hex}")
+    return replay(window_counts(stream), ["day", "event_type"])
+
+
+@query(f"with {MARGIN} select vec_id as id, margin, case when margin >= {THRESHOLD} then 'accept' else 'reject' end as decision from m")
+def stream_decisions(spark, d):
+    """PF4 on a stream: the same rows as margin_decision."""
+    stored = table(spark, d, "embeddings")
+    e = F.col("embedding").cast("array<double>")
+    stream = spark.readStream.schema(stored.schema).parquet(f"{d}/embeddings.parquet*")
+    return replay(decisions(stream.select(F.col("vec_id").alias("id"), F.slice(e, 1, 32).alias("positive"), F.slice(e, 33, 32).alias("negative")), THRESHOLD))

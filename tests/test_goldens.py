@@ -445,6 +445,21 @@ def test_sinks(spark, tmp_path):
         R.check_unique(scores.withColumn("x", F.lit("same")), "x", "decision")
 
 
+def test_streams(spark, tmp_path):
+    from millrace.streaming import replay, window_counts
+
+    write = lambda k, *days: spark.createDataFrame([(f"2024-01-{d:02d} 10:00:00", "view") for d in days], "t string, event_type string").selectExpr("cast(t as timestamp_ntz) as ts", "event_type").coalesce(1).write.parquet(str(tmp_path / "in" / f"{k}"))
+    write(0, 1, 1, 20)
+    write(1, 20, 21)
+    write(2, 1, 19, 21)  # the first is later than the watermark allows
+    stream = lambda: spark.readStream.schema("ts timestamp_ntz, event_type string").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = {r.day.day: r.n for r in replay(window_counts(stream(), late="5 days"), ["day", "event_type"]).collect()}
+    assert got == {1: 2, 19: 1, 20: 2, 21: 2}
+    assert replay(stream().where("event_type = 'view'")).count() == 8
+    (tmp_path / "none").mkdir()
+    assert replay(spark.readStream.schema("a int").parquet(str(tmp_path / "none"))).count() == 0
+
+
 def test_native_operators_stay_in_the_engine(spark):
     from millrace.queries import QUERIES
 
