@@ -1,4 +1,4 @@
-"""Manifests: filter inputs, generated rows and where they come from (PF1-PF3, PF19, PF20, JN6, SF23, AG19, SL4, SC10, SK13)."""
+"""Manifests: filter inputs, generated rows and where they come from (PF1-PF3, PF19, PF20, JN6, SF23, AG19, SL4, SC14, SC15, SK13)."""
 
 from __future__ import annotations
 
@@ -107,6 +107,14 @@ def import_tasks(rows: DataFrame, image_key: str = "image_url") -> DataFrame:
     return found.select(F.struct(F.col(image_key).alias("image")).alias("data"), F.struct("*").alias("meta"))
 
 
+def finished_jobs(messages: DataFrame) -> DataFrame:
+    """SC14: prompt_id of jobs whose last node is done, from a service's messages (JSON texts), also on a stream of them: messages of
+    type executing without a node."""
+    found = F.from_json("message", "struct<type:string,data:struct<node:string,prompt_id:string>>")
+    done = messages.select(found.alias("m")).where("m.type = 'executing' and m.data.node is null and m.data.prompt_id is not null")
+    return done.select("m.data.prompt_id")
+
+
 def history_outputs(histories: DataFrame, files: DataFrame) -> DataFrame:
     """SC15: images of finished jobs of type output whose file is there, in the order of nodes and images.
 

@@ -523,6 +523,14 @@ def history_outputs(spark, d):
     return M.history_outputs(jobs, table(spark, d, "part").where("p_size > 25").select(F.concat(F.lit("sub/"), "p_partkey", F.lit(".png")).alias("path")))
 
 
+@query("select cast(o_orderkey as varchar) as prompt_id from orders where o_orderstatus = 'F' and o_orderkey % 2 = 0")
+def finished_jobs(spark, d):
+    """SC14: orders stand for messages of a service."""
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "executing").otherwise("progress")
+    data = F.struct(F.when(F.col("o_orderstatus") != "F", "7").alias("node"), F.col("o_orderkey").cast("string").alias("prompt_id"))
+    return M.finished_jobs(table(spark, d, "orders").select(F.to_json(F.struct(kind.alias("type"), data.alias("data"))).alias("message")))
+
+
 # settings of names, prompts and graphs
 
 

@@ -1,4 +1,4 @@
-"""Where results go: manifests by decision, label files, images, datasets, archives and services (SK1-SK11, SK13, SK15-SK17, OR12).
+"""Where results go: manifests by decision, label files, images, datasets, archives and services (SK1-SK17, OR12).
 
 Files that belong to rows are written by the tasks that hold the rows, so that folders must be shared; writing twice gives the same.
 """
@@ -13,6 +13,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
+from urllib.parse import urlencode
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -157,6 +158,56 @@ def post_tasks(tasks: DataFrame, base_url: str, token: str, project: int, size:
     tasks.select(F.to_json(F.struct("data", "meta")).alias("task")).foreachPartition(post)
 
 
+def save_outputs(jobs: DataFrame, base_url: str, folder: str) -> DataFrame:
+    """SK14: every image of finished jobs, fetched and written by the tasks: a row for each with its file_name in the folder.
+
+    jobs: seed, outputs (map of node to an array of filename, subfolder, type). A file that is written again is the same.
+    """
+    node = jobs.select("seed", F.explode("outputs").alias("node_id", "images"))
+    image = node.select("seed", "node_id", F.posexplode("images").alias("turn", "i"))
+    rows = image.select(
+        F.format_string("seed_%s_n%s_%s_%s", F.col("seed").cast("string"), "node_id", F.col("turn").cast("string"), F.col("i.filename")).alias("file_name"),
+        "seed",
+        F.lit("comfyui").alias("source"),
+        "node_id",
+        F.col("i.filename").alias("comfy_filename"),
+        F.coalesce(F.col("i.subfolder"), F.lit("")).alias("comfy_subfolder"),
+        F.coalesce(F.col("i.type"), F.lit("output")).alias("comfy_type"),
+    )
+
+    def fetch(frames):
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        for f in frames:
+            for r in f.itertuples():
+                query = urlencode({"filename": r.comfy_filename, "subfolder": r.comfy_subfolder, "type": r.comfy_type})
+                with urllib.request.urlopen(f"{base_url.rstrip('/')}/view?{query}", timeout=60) as found:
+                    content = found.read()
+                fresh = Path(folder) / f"{r.file_name}.{uuid.uuid4().hex}"
+                fresh.write_bytes(content)
+                fresh.replace(Path(folder) / r.file_name)
+            yield f
+
+    return rows.mapInPandas(fetch, rows.schema)
+
+
+def register_archive(base_url: str, name: str, archive: str, source_type: str = "manual", description: str | None = None, meta: dict | None = None) -> dict:
+    """SK12: makes a collection and uploads an archive to it; what the service says about the samples."""
+    base = base_url.rstrip("/")
+
+    def post(path: str, body: bytes, kind: str, seconds: int) -> dict:
+        request = urllib.request.Request(base + path, data=body, headers={"Content-Type": kind})
+        with urllib.request.urlopen(request, timeout=seconds) as found:
+            return json.loads(found.read())
+
+    made = post("/collections/", json.dumps({"name": name, "description": description, "source_type": source_type, "meta": meta or {}}).encode(), "application/json", 30)
+    mark = uuid.uuid4().hex
+    fields = {"collection_run_id": str(made["id"]), "source_type": source_type, "meta": json.dumps(meta or {})}
+    parts = [f'--{mark}\r\nContent-Disposition: form-data; name="{k}"\r\n\r\n{v}\r\n'.encode() for k, v in fields.items()]
+    head = f'--{mark}\r\nContent-Disposition: form-data; name="archive"; filename="{Path(archive).name}"\r\nContent-Type: application/zip\r\n\r\n'.encode()
+    body = b"".join([*parts, head, Path(archive).read_bytes(), f"\r\n--{mark}--\r\n".encode()])
+    return post("/samples/from_archive", body, f"multipart/form-data; boundary={mark}", 600)
+
+
 def writable(folder: str) -> bool:
     """SK15."""
     probe = Path(folder) / f".probe-{uuid.uuid4().hex}"

@@ -406,6 +406,47 @@ def test_pages_of_a_service(spark):
         server.shutdown()
 
 
+def test_downloads_and_archives(spark, tmp_path):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from urllib.parse import parse_qs, urlparse
+
+    from millrace.sources.sinks import register_archive, save_outputs
+
+    sent = []
+
+    class Service(BaseHTTPRequestHandler):
+        def answer(self, body):
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def do_GET(self):
+            asked = parse_qs(urlparse(self.path).query)
+            self.answer(f"image {asked['filename'][0]} {asked['type'][0]}".encode())
+
+        def do_POST(self):
+            sent.append((self.path, self.rfile.read(int(self.headers["Content-Length"]))))
+            self.answer(json.dumps({"id": 5}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}"
+        jobs = spark.createDataFrame([(7, {"3": [("a.png", "s", "output"), ("b.png", None, None)]})], "seed long, outputs map<string,array<struct<filename:string,subfolder:string,type:string>>>")
+        rows = save_outputs(jobs, url, str(tmp_path / "o")).collect()
+        assert sorted((r.file_name, r.comfy_type) for r in rows) == [("seed_7_n3_0_a.png", "output"), ("seed_7_n3_1_b.png", "output")]
+        assert (tmp_path / "o" / "seed_7_n3_1_b.png").read_text() == "image b.png output"
+        (tmp_path / "x.zip").write_bytes(b"PK")
+        assert register_archive(url, "n", str(tmp_path / "x.zip"), meta={"k": 1}) == {"id": 5}
+        assert [p for p, _ in sent] == ["/collections/", "/samples/from_archive"] and b'name="collection_run_id"\r\n\r\n5\r\n' in sent[1][1] and b"PK" in sent[1][1]
+    finally:
+        server.shutdown()
+
+
 def test_sinks(spark, tmp_path):
     import zipfile
 
