@@ -21,9 +21,9 @@ def is_api_graph(graph: Column) -> Column:
 
 
 def is_ui_graph(graph: Column) -> Column:
-    """SF18: a saved editor file instead: an object with lists of nodes and links."""
-    fields = F.from_json(graph, "struct<nodes:array<string>,links:array<string>>")
-    return F.coalesce(fields["nodes"].isNotNull() & fields["links"].isNotNull(), F.lit(False))
+    """SF18: a saved editor file instead: an object with nodes, links and last_node_id."""
+    fields = F.from_json(graph, "struct<nodes:string,links:string,last_node_id:string>")
+    return F.coalesce(fields["nodes"].isNotNull() & fields["links"].isNotNull() & fields["last_node_id"].isNotNull(), F.lit(False))
 
 
 def checked_graph(graph: Column) -> Column:

@@ -66,8 +66,7 @@ def source_counts(rows: DataFrame, column: str = "name") -> DataFrame:
 
 
 def path_sources(rows: DataFrame, dataset_path: str, column: str = "name") -> DataFrame:
-    """PF23: as source_counts; where no name has a prefix, all files are of the source that the dataset's path names, else unknown."""
-    path = dataset_path.lower()
-    whole = "real" if "real" in path else "synthetic" if "synth" in path else None
+    """PF23: as source_counts; where no name has a prefix, all files are real if the dataset's path says so, else synthetic."""
+    whole = "real" if "real_train_anchor" in dataset_path or "real_dataset" in dataset_path else "synthetic"
     none = (F.col("real") == 0) & (F.col("synthetic") == 0)
     return source_counts(rows, column).select(*(F.when(none & F.lit(whole == s), F.col("total")).otherwise(F.col(s)).alias(s) for s in ("real", "synthetic")), "total")

@@ -1,12 +1,12 @@
-"""Manifests: filter inputs, generated rows and where they come from (PF1-PF3, PF19, PF20, JN6, SF23, AG19, SL4, SC14, SC15, SK13)."""
+"""Manifests: filter inputs, generated rows and where they come from (PF1-PF3, PF19, PF20, JN4-JN6, SF23, AG19, SL4, SC14, SC15, SK13)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import basename, first_of, non_blank, padded_id, stem
-from .relational import ranked
+from ..functions.scalar import basename, first_of, generation_mode, non_blank, output_counter, output_prefix, padded_id, stem
+from .relational import chosen_runs, rank_pairs, ranked
 
 PATHS = ("image_path", "synthetic_image_path", "imagepath", "path")
 IDS = ("sample_id", "synthetic_id", "image_id", "guide_image_id")
@@ -70,35 +70,66 @@ def decorated(rows: DataFrame, job: dict[str, Column], order: str, target: int,
     return rows.withColumns(job).orderBy(order).limit(max(0, target - already))
 
 
-def unmatched(files: DataFrame, matched: DataFrame) -> DataFrame:
-    """JN6: files (output_filename) that no reference explains, with what is said of them."""
-    none = F.lit(None).cast("string")
-    left = files.join(matched.select("output_filename").distinct(), "output_filename", "left_anti")
-    return left.withColumns({"map_method": F.lit("no_reference"), "generation_mode": F.lit("unknown"), "synthetic_id": none, "config_ref": none})
+def clean_manifest(files: DataFrame, references: DataFrame, output_dir: str) -> DataFrame:
+    """JN4-JN6, AG18, SL4: every output file with the generated row that explains it, in the order of the names.
+
+    files: output_filename; references: pos, run_id, run_order, manifest_path, sample_id, comfy_filename, comfy_type,
+    effective_filename_prefix, comfy_prompt_graph_source, guide_image_id, anchor_real_sample_id, anchor_real_image_path. A file belongs to
+    the first row that has its name. Files named prefix_00001_ that no row names are paired, by their counters, with the rows of
+    temporary files of that prefix in one run, by their ids: the run with the most of them, the later of equals. What is left over has
+    no reference.
+    """
+    ref = F.struct("run_id", "manifest_path", "sample_id", "comfy_filename", "effective_filename_prefix", "comfy_prompt_graph_source", "guide_image_id", "anchor_real_sample_id", "anchor_real_image_path")
+    named = references.withColumn("output_filename", non_blank(F.col("comfy_filename"))).where("output_filename is not null")
+    exact = named.groupBy("output_filename").agg(F.min_by(ref, "pos").alias("ref"), F.count("pos").alias("candidates"))
+    first = files.join(exact, "output_filename", "left")
+    left = first.where("ref is null").select("output_filename", output_prefix(F.col("output_filename")).alias("prefix"), output_counter(F.col("output_filename")).alias("counter"))
+    temporary = (F.lower("comfy_type") == "temp") | F.col("comfy_filename").startswith("ComfyUI_temp_")
+    rows = references.where(F.coalesce(temporary, F.lit(False))).select(non_blank(F.col("effective_filename_prefix")).alias("prefix"), F.col("run_id").alias("run"), "run_order", F.struct(F.col("sample_id").cast("string"), "pos").alias("ref_id"), ref.alias("ref")).where("prefix is not null")
+    runs = rows.groupBy("prefix").agg(F.count_distinct("run").alias("candidates")).join(chosen_runs(rows), "prefix")
+    pairs = rank_pairs(left.where("prefix is not null").withColumnRenamed("output_filename", "name"), rows.join(runs, ["prefix", "run"])).withColumnRenamed("name", "output_filename")
+    none = left.join(pairs.select("output_filename"), "output_filename", "left_anti")
+    told = lambda rows, method: rows.select("output_filename", F.lit(method).alias("map_method"), "candidates", "ref")
+    every = told(first.where("ref is not null"), "exact_comfy_filename").unionByName(told(pairs, "prefix_fallback"))
+    every = every.unionByName(none.select("output_filename", F.lit("").alias("map_method"), F.lit(0).cast("long").alias("candidates"), F.lit(None).cast(every.schema["ref"].dataType).alias("ref")))
+    text = lambda c: F.when(F.col("ref").isNull(), "").otherwise(c.cast("string"))
+    guide = F.coalesce("ref.guide_image_id", "ref.anchor_real_sample_id", F.lit(""))
+    return every.select(
+        stem(F.col("output_filename")).alias("sample_id"),
+        F.lit("synthetic").alias("source"),
+        F.concat(F.lit(output_dir.rstrip("/") + "/"), "output_filename").alias("image_path"),
+        F.when(F.col("ref").isNull(), "no_reference").otherwise("matched").alias("map_status"),
+        "map_method",
+        F.col("candidates").alias("map_ambiguous_candidates"),
+        "output_filename",
+        text(F.col("ref.run_id")).alias("reference_run_id"),
+        text(F.col("ref.sample_id")).alias("reference_sample_id"),
+        text(F.col("ref.manifest_path")).alias("reference_manifest_path"),
+        generation_mode(F.col("ref.comfy_prompt_graph_source"), F.col("ref.effective_filename_prefix")).alias("generation_mode"),
+        guide.alias("guide_image_id"),
+        text(F.col("ref.anchor_real_image_path")).alias("anchor_real_image_path"),
+        (F.trim(guide) != "").alias("guided_by_real"),
+        text(F.col("ref.effective_filename_prefix")).alias("effective_filename_prefix"),
+        text(F.col("ref.comfy_filename")).alias("comfy_filename_ref"),
+    ).orderBy("output_filename")
 
 
 def clean_summary(rows: DataFrame, references: DataFrame, manifests: int) -> DataFrame:
-    """AG19: counters of a clean manifest. rows: map_method (exact, prefix, no_reference) and candidates; references: all rows of so
-    many manifests."""
-    m, several = F.col("map_method"), F.col("candidates") > 1
+    """AG19: counters of a clean manifest, of the rows of so many manifests; ambiguous prefixes count once each."""
+    m, several = F.col("map_method"), F.col("map_ambiguous_candidates") > 1
     count = lambda c: F.count(F.when(c, 1))
     counted = rows.agg(
         F.count(F.lit(1)).alias("output_image_count"),
-        count(m == "exact").alias("matched_exact_count"),
-        count(m == "prefix").alias("matched_prefix_count"),
-        count(m == "no_reference").alias("no_reference_count"),
-        count((m == "exact") & several).alias("ambiguous_exact_filename_count"),
-        count((m == "prefix") & several).alias("ambiguous_prefix_count"),
-        count(m.isin("exact", "prefix")).alias("matched_total_count"),
+        count(m == "exact_comfy_filename").alias("matched_exact_count"),
+        count(m == "prefix_fallback").alias("matched_prefix_count"),
+        count(F.col("map_status") == "no_reference").alias("no_reference_count"),
+        count((m == "exact_comfy_filename") & several).alias("ambiguous_exact_filename_count"),
+        F.count_distinct(F.when((m == "prefix_fallback") & several, F.trim("effective_filename_prefix"))).alias("ambiguous_prefix_count"),
+        count(F.col("map_status") == "matched").alias("matched_total_count"),
     )
     return counted.crossJoin(F.broadcast(references.agg(F.count(F.lit(1)).alias("reference_row_count")))).withColumn("reference_manifest_count", F.lit(manifests))
 
 
-def clean_manifest(rows: DataFrame) -> DataFrame:
-    """SL4."""
-    return rows.orderBy(F.col("output_filename").cast("string"))
-
-
 def import_tasks(rows: DataFrame, image_key: str = "image_url") -> DataFrame:
     """SK13: data and meta of every row that has an image; rows without one are left out, and a table without any fails."""
     found = rows.where(non_blank(F.col(image_key)).isNotNull()) if image_key in rows.columns else rows.limit(0)
@@ -115,14 +146,14 @@ def finished_jobs(messages: DataFrame) -> DataFrame:
     return done.select("m.data.prompt_id")
 
 
-def history_outputs(histories: DataFrame, files: DataFrame) -> DataFrame:
-    """SC15: images of finished jobs of type output whose file is there, in the order of nodes and images.
+def history_outputs(histories: DataFrame, files: DataFrame, output_dir: str) -> DataFrame:
+    """SC15: images of finished jobs of type output whose file is there.
 
-    histories: prompt_id, outputs (map of node to an array of filename, subfolder, type); files: path, relative to the output folder.
+    histories: prompt_id, outputs (map of node to an array of filename, subfolder, type); files: path.
     """
-    node = histories.select("prompt_id", F.explode("outputs").alias("node", "images"))
-    image = node.select("prompt_id", F.col("node").alias("comfy_node_id"), F.posexplode("images").alias("turn", "i"))
-    path = F.concat_ws("/", F.nullif(F.coalesce(F.col("i.subfolder"), F.lit("")), F.lit("")), F.col("i.filename"))
-    kept = image.where(F.col("i.type") == "output").withColumn("path", path).join(files.select("path").distinct(), "path", "left_semi")
-    id_ = F.concat_ws("_", "prompt_id", "comfy_node_id", F.col("turn").cast("string"))
-    return kept.select(id_.alias("sample_id"), F.col("path").alias("image_path"), F.lit("synthetic").alias("source"), F.lit("comfyui").alias("generation_backend"), "comfy_node_id", F.col("i.filename").alias("comfy_filename"), F.coalesce(F.col("i.subfolder"), F.lit("")).alias("comfy_subfolder"), F.col("i.type").alias("comfy_type"))
+    node = histories.select("prompt_id", F.explode("outputs").alias("comfy_node_id", "images"))
+    image = node.select("prompt_id", "comfy_node_id", F.explode("images").alias("i"))
+    below = F.nullif(F.coalesce(F.col("i.subfolder"), F.lit("")), F.lit(""))
+    path = F.concat_ws("/", F.lit(output_dir.rstrip("/")), below, F.col("i.filename"))
+    kept = image.where(F.coalesce("i.type", F.lit("output")) == "output").withColumn("path", path).join(files.select("path").distinct(), "path", "left_semi")
+    return kept.select("prompt_id", stem(F.col("i.filename")).alias("sample_id"), F.col("path").alias("image_path"), F.lit("synthetic").alias("source"), F.lit("comfyui").alias("generation_backend"), "comfy_node_id", F.col("i.filename").alias("comfy_filename"), F.coalesce(F.col("i.subfolder"), F.lit("")).alias("comfy_subfolder"), F.coalesce("i.type", F.lit("output")).alias("comfy_type"))

@@ -469,22 +469,47 @@ def generation_mode(spark, d):
     return table(spark, d, "orders").select("o_orderkey", S.generation_mode(graph, prefix).alias("mode"))
 
 
-CLEAN = "c as (select l_orderkey, case l_returnflag when 'A' then 'exact' when 'R' then 'prefix' else 'no_reference' end as map_method, l_linenumber as candidates from lineitem)"
-
-
-@query(f"with {CLEAN} select count(*) as output_image_count, count(*) filter (where map_method = 'exact') as matched_exact_count, count(*) filter (where map_method = 'prefix') as matched_prefix_count, count(*) filter (where map_method = 'no_reference') as no_reference_count, count(*) filter (where map_method = 'exact' and candidates > 1) as ambiguous_exact_filename_count, count(*) filter (where map_method = 'prefix' and candidates > 1) as ambiguous_prefix_count, count(*) filter (where map_method <> 'no_reference') as matched_total_count, (select count(*) from orders) as reference_row_count, cast(2 as int) as reference_manifest_count from c")
+CLEAN = """
+f as (select c_custkey, c_mktsegment as seg, c_mktsegment || '_' || lpad(cast(c_custkey as varchar), 5, '0') || '_.png' as output_filename from customer),
+r as (select o_orderkey as pos, 'r' || o_orderkey % 3 as run_id, o_orderkey % 3 as run_order, 'm/' || o_orderkey % 3 as manifest_path, 'g' || o_orderkey as sample_id,
+  case when o_orderkey % 16 = 0 then output_filename else 'ComfyUI_temp_' || o_orderkey || '.png' end as comfy_filename,
+  case when o_orderkey % 7 = 0 then seg end as effective_filename_prefix, case when o_orderstatus = 'F' then 'x/canny.json' end as graph, case when o_orderkey % 5 = 0 then 'a' || o_custkey end as guide
+  from orders join f on f.c_custkey = o_custkey),
+e as (select comfy_filename as output_filename, arg_min(sample_id, pos) as ref, count(*) as candidates from r group by 1),
+x as (select f.*, e.ref, e.candidates from f left join e using (output_filename)),
+t as (select * from r where comfy_filename like 'ComfyUI_temp_%' and effective_filename_prefix is not null),
+n as (select effective_filename_prefix as seg, run_id, run_order, count(*) as n from t group by 1, 2, 3),
+b as (select seg, arg_max(run_id, n * 10 + run_order) as run_id, count(*) as candidates from n group by 1),
+q as (select t.*, b.seg, b.candidates, row_number() over (partition by b.seg order by sample_id, pos) as turn from t join b on b.seg = t.effective_filename_prefix and b.run_id = t.run_id),
+u as (select output_filename, seg, row_number() over (partition by seg order by c_custkey) as turn from x where ref is null),
+m as (select output_filename, ref, 'exact_comfy_filename' as method, candidates from x where ref is not null
+  union all select u.output_filename, q.sample_id, case when q.sample_id is null then '' else 'prefix_fallback' end, coalesce(q.candidates, 0) from u left join q on q.seg = u.seg and q.turn = u.turn),
+c as (select regexp_replace(output_filename, '.png$', '') as sample_id, 'synthetic' as source, 'out/' || output_filename as image_path, case when ref is null then 'no_reference' else 'matched' end as map_status,
+  method as map_method, cast(m.candidates as bigint) as map_ambiguous_candidates, output_filename, case when ref is null then '' else r.run_id end as reference_run_id, coalesce(ref, '') as reference_sample_id,
+  case when ref is null then '' else r.manifest_path end as reference_manifest_path, case when r.graph is not null then 'prompt_canny' else 'unknown' end as generation_mode, coalesce(r.guide, '') as guide_image_id,
+  case when ref is null then '' end as anchor_real_image_path, r.guide is not null as guided_by_real, case when ref is null then '' else r.effective_filename_prefix end as effective_filename_prefix,
+  case when ref is null then '' else r.comfy_filename end as comfy_filename_ref from m left join r on r.sample_id = m.ref)"""
+
+
+def references(spark, d):
+    name = F.concat("c_mktsegment", F.lit("_"), F.lpad(F.col("c_custkey").cast("string"), 5, "0"), F.lit("_.png"))
+    files = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("seg"), name.alias("output_filename"))
+    k, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    rows = table(spark, d, "orders").join(files, F.col("o_custkey") == F.col("c_custkey")).select(k.alias("pos"), F.concat(F.lit("r"), k % 3).alias("run_id"), (k % 3).alias("run_order"), F.concat(F.lit("m/"), k % 3).alias("manifest_path"), F.concat(F.lit("g"), k).alias("sample_id"), F.when(k % 16 == 0, F.col("output_filename")).otherwise(F.concat(F.lit("ComfyUI_temp_"), k, F.lit(".png"))).alias("comfy_filename"), none.alias("comfy_type"), F.when(k % 7 == 0, F.col("seg")).alias("effective_filename_prefix"), F.when(F.col("o_orderstatus") == "F", "x/canny.json").alias("comfy_prompt_graph_source"), F.when(k % 5 == 0, F.concat(F.lit("a"), "o_custkey")).alias("guide_image_id"), none.alias("anchor_real_sample_id"), none.alias("anchor_real_image_path"))
+    return files.select("output_filename"), rows
+
+
+@query(f"with {CLEAN} select * from c")
+def clean_manifest(spark, d):
+    """JN4-JN6, AG18, PF21, SL4: the whole matching of output files and generated rows."""
+    return M.clean_manifest(*references(spark, d), "out")
+
+
+@query(f"with {CLEAN} select count(*) as output_image_count, count(*) filter (where map_method = 'exact_comfy_filename') as matched_exact_count, count(*) filter (where map_method = 'prefix_fallback') as matched_prefix_count, count(*) filter (where map_status = 'no_reference') as no_reference_count, count(*) filter (where map_method = 'exact_comfy_filename' and map_ambiguous_candidates > 1) as ambiguous_exact_filename_count, count(distinct effective_filename_prefix) filter (where map_method = 'prefix_fallback' and map_ambiguous_candidates > 1) as ambiguous_prefix_count, count(*) filter (where map_status = 'matched') as matched_total_count, (select count(*) from r) as reference_row_count, cast(3 as int) as reference_manifest_count from c")
 def clean_summary(spark, d):
     """AG19."""
-    method = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "R", "prefix").otherwise("no_reference")
-    return M.clean_summary(table(spark, d, "lineitem").select(method.alias("map_method"), F.col("l_linenumber").alias("candidates")), table(spark, d, "orders"), 2)
-
-
-@query("select c_name as output_filename, 'no_reference' as map_method, 'unknown' as generation_mode, cast(null as varchar) as synthetic_id, cast(null as varchar) as config_ref from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null and o_orderstatus = 'P')")
-def unmatched_files(spark, d):
-    """JN6, SL4."""
-    files = table(spark, d, "customer").select(F.col("c_name").alias("output_filename"), "c_custkey")
-    matched = files.join(table(spark, d, "orders").where("o_orderstatus = 'P'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    return M.clean_manifest(M.unmatched(files.drop("c_custkey"), matched))
+    files, rows = references(spark, d)
+    return M.clean_summary(M.clean_manifest(files, rows, "out"), rows, 3)
 
 
 @query("select cast(floor(count(*) / 2) as bigint) as copied from lineitem where l_returnflag in ('A', 'R')")
@@ -513,14 +538,14 @@ def import_tasks(spark, d):
     return M.import_tasks(rows).select("meta.c_custkey", "meta.n", F.to_json("data").alias("data"))
 
 
-@query("select o_orderkey || '_' || l_linenumber || '_0' as sample_id, 'sub/' || l_partkey || '.png' as image_path, 'synthetic' as source, 'comfyui' as generation_backend, cast(l_linenumber as varchar) as comfy_node_id, l_partkey || '.png' as comfy_filename, 'sub' as comfy_subfolder, 'output' as comfy_type from (select distinct o_orderkey, l_linenumber, max(l_partkey) over (partition by o_orderkey, l_linenumber) as l_partkey from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus = 'P') where l_partkey in (select p_partkey from part where p_size > 25)")
+@query("select cast(o_orderkey as varchar) as prompt_id, cast(l_partkey as varchar) as sample_id, 'out/sub/' || l_partkey || '.png' as image_path, 'synthetic' as source, 'comfyui' as generation_backend, cast(l_linenumber as varchar) as comfy_node_id, l_partkey || '.png' as comfy_filename, 'sub' as comfy_subfolder, 'output' as comfy_type from (select distinct o_orderkey, l_linenumber, max(l_partkey) over (partition by o_orderkey, l_linenumber) as l_partkey from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus = 'P') where l_partkey in (select p_partkey from part where p_size > 25)")
 def history_outputs(spark, d):
     """SC15: orders stand for jobs, their lines for nodes."""
     image = F.array(F.struct(F.concat("l_partkey", F.lit(".png")).alias("filename"), F.lit("sub").alias("subfolder"), F.lit("output").alias("type")), F.struct(F.lit("x.png").alias("filename"), F.lit("sub").alias("subfolder"), F.lit("temp").alias("type")))
     lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"))
     nodes = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("l_linenumber").cast("string"), image))).alias("outputs"))
     jobs = table(spark, d, "orders").where("o_orderstatus = 'P'").join(nodes, "o_orderkey").select(F.col("o_orderkey").cast("string").alias("prompt_id"), "outputs")
-    return M.history_outputs(jobs, table(spark, d, "part").where("p_size > 25").select(F.concat(F.lit("sub/"), "p_partkey", F.lit(".png")).alias("path")))
+    return M.history_outputs(jobs, table(spark, d, "part").where("p_size > 25").select(F.concat(F.lit("out/sub/"), "p_partkey", F.lit(".png")).alias("path")), "out")
 
 
 @query("select cast(o_orderkey as varchar) as prompt_id from orders where o_orderstatus = 'F' and o_orderkey % 2 = 0")
@@ -556,7 +581,7 @@ def prompt_graphs(spark, d):
     from .functions import graphs
 
     k = F.col("c_custkey")
-    graph = F.when(k % 3 == 0, '{"3": {"class_type": "K", "inputs": {"seed": 1, "model": ["4", 0]}}}').when(k % 3 == 1, '{"nodes": [], "links": []}').otherwise('{"3": 1}')
+    graph = F.when(k % 3 == 0, '{"3": {"class_type": "K", "inputs": {"seed": 1, "model": ["4", 0]}}}').when(k % 3 == 1, '{"nodes": [], "links": [], "last_node_id": 4}').otherwise('{"3": 1}')
     rows = table(spark, d, "customer").select("c_custkey", graph.alias("g")).select("c_custkey", "g", graphs.is_api_graph(F.col("g")).alias("api"), graphs.is_ui_graph(F.col("g")).alias("ui"))
     patched = graphs.with_inputs(F.when(F.col("api"), F.col("g")), {("3", "seed"): k})
     return rows.select("c_custkey", "api", "ui", F.get_json_object(patched, "$.3.inputs.seed").cast("long").alias("seed"))
@@ -742,7 +767,7 @@ def dataset_sources(spark, d):
     """PF23: by the prefix of names, or by the path where no name has one."""
     name = F.concat(F.when(F.col("c_nationkey") < 9, "real_").when(F.col("c_nationkey") > 19, "synth_").otherwise("other_"), "c_name")
     first = E.path_sources(table(spark, d, "customer").select(name.alias("name")), "x/synth")
-    return first.select(F.lit(0).alias("turn"), "*").unionByName(E.path_sources(table(spark, d, "supplier").select(F.col("s_name").alias("name")), "x/Real_only").select(F.lit(1).alias("turn"), "*"))
+    return first.select(F.lit(0).alias("turn"), "*").unionByName(E.path_sources(table(spark, d, "supplier").select(F.col("s_name").alias("name")), "x/real_dataset").select(F.lit(1).alias("turn"), "*"))
 
 
 @query(f"with a as ({SPLIT.format(seed=42, rows='documents')}), b as ({SPLIT.format(seed=43, rows='(select doc_id from a where r > greatest(1, floor(n * 0.15)))')}) select doc_id, 'test' as split from a where r <= greatest(1, floor(n * 0.15)) union all select doc_id, case when r <= greatest(1, floor(n * 0.2)) then 'val' else 'train' end from b")

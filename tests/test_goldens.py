@@ -260,7 +260,7 @@ def test_graphs(spark):
     r = one(spark, a=graphs.with_inputs(F.lit(good), {("3", "seed"): F.lit(9), ("7", "text"): F.lit('x "y"'), ("", "z"): F.lit(1)}), b=graphs.is_api_graph(F.lit("{}")), c=graphs.is_api_graph(F.lit(good)), d=graphs.is_ui_graph(F.lit(good)), e=graphs.checked_graph(F.lit(good)))
     assert json.loads(r.a) == {"3": {"class_type": "K", "inputs": {"seed": 9}}, "7": {"inputs": {"text": 'x "y"'}}} and (r.b, r.c, r.d, r.e) == (False, True, False, good)
     with pytest.raises(Exception, match="editor file"):
-        one(spark, a=graphs.checked_graph(F.lit('{"nodes": [], "links": []}')))
+        one(spark, a=graphs.checked_graph(F.lit('{"nodes": [], "links": [], "last_node_id": 3}')))
 
 
 def test_coercions(spark):
