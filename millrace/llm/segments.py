@@ -178,8 +178,8 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
     return docs.transform(mapped, found, "h long, g long, content binary", size=2 << 20)
 
 
-#: Different segments of one anchor that one task takes; those of an anchor with more are cut by other anchors, so many times at most.
-HOT, LEVELS = 512, 3
+#: Different segments of one anchor that one task takes.
+HOT = 512
 
 
 def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, every: bool) -> DataFrame:
@@ -193,31 +193,59 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
     anchors = stored(distinct.groupBy("m").agg(F.count("h").alias("k")).where(f"k > {0 if every else 1}").select("m"))
     wanted = distinct if every else distinct.join(anchors, "m", "left_semi")
     rows = segment_texts(docs, units, window, gram, anchors).dropDuplicates(["h", "g"]).join(wanted, ["h", "g"])
-    return _indexed(stored(rows.select("m", "h", "g", "n", weight, "content")), units, window, gram, resolve, weight, combine, 1)
+    return _indexed(stored(rows.select("m", "h", "g", "n", weight, "content")), units, window, gram, resolve, weight, combine, every, 1)
 
 
-def _indexed(rows: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, level: int) -> DataFrame:
+def _indexed(rows: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, every: bool, level: int) -> DataFrame:
+    """The verdicts of segments by their anchors. The segments of an anchor with more than HOT are cut by anchors of another hash first;
+    where that leaves an anchor with as many, they are cut into their windows, of which only those that occur again need an index."""
     hot = rows.groupBy("m").agg(F.count("h").alias("k")).where(F.col("k") > HOT).select("m")
-    if level > LEVELS or hot.isEmpty():
+    if level > 2 or hot.isEmpty():
         return _shards(rows, resolve, weight)
     hot = stored(hot)
+    many = rows.join(hot, "m", "left_semi").select("h", "g", weight, "content")
+    gram = gram if level == 1 else window
+    salt = level * 0x9E3779B97F4A7C15 % (1 << 64)
+    table = alone = None
+    if level == 2:
+
+        def places(batches: Batches) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                h, g, w = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "g", weight))
+                for r, s, _, m in scan(units(b.column("content")), window, gram, salt):
+                    yield batch(h=h[r], g=g[r], start=s.astype(np.int32), m=_signed(m), **{weight: w[r]})
+
+        each = stored(mapped(many, places, f"h long, g long, start int, m long, {weight} long", size=1 << 20))
+        # a window of one segment only can still stand for several equal ones, which its weight then counts
+        occurs = each.groupBy("m").agg(F.count("h").alias("k"), F.sum(weight).alias("s"))
+        again = stored(occurs.where("k > 1" if every else "k > 1 or s > 1").select("m"))
+        table = rows.sparkSession.sparkContext.broadcast(hash_filter(again, again.count()))
+        alone = each.join(again, "m", "left_anti")
 
     def split(batches: Batches) -> Iterator[pa.RecordBatch]:
-        """The segments of the contents by anchors of another hash, with the places of their windows."""
+        """The segments of the contents by other anchors, with the places of their windows."""
         for b in batches:
             h, g, w = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "g", weight))
             u = units(b.column("content"))
-            for r, s, c, m in scan(u, window, gram, level * 0x9E3779B97F4A7C15 % (1 << 64)):
-                at = u.off[r] + s
-                end = at + c + window - 1
-                d = u.digests(at, end)
-                yield batch(h=h[r], g=g[r], start=s.astype(np.int32), m=_signed(m), part_h=d[:, 0], part_g=d[:, 1], n=c.astype(np.int32), **{weight: w[r]}, content=u.contents(at, end))
-
-    cut = stored(mapped(rows.join(hot, "m", "left_semi").select("h", "g", weight, "content"), split, f"h long, g long, start int, m long, part_h long, part_g long, n int, {weight} long, content binary", size=1 << 20))
+            for r, s, c, m in scan(u, window, gram, salt):
+                if table is not None:
+                    ok = may_hold(table.value, m)
+                    r, s, c, m = r[ok], s[ok], c[ok], m[ok]
+                for k in range(0, len(r), 1 << 13):
+                    x = slice(k, k + (1 << 13))
+                    at = u.off[r[x]] + s[x]
+                    end = at + c[x] + window - 1
+                    d = u.digests(at, end)
+                    yield batch(h=h[r[x]], g=g[r[x]], start=s[x].astype(np.int32), m=_signed(m[x]), part_h=d[:, 0], part_g=d[:, 1], n=c[x].astype(np.int32), **{weight: w[r[x]]}, content=u.contents(at, end))
+
+    cut = stored(mapped(many, split, f"h long, g long, start int, m long, part_h long, part_g long, n int, {weight} long, content binary", size=1 << 20))
     parts = cut.groupBy("m", F.col("part_h").alias("h"), F.col("part_g").alias("g"), "n").agg(combine(weight).alias(weight), F.min("content").alias("content"))
-    found = _indexed(stored(parts), units, window, gram, resolve, weight, combine, level + 1).withColumnsRenamed({"h": "part_h", "g": "part_g"})
+    found = _indexed(stored(parts), units, window, gram, resolve, weight, combine, every, level + 1).withColumnsRenamed({"h": "part_h", "g": "part_g"})
     runs = cut.select("h", "g", "start", "part_h", "part_g").join(found, ["part_h", "part_g"]).select("h", "g", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
-    whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct((F.col("start") + F.col("r.first")).alias("first"), F.col("r.count"), F.col("r.value"))).alias("r"))
+    runs = runs.select("h", "g", (F.col("start") + F.col("r.first")).alias("first"), F.col("r.count").alias("count"), F.col("r.value").alias("value"))
+    if alone is not None and every:
+        runs = runs.unionByName(alone.select("h", "g", F.col("start").alias("first"), F.lit(1).alias("count"), F.col(weight).alias("value")))
+    whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct("first", "count", "value")).alias("r"))
     back = whole.select("h", "g", *(F.col(f"r.{c}").alias(c) for c in ("first", "count", "value")))
     return _shards(rows.join(hot, "m", "left_anti"), resolve, weight).unionByName(back)
 
