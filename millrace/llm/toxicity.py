@@ -1,6 +1,6 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-Each word enters by itself and by its characters: a learned vector of the word (if the training rows know it) and of its byte
+Texts are read in lower case. Each word, without marks around it, enters by itself and by its characters: a learned vector of the word (if the training rows know it) and of its byte
 5-grams, and the smoothed log-odds of both, which leave out the row at hand while training. Windows of WIDTH words that overlap by
 half cover the whole text; a network reads each window in both directions, pools the states by attention and gives a logit. The
 score of a text is that of its most toxic window, so a text may be of any length.
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -286,8 +287,8 @@ class Step:
         return g
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 90, rows_a_step: int = 48, seed: int = 7) -> Model:
-    """A model of the training rows, after about as many steps; both classes weigh the same."""
+def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 200, rows_a_step: int = 48, seed: int = 7) -> Model:
+    """A model of the training rows, after about as many steps; both classes weigh the same. Texts are in lower case."""
     model = Model(prior)
     if not (toxic == 1).any() or not (toxic == 0).any():
         return model
@@ -354,12 +355,13 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 90, ro
                 for name, v in x.backward(grad[k * TOGETHER : (k + 1) * TOGETHER]).items():
                     g[name] = g[name] + v if name in g else v
             done, p = done + 1, net.p
+            rate = 0.02 * min(1.0, max(0.05, 2 - 2 * done / steps))  # falls from half way on, so that the last rows seen don't decide
             scale = min(1.0, 1.0 / (1e-6 + np.sqrt(sum(float((v * v).sum()) for v in g.values()))))
             for name, v in g.items():  # Adam
                 v = v * scale + (0.003 * p[name] if name in ("word", "gram") else 0)
                 mean[name] = 0.9 * mean.get(name, 0) + 0.1 * v
                 square[name] = 0.99 * square.get(name, 0) + 0.01 * v * v
-                p[name] = (p[name] - 0.02 * (mean[name] / (1 - 0.9**done)) / (np.sqrt(square[name] / (1 - 0.99**done)) + 1e-6)).astype(np.float32)
+                p[name] = (p[name] - rate * (mean[name] / (1 - 0.9**done)) / (np.sqrt(square[name] / (1 - 0.99**done)) + 1e-6)).astype(np.float32)
     often = np.flatnonzero(rows > 1)  # what was in one row says little
     model.seen, model.word_rows = w.hashes[often], [x[often] for x in model.word_rows]
     return model
@@ -389,7 +391,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, sample_bytes:
         held[r.y] += r.n + 1
     chosen = docs.sparkSession.createDataFrame([(i,) for i in taken], "doc_id long")
     got = drawn.join(F.broadcast(chosen), "doc_id", "left_semi").orderBy("doc_id").collect()
-    return [r.text.encode() for r in got], np.array([r.y for r in got], np.int64), toxic / total
+    return [r.text.lower().encode() for r in got], np.array([r.y for r in got], np.int64), toxic / total
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, sample_bytes: int = 16 << 20, id_column: str = "doc_id", text_column: str = "text", label_id: str = "doc_id", label: str = "toxic") -> Model:
@@ -402,7 +404,7 @@ def _scored(docs: DataFrame, model: Model, text_column: str, finish, schema) ->
 
     def score(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield finish(b, sent.value.score(*utf8(b.column(text_column))))
+            yield finish(b, sent.value.score(*utf8(pc.utf8_lower(b.column(text_column)))))
 
     return docs.transform(mapped, score, schema, rows=500, size=1 << 20)
 
