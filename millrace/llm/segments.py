@@ -9,7 +9,7 @@ corpus is a list of segments, and windows can only be equal between segments of
    after the shuffle;
 3. one copy of each different segment goes to the shards, by its anchor, where an index (a suffix array or an FM-index) tells which
    windows of one segment occur in another;
-   windows of one segment occur in another; the segments of an anchor that has very many are cut by other anchors first;
+   windows of one segment occur in another; the segments of an anchor that has very many are cut into their windows first;
 4. the verdict of each different segment goes back to its rows.
 
 Hashes of anchors only bring segments together. That segments are equal rests on the digest (XXH3, 128 bits, of the bytes themselves);
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import INVERSE, MOST_BITS, BITS_EACH, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, stored
+from .common import INVERSE, MOST_BITS, BITS_EACH, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, ragged, stored
 
 #: Low bits of a sliding minimum that hold the place, so that one array gives both; slabs are shorter than that.
 PLACE_BITS = 24
@@ -49,11 +49,11 @@ def pieces(lengths: np.ndarray, window: int, limit: int = SLAB) -> Iterator[list
         yield held
 
 
-def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(values: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the units between bounds: first window, number of windows and anchor hash of every segment."""
     n, width = len(values), window - gram + 1
     p = prefix_hashes(values)
-    g = mix((p[gram:] - p[: n - gram + 1]) * powers(INVERSE, n + 1)[: n - gram + 1] ^ U64(salt))
+    g = mix((p[gram:] - p[: n - gram + 1]) * powers(INVERSE, n + 1)[: n - gram + 1])
     mask = U64((1 << PLACE_BITS) - 1)
     low = (g & ~mask) | np.arange(len(g), dtype=np.uint64)
     step = 1
@@ -96,12 +96,12 @@ class Units:
         return pa.array([self.raw[a:z].tobytes() for a, z in self.places(start, end)], pa.binary())
 
 
-def scan(u: Units, window: int, gram: int, salt: int = 0) -> Iterator[tuple]:
+def scan(u: Units, window: int, gram: int) -> Iterator[tuple]:
     """(rows, first units in the row, windows, anchors) of the segments of some texts."""
     for group in pieces(np.diff(u.off), window):
         bounds = np.cumsum([0, *(z - a for _, a, z in group)])
         part = np.concatenate([u.values[u.off[r] + a : u.off[r] + z] for r, a, z in group]) if len(group) > 1 else u.values[u.off[group[0][0]] + group[0][1] : u.off[group[0][0]] + group[0][2]]
-        s, c, m = segments(part, bounds, window, gram, salt)
+        s, c, m = segments(part, bounds, window, gram)
         k = np.searchsorted(bounds, s, "right") - 1
         rows, froms = np.array([x[0] for x in group]), np.array([x[1] for x in group])
         yield rows[k], s - bounds[k] + froms[k], c, m
@@ -166,19 +166,13 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
                 at = (u.off[rows] + s)[ok]
                 end = at + c[ok] + window - 1
                 d = u.digests(at, end)
-                new = []
-                for k, x in enumerate(d[:, 0].tolist()):
-                    if x not in seen:
-                        seen.add(x)
-                        new.append(k)
-                if len(seen) > REMEMBERED:
-                    seen.clear()
+                new = _unseen(d[:, 0], seen)
                 yield batch(h=d[new, 0], g=d[new, 1], content=u.contents(at[new], end[new]))
 
     return docs.transform(mapped, found, "h long, g long, content binary", size=2 << 20)
 
 
-#: Different segments of one anchor that one task takes.
+#: Different segments of one anchor that one task takes; beyond that they are cut into their windows.
 HOT = 512
 
 
@@ -192,62 +186,70 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
     """
     anchors = stored(distinct.groupBy("m").agg(F.count("h").alias("k")).where(f"k > {0 if every else 1}").select("m"))
     wanted = distinct if every else distinct.join(anchors, "m", "left_semi")
-    rows = segment_texts(docs, units, window, gram, anchors).dropDuplicates(["h", "g"]).join(wanted, ["h", "g"])
-    return _indexed(stored(rows.select("m", "h", "g", "n", weight, "content")), units, window, gram, resolve, weight, combine, every, 1)
-
-
-def _indexed(rows: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, every: bool, level: int) -> DataFrame:
-    """The verdicts of segments by their anchors. The segments of an anchor with more than HOT are cut by anchors of another hash first;
-    where that leaves an anchor with as many, they are cut into their windows, of which only those that occur again need an index."""
+    texts = segment_texts(docs, units, window, gram, anchors).dropDuplicates(["h", "g"]).join(wanted, ["h", "g"])
+    rows = stored(texts.select("m", "h", "g", "n", weight, "content"))
     hot = rows.groupBy("m").agg(F.count("h").alias("k")).where(F.col("k") > HOT).select("m")
-    if level > 2 or hot.isEmpty():
+    if hot.isEmpty():
         return _shards(rows, resolve, weight)
     hot = stored(hot)
-    many = rows.join(hot, "m", "left_semi").select("h", "g", weight, "content")
-    gram = gram if level == 1 else window
-    salt = level * 0x9E3779B97F4A7C15 % (1 << 64)
-    table = alone = None
-    if level == 2:
-
-        def places(batches: Batches) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                h, g, w = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "g", weight))
-                for r, s, _, m in scan(units(b.column("content")), window, gram, salt):
-                    yield batch(h=h[r], g=g[r], start=s.astype(np.int32), m=_signed(m), **{weight: w[r]})
-
-        each = stored(mapped(many, places, f"h long, g long, start int, m long, {weight} long", size=1 << 20))
-        # a window of one segment only can still stand for several equal ones, which its weight then counts
-        occurs = each.groupBy("m").agg(F.count("h").alias("k"), F.sum(weight).alias("s"))
-        again = stored(occurs.where("k > 1" if every else "k > 1 or s > 1").select("m"))
-        table = rows.sparkSession.sparkContext.broadcast(hash_filter(again, again.count()))
-        alone = each.join(again, "m", "left_anti")
-
-    def split(batches: Batches) -> Iterator[pa.RecordBatch]:
-        """The segments of the contents by other anchors, with the places of their windows."""
+    many = rows.join(hot, "m", "left_semi").select("h", "g", "n", weight, "content")
+    return _shards(rows.join(hot, "m", "left_anti"), resolve, weight).unionByName(_by_window(many, units, window, resolve, weight, combine, every))
+
+
+def _by_window(rows: DataFrame, units, window: int, resolve, weight: str, combine, every: bool) -> DataFrame:
+    """The verdicts of segments whose anchors have too many: cut into their windows, which go by their digests. Windows that occur again
+    have an index; others have their segment's weight, if every segment is wanted."""
+
+    def windows(b: pa.RecordBatch) -> Iterator[tuple]:
+        """(rows, places in the segment, units, first units) of the windows of a batch."""
+        n, u = b.column("n").to_numpy(zero_copy_only=False).astype(np.int64), units(b.column("content"))
+        r, s = np.repeat(np.arange(len(n)), n), ragged(np.zeros(len(n), np.int64), n)
+        for k in range(0, len(r), 1 << 15):
+            x = slice(k, k + (1 << 15))
+            yield r[x], s[x], u, u.off[r[x]] + s[x]
+
+    def places(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, g, w = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "g", weight))
-            u = units(b.column("content"))
-            for r, s, c, m in scan(u, window, gram, salt):
-                if table is not None:
-                    ok = may_hold(table.value, m)
-                    r, s, c, m = r[ok], s[ok], c[ok], m[ok]
-                for k in range(0, len(r), 1 << 13):
-                    x = slice(k, k + (1 << 13))
-                    at = u.off[r[x]] + s[x]
-                    end = at + c[x] + window - 1
-                    d = u.digests(at, end)
-                    yield batch(h=h[r[x]], g=g[r[x]], start=s[x].astype(np.int32), m=_signed(m[x]), part_h=d[:, 0], part_g=d[:, 1], n=c[x].astype(np.int32), **{weight: w[r[x]]}, content=u.contents(at, end))
-
-    cut = stored(mapped(many, split, f"h long, g long, start int, m long, part_h long, part_g long, n int, {weight} long, content binary", size=1 << 20))
-    parts = cut.groupBy("m", F.col("part_h").alias("h"), F.col("part_g").alias("g"), "n").agg(combine(weight).alias(weight), F.min("content").alias("content"))
-    found = _indexed(stored(parts), units, window, gram, resolve, weight, combine, every, level + 1).withColumnsRenamed({"h": "part_h", "g": "part_g"})
-    runs = cut.select("h", "g", "start", "part_h", "part_g").join(found, ["part_h", "part_g"]).select("h", "g", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
-    runs = runs.select("h", "g", (F.col("start") + F.col("r.first")).alias("first"), F.col("r.count").alias("count"), F.col("r.value").alias("value"))
-    if alone is not None and every:
-        runs = runs.unionByName(alone.select("h", "g", F.col("start").alias("first"), F.lit(1).alias("count"), F.col(weight).alias("value")))
-    whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct("first", "count", "value")).alias("r"))
-    back = whole.select("h", "g", *(F.col(f"r.{c}").alias(c) for c in ("first", "count", "value")))
-    return _shards(rows.join(hot, "m", "left_anti"), resolve, weight).unionByName(back)
+            for r, s, u, at in windows(b):
+                d = u.digests(at, at + window)
+                yield batch(h=h[r], g=g[r], start=s.astype(np.int32), part_h=d[:, 0], part_g=d[:, 1], **{weight: w[r]})
+
+    each = stored(mapped(rows, places, f"h long, g long, start int, part_h long, part_g long, {weight} long", size=1 << 20))
+    # a window of one segment only can still stand for several equal ones, which its weight then counts
+    counted = each.groupBy("part_h", "part_g").agg(F.count("h").alias("k"), F.sum(weight).alias("s"), combine(weight).alias(weight))
+    again = stored(counted.where("k > 1" if every else "k > 1 or s > 1").select("part_h", "part_g", weight))
+    table = rows.sparkSession.sparkContext.broadcast(hash_filter(again.select("part_h"), again.count()))
+
+    def contents(batches: Batches) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            for _, _, u, at in windows(b):
+                d = u.digests(at, at + window)
+                ok = np.flatnonzero(may_hold(table.value, d[:, 0].view(np.uint64)))
+                new = _unseen(d[ok, 0], seen)
+                yield batch(part_h=d[ok][new, 0], part_g=d[ok][new, 1], content=u.contents(at[ok][new], at[ok][new] + window))
+
+    texts = mapped(rows, contents, "part_h long, part_g long, content binary", size=1 << 20).dropDuplicates(["part_h", "part_g"])
+    parts = texts.join(again, ["part_h", "part_g"]).select(F.col("part_h").alias("m"), F.col("part_h").alias("h"), F.col("part_g").alias("g"), F.lit(1).alias("n"), weight, "content")
+    found = _shards(parts, resolve, weight).select(F.col("h").alias("part_h"), F.col("g").alias("part_g"), F.explode("value").alias("value"))
+    runs = each.join(found, ["part_h", "part_g"]).select("h", "g", "start", "value")
+    if every:
+        runs = runs.unionByName(each.join(again, ["part_h", "part_g"], "left_anti").select("h", "g", "start", F.col(weight).alias("value")))
+    whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct(F.col("start").alias("first"), F.lit(1).alias("count"), "value")).alias("r"))
+    return whole.select("h", "g", *(F.col(f"r.{c}").alias(c) for c in ("first", "count", "value")))
+
+
+def _unseen(keys: np.ndarray, seen: set[int]) -> list[int]:
+    """Places of keys that are not in the set, which then has them, too; it starts anew when it is full."""
+    if len(seen) > REMEMBERED:
+        seen.clear()
+    new = []
+    for k, x in enumerate(keys.tolist()):
+        if x not in seen:
+            seen.add(x)
+            new.append(k)
+    return new
 
 
 def _shards(rows: DataFrame, resolve, weight: str) -> DataFrame:
