@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .relational import fixed
+
 
 def checked(scores: DataFrame, score: str = "margin", label: str = "label") -> DataFrame:
     """AG9: fails on null or NaN scores and labels other than 0 and 1, and on an empty table."""
@@ -29,7 +31,7 @@ def sweep(scores: DataFrame, score: str = "margin", label: str = "label") -> Dat
     """
     each = checked(scores, score, label).groupBy(F.col(score).alias("threshold")).agg(F.sum(label).alias("pos"), F.count(label).alias("n"))
     ranges = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = each.repartitionByRange(ranges, F.desc("threshold")).withColumn("_range", F.spark_partition_id())
+    dealt = fixed(each.repartitionByRange(ranges, F.desc("threshold")).withColumn("_range", F.spark_partition_id()))
     down = Window.partitionBy("_range").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
     above, every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(0))
     sums = dealt.groupBy("_range").agg(F.sum("pos").alias("p"), F.sum("n").alias("c"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +87,22 @@ def hashed_rank(column: Column, seed: int) -> list[Column]:
     return [F.md5(F.concat(F.lit(f"{seed}:"), column.cast("string"))), column]
 
 
+def fixed(rows: DataFrame) -> DataFrame:
+    """rows, computed once and kept in the shared folder (spark.checkpoint.dir): every later use sees the same rows. Ranges need this, as
+    their bounds are drawn anew each time they are computed."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
+    return rows.checkpoint()
+
+
 def ranked(ids: DataFrame, column: str, order: list[Column]) -> DataFrame:
     """ids with rank from 1 over all rows, without one task that sorts them all: sorted ranges are numbered, then shifted."""
-    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number, so that both uses number the same ranges
-    parts = ids.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = fixed(ids.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
     parts = parts.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")

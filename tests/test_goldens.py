@@ -119,6 +119,19 @@ def test_splits(spark):
         one(spark, a=R.split_size(n(5), count=6))
 
 
+def test_ranks_of_many_rows(spark):
+    from millrace.operators.manifests import filter_inputs
+
+    rows = spark.range(60_000, numPartitions=7).select((F.col("id") * 7919 % 60_000).alias("pos"), F.lit(" ").alias("sample_id"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("image_path"), (F.col("id") % 3).cast("int").alias("_file"), F.repeat(F.lit("x"), 50).alias("wide"))
+    got = R.ranked(rows, "pos", [F.col("pos")])
+    assert got.where("rank <> pos + 1").count() == 0 and got.count() == 60_000
+    found = filter_inputs(rows, "pos", "_file").groupBy("sample_id").count().collect()
+    assert len(found) == 20_000 and {r["count"] for r in found} == {3}
+    scores = spark.range(40_000).select((F.col("id") * 7919 % 40_000 / 40_000).alias("margin"), (F.col("id") % 2).alias("label"))
+    s = C.sweep(scores)
+    assert s.count() == 40_000 and s.where("tp + fp <> round((1 - threshold) * 40000)").count() == 0
+
+
 def test_mixed_dataset(spark):
     frame = lambda *r: spark.createDataFrame(list(r), "name string, split string")
     got = R.mixed_dataset(frame(("real_pose.jpg", "train")), frame(("synth_pose.jpg", "train"), ("x", "val")), frame(("shared_eval.jpg", "test")))
