@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .block_join import nearest_neighbours
+from .centroids import cluster_vectors
 from .context_tree import score_texts
 from .edit_matching import contaminated
+from .hard_negatives import mine_hard_negatives
 from .main_text import extract_main_text
 from .packing import best_fit_packing
 from .prefix_tree_join import prefix_tree_join
+from .source_mix import mix_sources
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_array_dedup
 from .token_counts import piece_vocabulary, token_counts
@@ -70,6 +73,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "distance")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3, scale=64, dimension=64)
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, positives=5, negatives=10, window=(30, 90), scale=256, label=label)
+
+
+def op13_pareto_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), weights=(3, 1, 2), percent=150, most=2)
+
+
 def base_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op2 says beside the model's score, to six places, since sums of logarithms depend on their order."""
     found = op2_context_tree_weighting(spark, sf_dir)
@@ -94,11 +110,33 @@ QUERIES = {
         op8_toxicity,
         op9_html_extraction,
         op10_benchmark_decontamination,
+        op11_centroid_clustering,
+        op12_hard_negative_mining,
+        op13_pareto_source_mix,
         base_word_scores,
         exact_benchmark_hits,
     )
 }
 
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Rounds of assignment and exact means, one after the other."""
+    sql = f"""
+with v as materialized (select vec_id, list_transform(cast(embedding as double[]), lambda x: floor(64 * x)) as q from embeddings
+  where len(embedding) = 64 and len(list_filter(cast(embedding as double[]), lambda x: x is not null and isfinite(x))) = 64),
+c0 as materialized (select row_number() over (order by sha256('1:' || vec_id)) - 1 as c, q as m from v qualify c < {k})"""
+    for r in range(rounds + 1):
+        sql += f""",
+a{r} as materialized (select vec_id, q, min({{'d': cast(list_inner_product(q, q) - 2 * list_inner_product(q, m) + list_inner_product(m, m) as bigint), 'c': c}}) as a from v, c{r} group by vec_id, q),
+u{r} as (select a.c as c, unnest(q) as x, unnest(range(64)) as i from a{r}),
+s{r} as (select c, i, cast(sum(cast(x as bigint)) as hugeint) as s, count(*) as n from u{r} group by 1, 2),
+n{r} as (select c, list(cast((s - ((s % n) + n) % n) // n as double) order by i) as m from s{r} group by 1),
+c{r + 1} as materialized (select c, coalesce(n{r}.m, c{r}.m) as m from c{r} left join n{r} using (c))"""
+    return sql + f"""
+select vec_id, cast(a.c as int) as cluster, a.d as distance, cast(sum(a.d) over (partition by a.c) as bigint) as cluster_inertia, cast(sum(a.d) over () as bigint) as inertia,
+  sha256(array_to_string(list_transform(m, lambda x: cast(cast(x as bigint) as varchar)), ',')) as centroid_sha256
+from a{rounds} join c{rounds} on c{rounds}.c = a{rounds}.a.c"""
+
+
 ORACLES: dict[str, str] = {
     "op1_suffix_array_dedup": """
 with b as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
@@ -145,6 +183,30 @@ each as (select doc_id, unnest(ws) as x, unnest(range(1, len(ws) + 1)) as j from
 kept as (select e.doc_id, string_agg(e.x, ' ' order by e.j) as t, count(*) as n from each e anti join gone g on g.doc_id = e.doc_id and g.j = e.j group by 1)
 select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(kept.n, 0) as bigint) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
 from w left join kept using (doc_id)
+""",
+    "op11_centroid_clustering": _clusters_sql(16, 3),
+    "op12_hard_negative_mining": """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(cast(embedding as double[]), lambda x: floor(256 * x)) as q
+  from embeddings where label is not null and len(embedding) > 0 and len(list_filter(cast(embedding as double[]), lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (select a.vec_id as a, c.vec_id as c, a.label = c.label as same, cast(list_inner_product(a.q, c.q) as bigint) as s from v a join v c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+p as (select a, c as p, s as ps from s where same qualify row_number() over (partition by a order by s desc, c) <= 5),
+n as (select p.a, p.p, p.ps, s.c, s.s, row_number() over (partition by p.a, p.p order by s.s desc, s.c) as r from p join s on s.a = p.a and not s.same where 30 * p.ps <= 100 * s.s and 100 * s.s <= 90 * p.ps)
+select a as anchor_id, p as positive_id, cast(r as int) as rank, c as negative_id, ps as positive_score, s as negative_score from n where r <= 10
+""",
+    "op13_pareto_source_mix": r"""
+with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+  cast('0x' || substr(md5('13:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 12) as bigint) as u from documents),
+s as (select source, cast(sum(size) as bigint) as n, cast(list_extract([3, 1, 2], cast((row_number() over (order by source nulls last) - 1) % 3 as int) + 1) as bigint) as w from d group by 1),
+o as (select *, coalesce(sum(n) over (order by n / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as gone, sum(w) over (order by n / w, source nulls last rows between current row and unbounded following) as free, sum(n) over () as total from s),
+level as (select arg_max({'num': cast(150 * total - 200 * gone as bigint), 'den': cast(100 * free as bigint)}, (150 * total - 200 * gone) / free) as l from o),
+t as (select source, n, case when w * (l.num / l.den) > 2 * n or w * l.num > 2 * n * l.den then cast(2 * n as double) else cast(w * l.num as double) / l.den end as target from s, level),
+c as (select source, n, target, case when n > 0 then cast(floor(target / n) as bigint) else 0 end as copies from t),
+x as (select d.doc_id, d.size, d.u, c.source, c.n, c.target, c.copies, cast(round(c.target - c.copies * c.n) as bigint) as rest from d join c on c.source is not distinct from d.source),
+y as (select *, rest > 0 and sum(size) over (partition by source order by u, doc_id, size rows between unbounded preceding and current row) <= rest as fits from x),
+g as (select *, rest - coalesce(sum(size) filter (where fits) over (partition by source), 0) as gap from y),
+e as (select *, not fits and size > 0 and size < 2 * gap as nearer from g),
+f as (select *, nearer and row_number() over (partition by source, nearer order by abs(size - gap), u, doc_id, size) = 1 as extra from e)
+select doc_id, size, n as source_size, target, cast(size * (copies + case when fits or extra then 1 else 0 end) as bigint) as taken from f
 """,
     "base_word_scores": r"""
 with tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab),
