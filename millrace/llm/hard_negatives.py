@@ -119,7 +119,9 @@ def _tiles(packed: DataFrame, anchors: int, others: int, same_kind: bool) -> Dat
                 if at[3] == 0:
                     last = (at[:3], decoded(b.column("matrix")[n].as_buffer()), b.column("meta")[n].as_py())
                 elif last and last[0] == at[:3]:
-                    tile = products(last[1], decoded(b.column("matrix")[n].as_buffer()))
+                    left, right = last[1], decoded(b.column("matrix")[n].as_buffer())
+                    wide = min(left.shape[1], right.shape[1])  # what only one block has belongs to another dimension
+                    tile = products(left[:, :wide], right[:, :wide])
                     yield batch(**{c: pa.array([v], pa.int32()) for c, v in zip("ijk", at, strict=False)}, tile=pa.array([encoded(tile)], pa.binary()), a_meta=pa.array([last[2]], pa.binary()), r_meta=b.column("meta").slice(n, 1))
 
     return met.repartition("i", "j", "k").sortWithinPartitions("i", "j", "k", "side").transform(mapped, multiply, "i int, j int, k int, tile binary, a_meta binary, r_meta binary")
