@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 U64 = np.uint64
 Batches = Iterable[pa.RecordBatch]
@@ -92,7 +93,7 @@ def cut_batches(batches: Batches, rows: int, size: int) -> Iterator[pa.RecordBat
             a = z
 
 
-def mapped(df: DataFrame, mapper: Mapper, schema: str, rows: int = 1000, size: int = 4 << 20) -> DataFrame:
+def mapped(df: DataFrame, mapper: Mapper, schema: str | StructType, rows: int = 1000, size: int = 4 << 20) -> DataFrame:
     """df.mapInArrow over batches of at most so many rows and bytes. Its workers give memory back: they live on and would hold
     what one large batch once needed."""
     small_batches(df.sparkSession)

@@ -8,8 +8,7 @@ corpus is a list of segments, and windows can only be equal between segments of
 2. only segments of these anchors are kept, as 128-bit digests of their contents; equal segments are counted together, before and
    after the shuffle;
 3. one copy of each different segment goes to the shards, by its anchor, where an index (a suffix array or an FM-index) tells which
-   windows of one segment occur in another;
-   windows of one segment occur in another; the segments of an anchor that has very many are cut by other anchors first;
+   windows of one segment occur in another; the segments of an anchor that has very many are cut by what they share beside it first;
 4. the verdict of each different segment goes back to its rows.
 
 Hashes of anchors only bring segments together. That segments are equal rests on the digest (XXH3, 128 bits, of the bytes themselves);
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import INVERSE, MOST_BITS, BITS_EACH, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, stored
+from .common import BITS_EACH, INVERSE, MOST_BITS, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, ragged, stored
 
 #: Low bits of a sliding minimum that hold the place, so that one array gives both; slabs are shorter than that.
 PLACE_BITS = 24
@@ -158,7 +157,7 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
     table = docs.sparkSession.sparkContext.broadcast(hash_filter(anchors, anchors.count()))
 
     def found(batches: Batches) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for b in batches:
             u = units(b.column("text"))
             for rows, s, c, m in scan(u, window, gram):
@@ -167,7 +166,7 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
                 end = at + c[ok] + window - 1
                 d = u.digests(at, end)
                 new = []
-                for k, x in enumerate(d[:, 0].tolist()):
+                for k, x in enumerate(map(tuple, d.tolist())):
                     if x not in seen:
                         seen.add(x)
                         new.append(k)
@@ -178,8 +177,8 @@ def segment_texts(docs: DataFrame, units, window: int, gram: int, anchors: DataF
     return docs.transform(mapped, found, "h long, g long, content binary", size=2 << 20)
 
 
-#: Different segments of one anchor that one task takes; those of an anchor with more are cut by other anchors, so many times at most.
-HOT, LEVELS = 512, 3
+#: Different segments of one anchor that one index takes; those of an anchor with more are cut.
+HOT = 512
 
 
 def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, every: bool) -> DataFrame:
@@ -193,33 +192,84 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
     anchors = stored(distinct.groupBy("m").agg(F.count("h").alias("k")).where(f"k > {0 if every else 1}").select("m"))
     wanted = distinct if every else distinct.join(anchors, "m", "left_semi")
     rows = segment_texts(docs, units, window, gram, anchors).dropDuplicates(["h", "g"]).join(wanted, ["h", "g"])
-    return _indexed(stored(rows.select("m", "h", "g", "n", weight, "content")), units, window, gram, resolve, weight, combine, 1)
+    rows = stored(rows.select("m", "h", "g", "n", F.lit(-1).alias("at"), weight, "content"))
+    return _indexed(rows, rows.groupBy("m").agg(F.count("h").alias("k")), units, window, gram, gram, resolve, weight, combine, every)
 
 
-def _indexed(rows: DataFrame, units, window: int, gram: int, resolve, weight: str, combine, level: int) -> DataFrame:
-    hot = rows.groupBy("m").agg(F.count("h").alias("k")).where(F.col("k") > HOT).select("m")
-    if level > LEVELS or hot.isEmpty():
+def _among(rows: DataFrame, anchors: DataFrame, there: bool) -> DataFrame:
+    """The rows whose anchor a filter of the given ones holds, or doesn't: no row moves, however many share an anchor. What the filter
+    holds beside them is cut or kept like them, so that each row is in one of the two."""
+    table = rows.sparkSession.sparkContext.broadcast(hash_filter(anchors, anchors.count()))
+
+    def found(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(may_hold(table.value, _m(b)) == there))
+
+    return rows.transform(mapped, found, rows.schema)
+
+
+def _m(b: pa.RecordBatch) -> np.ndarray:
+    return longs(b.column("m")).view(np.uint64)
+
+
+def anchor_places(u: Units, n: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Where in each segment of n windows its anchor begins: the least gram that all its windows hold, the first of equal ones."""
+    p = prefix_hashes(u.values)
+    g = mix((p[gram:] - p[: len(p) - gram]) * powers(INVERSE, len(p))[: len(p) - gram])
+    mask = U64((1 << PLACE_BITS) - 1)
+    low = (g & ~mask) | np.arange(len(g), dtype=np.uint64)
+    count = window - gram + 2 - n
+    at = ragged(u.off[:-1] + n - 1, count)
+    return (np.minimum.reduceat(low[at], np.cumsum(count) - count) & mask).astype(np.int64) - u.off[:-1]
+
+
+def halves(n: np.ndarray, at: np.ndarray, window: int, core: int) -> list[tuple[np.ndarray, ...]]:
+    """Of segments of n windows that all hold `core` units at a place: (segments, first window, windows, place and size of a larger core).
+
+    A window has window - core units beside the core, so half of them or more on its left, or else on its right; its side tells which
+    larger core it holds. Equal windows are on one side and hold equal cores.
+    """
+    half = (window - core + 1) // 2
+    left = np.clip(at - half + 1, 0, n)
+    a, b = np.flatnonzero(left > 0), np.flatnonzero(left < n)
+    return [(a, np.zeros(len(a), np.int64), left[a], (at - half)[a]), (b, left[b], (n - left)[b], at[b])]
+
+
+def _indexed(rows: DataFrame, tally: DataFrame, units, window: int, gram: int, core: int, resolve, weight: str, combine, every: bool) -> DataFrame:
+    """h, g, runs. All windows of an anchor share `core` units. Where its segments are too many for one index, they are cut in two by
+    the side on which their windows go on, and meet again by the larger core that they share there: two rows for each, and so on until
+    few share a core. At last the core is the window, and all that share it are one. Only what is really shared is cut again."""
+    tally = stored(tally)
+    hot = tally.where(F.col("k") > HOT).select("m")
+    if core >= window or hot.isEmpty():
         return _shards(rows, resolve, weight)
-    hot = stored(hot)
+    half = (window - core + 1) // 2
 
     def split(batches: Batches) -> Iterator[pa.RecordBatch]:
-        """The segments of the contents by anchors of another hash, with the places of their windows."""
         for b in batches:
-            h, g, w = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "g", weight))
+            if not b.num_rows:
+                continue
+            h, g, n, at, w = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h", "g", "n", "at", weight))
             u = units(b.column("content"))
-            for r, s, c, m in scan(u, window, gram, level * 0x9E3779B97F4A7C15 % (1 << 64)):
-                at = u.off[r] + s
-                end = at + c + window - 1
-                d = u.digests(at, end)
-                yield batch(h=h[r], g=g[r], start=s.astype(np.int32), m=_signed(m), part_h=d[:, 0], part_g=d[:, 1], n=c.astype(np.int32), **{weight: w[r]}, content=u.contents(at, end))
-
-    cut = stored(mapped(rows.join(hot, "m", "left_semi").select("h", "g", weight, "content"), split, f"h long, g long, start int, m long, part_h long, part_g long, n int, {weight} long, content binary", size=1 << 20))
-    parts = cut.groupBy("m", F.col("part_h").alias("h"), F.col("part_g").alias("g"), "n").agg(combine(weight).alias(weight), F.min("content").alias("content"))
-    found = _indexed(stored(parts), units, window, gram, resolve, weight, combine, level + 1).withColumnsRenamed({"h": "part_h", "g": "part_g"})
+            at = anchor_places(u, n, window, gram) if core == gram else at
+            raw = memoryview(np.ascontiguousarray(u.raw))
+            for side, (r, start, count, place) in enumerate(halves(n, at, window, core)):
+                begin = u.off[r] + start
+                end, mid = begin + count + window - 1, u.off[r] + place
+                m = np.array([xxhash.xxh3_64_intdigest(raw[x:y], 2 * core + side) for x, y in u.places(mid, mid + core + half)], np.uint64)
+                d = u.digests(begin, end)
+                yield batch(h=h[r], g=g[r], start=start.astype(np.int32), m=_signed(m), part_h=d[:, 0], part_g=d[:, 1] ^ _signed(m), n=count.astype(np.int32), at=(place - start).astype(np.int32), **{weight: w[r]}, content=u.contents(begin, end))
+
+    cut = stored(mapped(_among(rows, hot, True), split, f"h long, g long, start int, m long, part_h long, part_g long, n int, at int, {weight} long, content binary", size=1 << 20))
+    parts = stored(cut.groupBy("m", F.col("part_h").alias("h"), F.col("part_g").alias("g"), "n", "at").agg(combine(weight).alias(weight), F.min("content").alias("content")))
+    inner = stored(parts.groupBy("m").agg(F.count("h").alias("k"), F.max(weight).alias("most")))
+    if not every:  # a segment that is alone, and once, has no equal windows
+        parts = _among(parts, inner.where("k > 1 or most > 1").select("m"), True)
+    found = _indexed(parts, inner.select("m", "k"), units, window, gram, core + half, resolve, weight, combine, every).withColumnsRenamed({"h": "part_h", "g": "part_g"})
     runs = cut.select("h", "g", "start", "part_h", "part_g").join(found, ["part_h", "part_g"]).select("h", "g", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
     whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct((F.col("start") + F.col("r.first")).alias("first"), F.col("r.count"), F.col("r.value"))).alias("r"))
     back = whole.select("h", "g", *(F.col(f"r.{c}").alias(c) for c in ("first", "count", "value")))
-    return _shards(rows.join(hot, "m", "left_anti"), resolve, weight).unionByName(back)
+    return _shards(_among(rows, hot, False), resolve, weight).unionByName(back)
 
 
 def _shards(rows: DataFrame, resolve, weight: str) -> DataFrame:
@@ -234,7 +284,7 @@ def _shards(rows: DataFrame, resolve, weight: str) -> DataFrame:
     return rows.select(*cols).repartition(4 * parts_for(rows.sparkSession), "m").sortWithinPartitions("m", "h", "g").transform(mapped, shards, schema)
 
 
-#: Bytes of segments that one index covers; the different segments of one anchor always stay together, so that such a group may be larger.
+#: Bytes of segments that one index covers; the different segments of one anchor, HOT at most, stay together, so that it may cover more.
 INDEX_BYTES = 1 << 20
 
 

@@ -123,10 +123,58 @@ def test_anchors_with_many_segments(variants, monkeypatch):
     cut = []
     monkeypatch.setattr(S, "HOT", 4)
     indexed = S._indexed
-    monkeypatch.setattr(S, "_indexed", lambda *a: (cut.append(a[-1]), indexed(*a))[1])
+    monkeypatch.setattr(S, "_indexed", lambda *a: (cut.append(a[5]), indexed(*a))[1])
     for x, y in zip(both(), whole, strict=True):
         same(x, y)
-    assert max(cut) > 1
+    assert max(cut) > 150
+
+
+def test_segments_that_share_a_line(spark, monkeypatch):
+    """One line of 151 bytes (30 words) in every document: no index gets more segments of an anchor than the limit, nothing is removed
+    but what windows of the planted copies cover, and two rows are made for a segment and step at most."""
+    from millrace.llm import segments as S
+    from millrace.llm.substring_dedup import substring_dedup
+    from millrace.llm.suffix_dedup import suffix_array_dedup
+
+    rng = random.Random(3)
+    line = " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(30)) + "\n\n"
+    assert len(line) == 151
+    out = ["".join(rng.choice("klmnopqrst ") for _ in range(200)) + " " + line + "".join(rng.choice("klmnopqrst ") for _ in range(200)) for _ in range(700)]
+    out[9] = out[4][:230] + out[9][230:]  # 230 bytes in common, up to within the line
+    docs = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(S, "HOT", 64)
+    shards, groups, made = S._shards, [], []
+
+    def watched(rows, resolve, weight):
+        groups.append(rows.groupBy("m").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0])
+        made.append(rows.count())
+        return shards(rows, resolve, weight)
+
+    monkeypatch.setattr(S, "_shards", watched)
+    removed = {r.doc_id: r.n_removed for r in suffix_array_dedup(docs).collect() if r.n_removed}
+    assert set(removed) == {4, 9} and removed[4] == removed[9] >= 230
+    assert max(groups) <= 64 and len(groups) > 1 and sum(made) < 700
+    groups.clear(), made.clear()
+    assert substring_dedup(docs, window=34, gram=16).where("n_removed > 0").count() == 1
+    assert max(groups) <= 64 and len(groups) > 1
+
+
+def test_halves_of_segments():
+    """Each window is in one half, and its larger core lies inside it."""
+    import numpy as np
+
+    from millrace.llm.segments import halves
+
+    for window, core in ((200, 100), (200, 175), (200, 188), (200, 199), (50, 24), (50, 37), (50, 49)):
+        for n in range(1, window - core + 2):
+            for at in range(n - 1, window - core + 1):
+                seen = []
+                half = (window - core + 1) // 2
+                for r, start, count, place in halves(np.array([n]), np.array([at]), window, core):
+                    for s, c, p in zip(start.tolist(), count.tolist(), place.tolist(), strict=True):
+                        seen += range(s, s + c)
+                        assert all(k <= p and p + core + half <= k + window for k in range(s, s + c))
+                assert seen == list(range(n))
 
 
 def test_prefix_tree_join(docs, rows):
