@@ -7,11 +7,11 @@ score of a text is that of its most toxic window, so a text may be of any length
 
 The network is fitted on a bounded sample: at most `sample` labelled rows of either class, and of these as many as have
 `sample_bytes` of text in all (but one of either class at least), in the order of a hash of the id; rows of any length are taken, and
-taken whole. Near copies within the sample are left out. Everything else reads all rows.
+taken whole, all different ones of an id. Near copies within the sample are left out. Everything else reads all rows.
 
 Defined results: a null or empty text, or one without words, gets the share of toxic rows among the labelled training rows; if
 these have one class only (or there are none), so does every text. Labels that are null are not used; of several labels of one id
-the greatest counts; a null doc_id is never held out; rows are scored on their own, so repeated rows get the same score; an empty
+the greatest counts, for every row of that id; a null doc_id is never held out; rows are scored on their own, so repeated rows get the same score; an empty
 table gives an empty table; other columns are not read.
 """
 
@@ -382,15 +382,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, sample_bytes:
     order = F.xxhash64("doc_id")
     picked = known.where("y = 1").orderBy(order, "doc_id").limit(sample).unionByName(known.where("y = 0").orderBy(order, "doc_id").limit(sample))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    drawn = stored(rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")))  # at most 2 * sample rows
-    sizes = drawn.select("doc_id", "y", F.octet_length("text").alias("n")).orderBy(order, "doc_id").collect()
+    # all different texts of the picked ids; an id may have any number of rows, so that these are bounded once more
+    drawn = rows.join(F.broadcast(picked), "doc_id").distinct().withColumn("key", F.xxhash64("text"))
+    drawn = stored(drawn.where("y = 1").orderBy(order, "doc_id", "key", "text").limit(sample).unionByName(drawn.where("y = 0").orderBy(order, "doc_id", "key", "text").limit(sample)))
+    sizes = drawn.select("doc_id", "key", "y", F.octet_length("text").alias("n")).orderBy(order, "doc_id", "key").collect()
     taken, held = [], {0: 0, 1: 0}
     for r in sizes:
         if not held[r.y] or held[r.y] + r.n <= sample_bytes // 2:
-            taken.append(r.doc_id)
+            taken.append((r.doc_id, r.key))
         held[r.y] += r.n + 1
-    chosen = docs.sparkSession.createDataFrame([(i,) for i in taken], "doc_id long")
-    got = drawn.join(F.broadcast(chosen), "doc_id", "left_semi").orderBy("doc_id").collect()
+    chosen = docs.sparkSession.createDataFrame(taken, "doc_id long, key long")
+    got = drawn.join(F.broadcast(chosen), ["doc_id", "key"], "left_semi").orderBy("doc_id", "key").collect()
     return [r.text.lower().encode() for r in got], np.array([r.y for r in got], np.int64), toxic / total
 
 

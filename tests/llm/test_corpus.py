@@ -471,6 +471,72 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity(docs, one).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_all_rows_of_an_id(spark):
+    from millrace.llm.toxicity import training_rows
+
+    rows = [(k, f"text {k} {j}") for k in range(1, 11) for j in range(3)] + [(1, "text 1 0"), (None, "of no id"), (2, None)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 11)] + [(4, 1), (6, None)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    trains = {k for k in range(1, 11) if zlib.crc32(str(k).encode()) % 5}
+    texts, y, prior = training_rows(docs, labels, 1000, 1 << 20, "doc_id", "text", "doc_id", "toxic")
+    expected = {(k, (t or "").encode()) for k, t in rows if k in trains}
+    toxic = lambda k: int(k % 2 == 1 or k == 4)
+    assert collections.Counter(zip(texts, y.tolist(), strict=True)) == collections.Counter((t, toxic(k)) for k, t in expected)
+    assert prior == sum(map(toxic, trains)) / len(trains)
+    few, y, _ = training_rows(docs, labels, 4, 1 << 20, "doc_id", "text", "doc_id", "toxic")
+    assert sorted(y.tolist()) == [0] * 4 + [1] * 4 and len(few) == 8
+
+
+def test_toxicity_network_against_plain_loops():
+    """Scores as sums over single numbers, and gradients as differences of the loss."""
+    import numpy as np
+
+    from millrace.llm import toxicity as T
+
+    rng = random.Random(4)
+    texts = [(prose(rng, 9) + (" snortch, grumfle" if k % 2 else "")).lower().encode() for k in range(24)]
+    model = T.fit(texts, np.array([k % 2 for k in range(24)]), 0.5, steps=3)
+    p = {k: v.astype(float).tolist() for k, v in model.network.p.items()}
+    sig, dot = (lambda x: 1 / (1 + math.exp(-x))), (lambda x, m, j: sum(a * r[j] for a, r in zip(x, m, strict=True)))
+    data, off = np.frombuffer(texts[1], np.uint8), np.array([0, len(texts[1])])
+    h, s, e, _ = T.bare_words(data, off)
+    w = T.Words(data, h, s, e)
+    x = model.vectors(w, model.facts(w))[0].astype(float)[w.index].tolist()
+    states, H = {}, T.HIDDEN
+    for d, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        now = [0.0] * H
+        for t in order:
+            g = [dot(x[t], p[f"W{d}"], j) + p[f"c{d}"][j] for j in range(3 * H)]
+            u = [dot(now, p[f"U{d}"], j) for j in range(3 * H)]
+            r, z = [sig(g[j] + u[j]) for j in range(H)], [sig(g[H + j] + u[H + j]) for j in range(H)]
+            n = [math.tanh(g[2 * H + j] + r[j] * u[2 * H + j]) for j in range(H)]
+            now = [z[j] * now[j] + (1 - z[j]) * n[j] for j in range(H)]
+            states[d, t] = now
+    both = [states["f", t] + states["b", t] for t in range(len(x))]
+    told = [math.exp(sum(math.tanh(dot(b, p["A"], j) + p["a"][j]) * p["v"][j] for j in range(T.ATTENTION))) for b in both]
+    logit = sum(a / sum(told) * sum(v * o for v, o in zip(b, p["o"], strict=True)) for a, b in zip(told, both, strict=True)) + p["b"][0]
+    assert abs(model.score(data, off)[0] - sig(logit)) < 1e-4
+    # gradients of a weighted sum of logits
+    net, numbers = model.network, np.random.default_rng(2)
+    steps, count = 6, 5
+    inputs = numbers.standard_normal((steps, count, 6 * H)).astype(np.float32)
+    mask = (np.arange(steps)[:, None] < np.array([6, 3, 1, 5, 6])).astype(np.float32)[:, :, None]
+    weight = numbers.standard_normal(count).astype(np.float32)
+    keep = {}
+    net.forward(inputs, mask, keep)
+    grads, dx = net.backward(weight, mask, keep)
+    loss = lambda: float((net.forward(inputs, mask).astype(float) * weight).sum())
+    for values, g in [(net.p[k], grads[k]) for k in ("Uf", "Ub", "A", "a", "v", "o", "b")] + [(inputs, dx)]:
+        for at in numbers.choice(values.size, min(5, values.size), replace=False):
+            old = values.flat[at]
+            values.flat[at] = old + 0.01
+            up = loss()
+            values.flat[at] = old - 0.01
+            down = loss()
+            values.flat[at] = old
+            assert abs((up - down) / 0.02 - np.asarray(g).flat[at]) < 2e-3 + 0.02 * abs(up - down) / 0.02
+
+
 def test_toxicity_of_long_texts(spark, monkeypatch):
     from millrace.llm import toxicity as T
 
@@ -556,6 +622,34 @@ def test_main_text_in_named_wrappers():
     assert main_text(f"<body>{ad}<article><h1>Title</h1><p>Somewhat longer than brief.</article>") == "Title\nSomewhat longer than brief."
 
 
+def test_main_text_that_a_form_or_an_open_menu_holds():
+    """Tags that are never the article's hold it: a form around the page, a menu without end tag, what shows without scripts."""
+    from millrace.llm.main_text import main_text
+
+    p = "<p>Some words of running text, with commas, and enough of them to be a paragraph that gives points.</p>"
+    plain = p[3:-4]
+    for page in (
+        f"<body><form id=aspnetForm><div id=content><article><h1>T</h1>{p * 2}</article></div><div class=comments>{p * 9}</div></form>",
+        f"<body><form><fieldset><h1>T</h1>{p * 2}</fieldset></form><form><label>Name</label><input></form>",
+        f"<body><nav><ul><li><a href=x>home</a></li></ul><article><h1>T</h1>{p * 2}</article><footer>{p}</footer>",
+        f"<body><noscript><article><h1>T</h1>{p * 2}</article></noscript><noscript>Please turn scripts on</noscript>",
+        f"<body><header><h2>Site</h2><p>A site for reading, and for nothing else</p></header><h1>T</h1>{p * 2}<footer>{p}</footer>",
+    ):
+        assert main_text(page) == f"T\n{plain}\n{plain}", page
+    assert main_text(f"<body><div><h1>T</h1><p>Short.</p></div><footer>{p * 3}</footer><form>{p}</form>") == "T\nShort."
+
+
+def test_main_text_with_anchors_of_sections():
+    """Ids of sections and paragraphs of an article are anchors; boxes with such names, and readers' comments, are not its text."""
+    from millrace.llm.main_text import main_text
+
+    p = "<p>Some words of running text, with commas, and enough of them to be a paragraph that gives points.</p>"
+    kept = f"<section id=discussion><h2>Discussion</h2>{p * 3}</section><p class=reply>What he said in reply.</p><section id=the-banner>{p}</section>"
+    gone = f"<section id=comments>{p}</section><div class=discussion>{p}</div><div class=ad>buy</div><p class=advert>buy it</p><aside>{p}</aside>"
+    assert main_text(f"<article><h1>T</h1>{p}{kept}{gone}</article>") == main_text(f"<article><h1>T</h1>{p}{kept}</article>")
+    assert main_text(f"<article><h1>T</h1>{p}{kept}</article>").count("\n") == 7
+
+
 def test_pages_against_a_plain_reading(spark):
     """Pages whose article is one element: a reading of that element alone gives the same."""
     import os
