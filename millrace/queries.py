@@ -13,7 +13,9 @@ from .operators import gate as G
 from .operators import labels as L
 from .operators import manifests as M
 from .operators import relational as R
-from .streaming import decisions, replay, window_counts
+from .sources import events as EV
+from .streaming import decisions, replay, stream_folder, window_counts
+from .streaming import jobs as J
 
 THRESHOLD = 0.25
 QUERIES: dict = {}
@@ -811,3 +813,42 @@ def stream_decisions(spark, d):
     e = F.col("embedding").cast("array<double>")
     stream = spark.readStream.schema(stored.schema).parquet(f"{d}/embeddings.parquet*")
     return replay(decisions(stream.select(F.col("vec_id").alias("id"), F.slice(e, 1, 32).alias("positive"), F.slice(e, 33, 32).alias("negative")), THRESHOLD))
+
+
+def event_stream(spark, d, rows):
+    return EV.stream_of(spark, f"{d}/events.parquet", table(spark, d, "events").schema, stream_folder(spark), rows)
+
+
+@query("select event_id, ts, user_id, event_type, value, props from events")
+def streamed_events(spark, d):
+    """SC14: every event once, through the source of job events, in batches."""
+    return replay(event_stream(spark, d, 5000), paced=True)
+
+
+LIVES = """
+with recursive k as (select user_id as job, epoch_us(ts) as at, event_id, case event_type when 'signup' then 'submit' when 'purchase' then 'finish' else 'progress' end as kind
+  from events where event_type in ('signup', 'purchase', 'view', 'click') and user_id is not null and ts is not null),
+w as (select max(at) // 1000 * 1000 - 3600000000 as w from k),
+o as (select job, at, kind, row_number() over (partition by job order by at, event_id) as n from k, w where at <= w),
+e as (select * from o union all select job, w, 'end', max(n) + 1 from o, w group by job, w),
+s as (
+  select job, cast(0 as bigint) as n, 'idle' as status, 0 as attempt, cast(0 as bigint) as since, cast([] as struct(attempt int, status varchar, at bigint)[]) as told from (select distinct job from o)
+  union all
+  select job, n, case when kind = 'submit' and b not in ('submitted', 'running') then 'submitted' when kind = 'progress' and b = 'submitted' then 'running' when kind = 'finish' and b in ('submitted', 'running') then 'done' else b end,
+    case when kind = 'submit' and b not in ('submitted', 'running') then 0 else c end,
+    case when kind = 'submit' and b not in ('submitted', 'running') then at else since + 21600000000 * x end,
+    list_concat(flatten([[{'attempt': attempt + i - 1, 'status': 'timed_out', 'at': since + 21600000000 * i}, {'attempt': case when attempt + i > 1 then attempt + i - 1 else attempt + i end, 'status': case when attempt + i > 1 then 'failed' else 'submitted' end, 'at': since + 21600000000 * i}] for i in range(1, x + 1)]),
+      case when kind = 'submit' and b not in ('submitted', 'running') then [{'attempt': 0, 'status': 'submitted', 'at': at}] when kind = 'progress' and b = 'submitted' then [{'attempt': c, 'status': 'running', 'at': at}]
+           when kind = 'finish' and b in ('submitted', 'running') then [{'attempt': c, 'status': 'done', 'at': at}] else [] end)
+  from (select *, case when x = 0 then status when x > 1 - attempt then 'failed' else 'submitted' end as b, attempt + least(x, 1 - attempt) as c
+    from (select s.job, e.n, e.kind, e.at, s.status, s.attempt, s.since, cast(case when s.status in ('submitted', 'running') then least((e.at - s.since - 1) // 21600000000, 2 - s.attempt) else 0 end as int) as x from s join e on e.job = s.job and e.n = s.n + 1)))
+select job, t.attempt as attempt, t.status as status, make_timestamp(t.at) as at from (select job, unnest(told) as t from s)"""
+
+
+@query(LIVES)
+def job_transitions(spark, d):
+    """UD9, SC13: signups submit, views and clicks run, purchases end; six hours for an attempt, two attempts, an hour for late events."""
+    t = F.col("event_type")
+    kind = F.when(t == "signup", J.SUBMIT).when(t.isin("view", "click"), J.PROGRESS).when(t == "purchase", J.FINISH)
+    lives = J.job_lives(event_stream(spark, d, 5000), kind, 6 * 3600, 1, "1 hour")
+    return replay(lives, paced=True).withColumn("at", F.col("at").cast("timestamp_ntz"))

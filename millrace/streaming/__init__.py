@@ -25,34 +25,42 @@ def decisions(logits: DataFrame, threshold: float, top_k: int = 3) -> DataFrame:
     return logits.select("id", m.alias("margin"), margin_decision(m, threshold).alias("decision"))
 
 
-def _folder(spark: SparkSession) -> str:
+def stream_folder(spark: SparkSession) -> str:
+    """A new name in the shared folder (spark.checkpoint.dir) for what a stream keeps."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{(shared or tempfile.mkdtemp(prefix='millrace-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-def replay(stream: DataFrame, keys: list[str] | None = None, seconds: int = 600) -> DataFrame:
+def replay(stream: DataFrame, keys: list[str] | None = None, seconds: float | None = None, paced: bool = False, folder: str | None = None) -> DataFrame:
     """The rows that a finite stream gives until its end, written by the tasks to the shared folder, one folder for each batch, so that a
     batch that is run again replaces itself.
 
-    Without keys the stream appends rows; with keys it updates them, and the last row of each key counts.
+    Without keys the stream appends rows; with keys it updates them, and the last row of each key counts. seconds: how long that may
+    take. paced: the source gives what it has in many batches, not at once. folder: of a replay that was begun before, to go on with it.
     """
-    spark, folder, written = stream.sparkSession, _folder(stream.sparkSession), []
+    known = folder is not None
+    spark, folder, written = stream.sparkSession, folder or stream_folder(stream.sparkSession), []
 
     def write(rows: DataFrame, number: int) -> None:
         rows.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/rows/{number}")
         written.append(number)
 
     writer = stream.writeStream.outputMode("update" if keys else "append").option("checkpointLocation", f"{folder}/state")
-    query = writer.foreachBatch(write).trigger(availableNow=True).start()
+    writer = writer.foreachBatch(write)
+    query = (writer if paced else writer.trigger(availableNow=True)).start()
     try:
-        if not query.awaitTermination(seconds):
+        if paced:
+            query.processAllAvailable()
+        elif seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
             raise TimeoutError(f"the stream did not end within {seconds} s")
     finally:
         query.stop()
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}, _batch int"
-    found = spark.read.schema(schema).option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true").parquet(f"{folder}/rows") if written else spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true").parquet(f"{folder}/rows") if written or known else spark.createDataFrame([], schema)
     if not keys:
         return found.drop("_batch")
     others = [c for c in stream.columns if c not in keys]
