@@ -263,17 +263,27 @@ def merged(parts: DataFrame, dtype: type, how: str) -> np.ndarray:
 BITS_EACH, MOST_BITS = 16, 1 << 28
 
 
+def _bits(n: int) -> int:
+    return 1 << min(MOST_BITS.bit_length() - 1, max(13, (BITS_EACH * n - 1).bit_length()))
+
+
+def filled(keys: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """A Bloom filter with some hashes: a new one for them, or one that had others."""
+    table = np.zeros(_bits(len(keys)) // 8, np.uint8) if table is None else table
+    for at in _probes(keys, len(table) * 8):
+        np.bitwise_or.at(table, at >> U64(3), (U64(1) << (at & U64(7))).astype(np.uint8))
+    return table
+
+
 def hash_filter(keys: DataFrame, n: int) -> np.ndarray:
     """A Bloom filter of n long keys, of bounded size, made by all tasks; only saves work, since exact joins follow."""
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(13, (BITS_EACH * n - 1).bit_length()))
+    bits = _bits(n)
 
-    def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fill(batches: Batches) -> Iterator[pa.RecordBatch]:
         table = None
         for b in batches:
             if b.num_rows:
-                table = np.zeros(bits // 8, np.uint8) if table is None else table
-                for at in _probes(longs(b.column(0)).view(np.uint64), bits):
-                    np.bitwise_or.at(table, at >> U64(3), (U64(1) << (at & U64(7))).astype(np.uint8))
+                table = filled(longs(b.column(0)).view(np.uint64), np.zeros(bits // 8, np.uint8) if table is None else table)
         if table is not None:
             yield slices_of(table)
 

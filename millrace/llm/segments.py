@@ -22,10 +22,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BITS_EACH, INVERSE, MOST_BITS, SLAB, U64, Batches, batch, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, ragged, stored
+from .common import BITS_EACH, INVERSE, MOST_BITS, SLAB, U64, Batches, batch, filled, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, ragged, stored
 
 #: Low bits of a sliding minimum that hold the place, so that one array gives both; slabs are shorter than that.
 PLACE_BITS = 24
@@ -196,10 +197,22 @@ def verdicts(distinct: DataFrame, docs: DataFrame, units, window: int, gram: int
     return _indexed(rows, rows.groupBy("m").agg(F.count("h").alias("k")), units, window, gram, gram, resolve, weight, combine, every)
 
 
-def _among(rows: DataFrame, anchors: DataFrame, there: bool) -> DataFrame:
-    """The rows whose anchor a filter of the given ones holds, or doesn't: no row moves, however many share an anchor. What the filter
-    holds beside them is cut or kept like them, so that each row is in one of the two."""
-    table = rows.sparkSession.sparkContext.broadcast(hash_filter(anchors, anchors.count()))
+#: Anchors that the driver may make a filter of by itself: half a MB of them.
+FEW = 1 << 16
+
+
+def _filter(anchors: DataFrame) -> Broadcast | None:
+    """A filter of some anchors for all tasks; None if there are none."""
+    few = anchors.limit(FEW + 1).collect()
+    if not few:
+        return None
+    keys = np.array([r.m for r in few], np.int64).view(np.uint64)
+    return anchors.sparkSession.sparkContext.broadcast(filled(keys) if len(few) <= FEW else hash_filter(anchors, anchors.count()))
+
+
+def _among(rows: DataFrame, table: Broadcast, there: bool) -> DataFrame:
+    """The rows whose anchor is in a filter, or isn't: no row moves, however many share an anchor. What the filter holds beside its
+    anchors is cut or kept like them, so that each row is in one of the two."""
 
     def found(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -239,9 +252,8 @@ def _indexed(rows: DataFrame, tally: DataFrame, units, window: int, gram: int, c
     """h, g, runs. All windows of an anchor share `core` units. Where its segments are too many for one index, they are cut in two by
     the side on which their windows go on, and meet again by the larger core that they share there: two rows for each, and so on until
     few share a core. At last the core is the window, and all that share it are one. Only what is really shared is cut again."""
-    tally = stored(tally)
-    hot = tally.where(F.col("k") > HOT).select("m")
-    if core >= window or hot.isEmpty():
+    hot = None if core >= window else _filter(tally.where(F.col("k") > HOT).select("m"))
+    if hot is None:
         return _shards(rows, resolve, weight)
     half = (window - core + 1) // 2
 
@@ -264,7 +276,8 @@ def _indexed(rows: DataFrame, tally: DataFrame, units, window: int, gram: int, c
     parts = stored(cut.groupBy("m", F.col("part_h").alias("h"), F.col("part_g").alias("g"), "n", "at").agg(combine(weight).alias(weight), F.min("content").alias("content")))
     inner = stored(parts.groupBy("m").agg(F.count("h").alias("k"), F.max(weight).alias("most")))
     if not every:  # a segment that is alone, and once, has no equal windows
-        parts = _among(parts, inner.where("k > 1 or most > 1").select("m"), True)
+        shared = _filter(inner.where("k > 1 or most > 1").select("m"))
+        parts = parts.limit(0) if shared is None else _among(parts, shared, True)
     found = _indexed(parts, inner.select("m", "k"), units, window, gram, core + half, resolve, weight, combine, every).withColumnsRenamed({"h": "part_h", "g": "part_g"})
     runs = cut.select("h", "g", "start", "part_h", "part_g").join(found, ["part_h", "part_g"]).select("h", "g", "start", F.explode(F.arrays_zip("first", "count", "value")).alias("r"))
     whole = runs.groupBy("h", "g").agg(F.collect_list(F.struct((F.col("start") + F.col("r.first")).alias("first"), F.col("r.count"), F.col("r.value"))).alias("r"))
