@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .decimals import rounded
+
 TRUE_WORDS, FALSE_WORDS = ("1", "true", "yes", "y", "on"), ("0", "false", "no", "n", "off")
 COUNTER = "^(.+)_([0-9]{5})_$"
 
@@ -80,8 +82,8 @@ def output_counter(name: Column) -> Column:
 
 
 def ratio(n: Column, d: Column) -> Column:
-    """SF21: 0 for an empty whole, else rounded half even to 4 places."""
-    return F.when(d == 0, F.lit(0.0)).otherwise(F.bround(n.cast("double") / d, 4))
+    """SF21: 0 for an empty whole, else rounded half even to 4 places, on the exact value."""
+    return F.when(d == 0, F.lit(0.0)).otherwise(rounded(n.cast("double") / d, 4))
 
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .decimals import number_text, once, unit_text
+
 KEYPOINTS = 17
 
 
@@ -64,20 +66,21 @@ def visible_keypoints(flat: Column) -> Column:
 
 def visibility(confidence: Column, threshold: float) -> Column:
     """SF13: 2 from the threshold on, 1 above 0, else 0."""
-    return F.when(confidence >= threshold, 2).when(confidence > 0, 1).otherwise(0)
+    sure = lambda least: least & ~F.isnan(confidence)  # noqa: E731  NaN is above every number here
+    return F.when(sure(confidence >= threshold), 2).when(sure(confidence > 0), 1).otherwise(0)
 
 
 def pose_label_line(box: Column, points: Column, confidences: Column, threshold: float) -> Column:
     """SF13: 0 cx cy w h and 17 keypoints of x y and visibility, all of them normalized already; missing confidences are 0."""
-    head = F.concat_ws(" ", F.lit("0"), F.concat_ws(" ", F.transform(F.slice(box, 1, 4), _number)))
     at = lambda k, j: F.coalesce(F.get(F.get(points, k), F.lit(j)), F.lit(0.0))
-    point = lambda k: F.concat_ws(" ", _number(at(k, 0)), _number(at(k, 1)), visibility(F.coalesce(F.get(confidences, k), F.lit(0.0)), threshold).cast("string"))
-    return F.concat_ws(" ", head, F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(KEYPOINTS - 1)), point)))
+    xy = F.flatten(F.transform(_places(), lambda k: F.array(at(k, 0), at(k, 1))))
+    sure = F.transform(_places(), lambda k: visibility(F.coalesce(F.get(confidences, k), F.lit(0.0)), threshold))
+    return _line(F.transform(F.concat(F.slice(box, 1, 4), xy), lambda v: number_text(v)), sure)
 
 
 def segment_line(label: Column, flat: Column) -> Column:
     """SF15: class x y x y ... with six places."""
-    return F.concat_ws(" ", label.cast("string"), F.concat_ws(" ", F.transform(flat, _number)))
+    return F.concat_ws(" ", label.cast("string"), F.concat_ws(" ", F.transform(flat, lambda v: number_text(v.cast("double")))))
 
 
 def polygons(result: Column, classes: list[str]) -> Column:
@@ -97,21 +100,34 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def _unit(c: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
+    return F.when(c.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)))
+
+
+def _places() -> Column:
+    return F.sequence(F.lit(0), F.lit(KEYPOINTS - 1))
+
+
+def _line(texts: Column, seen: Column) -> Column:
+    """0, the four texts of the box, and for each keypoint its two texts and its visibility; null where one of them is null."""
 
+    def joined(both: Column) -> Column:
+        t, s = both["texts"], both["seen"]
+        points = F.transform(_places(), lambda k: F.concat(F.lit(" "), F.get(t, k * 2 + 4), F.lit(" "), F.get(t, k * 2 + 5), F.lit(" "), F.get(s, k).cast("string")))
+        whole = F.concat(F.lit("0 "), F.concat_ws(" ", F.slice(t, 1, 4)), F.array_join(points, ""))
+        return F.when((F.size(t) == 4 + 2 * KEYPOINTS) & ~F.exists(t, lambda x: x.isNull()), whole)
 
-def _number(c: Column) -> Column:
-    return F.format_string("%.6f", c)
+    return once(F.struct(texts.alias("texts"), seen.alias("seen")), joined)
 
 
 def coco_label_line(box: Column, flat: Column, width: Column, height: Column) -> Column:
-    """SF12: 0 cx cy w h and 17 keypoints of x y v, normalized and within 0 and 1."""
+    """SF12: 0 cx cy w h and 17 keypoints of x y v, normalized and within 0 and 1; null where the box lacks a number."""
     w, h = width.cast("double"), height.cast("double")
     b = lambda i: F.get(box, F.lit(i))
-    head = F.concat_ws(" ", F.lit("0"), _number(_unit((b(0) + b(2) / 2) / w)), _number(_unit((b(1) + b(3) / 2) / h)), _number(_unit(b(2) / w)), _number(_unit(b(3) / h)))
+    head = F.array((b(0) + b(2) / 2) / w, (b(1) + b(3) / 2) / h, b(2) / w, b(3) / h)
     at = lambda k, j: F.coalesce(F.get(flat, k * 3 + j), F.lit(0.0))
-    point = lambda k: F.concat_ws(" ", _number(_unit(at(k, 0) / w)), _number(_unit(at(k, 1) / h)), at(k, 2).cast("int").cast("string"))
-    return F.concat_ws(" ", head, F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(KEYPOINTS - 1)), point)))
+    xy = F.flatten(F.transform(_places(), lambda k: F.array(at(k, 0) / w, at(k, 1) / h)))
+    numbers = F.transform(F.concat(head, xy), _unit)  # each number is made once, and its text once
+    return _line(F.transform(numbers, lambda v: unit_text(v)), F.transform(_places(), lambda k: at(k, 2).cast("int")))
 
 
 def polygon_points(points: Column) -> Column:

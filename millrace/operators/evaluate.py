@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.decimals import rounded
 from ..functions.scalar import clamp, ratio
 
 
@@ -16,7 +17,7 @@ def slice_means(scores: DataFrame) -> DataFrame:
 
 def metric_formulas(train_metric: Column, real_mean: Column, synthetic_mean: Column) -> Column:
     """AG14: struct of the four metrics, each within its bounds and rounded to 4 places."""
-    bound = lambda c, low=0.0: F.bround(clamp(c, low, 1.0), 4)
+    bound = lambda c, low=0.0: rounded(clamp(c, low, 1.0), 4)
     map50 = bound(0.4 + train_metric * 0.5 + real_mean * 0.08)
     return F.struct(map50.alias("map50"), bound(map50 - 0.13).alias("map50_95"), bound(0.35 + train_metric * 0.4 + synthetic_mean * 0.12).alias("iou_mean"), bound(0.35 - train_metric * 0.25, 0.01).alias("calibration_error"))
 
@@ -35,14 +36,14 @@ def mix_report(rows: DataFrame) -> DataFrame:
 
 def train_metric(n: Column, real_ratio: Column) -> Column:
     """AG16."""
-    return clamp(F.bround(0.5 + F.least(n / 100, F.lit(0.35)) - 0.15 * F.abs(real_ratio - 0.5), 4), 0, 0.99)
+    return clamp(rounded(0.5 + F.least(n / 100, F.lit(0.35)) - 0.15 * F.abs(real_ratio - 0.5), 4), 0, 0.99)
 
 
 def policy(value: Column, target: float, threshold: Column) -> Column:
     """AG23: struct of action and the next threshold."""
     low = value < target
     step = F.when(low, threshold + 0.05).otherwise(threshold - 0.03)
-    return F.struct(F.when(low, "tighten_filter").otherwise("relax_filter").alias("action"), F.bround(F.greatest(F.lit(0.0), F.least(F.lit(1.0), step)), 4).alias("next_threshold"))
+    return F.struct(F.when(low, "tighten_filter").otherwise("relax_filter").alias("action"), rounded(F.greatest(F.lit(0.0), F.least(F.lit(1.0), step)), 4).alias("next_threshold"))
 
 
 def seg_policy(value: Column, target: float = 0.65) -> Column:

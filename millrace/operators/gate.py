@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import non_blank
 from ..functions.vision import bbox_area_ratio, segmentation_area, valid_keypoints
 
 ACTIONS = ("reject", "uncertain")
@@ -94,7 +95,7 @@ def anchors_by_size(rows: DataFrame, files: DataFrame | None, path_field: str, *
 
     rows: width, height and the path field; files: path of every file that is there (None: all are).
     """
-    path = F.nullif(F.trim(F.col(path_field)), F.lit(""))
+    path = non_blank(F.col(path_field))
     there = F.lit(True)
     if files is not None:
         rows = rows.join(files.select(F.col("path").alias(path_field), F.lit(True).alias("_there")).distinct(), path_field, "left")

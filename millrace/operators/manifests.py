@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import basename, first_of, generation_mode, non_blank, output_counter, output_prefix, padded_id, stem
+from ..functions.scalar import basename, first_of, generation_mode, non_blank, output_counter, output_prefix, padded_id, stem, strip
 from .relational import chosen_runs, rank_pairs, ranked
 
 PATHS = ("image_path", "synthetic_image_path", "imagepath", "path")
@@ -108,7 +108,7 @@ def clean_manifest(files: DataFrame, references: DataFrame, output_dir: str) ->
         generation_mode(F.col("ref.comfy_prompt_graph_source"), F.col("ref.effective_filename_prefix")).alias("generation_mode"),
         guide.alias("guide_image_id"),
         text(F.col("ref.anchor_real_image_path")).alias("anchor_real_image_path"),
-        (F.trim(guide) != "").alias("guided_by_real"),
+        (strip(guide) != "").alias("guided_by_real"),
         text(F.col("ref.effective_filename_prefix")).alias("effective_filename_prefix"),
         text(F.col("ref.comfy_filename")).alias("comfy_filename_ref"),
     ).orderBy("output_filename")
@@ -124,7 +124,7 @@ def clean_summary(rows: DataFrame, references: DataFrame, manifests: int) -> Dat
         count(m == "prefix_fallback").alias("matched_prefix_count"),
         count(F.col("map_status") == "no_reference").alias("no_reference_count"),
         count((m == "exact_comfy_filename") & several).alias("ambiguous_exact_filename_count"),
-        F.count_distinct(F.when((m == "prefix_fallback") & several, F.trim("effective_filename_prefix"))).alias("ambiguous_prefix_count"),
+        F.count_distinct(F.when((m == "prefix_fallback") & several, strip(F.col("effective_filename_prefix")))).alias("ambiguous_prefix_count"),
         count(F.col("map_status") == "matched").alias("matched_total_count"),
     )
     return counted.crossJoin(F.broadcast(references.agg(F.count(F.lit(1)).alias("reference_row_count")))).withColumn("reference_manifest_count", F.lit(manifests))

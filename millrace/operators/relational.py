@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import basename, padded_id, stem
+from ..functions.scalar import basename, non_blank, padded_id, stem
 
 
 def first_of_each(rows: DataFrame, keys: list[str], *order) -> DataFrame:
@@ -25,11 +25,12 @@ def resolve_label(images: DataFrame, coco: DataFrame, counts: DataFrame, path: s
 
     coco: id, file_name; counts: image_id, n_annotations. A match must be one id with annotations, or the columns are null.
     """
-    names = coco.select(F.explode(F.array_distinct(F.array("file_name", basename(F.col("file_name"))))).alias("_name"), "id").groupBy("_name").agg(F.collect_set("id").alias("_by_name"))
-    stems = coco.select(stem(F.col("file_name")).alias("_stem"), "id").groupBy("_stem").agg(F.collect_set("id").alias("_by_stem"))
+    names = coco.select(F.explode(F.array_distinct(F.array("file_name", basename(F.col("file_name"))))).alias("_name"), "id").groupBy("_name").agg(F.min("id").alias("_name_id"), F.max("id").alias("_name_max"))
+    stems = coco.select(stem(F.col("file_name")).alias("_stem"), "id").groupBy("_stem").agg(F.min("id").alias("_stem_id"), F.max("id").alias("_stem_max"))
     found = images.withColumn("_name", basename(F.col(path))).withColumn("_stem", stem(F.col(path))).join(names, "_name", "left").join(stems, "_stem", "left")
-    ids = F.coalesce("_by_name", "_by_stem")
-    one = found.withColumn("_id", F.when(F.size(ids) == 1, ids[0])).join(counts.select(F.col("image_id").alias("_id"), F.col("n_annotations").alias("_n")), "_id", "left")
+    # the least and the greatest id tell whether there is one, however many rows share a name
+    alone = lambda c: F.when(F.col(f"_{c}_id") == F.col(f"_{c}_max"), F.col(f"_{c}_id"))
+    one = found.withColumn("_id", F.when(F.col("_name_id").isNotNull(), alone("name")).otherwise(alone("stem"))).join(counts.select(F.col("image_id").alias("_id"), F.col("n_annotations").alias("_n")), "_id", "left")
     return one.select(*images.columns, F.when(F.col("_n") > 0, F.col("_id")).alias("coco_image_id"), F.when(F.col("_n") > 0, F.col("_n")).alias("n_annotations"))
 
 
@@ -109,6 +110,27 @@ def ranked(ids: DataFrame, column: str, order: list[Column]) -> DataFrame:
     return parts.join(F.broadcast(before), "_part").withColumn("rank", F.col("_own") + F.col("_before")).drop("_part", "_own", "_before")
 
 
+def ranked_within(rows: DataFrame, by: list[str], order: list[Column], name: str = "turn") -> DataFrame:
+    """WN4: rows with their place from 1 within each group, without one task that has a whole group.
+
+    Ranges of (group, order) are sorted and their rows numbered; a row's place is its number less that of its group's first row in the
+    range, and what earlier ranges have of the group. Only the first group of a range can have begun before it, so that as few carries
+    as ranges go to all tasks.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*(F.col(b) for b in by), *order]
+    number = F.monotonically_increasing_id()
+    parts = fixed(rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_number", number))
+    parts = parts.withColumn("_part", F.shiftright("_number", 33))
+    firsts = parts.groupBy(*by, "_part").agg(F.min("_number").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    same = lambda other: [F.col(b).eqNullSafe(F.col(f"{other}_{b}")) for b in by] + [F.col("_part") == F.col(f"{other}_part")]
+    named = lambda df, other, *keep: df.select(*(F.col(c).alias(f"{other}_{c.lstrip('_')}") for c in [*by, "_part"]), *keep)
+    carries = named(firsts.withColumn("_before", before).where("_before > 0"), "_c", "_before")
+    both = parts.join(named(firsts, "_f", "_first"), same("_f")).join(F.broadcast(carries), same("_c"), "left")
+    return both.select(*rows.columns, (F.col("_number") - F.col("_first") + 1 + F.coalesce("_before", F.lit(0))).cast("int").alias(name))
+
+
 def split_train_val(ids: DataFrame, column: str, ratio: float, seed: int) -> DataFrame:
     """SO4: split is val for the max(1, floor(n * ratio)) ids of least hash, else train. ids are distinct."""
     size = ids.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(float(ratio)))).alias("_val"))
@@ -197,21 +219,24 @@ def chosen_runs(refs: DataFrame) -> DataFrame:
 
 
 def rank_pairs(files: DataFrame, refs: DataFrame) -> DataFrame:
-    """JN5: files of a prefix by counter with references of the prefix by id, place by place. files: prefix, name, counter."""
-    turn = lambda *order: F.row_number().over(Window.partitionBy("prefix").orderBy(*order))
-    return files.withColumn("turn", turn("counter", "name")).join(refs.withColumn("turn", turn("ref_id")), ["prefix", "turn"])
+    """JN5, WN4: files of a prefix by counter with references of the prefix by id, place by place. files: prefix, name, counter.
+
+    Places are counted over ranges, and pairs meet by prefix and place, so that one prefix may have all files.
+    """
+    return ranked_within(files, ["prefix"], [F.col("counter"), F.col("name")]).join(ranked_within(refs, ["prefix"], [F.col("ref_id")]), ["prefix", "turn"])
 
 
 def job_count(rows: DataFrame, column: str) -> DataFrame:
     """AG17: different non-blank ids, or all rows if there is none."""
-    ids = F.count_distinct(F.nullif(F.trim(column), F.lit("")))
+    ids = F.count_distinct(non_blank(F.col(column)))
     return rows.agg(F.when(ids > 0, ids).otherwise(F.count(F.lit(1))).alias("jobs"))
 
 
-def job_plan(anchors: DataFrame, target: int, seed: int) -> DataFrame:
-    """JN9, WN5: job i takes anchor i mod n and seed + i. anchors: anchor_id, turn from 0 to n - 1."""
-    n = anchors.agg(F.count(F.lit(1)).alias("_n"))
-    jobs = anchors.sparkSession.range(target).crossJoin(F.broadcast(n)).withColumn("turn", F.col("id") % F.col("_n"))
+def job_plan(anchors: DataFrame, target: int, seed: int, start: int = 0) -> DataFrame:
+    """JN9, WN5: so many jobs from a number on; job i takes anchor i mod n and seed + i. anchors: anchor_id, turn from 0 to n - 1. Without
+    anchors there are no jobs."""
+    n = anchors.agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    jobs = anchors.sparkSession.range(start, start + target).crossJoin(F.broadcast(n)).withColumn("turn", F.col("id") % F.col("_n"))
     return jobs.join(anchors, "turn").select(F.col("id").alias("job"), "anchor_id", (F.col("id") + seed).alias("seed"))
 
 
@@ -220,9 +245,16 @@ def copied(files: DataFrame) -> DataFrame:
     return files.agg(F.floor(F.count(F.when(F.col("kind").isin("images", "labels"), 1)) / 2).alias("copied"))
 
 
-def stub_plan(real: DataFrame, each: int, seed: int, most: int = 0) -> DataFrame:
-    """JN10: `each` jobs for every real row, seed + pos * 100 + k, limited in order (0: all). real: sample_id, pos."""
-    jobs = real.select("sample_id", "pos", F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("k")).withColumn("seed", seed + F.col("pos") * 100 + F.col("k"))
+def stub_plan(real: DataFrame, each: int, seed: int, most: int = 0, files: DataFrame | None = None) -> DataFrame:
+    """JN10, UD10: `each` jobs for every real row, seed + pos * 100 + k, limited in order (0: all); none if each is not positive.
+
+    real: sample_id, pos; files: path of every file that is there, and then real has image_path: rows whose file is missing have no job,
+    but their places count.
+    """
+    if files is not None:
+        real = real.join(files.select(F.col("path").alias("image_path")).distinct(), "image_path", "left_semi")
+    turns = F.sequence(F.lit(0), F.lit(each - 1)) if each > 0 else F.array().cast("array<int>")
+    jobs = real.select("sample_id", "pos", F.explode(turns).alias("k")).withColumn("seed", seed + F.col("pos") * 100 + F.col("k"))
     return jobs.orderBy("pos", "k").limit(most) if most else jobs
 
 

@@ -1,7 +1,7 @@
 """Stage runner and serial plans (OR2-OR10, SC4): stages are functions over DataFrames in one session. The stages: stages.py.
 
-A stage's result is kept under a hash of its name, its settings and those of the stages before it, so that a run with the same
-settings resumes where it stopped.
+A stage's result is kept under a hash of the input, its name, its settings and those of the stages before it, so that a run with the same
+input and settings resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.scalar import FALSE_WORDS, TRUE_WORDS
 
@@ -50,6 +51,14 @@ def alone(path: str) -> Iterator[None]:
         yield
 
 
+def fingerprint(rows: DataFrame) -> str:
+    """The same for the same rows in any order: schema, number, and sums of two hashes of each row."""
+    row = F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)), {"ignoreNullFields": "false"}) if rows.columns else F.lit("")
+    part = lambda salt: F.sum(F.xxhash64(F.lit(salt), row).cast("decimal(38,0)"))
+    found = rows.agg(F.count(F.lit(1)), part(1), part(2)).first()
+    return hashlib.sha256(repr((rows.schema.json(), *map(str, found))).encode()).hexdigest()
+
+
 @dataclass
 class Runner:
     spark: SparkSession
@@ -64,7 +73,7 @@ class Runner:
             if n not in self.stages:
                 raise ValueError(f"unknown stage {n}")
         self.summary = {"status": "running", "completed": [], "skipped": []}
-        rows, past = start, ""
+        rows, past = start, fingerprint(start) if start is not None else ""
         for n in names:
             past = hashlib.sha256(json.dumps([past, n, settings.get(n, {})], sort_keys=True).encode()).hexdigest()
             path = f"{self.folder}/{n}-{past[:16]}"

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import decimals as D
 from .functions import scalar as S
 from .functions import vision as V
 from .operators import calibrate as C
 from .operators import evaluate as E
 from .operators import gate as G
+from .operators import jobs as W
 from .operators import labels as L
 from .operators import manifests as M
 from .operators import relational as R
@@ -382,7 +384,7 @@ def visibility(spark, d):
 # reports
 
 
-@query("with s as (select case when s_nationkey % 2 = 0 then 'real' else 'synthetic' end as source, s_acctbal as score from supplier) select count(*) as total, count(*) filter (where source = 'real') as real, count(*) filter (where source = 'synthetic') as synthetic, round_even(count(*) filter (where source = 'real') / count(*), 4) as real_ratio, round_even(count(*) filter (where source = 'synthetic') / count(*), 4) as synthetic_ratio from s")
+@query("with s as (select case when s_nationkey % 2 = 0 then 'real' else 'synthetic' end as source, s_acctbal as score from supplier) select count(*) as total, count(*) filter (where source = 'real') as real, count(*) filter (where source = 'synthetic') as synthetic, cast(printf('%.4f', count(*) filter (where source = 'real') / count(*)) as double) as real_ratio, cast(printf('%.4f', count(*) filter (where source = 'synthetic') / count(*)) as double) as synthetic_ratio from s")
 def mix_report(spark, d):
     """AG15, SF21."""
     rows = table(spark, d, "supplier").select(F.when(F.col("s_nationkey") % 2 == 0, "real").otherwise("synthetic").alias("source"))
@@ -673,16 +675,16 @@ def person_candidates(spark, d):
 
 
 @query("""
-with a as (select o_orderkey as image_id, 'o' || o_orderkey || '.jpg' as file_name, l_linenumber as id, l_partkey as p, '0 ' || printf('%.6f %.6f %.6f %.6f', least(1.0, ((l_partkey % 90) + 5.0) / 100), 0.15, 0.1, 0.1) as head
-           from orders join lineitem on l_orderkey = o_orderkey where o_orderkey % 8 = 0),
-k as (select *, list_aggregate(list_transform(range(17), lambda j: printf('%.6f %.6f ', ((p + j) % 100) / 100, 0.25) || cast((p + j) % 3 as varchar)), 'string_agg', ' ') as points from a)
+with a as (select o_orderkey as image_id, 'o' || o_orderkey || '.jpg' as file_name, l_linenumber as id, l_partkey as p, '0 ' || printf('%.6f %.6f %.6f %.6f', least(1.0, ((l_partkey % 90) + 5.0) / 128), 0.15, 10.0 / 128, 0.1) as head
+           from orders join lineitem on l_orderkey = o_orderkey),
+k as (select *, list_aggregate(list_transform(range(17), lambda j: printf('%.6f %.6f ', ((p + j) % 100) / 128, 0.25) || cast((p + j) % 3 as varchar)), 'string_agg', ' ') as points from a)
 select image_id, file_name, string_agg(head || ' ' || points, chr(10) order by id, head || ' ' || points) || chr(10) as label from k group by 1, 2""")
 def pose_labels(spark, d):
-    """SF12, SK7, AG20: lines stand for persons."""
+    """SF12, SK7, AG20: lines stand for persons; most coordinates are ties of the sixth place."""
     p = F.col("l_partkey")
     flat = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda j: F.array(((p + j) % 100).cast("double"), F.lit(50.0), ((p + j) % 3).cast("double"))))
     box = F.array((p % 90).cast("double"), F.lit(20.0), F.lit(10.0), F.lit(20.0))
-    images = table(spark, d, "orders").where("o_orderkey % 8 = 0").select(F.col("o_orderkey").alias("image_id"), F.concat(F.lit("o"), "o_orderkey", F.lit(".jpg")).alias("file_name"), F.lit(100).alias("width"), F.lit(200).alias("height"))
+    images = table(spark, d, "orders").select(F.col("o_orderkey").alias("image_id"), F.concat(F.lit("o"), "o_orderkey", F.lit(".jpg")).alias("file_name"), F.lit(128).alias("width"), F.lit(200).alias("height"))
     people = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("image_id"), F.col("l_linenumber").alias("id"), box.alias("bbox"), flat.alias("keypoints"))
     return L.pose_labels(images, people)
 
@@ -748,8 +750,8 @@ def slice_means(spark, d):
 
 @query("""
 with v as (select p_partkey, (p_partkey % 101) / 100 as t, (p_size % 7) / 10 as r, (p_size % 5) / 10 as s from part),
-m as (select *, round_even(greatest(0.0, least(1.0, 0.4 + t * 0.5 + r * 0.08)), 4) as map50 from v)
-select p_partkey, map50, round_even(greatest(0.0, least(1.0, map50 - 0.13)), 4) as map50_95, round_even(greatest(0.0, least(1.0, 0.35 + t * 0.4 + s * 0.12)), 4) as iou_mean, round_even(greatest(0.01, least(1.0, 0.35 - t * 0.25)), 4) as calibration_error,
+m as (select *, cast(printf('%.4f', greatest(0.0, least(1.0, 0.4 + t * 0.5 + r * 0.08))) as double) as map50 from v)
+select p_partkey, map50, cast(printf('%.4f', greatest(0.0, least(1.0, map50 - 0.13))) as double) as map50_95, cast(printf('%.4f', greatest(0.0, least(1.0, 0.35 + t * 0.4 + s * 0.12))) as double) as iou_mean, cast(printf('%.4f', greatest(0.01, least(1.0, 0.35 - t * 0.25))) as double) as calibration_error,
   case when map50 < 0.65 then 'tighten_filter' else 'relax_filter' end as action from m""")
 def metric_formulas(spark, d):
     """AG14, AG24."""
@@ -758,7 +760,7 @@ def metric_formulas(spark, d):
     return found.withColumn("action", E.seg_policy(F.col("map50")))
 
 
-@query("select p_partkey, greatest(0.0, least(0.99, round_even(0.5 + least(p_size / 100, 0.35) - 0.15 * abs((p_partkey % 11) / 10 - 0.5), 4))) as metric from part")
+@query("select p_partkey, greatest(0.0, least(0.99, cast(printf('%.4f', 0.5 + least(p_size / 100, 0.35) - 0.15 * abs((p_partkey % 11) / 10 - 0.5)) as double))) as metric from part")
 def train_metric(spark, d):
     """AG16."""
     return table(spark, d, "part").select("p_partkey", E.train_metric(F.col("p_size"), (F.col("p_partkey") % 11) / 10).alias("metric"))
@@ -826,23 +828,23 @@ def streamed_events(spark, d):
 
 
 LIVES = """
-with recursive k as (select user_id as job, epoch_us(ts) as at, event_id, case event_type when 'signup' then 'submit' when 'purchase' then 'finish' else 'progress' end as kind
+with recursive k as (select user_id as job, epoch_us(ts) as tm, event_id, case event_type when 'signup' then 'submit' when 'purchase' then 'finish' else 'progress' end as kind
   from events where event_type in ('signup', 'purchase', 'view', 'click') and user_id is not null and ts is not null),
-w as (select max(at) // 1000 * 1000 - 3600000000 as w from k),
-o as (select job, at, kind, row_number() over (partition by job order by at, event_id) as n from k, w where at <= w),
+w as (select max(tm) // 1000 * 1000 - 3600000000 as w from k),
+o as (select job, tm, kind, row_number() over (partition by job order by tm, event_id) as n from k, w where tm <= w),
 e as (select * from o union all select job, w, 'end', max(n) + 1 from o, w group by job, w),
 s as (
-  select job, cast(0 as bigint) as n, 'idle' as status, 0 as attempt, cast(0 as bigint) as since, cast([] as struct(attempt int, status varchar, at bigint)[]) as told from (select distinct job from o)
+  select job, cast(0 as bigint) as n, 'idle' as status, 0 as attempt, cast(0 as bigint) as since, cast([] as struct(attempt int, status varchar, tm bigint)[]) as told from (select distinct job from o)
   union all
   select job, n, case when kind = 'submit' and b not in ('submitted', 'running') then 'submitted' when kind = 'progress' and b = 'submitted' then 'running' when kind = 'finish' and b in ('submitted', 'running') then 'done' else b end,
     case when kind = 'submit' and b not in ('submitted', 'running') then 0 else c end,
-    case when kind = 'submit' and b not in ('submitted', 'running') then at else since + 21600000000 * x end,
-    list_concat(flatten([[{'attempt': attempt + i - 1, 'status': 'timed_out', 'at': since + 21600000000 * i}, {'attempt': case when attempt + i > 1 then attempt + i - 1 else attempt + i end, 'status': case when attempt + i > 1 then 'failed' else 'submitted' end, 'at': since + 21600000000 * i}] for i in range(1, x + 1)]),
-      case when kind = 'submit' and b not in ('submitted', 'running') then [{'attempt': 0, 'status': 'submitted', 'at': at}] when kind = 'progress' and b = 'submitted' then [{'attempt': c, 'status': 'running', 'at': at}]
-           when kind = 'finish' and b in ('submitted', 'running') then [{'attempt': c, 'status': 'done', 'at': at}] else [] end)
+    case when kind = 'submit' and b not in ('submitted', 'running') then tm else since + 21600000000 * x end,
+    list_concat(flatten([[{'attempt': attempt + i - 1, 'status': 'timed_out', 'tm': since + 21600000000 * i}, {'attempt': case when attempt + i > 1 then attempt + i - 1 else attempt + i end, 'status': case when attempt + i > 1 then 'failed' else 'submitted' end, 'tm': since + 21600000000 * i}] for i in range(1, x + 1)]),
+      case when kind = 'submit' and b not in ('submitted', 'running') then [{'attempt': 0, 'status': 'submitted', 'tm': tm}] when kind = 'progress' and b = 'submitted' then [{'attempt': c, 'status': 'running', 'tm': tm}]
+           when kind = 'finish' and b in ('submitted', 'running') then [{'attempt': c, 'status': 'done', 'tm': tm}] else [] end)
   from (select *, case when x = 0 then status when x > 1 - attempt then 'failed' else 'submitted' end as b, attempt + least(x, 1 - attempt) as c
-    from (select s.job, e.n, e.kind, e.at, s.status, s.attempt, s.since, cast(case when s.status in ('submitted', 'running') then least((e.at - s.since - 1) // 21600000000, 2 - s.attempt) else 0 end as int) as x from s join e on e.job = s.job and e.n = s.n + 1)))
-select job, t.attempt as attempt, t.status as status, make_timestamp(t.at) as at from (select job, unnest(told) as t from s)"""
+    from (select s.job, e.n, e.kind, e.tm, s.status, s.attempt, s.since, cast(case when s.status in ('submitted', 'running') then least((e.tm - s.since - 1) // 21600000000, 2 - s.attempt) else 0 end as int) as x from s join e on e.job = s.job and e.n = s.n + 1)))
+select job, t.attempt as attempt, t.status as status, make_timestamp(t.tm) as at from (select job, unnest(told) as t from s)"""
 
 
 @query(LIVES)
@@ -852,3 +854,49 @@ def job_transitions(spark, d):
     kind = F.when(t == "signup", J.SUBMIT).when(t.isin("view", "click"), J.PROGRESS).when(t == "purchase", J.FINISH)
     lives = J.job_lives(event_stream(spark, d, 5000), kind, 6 * 3600, 1, "1 hour")
     return replay(lives, paced=True).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+# exact decimals
+
+
+@query("select o_orderkey, printf('%.6f', x) as six, printf('%.2f', -x) as two, cast(printf('%.4f', x / 3) as double) as four from (select o_orderkey, (o_custkey % 4096) / 128 - 8 as x from orders)")
+def exact_places(spark, d):
+    """SF12, SF21, AG12: text and rounding of ties and of what only seems to be one."""
+    x = (F.col("o_custkey") % 4096) / 128 - 8
+    return table(spark, d, "orders").select("o_orderkey", D.fixed_text(x, 6).alias("six"), D.fixed_text(-x, 2).alias("two"), D.rounded(x / 3, 4).alias("four"))
+
+
+# jobs in flight
+
+
+class Slow:
+    """A client over the table at hand: job k is ready so many ticks after it was submitted, and gives k % 3 outputs."""
+
+    def __init__(self):
+        self.now, self.jobs = 0, {}
+
+    def clock(self):
+        return self.now
+
+    def sleep(self, seconds):
+        self.now += seconds
+
+    def submit(self, request, key):
+        number, attempt = int(request), int(key.rsplit("-", 1)[1])
+        self.jobs[key] = (self.now + (number + 3 * attempt) % 7, [f"{number}/{j}" for j in range(number % 3)])
+        return key
+
+    def fetch(self, name):
+        ready, outputs = self.jobs[name]
+        return outputs if self.now >= ready and self.jobs.pop(name) else None
+
+
+@query("""
+with j as (select o_orderkey as job, case when o_orderkey % 7 > 4 then 1 else 0 end as late from orders)
+select job, job + 5 as seed, cast(late as int) as attempt, 'done' as status, cast(k as int) as place, job || '/' || k as output from j, range(2) t(k) where k < job % 3
+union all select job, job + 5, 0, 'retried', null, null from j where late = 1""")
+def jobs_in_flight(spark, d):
+    """UD8, UD9, SC13: orders stand for jobs: eight in flight in each of four tasks, done after 0 to 4 ticks or tried again."""
+    plan = table(spark, d, "orders").select(F.col("o_orderkey").alias("job"), (F.col("o_orderkey") + 5).alias("seed"), F.col("o_orderkey").cast("string").alias("request"))
+    found = W.run_jobs(plan, Slow, 1 << 60, partitions=4, max_inflight=8, timeout=4, every=1, policy="retry", retries=2, run="r")
+    return found.select("job", "seed", "attempt", "status", "place", "output")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions.scalar import basename, non_blank
+from ..functions.scalar import basename, non_blank, strip
 
 
 def listing(spark: SparkSession, folder: str, patterns: list[str], most: int = 0) -> DataFrame:
@@ -117,7 +117,7 @@ def labelled_rows(spark: SparkSession, path: str) -> DataFrame:
     fields = "imagepath string, image_path string, path string, label string"
     rows = spark.read.schema(fields).option("multiLine", "true").option("mode", "FAILFAST").json(path)
     fail = lambda text: F.raise_error(F.lit(text)).cast("string")
-    word = F.lower(F.trim("label"))
+    word = F.lower(strip(F.col("label")))
     label = F.when(word.isin("accept", "reject"), word).otherwise(fail("label must be accept or reject"))
     path_ = F.coalesce(non_blank(F.col("imagepath")), non_blank(F.col("image_path")), non_blank(F.col("path")), fail("an item has no path"))
     return rows.select(path_.alias("image_path"), label.alias("label")).withColumn("label_binary", (F.col("label") == "accept").cast("int"))
@@ -144,7 +144,7 @@ def resolve_path(raw: str, base: str, root: str, fallback: str = "base") -> str:
 
 def resolved_paths(rows: DataFrame, files: DataFrame, base: str, root: str, column: str = "image_path", fallback: str = "base") -> DataFrame:
     """SC11 for every row: as resolve_path, by a join with the paths of the files that are there (files: path)."""
-    raw = F.trim(F.col(column))
+    raw = strip(F.col(column))
     near, far = F.concat(F.lit(base.rstrip("/") + "/"), raw), F.concat(F.lit(root.rstrip("/") + "/"), raw)
     there = lambda name: files.select(F.col("path").alias(name), F.lit(True).alias(f"{name}_there")).distinct()
     both = rows.withColumns({"_near": near, "_far": far}).join(there("_near"), "_near", "left").join(there("_far"), "_far", "left")
