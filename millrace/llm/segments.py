@@ -26,14 +26,19 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BITS_EACH, INVERSE, MOST_BITS, SLAB, U64, Batches, batch, filled, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, ragged, stored
+from .common import BITS_EACH, INVERSE, MOST_BITS, U64, Batches, batch, filled, hash_filter, longs, mapped, may_hold, mix, parts_for, powers, prefix_hashes, ragged, stored
 
 #: Low bits of a sliding minimum that hold the place, so that one array gives both; slabs are shorter than that.
 PLACE_BITS = 24
 
 
-def pieces(lengths: np.ndarray, window: int, limit: int = SLAB) -> Iterator[list[tuple[int, int, int]]]:
-    """Groups of (row, from, to) with at most `limit` units: whole rows; longer rows are cut so that each window lies in one piece."""
+#: Units that are hashed at once: their arrays stay in a core's cache.
+PIECE = 1 << 18
+
+
+def pieces(lengths: np.ndarray, window: int, limit: int | None = None) -> Iterator[list[tuple[int, int, int]]]:
+    """Groups of (row, from, to) with at most PIECE (or `limit`) units: whole rows; longer rows are cut so that each window lies in one piece."""
+    limit = limit or PIECE
     held: list[tuple[int, int, int]] = []
     size = 0
     for row in np.flatnonzero(lengths >= window):
@@ -298,7 +303,7 @@ def _shards(rows: DataFrame, resolve, weight: str) -> DataFrame:
 
 
 #: Bytes of segments that one index covers; the different segments of one anchor, HOT at most, stay together, so that it may cover more.
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 2 << 20
 
 
 def grouped(batches: Iterable[pa.RecordBatch], weight: str) -> Iterator[tuple]:

@@ -159,6 +159,19 @@ def test_segments_that_share_a_line(spark, monkeypatch):
     assert max(groups) <= 64 and len(groups) > 1
 
 
+def test_texts_longer_than_a_piece(docs, monkeypatch):
+    """Rows that are cut into pieces, at any place, lose nothing that whole ones don't."""
+    from millrace.llm import segments as S
+    from millrace.llm.substring_dedup import substring_dedup
+    from millrace.llm.suffix_dedup import suffix_array_dedup
+
+    both = lambda: [[tuple(r) for r in f(docs).drop("key", "kept").collect()] for f in (suffix_array_dedup, substring_dedup)]
+    whole = both()
+    monkeypatch.setattr(S, "PIECE", 333)
+    for x, y in zip(both(), whole, strict=True):
+        same(x, y)
+
+
 def test_halves_of_segments():
     """Each window is in one half, and its larger core lies inside it."""
     import numpy as np
