@@ -53,7 +53,7 @@ def number_text(c: Column, places: int = 6) -> Column:
     if places == 0:
         text = F.concat(sign, whole.cast("string"))
     special = F.when(F.isnan(c), "nan").when(c == float("inf"), "inf").when(c == float("-inf"), "-inf")
-    return F.coalesce(special, F.when(F.abs(c) < WHOLE / one, text).otherwise(F.format_string(f"%.{places}f", c)))
+    return F.coalesce(special, F.when(F.abs(c) < WHOLE / one, text).when(c.isNotNull(), F.format_string(f"%.{places}f", c)))
 
 
 def unit_text(c: Column, places: int = 6) -> Column:

@@ -16,6 +16,7 @@ from .operators import labels as L
 from .operators import manifests as M
 from .operators import relational as R
 from .sources import events as EV
+from .sources import transaction as TX
 from .streaming import decisions, replay, stream_folder, window_counts
 from .streaming import jobs as J
 
@@ -67,7 +68,7 @@ def margin_decision(spark, d):
 
 @query(f"with {MARGIN} select case when margin >= {THRESHOLD} then 'accept' else 'reject' end as decision, count(*) as n from m group by 1")
 def margin_decision_counts(spark, d):
-    """AG10, SK3."""
+    """AG10."""
     return G.decision_counts(margin_decision(spark, d))
 
 
@@ -856,6 +857,31 @@ def job_transitions(spark, d):
     return replay(lives, paced=True).withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 
+# one-pass sinks
+
+
+@query(f"""with {MARGIN}, r as (select vec_id, case when margin >= {THRESHOLD} then 'accept' else 'reject' end as decision, margin from m)
+select decision as part, vec_id, decision, margin from r union all select 'scores', vec_id, decision, margin from r""")
+def decision_files(spark, d):
+    """SK3: a manifest for each decision and the score table, written in one pass, and read again by the batch's record."""
+    path = stream_folder(spark)
+    TX.write_decisions(margin_decision(spark, d), path, "first")
+    TX.write_decisions(margin_decision(spark, d), path, "first")  # the same batch is there
+    parts = [TX.read_part(spark, path, p, "vec_id long, margin double, decision string").withColumn("part", F.lit(p)) for p in ("accept", "reject", "scores")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("part", "vec_id", "decision", "margin")
+
+
+@query("select 'tasks' as part, count(*) as lines, true as files from documents where source <> 'src1'")
+def task_lists(spark, d):
+    """SK13: tasks in lists of at most 500, as they are kept to be sent once."""
+    path = stream_folder(spark)
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("sample_id"), F.when(F.col("source") != "src1", F.col("source")).alias("image_url"))
+    line = F.to_json(F.struct("data", "meta"))
+    TX.write_lines(M.import_tasks(rows).select(F.lit("tasks").alias("part"), line.alias("line")), path, "b1", ["tasks"], 500)
+    found = TX.records(spark, path)
+    return found.groupBy("part").agg(F.sum("rows").alias("lines"), (F.count("file") * 500 >= F.sum("rows")).alias("files"))
+
+
 # exact decimals
 
 
