@@ -1,13 +1,12 @@
-"""Scalar expressions: coercion, clamping, paths, slugs, names and templates (SF1-SF6, SF8-SF11, SF21, SF22, PF21)."""
+"""Scalar expressions: coercion, clamping, paths, slugs and names (SF1-SF5, SF8-SF11, SF21, SF22, PF21). Templates: templates.py."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .decimals import rounded
+from .templates import render as render
 
 TRUE_WORDS, FALSE_WORDS = ("1", "true", "yes", "y", "on"), ("0", "false", "no", "n", "off")
 COUNTER = "^(.+)_([0-9]{5})_$"
@@ -91,23 +90,6 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
     return F.format_string(f"{prefix}%0{width}d", number)
 
 
-def render(template: str, fields: dict[str, Column]) -> Column:
-    """SF6: $name and ${name} are replaced by columns, then {name}, also where a column brought it in; unknown names stay as they are,
-    $$ is a dollar. Values of the second pass are not read again."""
-    value = {k: F.coalesce(c.cast("string"), F.lit("")) for k, c in fields.items()}
-    parts, last = [], 0
-    for m in re.finditer(r"\$\$|\$\{(\w+)\}|\$(\w+)", template):
-        parts.append(F.lit(template[last : m.start()]))
-        name = m[1] or m[2]
-        parts.append(F.lit("$") if m[0] == "$$" else value.get(name, F.lit(m[0])))
-        last = m.end()
-    text = F.concat(*parts, F.lit(template[last:]))
-    if not fields:
-        return text
-    known = F.create_map(*(x for k, v in value.items() for x in (F.lit("{" + k + "}"), v)))
-    return F.array_join(F.transform(F.split(text, r"(?=\{\w+\})|(?<=\})"), lambda p: F.coalesce(F.try_element_at(known, p), p)), "")
-
-
 def filename_prefix(task: Column, service: Column, default: str = "ComfyUI") -> Column:
     """SF9: service_task, or the one of them that isn't blank, or the default."""
     return F.coalesce(F.nullif(F.concat_ws("_", non_blank(service), non_blank(task)), F.lit("")), F.lit(default))
