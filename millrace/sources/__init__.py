@@ -1,10 +1,13 @@
-"""Manifests, annotation documents and image headers (SC1-SC3, SC6, SC8, SK1, SF17). Files: files.py; what is written: sinks.py."""
+"""Manifests and annotation documents (SC1-SC3, SC8, SK1, SF17). Files: files.py; image headers: images.py; what is written: sinks.py,
+transaction.py."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .images import image_size as image_size
+
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """SC1: JSON lines; blank lines are skipped, bad ones fail."""
@@ -31,27 +34,3 @@ def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def flatten_annotations(tasks: DataFrame) -> DataFrame:
     """SF17: a row for each annotation of a task (id, annotations); tasks without any have one with has_annotation false."""
     return tasks.select(F.col("id").alias("task_id"), F.explode_outer("annotations").alias("annotation")).withColumn("has_annotation", F.col("annotation").isNotNull())
-
-
-#: Frame headers of JPEG files that hold the size.
-_FRAME = "FFC[0-35-79A-BD-F]"
-
-
-def image_size(content):
-    """SC6: struct of width and height from the header of a PNG, GIF, BMP, JPEG or WebP file; null for others.
-
-    JPEG segments are walked by their lengths up to the frame header, in the first 64 of them.
-    """
-    number = lambda a, n: F.conv(F.hex(F.substring(content, a, n)), 16, 10).cast("long")
-    low = lambda a, n=2: sum((number(a + k, 1) * (1 << 8 * k) for k in range(1, n)), number(a, 1))
-    head, kind = F.hex(F.substring(content, 1, 4)), F.hex(F.substring(content, 13, 4))
-    at = lambda p, n: F.conv(F.hex(F.substring(content, p, n)), 16, 10).cast("int")
-    frame = lambda p: F.hex(F.substring(content, p, 2)).rlike(f"^{_FRAME}$")
-    step = lambda p, _: F.when((p <= 0) | frame(p), p).otherwise(F.when(at(p, 1) == 255, p + 2 + at(p + 2, 2)).otherwise(F.lit(0)))
-    place = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.lit(3), lambda p, k: F.coalesce(step(p, k), F.lit(0)).cast("int"))
-    jpeg = lambda d: F.when((place > 0) & frame(place), at(place + d, 2))
-    webp_width = F.when(kind == "56503820", low(27).bitwiseAND(0x3FFF)).when(kind == "56503858", low(25, 3) + 1).when(kind == "5650384C", (low(22, 3).bitwiseAND(0x3FFF)) + 1)
-    webp_height = F.when(kind == "56503820", low(29).bitwiseAND(0x3FFF)).when(kind == "56503858", low(28, 3) + 1).when(kind == "5650384C", F.shiftright(low(22, 4), 14).bitwiseAND(0x3FFF) + 1)
-    width = F.when(head == "89504E47", number(17, 4)).when(head == "47494638", low(7)).when(head.startswith("424D"), low(19, 4)).when(head.startswith("FFD8"), jpeg(7)).when(head == "52494646", webp_width)
-    height = F.when(head == "89504E47", number(21, 4)).when(head == "47494638", low(9)).when(head.startswith("424D"), F.when(low(23, 4) < 1 << 31, low(23, 4)).otherwise((1 << 32) - low(23, 4))).when(head.startswith("FFD8"), jpeg(5)).when(head == "52494646", webp_height)
-    return F.struct(width.cast("int").alias("width"), height.cast("int").alias("height"))

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import heapq
 import io
 import json
+import urllib.error
 import urllib.request
 import zipfile
+import zlib
 from pathlib import Path
 from urllib.parse import urlencode
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from ..functions.scalar import basename, non_blank, strip
+from .events import located
 
 
 def listing(spark: SparkSession, folder: str, patterns: list[str], most: int = 0) -> DataFrame:
@@ -33,8 +37,11 @@ def listing(spark: SparkSession, folder: str, patterns: list[str], most: int = 0
 
 
 class ArchiveSource(DataSource):
-    """SC7: name, content of the files of a zip archive; option path, and partitions: how many tasks read it. A folder named like the
-    archive that holds all files is left out of the names."""
+    """SC7: name, content of the files of a zip archive (ZIP64, too); options path (or URI) and partitions: how many tasks read it. A
+    folder named like the archive that holds all files is left out of the names.
+
+    The directory at the archive's end is read once; tasks get ranges of nearly as many compressed bytes, and read those alone.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -47,10 +54,38 @@ class ArchiveSource(DataSource):
         return _ArchiveReader(self.options)
 
 
-class _Range(InputPartition):
-    def __init__(self, first: int, step: int):
-        super().__init__((first, step))
-        self.first, self.step = first, step
+class Members(InputPartition):
+    """(name, place of the local header, compressed bytes, bytes, method, checksum) of some files."""
+
+    def __init__(self, members: list[tuple[str, int, int, int, int, int]]):
+        super().__init__(members)
+        self.members = members
+
+
+class Places:
+    """An open file that says of a place before its start what files of the operating system say."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def seek(self, at: int, whence: int = 0) -> int:
+        try:
+            return self.file.seek(at, whence)
+        except ValueError as e:
+            raise OSError(str(e)) from e
+
+    def __getattr__(self, name: str):
+        return getattr(self.file, name)
+
+
+def balanced(sizes: list[int], parts: int) -> list[list[int]]:
+    """Numbers of items by part: the largest first, each to the part that has least so far."""
+    heap, found = [(0, k) for k in range(parts)], [[] for _ in range(parts)]
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        total, k = heapq.heappop(heap)
+        found[k].append(i)
+        heapq.heappush(heap, (total + sizes[i], k))
+    return [f for f in found if f]
 
 
 class _ArchiveReader(DataSourceReader):
@@ -58,60 +93,119 @@ class _ArchiveReader(DataSourceReader):
         self.path, self.parts = options["path"], int(options.get("partitions", 4))
 
     def partitions(self) -> list[InputPartition]:
-        return [_Range(k, self.parts) for k in range(self.parts)]
-
-    def read(self, part: _Range):
-        with zipfile.ZipFile(self.path) as z:
-            names = [n for n in z.namelist() if not n.endswith("/")]
-            top = Path(self.path).stem + "/"
-            nested = bool(names) and any(n.startswith(top) for n in names)
-            for n in names[part.first :: part.step]:
-                if not nested:
-                    yield n, z.read(n)
-                elif n.startswith(top):
-                    yield n.removeprefix(top), z.read(n)
+        system, name = located(self.path)
+        with system.open_input_file(name) as f, zipfile.ZipFile(Places(f)) as z:
+            infos = [i for i in z.infolist() if not i.is_dir()]
+        top = Path(self.path).stem + "/"
+        nested = any(i.filename.startswith(top) for i in infos)
+        kept = [i for i in infos if not nested or i.filename.startswith(top)]
+        for i in kept:
+            if i.flag_bits & 1 or i.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                raise ValueError(f"{i.filename} is encrypted or packed in a way that is not known")
+        parts = balanced([i.compress_size + 64 for i in kept], self.parts)
+        rows = [[kept[k] for k in sorted(p, key=lambda k: kept[k].header_offset)] for p in parts]
+        return [Members([(i.filename.removeprefix(top if nested else ""), i.header_offset, i.compress_size, i.file_size, i.compress_type, i.CRC) for i in p]) for p in rows] or [Members([])]
+
+    def read(self, part: Members):
+        system, path = located(self.path)
+        if not part.members:
+            return
+        with system.open_input_file(path) as f:
+            for name, at, packed, size, method, checksum in part.members:
+                f.seek(at)
+                head = f.read(30)
+                if head[:4] != b"PK\x03\x04":
+                    raise ValueError(f"{name} is not where the directory says")
+                f.seek(at + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"))
+                content = f.read(packed)
+                content = zlib.decompress(content, -15) if method == zipfile.ZIP_DEFLATED else content
+                if len(content) != size or zlib.crc32(content) != checksum:
+                    raise ValueError(f"{name} is damaged")
+                yield name, content
 
 
 class PagesSource(DataSource):
-    """SC12: task (JSON text) of a service that gives pages of results. Options: base_url, token, project, page_size, partitions. Each
-    task reads every so-many-th page until one is empty or, with one partition, has no next."""
+    """SC12: project, task (JSON text) of a service that gives pages of results. Options: base_url, token, project (one, or several by
+    commas), page_size, partitions.
+
+    The first page of a project tells how many results there are (count or total); tasks then read ranges of pages. Where it doesn't,
+    tasks read every so-many-th page until one is empty, has no next, or is not there. With pushdown=true (and Spark's setting
+    spark.sql.python.filterPushdown.enabled) conditions on project choose the projects that are asked for.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "task_pages"
 
     def schema(self) -> str:
-        return "task string"
+        return "project string, task string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _PagesReader(self.options)
+        return (_AskedReader if self.options.get("pushdown", "false") == "true" else _PagesReader)(self.options)
+
+
+class Pages(InputPartition):
+    """Pages of a project: from, step, and the last one (0: until they end)."""
+
+    def __init__(self, project: str, first: int, step: int, last: int):
+        super().__init__((project, first, step, last))
+        self.project, self.first, self.step, self.last = project, first, step, last
 
 
 class _PagesReader(DataSourceReader):
     def __init__(self, options):
-        self.url, self.token, self.project = options["base_url"].rstrip("/"), options.get("token", ""), options["project"]
+        self.url, self.token = options["base_url"].rstrip("/"), options.get("token", "")
+        self.projects = [p.strip() for p in options["project"].split(",") if p.strip()]
         self.size, self.parts = int(options.get("page_size", 100)), int(options.get("partitions", 1))
 
     def partitions(self) -> list[InputPartition]:
-        return [_Range(k + 1, self.parts) for k in range(self.parts)]
-
-    def _page(self, page: int) -> dict:
-        query = urlencode({"project": self.project, "page": page, "page_size": self.size})
+        found: list[InputPartition] = []
+        for project in self.projects:
+            first = self._page(project, 1) if self.parts > 1 else {}
+            total = first.get("count", first.get("total"))
+            if isinstance(total, int):
+                pages = -(-total // self.size)
+                edges = [pages * k // self.parts for k in range(self.parts + 1)]
+                found += [Pages(project, a + 1, 1, z) for a, z in zip(edges[:-1], edges[1:], strict=True) if a < z]
+            else:
+                found += [Pages(project, k + 1, self.parts, 0) for k in range(self.parts)]
+        return found or [Pages("", 1, 1, -1)]
+
+    def _page(self, project: str, page: int) -> dict:
+        """A page; one past the end has no results, whether the service says so or has no such page."""
+        query = urlencode({"project": project, "page": page, "page_size": self.size})
         request = urllib.request.Request(f"{self.url}/api/tasks?{query}", headers={"Authorization": f"Token {self.token}"})
-        with urllib.request.urlopen(request, timeout=120) as found:
-            return json.load(io.TextIOWrapper(found, "utf-8"))
-
-    def read(self, part: _Range):
+        try:
+            with urllib.request.urlopen(request, timeout=120) as found:
+                return json.load(io.TextIOWrapper(found, "utf-8"))
+        except urllib.error.HTTPError as e:
+            if e.code == 404 and page > 1:
+                return {}
+            raise
+
+    def read(self, part: Pages):
         page = part.first
-        while True:
-            found = self._page(page)
+        while part.last >= 0 and (not part.last or page <= part.last):
+            found = self._page(part.project, page)
             for r in found.get("results") or []:
-                yield (json.dumps(r, ensure_ascii=False),)
-            if not found.get("results") or not found.get("next"):
+                yield part.project, json.dumps(r, ensure_ascii=False)
+            if not part.last and (not found.get("results") or not found.get("next")):
                 return
             page += part.step
 
 
+class _AskedReader(_PagesReader):
+    """Spark gives it conditions."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            wanted = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
+            if wanted is not None and f.attribute == ("project",):
+                self.projects = [p for p in self.projects if p in wanted]
+            else:
+                yield f
+
+
 def labelled_rows(spark: SparkSession, path: str) -> DataFrame:
     """SC9: image_path, label, label_binary of a JSON array; an item without a path or with another label than accept and reject fails."""
     fields = "imagepath string, image_path string, path string, label string"
