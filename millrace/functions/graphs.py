@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalar import render
+from ..sources.variants import with_nested
+from .templates import render
 
 GRAPH = "map<string,struct<class_type:string,inputs:map<string,string>>>"
 
@@ -34,26 +32,8 @@ def checked_graph(graph: Column) -> Column:
 
 def with_inputs(graph: Column, inputs: dict[tuple[str, str], Column]) -> Column:
     """SF19: the graph with inputs (node, key) set to columns; nodes that are not there are made, blank node names change nothing."""
-    places = [k for k in inputs if k[0]]
-
-    @F.pandas_udf("string")
-    def patch(graphs: pd.Series, changes: pd.Series) -> pd.Series:
-        out = []
-        for g, c in zip(graphs, changes, strict=True):
-            if g is None:
-                out.append(None)
-                continue
-            found = json.loads(g)
-            for (node, key), value in zip(places, json.loads(c), strict=True):
-                found.setdefault(node, {}).setdefault("inputs", {})[key] = value.get("v")
-            out.append(json.dumps(found, ensure_ascii=False))
-        return pd.Series(out)
-
-    if not places:
-        return graph
-    # values keep their types as JSON
-    values = F.concat(F.lit("["), F.concat_ws(",", *(F.to_json(F.struct(inputs[p].alias("v"))) for p in places)), F.lit("]"))
-    return patch(graph, values)
+    changes = {(node, "inputs", key): value for (node, key), value in inputs.items() if node}
+    return F.to_json(with_nested(F.parse_json(graph), changes)) if changes else graph
 
 
 def prompt_text(template: str, anchor: dict[str, Column], chosen: dict[str, Column], index: Column, seed: Column, rendered: bool = True) -> Column:

@@ -17,6 +17,7 @@ from .operators import manifests as M
 from .operators import relational as R
 from .sources import events as EV
 from .sources import transaction as TX
+from .sources import variants as VT
 from .streaming import decisions, replay, stream_folder, window_counts
 from .streaming import jobs as J
 
@@ -926,3 +927,47 @@ def jobs_in_flight(spark, d):
     plan = table(spark, d, "orders").select(F.col("o_orderkey").alias("job"), (F.col("o_orderkey") + 5).alias("seed"), F.col("o_orderkey").cast("string").alias("request"))
     found = W.run_jobs(plan, Slow, 1 << 60, partitions=4, max_inflight=8, timeout=4, every=1, policy="retry", retries=2, run="r")
     return found.select("job", "seed", "attempt", "status", "place", "output")
+
+
+# rows of any fields
+
+
+def variant_rows(spark, d):
+    k = F.col("c_custkey")
+    text = F.when(k % 5 == 0, '{"image_path": null, "imagepath": "second", "sample_id": null}').when(k % 5 == 1, '{"imagepath": "second", "sample_id": "None"}').when(k % 5 == 2, '{"image_path": "None", "sample_id": true}').when(k % 5 == 3, '{"image_path": " x ", "sample_id": 7, "more": [1, 2]}').otherwise('{"path": "third", "sample_id": ""}')
+    return table(spark, d, "customer").select(k, F.parse_json(text).alias("v"))
+
+
+@query("""
+select c_custkey, c_custkey % 5 in (0, 2, 3) as has_path, c_custkey % 5 = 0 as null_path, case c_custkey % 5 when 0 then 'None' when 1 then null when 2 then 'None' when 3 then ' x ' end as printed,
+  case c_custkey % 5 when 0 then 'second' when 1 then 'second' when 2 then 'None' when 3 then 'x' else 'third' end as path, case c_custkey % 5 when 0 then 'None' when 1 then 'second' when 2 then 'None' when 3 then 'x' else 'third' end as path_of_none,
+  case c_custkey % 5 when 1 then 'None' when 2 then 'True' when 3 then '7' else 'row_' || printf('%07d', c_custkey) end as sample_id, c_custkey % 5 = 3 as more
+from customer""")
+def explicit_nulls(spark, d):
+    """PF2, PF3, SC1: a null, a field that is not there, and the text None are three things."""
+    rows, v = variant_rows(spark, d), F.col("v")
+    path = VT.field(v, "image_path")
+    told = rows.select("c_custkey", VT.has(v, "image_path").alias("has_path"), F.coalesce(F.is_variant_null(path), F.lit(False)).alias("null_path"), VT.printed(path).alias("printed"))
+    strict, loose = (VT.filter_rows(rows.withColumn("v", VT.with_nested(v, {("row", "key", "k"): F.col("c_custkey")})), "c_custkey", none).withColumn("c_custkey", F.variant_get("raw", "$.row.key.k", "long")) for none in (None, "None"))
+    both = strict.join(loose.select("c_custkey", F.col("image_path").alias("path_of_none")), "c_custkey")
+    return told.join(both.select("c_custkey", F.col("image_path").alias("path"), "path_of_none", "sample_id", F.variant_get("raw", "$.more", "variant").isNotNull().alias("more")), "c_custkey")
+
+
+@query("""
+select c_custkey, lpad(left(c_mktsegment, 3), 8, '.') || '|' || case when length(c_name) >= 24 then c_name else repeat(' ', (24 - length(c_name)) // 2) || c_name || repeat(' ', 24 - length(c_name) - (24 - length(c_name)) // 2) end
+  || '|' || chr(39) || c_mktsegment || chr(39) || '|{unknown}|  {gone}|{' || c_custkey || '}|' || c_mktsegment as text from customer""")
+def formatted_prompts(spark, d):
+    """SF6, SF7: widths, alignment, fills, precision, conversions, braces, unknown names, and a field that a value brings in."""
+    fields = {"segment": F.col("c_mktsegment"), "name": F.col("c_name"), "key": F.col("c_custkey"), "inner": F.lit("{segment}")}
+    made = S.render("{segment:.>8.3}|{name:^24}|{segment!r}|{unknown}|{gone:>8}|{{$key}}|$inner", fields)
+    return table(spark, d, "customer").select("c_custkey", made.alias("text"))
+
+
+@query()
+def seeded_choices(spark, d):
+    """SF8, SF22: words and augmentations as the standard generator draws them (tested against it)."""
+    from .functions import draws
+
+    k = F.col("o_orderkey")
+    words = draws.dynamic_choices({"pose": ["sit", "stand", "run"], "place": [f"p{j}" for j in range(11)], "style": "plain"}, "salt", k, k + 5, F.col("o_orderstatus"), F.lit(None).cast("string"))
+    return table(spark, d, "orders").select("o_orderkey", *(c.alias(n) for n, c in words.items()), draws.augmentations(k + 5).alias("a")).select("o_orderkey", *words, "a.*")
