@@ -192,15 +192,19 @@ def single_gate(spark, d):
 
 @query(f"with {DET} select {ROUTED} as decision, count(*) as n from r group by 1")
 def route_counts(spark, d):
-    """PF12, AG10, SK4."""
+    """PF12, AG10."""
     return G.decision_counts(gated(spark, d).select(G.route(F.col("reject_reasons"), ROUTES).alias("decision")))
 
 
-@query("with e as (select vec_id, cast(embedding as double[]) as v from embeddings), b as (select vec_id, list_max(list_filter(v, lambda x: x >= 0.0)) as score from e) select vec_id, score from b")
+@query("""
+with e as (select vec_id, unnest(cast(embedding as double[])) as x, unnest(range(64)) as place from embeddings),
+r as (select vec_id, floor(x * 10) / 10 as score, place, row_number() over (partition by vec_id order by floor(x * 10) desc, place) as n from e where x >= 0 and place % 3 <> 0)
+select v.vec_id, r.score, cast(r.place as int) as place from embeddings v left join r on r.vec_id = v.vec_id and r.n = 1""")
 def best_detection(spark, d):
-    """PF8."""
-    found = F.transform("e", lambda x: F.struct(F.lit(1).alias("label"), x.alias("score")))
-    return detections(spark, d).select("vec_id", V.best_detection(found, 0.0)["score"].alias("score"))
+    """PF8: most scores have equals, of which the first counts; a third of the detections has another label."""
+    found = F.transform("e", lambda x, k: F.struct(F.when(k % 3 == 0, 2).otherwise(1).alias("label"), (F.floor(x * 10) / 10).alias("score"), k.alias("place")))
+    best = V.best_detection(found, 0.0)
+    return detections(spark, d).select("vec_id", best["score"].alias("score"), best["place"].alias("place"))
 
 
 # joins: orders stand for images, their lines for annotations
@@ -249,10 +253,12 @@ def single_person_subset(spark, d):
     return R.single_only(table(spark, d, "lineitem"), "l_orderkey", F.col("l_returnflag") == "R")
 
 
-@query("select d.doc_id, l.quality from documents d join labels l using (doc_id)")
+@query("select 'required' as mode, d.doc_id, l.quality from documents d join labels l using (doc_id) where l.quality is not null union all select 'optional', d.doc_id, l.quality from documents d left join labels l using (doc_id)")
 def require_labels(spark, d):
-    """PF18, JN2."""
-    return R.labelled(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select("doc_id", "quality"), ["doc_id"], "quality", True)
+    """PF18, JN2: where labels are required, and where they are not."""
+    docs, labels = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select("doc_id", "quality")
+    both = [R.labelled(docs, labels, ["doc_id"], "quality", required).select(F.lit(mode).alias("mode"), "doc_id", "quality") for mode, required in (("required", True), ("optional", False))]
+    return both[0].unionByName(both[1])
 
 
 # splits, unions and numbers
@@ -367,12 +373,12 @@ def anchor_filter(spark, d):
 # labels
 
 
-@query("select c_custkey as task_id, o_orderkey as annotation_id, o_orderstatus as status, o_orderkey is not null as has_annotation from customer left join orders on o_custkey = c_custkey and o_orderstatus = 'P'")
+@query("select c_custkey as task_id, o_orderkey as annotation_id, o_orderstatus as status, o_orderkey is not null as has_annotation from customer left join orders on o_custkey = c_custkey")
 def flatten_annotations(spark, d):
-    """SF17: customers stand for tasks, their pending orders for annotations; most have none."""
+    """SF17: customers stand for tasks, their orders for annotations; a third has none."""
     from .sources import flatten_annotations as flatten
 
-    orders = table(spark, d, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list(F.struct("o_orderkey", "o_orderstatus")).alias("annotations"))
+    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list(F.struct("o_orderkey", "o_orderstatus")).alias("annotations"))
     tasks = table(spark, d, "customer").select(F.col("c_custkey").alias("id")).join(orders, "id", "left")
     return flatten(tasks).select("task_id", F.col("annotation.o_orderkey").alias("annotation_id"), F.col("annotation.o_orderstatus").alias("status"), "has_annotation")
 
@@ -544,13 +550,13 @@ def import_tasks(spark, d):
     return M.import_tasks(rows).select("meta.c_custkey", "meta.n", F.to_json("data").alias("data"))
 
 
-@query("select cast(o_orderkey as varchar) as prompt_id, cast(l_partkey as varchar) as sample_id, 'out/sub/' || l_partkey || '.png' as image_path, 'synthetic' as source, 'comfyui' as generation_backend, cast(l_linenumber as varchar) as comfy_node_id, l_partkey || '.png' as comfy_filename, 'sub' as comfy_subfolder, 'output' as comfy_type from (select distinct o_orderkey, l_linenumber, max(l_partkey) over (partition by o_orderkey, l_linenumber) as l_partkey from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus = 'P') where l_partkey in (select p_partkey from part where p_size > 25)")
+@query("select cast(o_orderkey as varchar) as prompt_id, cast(l_partkey as varchar) as sample_id, 'out/sub/' || l_partkey || '.png' as image_path, 'synthetic' as source, 'comfyui' as generation_backend, cast(l_linenumber as varchar) as comfy_node_id, l_partkey || '.png' as comfy_filename, 'sub' as comfy_subfolder, 'output' as comfy_type from (select distinct o_orderkey, l_linenumber, max(l_partkey) over (partition by o_orderkey, l_linenumber) as l_partkey from orders join lineitem on l_orderkey = o_orderkey) where l_partkey in (select p_partkey from part where p_size > 25)")
 def history_outputs(spark, d):
     """SC15: orders stand for jobs, their lines for nodes."""
     image = F.array(F.struct(F.concat("l_partkey", F.lit(".png")).alias("filename"), F.lit("sub").alias("subfolder"), F.lit("output").alias("type")), F.struct(F.lit("x.png").alias("filename"), F.lit("sub").alias("subfolder"), F.lit("temp").alias("type")))
     lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"))
     nodes = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("l_linenumber").cast("string"), image))).alias("outputs"))
-    jobs = table(spark, d, "orders").where("o_orderstatus = 'P'").join(nodes, "o_orderkey").select(F.col("o_orderkey").cast("string").alias("prompt_id"), "outputs")
+    jobs = table(spark, d, "orders").join(nodes, "o_orderkey").select(F.col("o_orderkey").cast("string").alias("prompt_id"), "outputs")
     return M.history_outputs(jobs, table(spark, d, "part").where("p_size > 25").select(F.concat(F.lit("out/sub/"), "p_partkey", F.lit(".png")).alias("path")), "out")
 
 
@@ -663,15 +669,15 @@ def visible_keypoints(spark, d):
     return table(spark, d, "embeddings").select("vec_id", V.visible_keypoints(F.slice("embedding", 1, 63)).alias("visible"))
 
 
-@query("select vec_id, cast(len(list_filter(range(8), lambda k: k % 2 = 0 and embedding[k + 1] >= 0)) as int) as n, cast(sum(c) as double) as confidence from (select vec_id, embedding, cast(unnest(list_transform(range(8), lambda k: case when k % 2 = 0 and embedding[k + 1] >= 0 and k < 4 then k else 0 end)) as int) as c from embeddings) group by vec_id, embedding")
+@query("select vec_id, cast(len(list_filter(range(64), lambda k: k % 2 = 0 and embedding[k + 1] >= 0)) as int) as n, cast(sum(c) as double) as confidence from (select vec_id, embedding, cast(unnest(list_transform(range(64), lambda k: case when k % 2 = 0 and embedding[k + 1] >= 0 and k < 40 then k else 0 end)) as int) as c from embeddings) group by vec_id, embedding")
 def person_candidates(spark, d):
     """PF14, UD4: class 0 becomes label 1; missing confidences are 0."""
-    e, eight = F.col("embedding").cast("array<double>"), F.sequence(F.lit(0), F.lit(7))
-    kinds = F.transform(eight, lambda k: F.when((k % 2 == 0) & (F.get(e, k) >= 0), 0).otherwise(3))
-    points = F.transform(eight, lambda k: F.array(F.array(k.cast("double"), k.cast("double")), F.array(F.lit(1.0), F.lit(1.0))))
-    sure = F.transform(eight, lambda k: F.when(k < 4, F.array(k.cast("double"))))
-    boxes = F.transform(eight, lambda k: F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
-    found = V.candidates(boxes, F.slice(e, 1, 8), kinds, points, sure)
+    e, places = F.col("embedding").cast("array<double>"), F.sequence(F.lit(0), F.lit(63))
+    kinds = F.transform(places, lambda k: F.when((k % 2 == 0) & (F.get(e, k) >= 0), 0).otherwise(3))
+    points = F.transform(places, lambda k: F.array(F.array(k.cast("double"), k.cast("double")), F.array(F.lit(1.0), F.lit(1.0))))
+    sure = F.transform(places, lambda k: F.when(k < 40, F.array(k.cast("double"))))
+    boxes = F.transform(places, lambda k: F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
+    found = V.candidates(boxes, e, kinds, points, sure)
     total = F.aggregate(found, F.lit(0.0), lambda s, x: s + F.get(F.get(x["keypoints"], F.lit(0)), F.lit(2)) + F.get(F.get(x["keypoints"], F.lit(1)), F.lit(2)))
     return table(spark, d, "embeddings").select("vec_id", F.size(found).alias("n"), total.alias("confidence"))
 
@@ -872,6 +878,19 @@ def decision_files(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("part", "vec_id", "decision", "margin")
 
 
+@query(f"with {DET}, w as (select vec_id, {ROUTED} as decision from r) select decision as part, vec_id, decision from w union all select 'scores', vec_id, decision from w")
+def routed_files(spark, d):
+    """SK4: three manifests and the score table in one pass, read again by the batch's record."""
+    path = stream_folder(spark)
+    routed = gated(spark, d).select("vec_id", G.route(F.col("reject_reasons"), ROUTES).alias("decision"))
+    TX.write_decisions(routed, path, "b", ("accept", "reject", "uncertain"))
+    found = None
+    for p in ("accept", "reject", "uncertain", TX.SCORES):
+        part = TX.read_part(spark, path, p, "vec_id long, decision string").select(F.lit(p).alias("part"), "vec_id", "decision")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query("select 'tasks' as part, count(*) as lines, true as files from documents where source <> 'src1'")
 def task_lists(spark, d):
     """SK13: tasks in lists of at most 500, as they are kept to be sent once."""
