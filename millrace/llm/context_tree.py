@@ -213,15 +213,14 @@ def learned(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
                 yield d, run[at == d], n[at == d]
 
     def subtrees(batches: Batches) -> Iterator[pa.RecordBatch]:
-        """Nodes of two context bytes; of subtrees that lie deeper, what they add to the nodes above."""
+        """What the subtrees add to the nodes above them."""
         for d, run, n in whole(batches):
-            top = levels(run, n, d, depth)[d]
-            keys, zeros, ones, log = (top.keys, top.zeros, top.ones, top.log) if d == 2 else top.parents()
+            keys, zeros, ones, log = levels(run, n, d, depth)[d].parents()
             yield batch(depth=pa.array(np.full(len(keys), d), pa.int32()), key=keys.view(np.int64), zeros=zeros, ones=ones, log=log)
 
     nodes = mapped(placed, subtrees, "depth int, key long, zeros long, ones long, log double", rows=1 << 16)
-    if cut > 2:
-        nodes = nodes.groupBy("depth", "key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log")))
+    # of two context bytes the sums by the latest one: at most 65,280 nodes; as decimals, since sums of doubles depend on their order
+    nodes = nodes.groupBy("depth", "key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum(F.col("log").cast("decimal(38,12)")).cast("double").alias("log"))
     got = nodes.toArrow().combine_chunks()
 
     def column(c: str) -> np.ndarray:
@@ -234,15 +233,10 @@ def learned(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     def united(*some: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
         return summed(*(np.concatenate(c) for c in zip(*some, strict=True)))
 
-    # nodes above deeper subtrees
+    # nodes above the subtrees: those of two or more bytes are above large subtrees only
     upper: dict[int, Level] = {}
-    for d in range(cut - 1, 1, -1):
+    for d in range(cut - 1, 0, -1):
         upper[d] = Level(*united(of(d + 1), *([upper[d + 1].parents()] if d + 1 in upper else [])))
-    above = [] if 2 not in upper else [(upper[2].keys, upper[2].zeros, upper[2].ones, upper[2].log)]
-    keys, zeros, ones, log = united(of(2), *above)
-    two = Level(keys, zeros, ones, None)
-    two.log = log
-    upper[1] = Level(*two.parents())
     upper[0] = Level(*upper[1].parents())
     sent = spark.sparkContext.broadcast(upper)
 

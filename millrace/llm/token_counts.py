@@ -14,10 +14,12 @@ doc_id stays null; an empty table gives an empty table; other columns are not re
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,19 +157,29 @@ def piece_vocabulary(path: str, mark: str = "▁") -> tuple[set[bytes], set[byte
     return starting, continuing
 
 
+#: The automata of this worker, by what they were made for: a worker runs many tasks.
+_HELD: dict[int, LongestMatch] = {}
+
+
+def _automaton(name: int, vocabulary: Broadcast) -> LongestMatch:
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = LongestMatch(*vocabulary.value)
+    return _HELD[name]
+
+
 def token_counts(docs: DataFrame, starting: set[bytes], continuing: set[bytes], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_words, n_tokens of every row of docs. The vocabulary has a fixed size and is sent to every task."""
     sent = docs.sparkSession.sparkContext.broadcast((starting, continuing))
-    held: list[LongestMatch] = []
+    name = uuid.uuid4().int
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
-        if not held:
-            held.append(LongestMatch(*sent.value))
+        automaton = _automaton(name, sent)
         for b in batches:
             data, off = utf8(b.column("text"))
             h, s, e, rows = words(data, off)
             _, first, index = np.unique(h, return_index=True, return_inverse=True)
-            each = held[0].count(data, s[first], e[first])[index]
+            each = automaton.count(data, s[first], e[first])[index]
             total = np.r_[0, np.cumsum(each)]
             yield batch(doc_id=b.column("doc_id"), n_bytes=np.diff(off), n_words=np.diff(rows).astype(np.int64), n_tokens=total[rows[1:]] - total[rows[:-1]])
 
