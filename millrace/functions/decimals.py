@@ -15,7 +15,7 @@ SPLITTER = float((1 << 27) + 1)
 WHOLE = float(1 << 52)
 
 
-def _halves(x: float) -> tuple[float, float]:
+def halves(x: float) -> tuple[float, float]:
     high = x * SPLITTER - (x * SPLITTER - x)
     return high, x - high
 
@@ -23,7 +23,7 @@ def _halves(x: float) -> tuple[float, float]:
 def _scaled(c: Column, places: int) -> Column:
     """c * 10**places, rounded half to even on the exact product; c is below 2**52 / 10**places."""
     scale = float(10**places)
-    b_high, b_low = _halves(scale)
+    b_high, b_low = halves(scale)
     product, split = c * scale, c * SPLITTER
     high = split - (split - c)
     low = c - high

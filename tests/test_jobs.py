@@ -222,13 +222,25 @@ def test_decimals_are_exact(spark):
 
 
 def test_label_lines_at_ties_and_without_numbers(spark):
-    flat = [[k * 1.0, 64.5, float(k % 3)] for k in range(17)]
-    expected = "0 " + " ".join(f"{v:.6f}" for v in ((1 + 5.0) / 128, (3 + 3.0) / 128, 10 / 128, 6 / 128))
-    expected += "".join(f" {p[0] / 128:.6f} {min(1, p[1] / 128):.6f} {p[2]:.0f}" for p in flat)
-    rows = [([1.0, 3.0, 10.0, 6.0], sum(flat, [])), ([1.0, None, 10.0, 6.0], sum(flat, [])), ([1.0, 2.0], sum(flat, []))]
-    df = spark.createDataFrame(rows, "b array<double>, k array<double>")
-    got = [r[0] for r in df.select(V.coco_label_line(F.col("b"), F.col("k"), F.lit(128), F.lit(128))).collect()]
-    assert got == [expected, None, None]
+    """Lines against plain formatting: ties, numbers beyond 0 and 1, missing and odd keypoints, boxes and sizes that lack a number."""
+    rng = random.Random(8)
+    clamp = lambda v: max(0.0, min(1.0, v))
+
+    def plain(b, k, w, h):
+        if w is None or h is None or len(b) < 4 or None in b[:4]:
+            return None
+        k = [0.0 if x is None else x for x in [*k, *[0.0] * 51][:51]]
+        head = ((b[0] + b[2] / 2) / w, (b[1] + b[3] / 2) / h, b[2] / w, b[3] / h)
+        return "0 " + " ".join(f"{clamp(v):.6f}" for v in head) + "".join(f" {clamp(k[j] / w):.6f} {clamp(k[j + 1] / h):.6f} {int(k[j + 2])}" for j in range(0, 51, 3))
+
+    rows = []
+    for _ in range(400):
+        w = rng.choice([128, 64, 640, 1000, 3])
+        rows.append(([rng.randrange(2 * w) / 2 for _ in range(4)], [float(rng.choice([0, 1, 2])) if j % 3 == 2 else rng.uniform(-1, 1.2 * w) if j % 2 else rng.randrange(w) / 4 for j in range(51)], w, 128))
+    rows += [([1.0, None, 10.0, 6.0], [1.0], 5, 5), ([1.0, 2.0], [1.0], 5, 5), ([1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 12.0, None, 3.0, -1.0], 5, 5), ([1.0, 2.0, 3.0, 4.0], [], None, 5), ([1.0, 2.0, 3.0, 4.0, 9.0], [2.0] * 60, 8, 8)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, b array<double>, k array<double>, w int, h int").repartition(3)
+    got = {r.i: r.t for r in df.select("i", V.coco_label_line(F.col("b"), F.col("k"), F.col("w"), F.col("h")).alias("t")).collect()}
+    assert [got[i] for i in range(len(rows))] == [plain(*r) for r in rows]
 
 
 def test_rows_that_were_wrong(spark, tmp_path):
