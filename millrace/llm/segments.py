@@ -208,11 +208,11 @@ FEW = 1 << 16
 
 def _filter(anchors: DataFrame) -> Broadcast | None:
     """A filter of some anchors for all tasks; None if there are none."""
-    few = anchors.limit(FEW + 1).collect()
-    if not few:
+    few = anchors.limit(FEW + 1).toArrow()
+    if not few.num_rows:
         return None
-    keys = np.array([r.m for r in few], np.int64).view(np.uint64)
-    return anchors.sparkSession.sparkContext.broadcast(filled(keys) if len(few) <= FEW else hash_filter(anchors, anchors.count()))
+    keys = few.column("m").combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return anchors.sparkSession.sparkContext.broadcast(filled(keys) if len(keys) <= FEW else hash_filter(anchors, anchors.count()))
 
 
 def _among(rows: DataFrame, table: Broadcast, there: bool) -> DataFrame:

@@ -17,6 +17,7 @@ table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,8 @@ HIDDEN, VECTOR, ATTENTION = 8, 8, 8
 FACTS = 3  # log-odds of the word, mean and greatest log-odds of its 5-grams
 #: Words known to the network: in at least so many training rows, and at most so many.
 KNOWN_ROWS, KNOWN_WORDS = 3, 50_000
-#: Windows that are read at once; a text may have any number of them.
-TOGETHER = 2048
+#: Windows that are read at once; a text may have any number of them. While training, when all that was read is kept, fewer.
+TOGETHER, KEPT_TOGETHER = 2048, 512
 
 
 #: ASCII characters that are neither letters nor digits: a word counts without those around it.
@@ -237,8 +238,8 @@ def different(texts: list[bytes]) -> np.ndarray:
 
 
 def _parts(chosen: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for k in range(0, len(chosen), TOGETHER):
-        yield chosen[k : k + TOGETHER], label[k : k + TOGETHER]
+    for k in range(0, len(chosen), KEPT_TOGETHER):
+        yield chosen[k : k + KEPT_TOGETHER], label[k : k + KEPT_TOGETHER]
 
 
 class Step:
@@ -329,7 +330,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 200, r
             label = toxic[docs][own]
             stays = (rng.random(len(w.hashes)) < 0.5).astype(np.float32)  # of half the words only the log-odds are seen
             start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            one = len(chosen) <= TOGETHER
+            one = len(chosen) <= KEPT_TOGETHER
             step = lambda c, y: Step(net, w, place, facts, stays, first[c], n[c], y)  # noqa: B023, E731
             parts, logit, told = [], [], []
             for c, y in _parts(chosen, label):
@@ -352,7 +353,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 200, r
                 parts = (step(c, y) for c, y in _parts(chosen, label))
             g = {}
             for k, x in enumerate(parts):
-                for name, v in x.backward(grad[k * TOGETHER : (k + 1) * TOGETHER]).items():
+                for name, v in x.backward(grad[k * KEPT_TOGETHER : (k + 1) * KEPT_TOGETHER]).items():
                     g[name] = g[name] + v if name in g else v
             done, p = done + 1, net.p
             rate = 0.02 * min(1.0, max(0.05, 2 - 2 * done / steps))  # falls from half way on, so that the last rows seen don't decide
@@ -398,7 +399,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, sample_bytes:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, sample_bytes: int = 16 << 20, id_column: str = "doc_id", text_column: str = "text", label_id: str = "doc_id", label: str = "toxic") -> Model:
     texts, y, prior = training_rows(docs, labels, sample, sample_bytes, id_column, text_column, label_id, label)
-    return fit(texts, y, prior)
+    try:
+        return fit(texts, y, prior)
+    finally:  # the driver gives back what training needed
+        del texts, y
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def _scored(docs: DataFrame, model: Model, text_column: str, finish, schema) -> DataFrame:
