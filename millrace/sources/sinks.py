@@ -18,7 +18,9 @@ from urllib.parse import urlencode
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..streaming import stream_folder
 from . import write_manifest
+from .transaction import post_once, write_decisions
 
 MODES = ("copy", "hardlink", "symlink")
 #: Left and right keypoints change places when an image is flipped: fixed values of the format.
@@ -33,12 +35,9 @@ def write_document(path: str, found: dict) -> None:
 
 
 def write_by_decision(scores: DataFrame, folder: str, decisions: tuple[str, ...] = ("accept", "reject")) -> None:
-    """SK3, SK4: the whole score table, and one manifest for each decision, empty ones too; another decision fails."""
-    known = F.col("decision").isin(*decisions)
-    checked = scores.where(F.coalesce(known, F.lit(False)) | F.raise_error(F.lit("unknown decision")).cast("boolean"))
-    write_manifest(checked, f"{folder}/scores")
-    for d in decisions:
-        write_manifest(scores.where(F.col("decision") == d), f"{folder}/{d}")
+    """SK3, SK4: the whole score table, and one manifest for each decision, empty ones too, in one pass, in place of what was there;
+    another decision fails, and then what was there stays."""
+    write_decisions(scores, folder, uuid.uuid4().hex, decisions, replace=True)
 
 
 def place_file(source: str, target: str, mode: str = "copy") -> None:
@@ -138,24 +137,11 @@ def zip_folder(source: str, target: str) -> int:
 
 
 def post_tasks(tasks: DataFrame, base_url: str, token: str, project: int, size: int = 500) -> None:
-    """SK13: sends tasks (manifests.import_tasks) to a service in lists of at most so many, by the tasks of Spark."""
+    """SK13: sends tasks (manifests.import_tasks) to a service in lists of at most so many, by the tasks of Spark; each list once, though
+    tasks are tried again."""
     url = f"{base_url.rstrip('/')}/api/projects/{project}/import"
-
-    def send(held: list[str]) -> None:
-        request = urllib.request.Request(url, data=("[" + ",".join(held) + "]").encode(), headers={"Authorization": f"Token {token}", "Content-Type": "application/json"})
-        urllib.request.urlopen(request, timeout=120).close()
-
-    def post(part: Iterator[Row]) -> None:
-        held: list[str] = []
-        for r in part:
-            held.append(r.task)
-            if len(held) == size:
-                send(held)
-                held = []
-        if held:
-            send(held)
-
-    tasks.select(F.to_json(F.struct("data", "meta")).alias("task")).foreachPartition(post)
+    lines = tasks.select(F.to_json(F.struct("data", "meta")).alias("line"))
+    post_once(lines, stream_folder(tasks.sparkSession), uuid.uuid4().hex, url, {"Authorization": f"Token {token}"}, size).collect()
 
 
 def save_outputs(jobs: DataFrame, base_url: str, folder: str) -> DataFrame:

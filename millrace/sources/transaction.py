@@ -36,8 +36,8 @@ class Written(WriterCommitMessage):
 
 
 class LinesSink(DataSource):
-    """Rows (part, line): each line goes to a file of its part. Options: path, token, parts (those that may be, by commas), and rows:
-    lines of a file, 0 for one file of a task and part."""
+    """Rows (part, line): each line goes to a file of its part. Options: path, token, parts (those that may be, by commas), rows: lines of a
+    file, 0 for one file of a task and part, and replace: whether what was there before goes."""
 
     @classmethod
     def name(cls) -> str:
@@ -54,6 +54,7 @@ class _Writer(DataSourceArrowWriter):
     def __init__(self, options):
         self.path, self.token = options["path"].rstrip("/"), options["token"]
         self.parts, self.rows = options["parts"].split(","), int(options.get("rows", 0))
+        self.replace = options.get("replace", "false") == "true"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, root = located(self.path)
@@ -108,9 +109,13 @@ class _Writer(DataSourceArrowWriter):
                 f.write((json.dumps({"part": part, "file": name, "rows": n}) + "\n").encode())
         system.move(fresh, record)
         known = {name for _, name, _ in files}
+        if self.replace:
+            for x in system.get_file_info(fs.FileSelector(f"{root}/{RECORDS}")):
+                if x.path != record and not x.path.endswith(f"/{RECORDS}/{self.token}.jsonl"):
+                    system.delete_file(x.path)
         for part in self.parts:
             for x in system.get_file_info(fs.FileSelector(f"{root}/{part}")):
-                if x.base_name.startswith(f"{self.token}-") and f"{part}/{x.base_name}" not in known:
+                if (self.replace or x.base_name.startswith(f"{self.token}-")) and f"{part}/{x.base_name}" not in known and x.is_file:
                     system.delete_file(x.path)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -128,22 +133,23 @@ def committed(path: str, token: str) -> bool:
     return system.get_file_info(f"{root}/{RECORDS}/{token}.jsonl").type != fs.FileType.NotFound
 
 
-def write_lines(rows: DataFrame, path: str, token: str, parts: list[str], lines: int = 0) -> None:
-    """rows: part, line. A batch that is there already costs nothing."""
+def write_lines(rows: DataFrame, path: str, token: str, parts: list[str], lines: int = 0, replace: bool = False) -> None:
+    """rows: part, line. A batch that is there already costs nothing. replace: it takes the place of all batches before it."""
     if any("," in p or "/" in p or not p for p in parts) or not token or "/" in token:
         raise ValueError("parts and tokens are names")
     if committed(path, token):
         return
     rows.sparkSession.dataSource.register(LinesSink)
-    rows.select("part", "line").write.format(LinesSink.name()).mode("append").option("path", path).option("token", token).option("parts", ",".join(parts)).option("rows", lines).save()
+    rows.select("part", "line").write.format(LinesSink.name()).mode("append").option("path", path).option("token", token).option("parts", ",".join(parts)).option("rows", lines).option("replace", str(replace).lower()).save()
 
 
-def write_decisions(scores: DataFrame, path: str, token: str, decisions: tuple[str, ...] = ("accept", "reject")) -> None:
+def write_decisions(scores: DataFrame, path: str, token: str, decisions: tuple[str, ...] = ("accept", "reject"), replace: bool = False) -> None:
     """SK3, SK4: a manifest for each decision and the whole score table, JSON lines with nulls, from one pass over the scores: a model
     behind them runs once. Another decision fails, and then nothing is written."""
     line = F.to_json(F.struct(*(F.col(f"`{c}`") for c in scores.columns)), {"ignoreNullFields": "false"})
-    parts = F.array(F.coalesce(F.col("decision"), F.lit("null")), F.lit(SCORES))
-    write_lines(scores.select(line.alias("line"), parts.alias("parts")).select(F.explode("parts").alias("part"), "line"), path, token, [*decisions, SCORES])
+    other = F.raise_error(F.concat(F.lit("unknown decision "), F.coalesce(F.col("decision"), F.lit("null")))).cast("string")
+    parts = F.array(F.when(F.col("decision").isin(*decisions), F.col("decision")).otherwise(other), F.lit(SCORES))
+    write_lines(scores.select(line.alias("line"), parts.alias("parts")).select(F.explode("parts").alias("part"), "line"), path, token, [*decisions, SCORES], replace=replace)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
