@@ -6,6 +6,8 @@ double, too, and is found without loss from the halves of the factors; so a tie
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ SPLITTER = float((1 << 27) + 1)
 WHOLE = float(1 << 52)
 
 
-def halves(x: float) -> tuple[float, float]:
+def _halves(x: float) -> tuple[float, float]:
     high = x * SPLITTER - (x * SPLITTER - x)
     return high, x - high
 
@@ -23,7 +25,7 @@ def halves(x: float) -> tuple[float, float]:
 def _scaled(c: Column, places: int) -> Column:
     """c * 10**places, rounded half to even on the exact product; c is below 2**52 / 10**places."""
     scale = float(10**places)
-    b_high, b_low = halves(scale)
+    b_high, b_low = _halves(scale)
     product, split = c * scale, c * SPLITTER
     high = split - (split - c)
     low = c - high
@@ -58,9 +60,20 @@ def number_text(c: Column, places: int = 6) -> Column:
 
 def unit_text(c: Column, places: int = 6) -> Column:
     """fixed_text of numbers within 0 and 1, which need neither sign nor other cases."""
-    one = 10**places
-    whole = _scaled(c, places).cast("long")
-    return F.when(whole == one, "1." + "0" * places).otherwise(F.concat(F.lit("0."), F.substring((whole + one).cast("string"), 2, places)))
+    return _units_text(_scaled(c, places), places)
+
+
+def _units_text(n: Column, places: int) -> Column:
+    """Whole units of the last place as text: a decimal of so many places."""
+    return (n.cast("long").cast(f"decimal({places + 1},0)") * F.lit(Decimal(1).scaleb(-places))).cast("string")
+
+
+def unit_texts(numbers: Column, places: int = 6) -> Column:
+    """unit_text of all numbers of an array. Lambdas are interpreted, so that each product is made once, and what tells ties apart only
+    where one seems to be."""
+    near = lambda v, p: F.when(F.abs(p - F.rint(p)) < 0.5, F.rint(p)).otherwise(_scaled(v, places))
+    whole = once(numbers, lambda a: F.zip_with(a, F.transform(a, lambda v: v * float(10**places)), near))
+    return F.transform(whole, lambda n: _units_text(n, places))
 
 
 def rounded(c: Column, places: int) -> Column:
