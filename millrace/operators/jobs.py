@@ -19,6 +19,7 @@ import urllib.request
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from pathlib import Path
 
 import pandas as pd
@@ -126,7 +127,7 @@ def run_jobs(plan: DataFrame, client: Callable[[], object], target: int, partiti
             return
         part = first["part"]
         share = target // partitions + (part < target % partitions)
-        window = Window(client(), iter_of(first, rows), share, run, max_inflight, outputs_per_job, timeout, every, policy, retries)
+        window = Window(client(), chain([first], rows), share, run, max_inflight, outputs_per_job, timeout, every, policy, retries)
         held = []
         for turn, (flight, status, place, output) in enumerate(window):
             held.append((part, turn, flight.job["job"], flight.job["seed"], flight.attempt, status, flight.name, place, output))
@@ -140,11 +141,6 @@ def run_jobs(plan: DataFrame, client: Callable[[], object], target: int, partiti
     return dealt.repartitionById(partitions, F.col("part")).sortWithinPartitions("part", "job").mapInPandas(work, RESULT)
 
 
-def iter_of(first: dict, rest: Iterator[dict]) -> Iterator[dict]:
-    yield first
-    yield from rest
-
-
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     f = pd.DataFrame(rows, columns=["part", "turn", "job", "seed", "attempt", "status", "prompt_id", "place", "output"])
     return f.astype({"place": "Int32"})
