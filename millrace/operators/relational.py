@@ -218,12 +218,13 @@ def chosen_runs(refs: DataFrame) -> DataFrame:
     return refs.groupBy("prefix", "run", "run_order").agg(F.count(F.lit(1)).alias("n")).groupBy("prefix").agg(F.max_by("run", F.struct("n", "run_order")).alias("run"))
 
 
-def rank_pairs(files: DataFrame, refs: DataFrame) -> DataFrame:
-    """JN5, WN4: files of a prefix by counter with references of the prefix by id, place by place. files: prefix, name, counter.
+def rank_pairs(files: DataFrame, refs: DataFrame, how: str = "inner") -> DataFrame:
+    """JN5, WN4: files of a prefix by counter with references of the prefix by id, place by place. files: prefix, name, counter. how: left
+    keeps files without a reference.
 
     Places are counted over ranges, and pairs meet by prefix and place, so that one prefix may have all files.
     """
-    return ranked_within(files, ["prefix"], [F.col("counter"), F.col("name")]).join(ranked_within(refs, ["prefix"], [F.col("ref_id")]), ["prefix", "turn"])
+    return ranked_within(files, ["prefix"], [F.col("counter"), F.col("name")]).join(ranked_within(refs, ["prefix"], [F.col("ref_id")]), ["prefix", "turn"], how)
 
 
 def job_count(rows: DataFrame, column: str) -> DataFrame:

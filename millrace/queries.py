@@ -508,7 +508,7 @@ def references(spark, d):
     files = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("seg"), name.alias("output_filename"))
     k, none = F.col("o_orderkey"), F.lit(None).cast("string")
     rows = table(spark, d, "orders").join(files, F.col("o_custkey") == F.col("c_custkey")).select(k.alias("pos"), F.concat(F.lit("r"), k % 3).alias("run_id"), (k % 3).alias("run_order"), F.concat(F.lit("m/"), k % 3).alias("manifest_path"), F.concat(F.lit("g"), k).alias("sample_id"), F.when(k % 16 == 0, F.col("output_filename")).otherwise(F.concat(F.lit("ComfyUI_temp_"), k, F.lit(".png"))).alias("comfy_filename"), none.alias("comfy_type"), F.when(k % 7 == 0, F.col("seg")).alias("effective_filename_prefix"), F.when(F.col("o_orderstatus") == "F", "x/canny.json").alias("comfy_prompt_graph_source"), F.when(k % 5 == 0, F.concat(F.lit("a"), "o_custkey")).alias("guide_image_id"), none.alias("anchor_real_sample_id"), none.alias("anchor_real_image_path"))
-    return files.select("output_filename"), rows
+    return files.select("output_filename", F.col("c_custkey").alias("turn")), rows
 
 
 @query(f"with {CLEAN} select * from c")
