@@ -825,8 +825,14 @@ def stream_decisions(spark, d):
     return replay(decisions(stream.select(F.col("vec_id").alias("id"), F.slice(e, 1, 32).alias("positive"), F.slice(e, 33, 32).alias("negative")), THRESHOLD))
 
 
-def event_stream(spark, d, rows):
-    return EV.stream_of(spark, f"{d}/events.parquet", table(spark, d, "events").schema, stream_folder(spark), rows)
+#: Of events, at most: a longer log is read in larger batches.
+BATCHES = 8
+
+
+def event_stream(spark, d, rows, by=None):
+    """by: the log is put in the order of this time first."""
+    events, folder = table(spark, d, "events"), stream_folder(spark)
+    return EV.stream_of(spark, EV.in_order(events, by, folder) if by else f"{d}/events.parquet", events.schema, folder, rows, batches=BATCHES)
 
 
 @query("select event_id, ts, user_id, event_type, value, props from events")
@@ -860,7 +866,7 @@ def job_transitions(spark, d):
     """UD9, SC13: signups submit, views and clicks run, purchases end; six hours for an attempt, two attempts, an hour for late events."""
     t = F.col("event_type")
     kind = F.when(t == "signup", J.SUBMIT).when(t.isin("view", "click"), J.PROGRESS).when(t == "purchase", J.FINISH)
-    lives = J.job_lives(event_stream(spark, d, 5000), kind, 6 * 3600, 1, "1 hour")
+    lives = J.job_lives(event_stream(spark, d, 5000, "ts"), kind, 6 * 3600, 1, "1 hour")
     return replay(lives, paced=True).withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 

@@ -14,7 +14,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -26,6 +27,10 @@ def located(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+#: Rows of one task of a batch.
+TASK_ROWS = 250_000
+
+
 class Log:
     """The files of a log and the rows before each; footers are read once, as files don't change."""
 
@@ -47,7 +52,8 @@ class Log:
         return out
 
     def ranges(self, start: int, end: int, parts: int) -> list[Rows]:
-        """[start, end) in so many nearly equal ranges, each with the files that it touches."""
+        """[start, end) in so many nearly equal ranges, or in more of at most TASK_ROWS, each with the files that it touches."""
+        parts = max(parts, -(-(end - start) // TASK_ROWS))
         edges = [start + (end - start) * k // parts for k in range(parts + 1)]
         files = self.files()
         return [Rows([(n, max(a, x) - a, min(z, y) - a) for n, a, z in files if a < y and z > x]) for x, y in zip(edges[:-1], edges[1:], strict=True) if x < y]
@@ -76,12 +82,16 @@ def read_rows(path: str, pieces: list[tuple[str, int, int]], schema: pa.Schema)
                         if a < z:
                             yield pa.RecordBatch.from_arrays([b.column(c).slice(a, z - a).cast(schema.field(c).type) for c in schema.names], schema=schema)
                         row += b.num_rows
+                        if row >= end:
+                            break
                 at += n
 
 
 class EventSource(DataSource):
-    """Options: path (a Parquet file, or a folder of them); partitions: tasks of a batch; rows: most of a batch, with mark: a file in a
-    shared folder where the reader keeps how far batches were planned, so that one that is started again goes on at the same pace."""
+    """Options: path (a Parquet file, or a folder of them); partitions: tasks of a batch, more where each would have over TASK_ROWS rows;
+    rows: most of a batch, with mark: a file in a shared folder where the reader keeps how far batches were planned, so that one that is
+    started again goes on at the same pace; batches: a log that is longer than so many of them is read in so many larger ones, since each
+    costs seconds whatever it holds."""
 
     @classmethod
     def name(cls) -> str:
@@ -120,7 +130,7 @@ class _BatchReader(_Reader, DataSourceReader):
 class _StreamReader(_Reader, DataSourceStreamReader):
     def __init__(self, options, schema: StructType):
         super().__init__(options, schema)
-        self.most, self.mark = int(options.get("rows", 0)), options.get("mark")
+        self.most, self.mark, self.batches = int(options.get("rows", 0)), options.get("mark"), int(options.get("batches", 0))
         if self.most and not self.mark:
             raise ValueError("a pace needs a mark")
         self.log = Log(self.path)
@@ -140,7 +150,8 @@ class _StreamReader(_Reader, DataSourceStreamReader):
         after a restart, so that this never falls behind what Spark has logged."""
         files = self.log.files()
         there = files[-1][2] if files else 0
-        return {"row": min(there, self._planned() + self.most) if self.most else there}
+        most = max(self.most, -(-there // self.batches)) if self.batches else self.most
+        return {"row": min(there, self._planned() + most) if most else there}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         if self.mark and end["row"] > self._planned():
@@ -159,8 +170,17 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(EventSource)
 
 
-def stream_of(spark: SparkSession, path: str, schema: StructType, folder: str, rows: int = 0, partitions: int = 4):
-    """The log as a stream, in batches of at most so many rows (0: all that is there); folder: a shared one of this stream alone."""
+def stream_of(spark: SparkSession, path: str, schema: StructType, folder: str, rows: int = 0, partitions: int = 4, batches: int = 0):
+    """The log as a stream, in batches of at most so many rows (0: all that is there); folder: a shared one of this stream alone. batches:
+    of a log that is longer than so many batches, each holds its share (0: of as many as there are)."""
     register(spark)
     read = spark.readStream.format(EventSource.name()).schema(schema).option("path", path).option("partitions", partitions)
-    return (read.option("rows", rows).option("mark", f"{folder}-planned.json") if rows else read).load()
+    return (read.option("rows", rows).option("batches", batches).option("mark", f"{folder}-planned.json") if rows else read).load()
+
+
+def in_order(events: DataFrame, time: str, folder: str) -> str:
+    """The path of a log of these events in the order of a time, written by ranges to a shared folder: a log that was put together from
+    several begins anew in each, and what is later than a watermark allows would be lost."""
+    path = f"{folder}-log"
+    events.repartitionByRange(F.col(time), F.xxhash64(*events.columns)).sortWithinPartitions(time).write.parquet(path)
+    return path
