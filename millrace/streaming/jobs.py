@@ -1,9 +1,9 @@
 """UD9, SC13: the life of remote jobs as keyed state over their events, in event time.
 
 A job is submitted, runs, and is done; where it takes longer than the timeout it has timed out and is submitted again, so many times,
-and then it has failed. Events may come in any order within the watermark's delay, and more than once: they wait in the job's state until
+and then it has failed. Events may come in any order within the watermark's delay, and more than once: they wait in the state until
 the watermark has passed them, and are then taken in the order of their times. So the transitions depend on the events alone, neither
-on batches nor on partitions. A timer wakes a job at its next event or deadline; no state is looked at in vain.
+on batches nor on partitions. A timer wakes a shard of jobs at its next event or deadline; no state is looked at in vain.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 IDLE, SUBMITTED, RUNNING, DONE, FAILED = "idle", "submitted", "running", "done", "failed"
 TIMED_OUT = "timed_out"
@@ -56,68 +56,51 @@ class Job:
             yield self.attempt, DONE, at
 
 
-class Lives(StatefulProcessor):
+FLYING, WAITING = "job array<long>, status array<string>, attempt array<int>, since array<long>", "of array<long>, at array<long>, event array<long>, kind array<string>"
+TOLD = "job long, attempt int, status string, at timestamp"
+#: Jobs share a state by their hash: a call for each job of a batch costs milliseconds.
+SHARDS = 512
+
+
+def _columns(rows: list[tuple], n: int) -> tuple[list, ...]:
+    return tuple(list(c) for c in zip(*rows, strict=True)) if rows else ([],) * n
+
+
+class Lives:
+    """A shard's turn in a batch: with new events of its jobs, or when its timer is over. Its state holds jobs in flight and events that wait."""
+
     def __init__(self, timeout: int, retries: int):
         self.timeout, self.retries = timeout, retries
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.job = handle.getValueState("job", "status string, attempt int, since long")
-        self.waiting = handle.getListState("waiting", "at long, event long, kind string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first, passed = None, timerValues.getCurrentWatermarkInMs() * 1000
-        for f in rows:
+    def turn(self, key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else ((),) * 8
+        jobs = {k: Job(*known) for k, *known in zip(*held[:4], strict=True)}
+        events, now, told = set(zip(*held[4:], strict=True)), state.getCurrentWatermarkMs() * 1000, []  # once each
+        for f in () if state.hasTimedOut else frames:
             at = f["at"].astype("datetime64[us]" if f["at"].dt.tz is None else "datetime64[us, UTC]").astype("int64")
-            fresh = [e for e in zip(at.tolist(), f["event"].tolist(), f["kind"].tolist(), strict=True) if e[0] > passed]  # the others are late
-            if fresh:
-                self.waiting.appendList(fresh)
-                first = min([e[0] for e in fresh] + ([] if first is None else [first]))
-        if first is not None:
-            self._wake(first)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = self.job.get() if self.job.exists() else None
-        job, told = Job(*known) if known else Job(), []
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        events = sorted(set(self.waiting.get())) if self.waiting.exists() else []  # once each
-        due = [e for e in events if e[0] <= now]
-        for at, _, kind in due:
-            told += job.pass_time(at, self.timeout, self.retries)
-            told += job.take(kind, at)
-        told += job.pass_time(now, self.timeout, self.retries)
-        self.job.update((job.status, job.attempt, job.since))
-        left = events[len(due) :]
-        if left:
-            self.waiting.put(left)
-        else:
-            self.waiting.clear()
-        wake = [left[0][0]] if left else []
-        if job.status in (SUBMITTED, RUNNING):
-            wake.append(job.since + self.timeout + 1)
-        if wake:
-            self._wake(min(wake), expiredTimerInfo.getExpiryTimeInMs())
+            events.update(e for e in zip(f["job"].tolist(), at.tolist(), f["event"].tolist(), f["kind"].tolist(), strict=True) if e[1] > now)  # the others are late
+        due = sorted(e for e in events if e[1] <= now)
+        for k, at, _, kind in due:
+            job = jobs.setdefault(k, Job())
+            told += ((k, *x) for x in job.pass_time(at, self.timeout, self.retries))
+            told += ((k, *x) for x in job.take(kind, at))
+        for k, job in jobs.items():
+            told += ((k, *x) for x in job.pass_time(now, self.timeout, self.retries))
+        left = sorted(events.difference(due))
+        flying = [(k, job.status, job.attempt, job.since) for k, job in jobs.items() if job.status in (SUBMITTED, RUNNING)]  # others begin anew
+        if left or flying:
+            state.update((*_columns(flying, 4), *_columns(left, 4)))
+            wake = min([e[1] for e in left] + [since + self.timeout + 1 for *_, since in flying])
+            state.setTimeoutTimestamp(-(-wake // 1000) - 1)  # it is over when the watermark is beyond it: at the event's time, in whole milliseconds
+        elif state.exists:
+            state.remove()
         if told:
-            yield pd.DataFrame({"job": [key[0]] * len(told), "attempt": [a for a, _, _ in told], "status": [s for _, s, _ in told], "at": pd.to_datetime([t for *_, t in told], unit="us", utc=True)})
-
-    def _wake(self, at: int, over: int | None = None) -> None:
-        """One timer, at the earliest time that matters, beside the one that is over; whole milliseconds, not before the event's time."""
-        at = -(-at // 1000)
-        for t in list(self.handle.listTimers()):
-            if t == over:
-                continue
-            if t <= at:
-                return
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(at)
-
-    def close(self) -> None:
-        pass
+            job, attempt, status, at = _columns(told, 4)
+            yield pd.DataFrame({"job": job, "attempt": attempt, "status": status, "at": pd.to_datetime(at, unit="us", utc=True)})
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Timers and several states need this store; it also spills to disk."""
+    """This store spills to disk."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
 
 
@@ -130,4 +113,5 @@ def job_lives(events: DataFrame, kind: Column, timeout: float, retries: int, lat
     use_rocksdb(events.sparkSession)
     rows = events.select(F.col(job).cast("long").alias("job"), F.col(event).cast("long").alias("event"), F.col(time).cast("timestamp").alias("at"), kind.alias("kind"))
     rows = rows.where("job is not null and at is not null").where(F.col("kind").isin(SUBMIT, PROGRESS, FINISH)).withWatermark("at", late)
-    return rows.groupBy("job").transformWithStateInPandas(Lives(round(timeout * 1_000_000), retries), "job long, attempt int, status string, at timestamp", "append", "eventTime")
+    shards = rows.withColumn("shard", F.pmod(F.xxhash64("job"), F.lit(SHARDS)))
+    return shards.groupBy("shard").applyInPandasWithState(Lives(round(timeout * 1_000_000), retries).turn, TOLD, f"{FLYING}, {WAITING}", "append", GroupStateTimeout.EventTimeTimeout)

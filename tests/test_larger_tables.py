@@ -39,3 +39,22 @@ def test_names_that_occur_again_are_files_of_their_own(tables):
     made("orders", "select * replace (o_orderkey + i * 10000 as o_orderkey, o_custkey + i * 99990 as o_custkey) from '{old}/orders.parquet', range(3) r(i)")
     same("clean_manifest")
     same("clean_summary")
+
+
+def test_a_log_of_several_copies_loses_no_event(tables):
+    """Each copy of the log begins anew, later than the watermark allows."""
+    made, same = tables
+    made("events", "select * replace (event_id + i * 100000 as event_id, user_id + i * 1000 as user_id) from '{old}/events.parquet', range(7) r(i) order by i, event_id")
+    same("job_transitions")
+    same("streamed_events")
+
+
+def test_a_longer_log_has_no_more_batches(spark, tmp_path):
+    from millrace.sources.events import stream_of
+    from millrace.streaming import replay
+
+    spark.range(900).write.parquet(str(tmp_path / "log"))
+    stream = stream_of(spark, str(tmp_path / "log"), spark.range(1).schema, str(tmp_path / "mark"), rows=10, batches=4)
+    got = replay(stream, paced=True, folder=str(tmp_path / "replay"))
+    assert sorted(r.id for r in got.collect()) == list(range(900))
+    assert len(list((tmp_path / "replay" / "rows").iterdir())) == 4
