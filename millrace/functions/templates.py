@@ -8,8 +8,9 @@ read once, when the query is made; only rows whose values bring braces along hav
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import lru_cache, reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,25 +82,65 @@ def _known(parts: list[tuple], values: dict[str, Column]) -> list[Column]:
     return [_formatted(values.get(x, F.lit("{" + x + "}")), conversion, spec) if field else F.lit(x) for x, field, conversion, spec in parts]
 
 
+def _quoted(x: str, ascii_only: bool) -> str:
+    """_escaped of one text."""
+    if x.isascii() and x.isprintable() and "'" not in x and "\\" not in x:
+        return f"'{x}'"
+    quote = '"' if "'" in x and '"' not in x else "'"
+    plain = {"\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t"} | ({"'": "\\'"} if quote == "'" else {})
+
+    def letter(c: str) -> str:
+        n = ord(c)
+        if c in plain:
+            return plain[c]
+        if not (n < 32 or 0x7F <= n <= 0xA0 or n == 0xAD or ascii_only and n > 0x7E):
+            return c
+        return f"\\x{n:02x}" if n < 0x100 else f"\\u{n:04x}" if n < 0x10000 else f"\\U{n:08x}"
+
+    return quote + "".join(map(letter, x)) + quote
+
+
+@lru_cache(4096)
+def _field(p: str) -> tuple:
+    """Name, conversion, precision, width, fill and alignment of a field."""
+    f = FIELD.fullmatch(p[1:-1]) if len(p) > 1 else None
+    spec = SPEC.fullmatch(f[3] or "") if f else None
+    if spec is None or not f[1] or re.search(r"[.\[]", f[1]):
+        raise ValueError(f"{p} is no field")
+    fill, align, zero, width, precision = spec.groups()
+    return f[1], f[2], None if precision is None else int(precision), int(width or 0), fill or ("0" if zero else " "), align
+
+
+def second_pass(text: str, values: dict[str, str]) -> str:
+    """The second pass over the text of a row; what _fields and _formatted are for known text."""
+    out = []
+    for p in re.findall(PARTS, text):
+        if p in ("{{", "}}"):
+            p = p[0]
+        elif p[0] in "{}":
+            name, conversion, precision, width, fill, align = _field(p)
+            p = values.get(name, "{" + name + "}")
+            if conversion in ("r", "a"):
+                p = _quoted(p, conversion == "a")
+            p = p[:precision]
+            free = width - len(p)
+            if free > 0:
+                left = free if align == ">" else free // 2 if align == "^" else 0
+                p = fill * left + p + fill * (free - left)
+        out.append(p)
+    return "".join(out)
+
+
 def _read_again(text: Column, values: dict[str, Column]) -> Column:
-    """The second pass over the text of a row."""
-    names = F.create_map(*(x for k, v in values.items() for x in (F.lit(k), v))) if values else F.create_map().cast("map<string,string>")
-    group = lambda p, n: F.regexp_extract(p, "(?s)^\\{([^{}!:]*)(?:!([rsa]))?(?::([^{}]*))?\\}$", n)
-    piece = lambda s, n: F.regexp_extract(s, "(?s)^(?:(.)?([<>^]))?(0)?([0-9]+)?(?:\\.([0-9]+))?s?$", n)
-    fail = lambda p: F.raise_error(F.concat(p, F.lit(" is no field"))).cast("string")
-
-    def field(p: Column) -> Column:
-        name, conversion, spec = group(p, 1), group(p, 2), group(p, 3)
-        value = F.coalesce(F.try_element_at(names, name), F.concat(F.lit("{"), name, F.lit("}")))
-        value = F.when(conversion == "r", _escaped(value, False)).when(conversion == "a", _escaped(value, True)).otherwise(value)
-        cut = F.when(piece(spec, 5) == "", value).otherwise(F.substring(value, F.lit(1), piece(spec, 5).try_cast("int")))
-        fill = F.coalesce(F.nullif(piece(spec, 1), F.lit("")), F.when(piece(spec, 3) == "0", "0"), F.lit(" "))
-        wide = F.coalesce(piece(spec, 4).try_cast("int"), F.lit(0))
-        sound = (name != "") & ~name.rlike(r"[.\[]") & p.rlike("(?s)^\\{[^{}!:]*(![rsa])?(:((.)?[<>^])?0?[0-9]*(\\.[0-9]+)?s?)?\\}$")
-        return F.when(sound, _padded(cut, fill, piece(spec, 2), wide)).otherwise(fail(p))
-
-    each = lambda p: F.when(p == "{{", "{").when(p == "}}", "}").when(p.isin("{", "}"), fail(p)).when(p.startswith("{"), field(p)).otherwise(p)
-    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)" + PARTS), F.lit(0)), each), "")
+    """The second pass over the texts of rows, by whole Arrow batches, as a pass by expressions is interpreted; null where the text is null."""
+    names = list(values)
+
+    @F.arrow_udf("string")
+    def again(text: pa.Array, *columns: pa.Array) -> pa.Array:
+        rows = zip(*(c.to_pylist() for c in columns), strict=True) if columns else iter(lambda: (), None)
+        return pa.array([None if t is None else second_pass(t, dict(zip(names, row, strict=True))) for t, row in zip(text.to_pylist(), rows)], pa.string())
+
+    return again(text, *values.values())
 
 
 def render(template: str, fields: dict[str, Column]) -> Column:
@@ -132,7 +173,7 @@ def render(template: str, fields: dict[str, Column]) -> Column:
     if not brought:
         return text
     braces = reduce(lambda a, b: a | b, (r.contains("{") | r.contains("}") for r in brought))
-    return F.when(braces, _read_again(joined, values)).otherwise(text)
+    return F.when(braces, _read_again(F.when(braces, joined), values)).otherwise(text)
 
 
 def template_file(spark, path: str) -> str:

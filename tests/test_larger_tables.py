@@ -58,3 +58,20 @@ def test_a_longer_log_has_no_more_batches(spark, tmp_path):
     got = replay(stream, paced=True, folder=str(tmp_path / "replay"))
     assert sorted(r.id for r in got.collect()) == list(range(900))
     assert len(list((tmp_path / "replay" / "rows").iterdir())) == 4
+
+
+def test_texts_are_read_again_by_batches(spark):
+    """By one step of whole Arrow batches, not by expressions that are interpreted for each letter."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from millrace.functions import templates as T
+
+    df = spark.createDataFrame([("x'y", "{a!r:>7}{{"), ("\u00adz", "{a!a}"), ("q", "none")], "a string, b string").repartition(1)
+    made = df.select(T.render("$b|{a:^5}", {c: F.col(c) for c in "ab"}).alias("t"))
+    assert sorted(r.t for r in made.collect()) == sorted(['  "x\'y"{| x\'y ', "'\\xadz'| \u00adz  ", "none|  q  "])
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        made.explain()
+    assert "ArrowEvalPython" in plan.getvalue()
