@@ -68,14 +68,6 @@ def _units_text(n: Column, places: int) -> Column:
     return (n.cast("long").cast(f"decimal({places + 1},0)") * F.lit(Decimal(1).scaleb(-places))).cast("string")
 
 
-def unit_texts(numbers: Column, places: int = 6) -> Column:
-    """unit_text of all numbers of an array. Lambdas are interpreted, so that each product is made once, and what tells ties apart only
-    where one seems to be."""
-    near = lambda v, p: F.when(F.abs(p - F.rint(p)) < 0.5, F.rint(p)).otherwise(_scaled(v, places))
-    whole = once(numbers, lambda a: F.zip_with(a, F.transform(a, lambda v: v * float(10**places)), near))
-    return F.transform(whole, lambda n: _units_text(n, places))
-
-
 def rounded(c: Column, places: int) -> Column:
     """c rounded half to even to so many places, on its exact value: what a correctly rounding language gives."""
     return once(c.cast("double"), lambda v: F.when(F.abs(v) < WHOLE / 10**places, _scaled(v, places) / float(10**places)).otherwise(v))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decimals import number_text, once, unit_texts
+from .decimals import number_text, once
+from .label_text import coco_lines
 
 KEYPOINTS = 17
 
@@ -120,13 +122,16 @@ def _line(texts: Column, seen: Column) -> Column:
 
 
 def coco_label_line(box: Column, flat: Column, width: Column, height: Column) -> Column:
-    """SF12: 0 cx cy w h and 17 keypoints of x y v, normalized and within 0 and 1; null where the box or the size lacks a number."""
-    w, h = width.cast("double"), height.cast("double")
-    b = lambda i: F.get(box, F.lit(i))
-    head = F.array((b(0) + b(2) / 2) / w, (b(1) + b(3) / 2) / h, b(2) / w, b(3) / h)
-    at = lambda k, j: F.coalesce(F.get(flat, k * 3 + j), F.lit(0.0))
-    xy = F.flatten(F.transform(_places(), lambda k: F.array(at(k, 0) / w, at(k, 1) / h)))
-    return _line(unit_texts(F.transform(F.concat(head, xy), _unit)), F.transform(_places(), lambda k: at(k, 2).cast("int")))
+    """SF12: 0 cx cy w h and 17 keypoints of x y v, normalized and within 0 and 1; null where the box or the size lacks a number.
+
+    38 numbers of exact text a line: made by whole Arrow batches (label_text.py), as lambdas of expressions are interpreted one by one.
+    """
+
+    @F.arrow_udf("string")
+    def line(b: pa.Array, k: pa.Array, w: pa.Array, h: pa.Array) -> pa.Array:
+        return coco_lines(b, k, w, h)
+
+    return line(box.cast("array<double>"), flat.cast("array<double>"), width.cast("double"), height.cast("double"))
 
 
 def polygon_points(points: Column) -> Column:

@@ -75,3 +75,22 @@ def test_texts_are_read_again_by_batches(spark):
     with contextlib.redirect_stdout(io.StringIO()) as plan:
         made.explain()
     assert "ArrowEvalPython" in plan.getvalue()
+
+
+def test_label_lines_are_made_by_batches(spark):
+    """By one step of whole Arrow batches, with missing numbers, ties of the sixth place and visibilities of more than one character."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from millrace.functions import vision as V
+
+    rows = [(1, [0.0, 20.0, 10.0, 20.0], [1.0, 2.0, 2.0, None, 3.0, 12.0], 128), (2, [0.0, None, 1.0, 1.0], [], 128), (3, [0.0, 1.0, 1.0, 1.0], [], None)]
+    df = spark.createDataFrame(rows, "k int, b array<double>, p array<double>, w int").repartition(1)
+    made = df.select("k", V.coco_label_line(F.col("b"), F.col("p"), F.col("w"), F.lit(200)).alias("t"))
+    line = "0 0.039062 0.150000 0.078125 0.100000 0.007812 0.010000 2 0.000000 0.015000 12" + " 0.000000 0.000000 0" * 15
+    assert {r.k: r.t for r in made.collect()} == {1: line, 2: None, 3: None}
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        made.explain()
+    assert "ArrowEvalPython" in plan.getvalue()
