@@ -295,10 +295,11 @@ def table_of(entries: DataFrame, dtype: type) -> Table:
     return Table(t.column("key").to_numpy().astype(np.int64).view(np.uint64), t.column("value").to_numpy().astype(dtype)) if t.num_rows else Table(np.zeros(0, np.uint64), np.zeros(0, dtype))
 
 
-def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH) -> DataFrame:
+def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, model: bool = True) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of docs.
 
-    held_out: a condition on the column doc_id; rows for which it holds are not learned from. depth: bytes of context, 3 to 7.
+    held_out: a condition on the column doc_id; rows for which it holds are not learned from. depth: bytes of context, 3 to 7. model:
+    whether the tree is learned; else score and bits_per_byte are null, and only words are counted.
     """
     if not 3 <= depth <= 7:
         raise ValueError("depth must be 3 to 7")
@@ -311,10 +312,11 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
         for b in batches:
             data, off = utf8(b.column("text"))
             out = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            run, at = grams(data, off, depth)
+            if model:
+                run, at = grams(data, off, depth)
+                for part, n in ((~out, 1), (out, 0)):
+                    runs.add(run[ragged(at[:-1][part], np.diff(at)[part])], n)
             h, _, _, rows = words(data, off, lower=True)
-            for part, n in ((~out, 1), (out, 0)):
-                runs.add(run[ragged(at[:-1][part], np.diff(at)[part])], n)
             train = h[ragged(rows[:-1][~out], np.diff(rows)[~out])]
             seen.add(train, 1)
             tokens += len(train) + int((~out).sum())
@@ -336,10 +338,10 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
         often = known.where(F.col("value") >= least).count()
     word_table = spark.sparkContext.broadcast(table_of(known.where(F.col("value") >= least), np.int64))
 
-    runs = stored(learned(counts.where(F.col("kind") == GRAMS), depth))
+    runs = stored(learned(counts.where(F.col("kind") == GRAMS), depth)) if model else None
     parts = max(1, -(-size(GRAMS, "k") // PART))
     passes = parts <= MOST_PASSES
-    run_table = spark.sparkContext.broadcast(table_of(runs if parts == 1 else _part(runs, parts, 0), np.float64) if passes else None)
+    run_table = spark.sparkContext.broadcast(table_of(runs if parts == 1 else _part(runs, parts, 0), np.float64) if passes and model else None)
 
     def read(batches: Batches) -> Iterator[pa.RecordBatch]:
         """One row for each row of docs: what the run table and the word table give; and the words that the table may not have."""
@@ -377,6 +379,8 @@ def score_texts(docs: DataFrame, held_out, id_column: str = "doc_id", text_colum
         more = _pass(base, table, depth, small).groupBy("doc_id", "key").agg(F.max("score").alias("more"))
         both = with_same(more, "inner").withColumn("score", F.col("score") + F.col("more")).drop("more")
     scale = float(np.log10(train_tokens + vocabulary + 1))
+    if not model:
+        both = both.withColumn("score", F.lit(None).cast("double"))
     return both.select(
         "doc_id",
         "held_out",
