@@ -37,7 +37,9 @@ PIECES = {
     ],
 }
 #: Words that a worker remembers; then it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
+#: Texts of words that are encoded at once: encodings take many times the room of their ids.
+AT_ONCE = 8
 
 
 #: A full stop or comma between a letter and white space is a part of its own for the tokenizer, too.
@@ -73,7 +75,8 @@ class WordIds:
             (plain if text.isalpha() and max(text) < "\u0180" else other).append((w, text))
         ids, lengths, known = [self.ids], [self.length], []
         groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
-        for group, got in zip(groups, self._encode([" ".join(x for _, x in g) for g in groups]), strict=True):
+        encoded = (got for k in range(0, len(groups), AT_ONCE) for got in self._encode([" ".join(x for _, x in g) for g in groups[k : k + AT_ONCE]]))
+        for group, got in zip(groups, encoded, strict=True):
             got = np.array(got, np.uint32)
             last = np.flatnonzero(self.ends[got])
             if len(last) != len(group) or last[-1] != len(got) - 1:
@@ -117,8 +120,8 @@ class TextIds:
         self.tokenizer = Tokenizer.from_file(path)
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        for k in range(0, len(texts), 64):
-            for e in self.tokenizer.encode_batch([t.decode() for t in texts[k : k + 64]], add_special_tokens=False):
+        for k in range(0, len(texts), AT_ONCE):
+            for e in self.tokenizer.encode_batch([t.decode() for t in texts[k : k + AT_ONCE]], add_special_tokens=False):
                 yield np.array(e.ids, np.uint32)
 
 
@@ -157,7 +160,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, i
                     blobs.append(ids[a : a + size].tobytes())
             yield batch(doc_id=b.column("doc_id").take(pa.array(rows, pa.int64())), piece=pa.array(number, pa.int32()), start=pa.array(start, pa.int64()), length=pa.array([len(x) // 4 for x in blobs], pa.int64()), ids_crc32=pa.array([zlib.crc32(x) for x in blobs], pa.int64()), ids=pa.array(blobs, pa.binary()))
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).transform(mapped, cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).transform(mapped, cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary", rows=300, size=1 << 20)
 
 
 class OpenSequences:
