@@ -56,12 +56,19 @@ def group_annotations(annotations: DataFrame, images: DataFrame, key: str, keep:
     return kept.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["v"]).alias("values"))
 
 
+#: Rows of one task of a join, about.
+TASK_ROWS = 1_000_000
+
+
 def subset(keys: DataFrame, key: str, images: DataFrame, annotations: DataFrame, licences: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """OR13: of the chosen images (key) the images, their annotations and the licences they use. images: key, license; annotations: key;
-    licences: id."""
-    kept = images.join(keys.select(key).distinct(), key, "left_semi")
+    licences: id. Partitions follow the number of annotations: narrow rows shrink so much on their way that bytes don't tell how many meet."""
+    parts = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-annotations.count() // TASK_ROWS))
+    dealt = lambda df: df.repartition(parts, key)
+    chosen = dealt(keys.select(key).distinct())
+    kept = dealt(images).join(chosen, key, "left_semi")
     used = kept.select(F.col("license").alias("id")).distinct()
-    return kept, annotations.join(keys.select(key).distinct(), key, "left_semi"), licences.join(used, "id", "left_semi")
+    return kept, dealt(annotations).join(chosen, key, "left_semi"), licences.join(used, "id", "left_semi")
 
 
 def single_only(annotations: DataFrame, key: str, keep: Column) -> DataFrame:

@@ -94,3 +94,14 @@ def test_label_lines_are_made_by_batches(spark):
     with contextlib.redirect_stdout(io.StringIO()) as plan:
         made.explain()
     assert "ArrowEvalPython" in plan.getvalue()
+
+
+def test_partitions_of_a_subset_follow_its_rows(spark, monkeypatch):
+    from millrace.operators import relational as R
+
+    monkeypatch.setattr(R, "TASK_ROWS", 100, raising=False)
+    lines = spark.range(3000).selectExpr("id % 1000 as k", "id")
+    images = spark.range(1000).selectExpr("id as k", "id % 5 as license")
+    kept, annotations, licences = R.subset(images.where("k < 500").select("k"), "k", images, lines, spark.range(5))
+    assert annotations.rdd.getNumPartitions() == 30
+    assert (kept.count(), annotations.count(), licences.count()) == (500, 1500, 5)
