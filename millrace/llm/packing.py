@@ -7,6 +7,7 @@ goes where it leaves the least space; if it fits nowhere and all places are take
 Words are encoded once and looked up, where the tokenizer's settings allow it (NORMALIZER, PIECES): such a tokenizer lowers letters
 and never merges across white space or between letters and marks, so the ids of a text are those of its parts. Any other tokenizer
 encodes the texts itself. Texts are encoded whole.
+Words are told apart by 64-bit hashes.
 
 Defined results: a null or empty text is one piece that holds the end id alone; a null doc_id stays null; rows that share a doc_id
 are documents of their own; an empty table gives an empty table; other columns are not read.
@@ -16,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, batch, mapped, ragged, stored, utf8
+from .common import LOWER, Batches, batch, mapped, ragged, stored, utf8, word_hashes, word_spans
 
 #: Settings of tokenizers that read word by word: fixed values of the format.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -36,18 +36,34 @@ PIECES = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
     ],
 }
-#: Words that a worker remembers; then it starts anew.
-REMEMBERED = 250_000
+#: Words that a worker remembers, at some 30 bytes each; then it starts anew.
+REMEMBERED = 500_000
 #: Texts of words that are encoded at once: encodings take many times the room of their ids.
 AT_ONCE = 8
+#: Bytes after which a full stop or comma is a part of its own.
+IS_LETTER = np.zeros(256, bool)
+IS_LETTER[ord("a") : ord("z") + 1] = True
 
 
-#: A full stop or comma between a letter and white space is a part of its own for the tokenizer, too.
-MARK = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
+def parts_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First bytes and end bytes of the parts of all rows, and the offsets of the rows in these; data is in lower case.
+
+    A full stop or comma that ends a word after a letter is a part of its own for the tokenizer, too.
+    """
+    s, e, _ = word_spans(data, off)
+    last = data[e - 1]
+    mark = ((last == ord(".")) | (last == ord(","))) & (e - s > 1)
+    mark[mark] = IS_LETTER[data[e[mark] - 2]]
+    cut = np.repeat(e, 1 + mark)
+    start = np.repeat(s, 1 + mark)
+    second = np.flatnonzero(mark) + np.cumsum(mark)[mark]
+    start[second] = cut[second] - 1
+    cut[second - 1] -= 1
+    return start, cut, np.searchsorted(start, off)
 
 
 class WordIds:
-    """Token ids of texts, by parts between ASCII white space. Parts that are new are learned many at once."""
+    """Token ids of texts, by parts between ASCII white space. Parts that are new are learned many at once; their hashes tell them apart."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,54 +76,69 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def _encode(self, parts: list[str]) -> list[list[int]]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [e.ids for e in encode(parts, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
-        plain, other = [], []
-        for w in new:
-            text = w.decode()
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> None:
+        """Parts that are new, by their hashes (ascending) and their places in data."""
+        size, raw = e - s, data.tobytes()
+        bad = np.r_[0, np.cumsum(~IS_LETTER[data])]
+        is_plain = bad[e] == bad[s]
+        for k in np.flatnonzero(~is_plain).tolist():
+            text = raw[s[k] : e[k]].decode()
             # letters that normalization leaves as they are make one run of tokens, of which the last ends a word
-            (plain if text.isalpha() and max(text) < "\u0180" else other).append((w, text))
+            is_plain[k] = text.isalpha() and max(text) < "\u0180"
+        plain, other = np.flatnonzero(is_plain), [np.flatnonzero(~is_plain)]
         ids, lengths, known = [self.ids], [self.length], []
         groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
-        encoded = (got for k in range(0, len(groups), AT_ONCE) for got in self._encode([" ".join(x for _, x in g) for g in groups[k : k + AT_ONCE]]))
-        for group, got in zip(groups, encoded, strict=True):
-            got = np.array(got, np.uint32)
-            last = np.flatnonzero(self.ends[got])
-            if len(last) != len(group) or last[-1] != len(got) - 1:
-                other += group
-                continue
-            ids.append(got)
-            lengths.append(np.diff(np.r_[-1, last]))
-            known += [w for w, _ in group]
+        for k in range(0, len(groups), AT_ONCE):
+            joined = [b" ".join([raw[a:z] for a, z in zip(s[g].tolist(), e[g].tolist(), strict=True)]).decode() for g in groups[k : k + AT_ONCE]]
+            for group, got in zip(groups[k : k + AT_ONCE], self._encode(joined), strict=True):
+                got = np.array(got, np.uint32)
+                last = np.flatnonzero(self.ends[got])
+                if len(last) != len(group) or last[-1] != len(got) - 1:
+                    other.append(group)
+                    continue
+                ids.append(got)
+                lengths.append(np.diff(np.r_[-1, last]).astype(np.int32))
+                known.append(group)
+        other = np.concatenate(other)
         for k in range(0, len(other), 5000):
-            got = self._encode([x for _, x in other[k : k + 5000]])
-            lengths.append(np.fromiter(map(len, got), np.int64, len(got)))
+            few = other[k : k + 5000]
+            got = self._encode([raw[a:z].decode() for a, z in zip(s[few].tolist(), e[few].tolist(), strict=True)])
+            lengths.append(np.fromiter(map(len, got), np.int32, len(got)))
             ids.append(np.fromiter((i for x in got for i in x), np.uint32))
-            known += [w for w, _ in other[k : k + 5000]]
-        self.place.update(zip(known, range(len(self.start), len(self.start) + len(known)), strict=True))
+            known.append(few)
+        at = np.empty(len(size), np.int32)
+        at[np.concatenate(known)] = np.arange(len(self.length), len(self.length) + len(size))
+        into = np.searchsorted(self.known, hashes)
+        self.known, self.place = np.insert(self.known, into, hashes), np.insert(self.place, into, at)
         self.ids, self.length = np.concatenate(ids), np.concatenate(lengths)
-        self.start = np.cumsum(self.length) - self.length
+        self.start = np.cumsum(self.length, dtype=np.int64) - self.length
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text. The tokenizer lowers letters itself; texts that may hold its special tokens go to it whole."""
-        if len(self.place) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self._forget()
-        parts = [None if b"<|" in t else MARK.sub(rb" \1", t.lower()).split() for t in texts]
-        new = set().union(*(p for p in parts if p)) - self.place.keys()
-        if new:
-            self._learn(list(new))
-        for text, words in zip(texts, parts, strict=True):
-            if words is None:
+        whole = [b"<|" in t for t in texts]
+        off = np.r_[0, np.cumsum([0 if w else len(t) for t, w in zip(texts, whole, strict=True)], dtype=np.int64)]
+        data = LOWER[np.frombuffer(b"".join(t for t, w in zip(texts, whole, strict=True) if not w), np.uint8)]
+        s, e, rows = parts_of(data, off)
+        own, first, index = np.unique(word_hashes(data, s, e), return_index=True, return_inverse=True)
+        into = np.minimum(np.searchsorted(self.known, own), max(0, len(self.known) - 1))
+        new = np.flatnonzero(self.known[into] != own) if len(self.known) else np.arange(len(own))
+        if len(new):
+            self._learn(own[new], data, s[first[new]], e[first[new]])
+        at = self.place[np.searchsorted(self.known, own)][index]
+        for text, is_whole, a, z in zip(texts, whole, rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+            if is_whole:
                 yield np.array(self._encode([text.decode()])[0], np.uint32)
                 continue
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            yield self.ids[ragged(self.start[at], self.length[at])]
+            yield self.ids[ragged(self.start[at[a:z]], self.length[at[a:z]])]
 
 
 class TextIds:
