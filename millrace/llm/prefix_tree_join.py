@@ -1,8 +1,10 @@
 """N-gram Jaccard join by prefix trees: links documents whose sets of word n-grams have a Jaccard similarity of 0.8 or more.
 
 1. One pass counts n-grams in a hashed table of fixed size, which gives one global order of all n-grams: rare ones first.
-2. Sets that can be linked share an n-gram among their first |x| - ceil(0.8 |x|) + 1. Each task sends these as packed arrays; sets
-   under one n-gram whose sizes and places allow a link are joined to groups outside which there are no links.
+2. Sets that can be linked share SHARED n-grams (or all of their overlap, if that is less) among their first
+   |x| - ceil(0.8 |x|) + SHARED. Each task first sends 32 bits of these, which tells the n-grams that only one set has; the others
+   follow as packed arrays. Under an n-gram of few sets each pair is counted whose sizes and places allow a link; under one of
+   many sets these are joined without counting. Outside the groups of such links there are no links.
 3. Each different set of a group is stored once in a trie of ordered n-grams. A set walks the trie: branches share the overlap
    that they have in common, and a branch ends when what remains of it cannot reach the threshold. Sets that are known to be in
    one component aren't compared again. Groups beyond BLOCK_GRAMS are cut into blocks, and every pair of blocks is joined.
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Batches, batch, hash_filter, longs, mapped, may_hold, merged, mix, parts_for, prefix_hashes, ragged, slices_of, span_hashes, stored, texts, utf8, words
+from .common import U64, Batches, batch, group_starts, hash_filter, longs, mapped, may_hold, merged, mix, parts_for, prefix_hashes, ragged, slices_of, span_hashes, stored, texts, utf8, words
 from .components import connected_components
 
 #: Counters of the global order: 4 MB in all, whatever the corpus.
@@ -32,6 +34,14 @@ COUNTERS = 1 << 20
 BLOCK_GRAMS = 2_000_000
 #: Bytes of the prefixes in one shard, about.
 SHARD_BYTES = 32 << 20
+#: N-grams that two sets must share in their prefixes to be compared: one is often shared by chance, the more so the more sets there are.
+SHARED = 4
+#: Sets under one n-gram of which each pair is counted, and rows of a batch under one n-gram that show that it has more.
+PAIRS, PAIRS_IN_BATCH = 16, 8
+#: Rows under n-grams whose pairs are made at once.
+PAIR_SLAB = 200_000
+#: The most bits of the table of n-grams that several sets have: 32 MB. Beyond, more rows are sent, with the same result.
+SHARED_BITS = 28
 #: Rows of one component are joined to what is known of it in so many partitions.
 SALTS = 8
 
@@ -78,14 +88,37 @@ def ordered(grams: np.ndarray, off: np.ndarray, counts: np.ndarray) -> np.ndarra
 
 
 def prefix_lengths(n: np.ndarray) -> np.ndarray:
-    return n - (4 * n + 4) // 5 + 1
+    return np.minimum(n, n - (4 * n + 4) // 5 + SHARED)
+
+
+def bucket_pairs(token: np.ndarray, node: np.ndarray, size: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs u, v of different sets under each n-gram that could be linked: how many n-grams they share here, and how many they must.
+
+    Rows are in the order of n-gram and set, each only once.
+    """
+    found = []
+    for d in range(1, PAIRS):
+        a = np.flatnonzero(token[d:] == token[:-d])
+        if not len(a):
+            break
+        z = a + d
+        fits = (size[z] <= reach[a]) & (size[a] <= reach[z])
+        a, z = a[fits], z[fits]
+        found.append((node[a], node[z], np.minimum(SHARED, (4 * np.maximum(size[a], size[z]) + 4) // 5)))
+    if not found:
+        return node[:0], node[:0], size[:0], size[:0]
+    u, v, need = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((v, u))
+    u, v, need = u[order], v[order], need[order]
+    at = group_starts(u, v)
+    return u[at], v[at], np.diff(np.r_[at, len(u)]), need[at]
 
 
 def bucket_links(token: np.ndarray, node: np.ndarray, size: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links u, v that join the sets under each n-gram that could be linked there, and the rows that later links may still need.
 
-    A pair is only asked for under its first common n-gram. With the n-gram at place i of n, the overlap is n - i at most, so that
-    the other set has at most reach = (5n - 9i) / 4 n-grams; and each must be within the reach of the other. Sets with reach >= n
+    A pair is only asked for under its first SHARED common n-grams. With the n-gram at place i of n, the overlap is n - j at most, where
+    j = max(0, i - SHARED + 1), so that the other set has at most reach = (5n - 9j) / 4 n-grams; and each must be within the reach of the other. Sets with reach >= n
     are linked to the earlier (smaller) set that reaches farthest, which is enough to join all that reach each other; a row that
     the same set outreaches isn't needed any more. Others are only linked to smaller sets.
     """
@@ -262,26 +295,75 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
     counts = merged(first.where("slice is not null").select("slice", "blob"), np.uint32, "sum")
     table = spark.sparkContext.broadcast(counts if len(counts) else np.zeros(COUNTERS, np.uint32))
     # as many shards as the prefixes need
-    entries = rows.agg(F.sum(F.floor(F.col("n") / 5) + 1)).first()[0] or 0
+    entries = rows.agg(F.sum(F.floor(F.col("n") / 5) + SHARED)).first()[0] or 0
     shards = max(2 * parts_for(spark), -(-entries * 24 // SHARD_BYTES))
+    slice_bits = max(8, (entries * 4 // SHARD_BYTES).bit_length())
+    bits = max(slice_bits + 3, min(max(SHARED_BITS, slice_bits + 3), int(2 * entries).bit_length()))
+
+    def first_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The first n-grams of the different sets of a batch: these, their sets, the sizes of the sets, and the places."""
+        grams, off = ngram_sets(column, size)
+        ids = set_ids(grams, off)
+        _, one = np.unique(ids, return_index=True)
+        n = np.diff(off)
+        one = one[n[one] > 0]
+        p = prefix_lengths(n[one])
+        token = ordered(grams, off, table.value)[ragged(off[one], p)]
+        return token, np.repeat(ids[one], p), np.repeat(n[one], p), ragged(np.zeros(len(p), np.int64), p)
+
+    def short(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = np.sort(mix(first_grams(b.column("text"))[0]))
+            if not len(h):
+                continue
+            h = h[np.r_[True, True, h[2:] != h[:-2]][: len(h)]]  # twice tells as much as more often
+            slices = (h >> U64(64 - slice_bits)).astype(np.int64)
+            at = group_starts(slices)
+            rest = (h >> U64(32 - slice_bits)).astype("<u4")
+            yield batch(slice=pa.array(slices[at], pa.int32()), blob=pa.array([rest[a:z].tobytes() for a, z in zip(at, np.r_[at[1:], len(h)], strict=True)], pa.binary()))
+
+    def repeated(batches: Batches) -> Iterator[pa.RecordBatch]:
+        def table_of(held: list[bytes]) -> bytes:
+            h = np.sort(np.frombuffer(b"".join(held), "<u4"))
+            found = np.zeros(1 << (bits - slice_bits), bool)
+            found[h[1:][h[1:] == h[:-1]] >> np.uint32(32 - (bits - slice_bits))] = True
+            return np.packbits(found, bitorder="little").tobytes()
+
+        last, held = None, []
+        for b in batches:
+            for s, blob in zip(b.column("slice").to_pylist(), b.column("blob").to_pylist(), strict=True):
+                if s != last and held:
+                    yield batch(slice=pa.array([last], pa.int32()), blob=pa.array([table_of(held)], pa.binary()))
+                    held = []
+                last = s
+                held.append(blob)
+        if held:
+            yield batch(slice=pa.array([last], pa.int32()), blob=pa.array([table_of(held)], pa.binary()))
+
+    # as many slices as keep one small; each is united in one task, and the driver gets their bits
+    told = base.transform(mapped, short, "slice int, blob binary").repartition(max(12, parts_for(spark)), "slice").sortWithinPartitions("slice")
+    several_have = np.zeros((1 << slice_bits, 1 << (bits - slice_bits - 3)), np.uint8)
+    for r in told.transform(mapped, repeated, "slice int, blob binary").collect():
+        several_have[r.slice] = np.frombuffer(r.blob, np.uint8)
+    kept = spark.sparkContext.broadcast(several_have.ravel())
+    del several_have
 
     def prefixes(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            grams, off = ngram_sets(b.column("text"), size)
-            ids = set_ids(grams, off)
-            _, one = np.unique(ids, return_index=True)
-            n = np.diff(off)
-            one = one[n[one] > 0]
-            if not len(one):
+            token, node, sizes, place = first_grams(b.column("text"))
+            bit = mix(token) >> U64(64 - bits)
+            some = np.flatnonzero(kept.value[bit >> U64(3)] >> (bit & U64(7)).astype(np.uint8) & np.uint8(1))
+            if not len(some):
                 continue
-            keys = ordered(grams, off, table.value)
-            p = prefix_lengths(n[one])
-            token = keys[ragged(off[one], p)]
-            sizes, node = np.repeat(n[one], p), np.repeat(ids[one], p)
-            reach = (5 * sizes - 9 * ragged(np.zeros(len(p), np.int64), p)) // 4
-            u, v, needed = bucket_links(token, node, sizes, reach)
+            token, node, sizes, place = token[some], node[some], sizes[some], place[some]
+            reach = (5 * sizes - 9 * np.maximum(0, place - SHARED + 1)) // 4
+            # n-grams of many sets: what is outreached here isn't sent
+            _, index, k = np.unique(token, return_inverse=True, return_counts=True)
+            many = k[index] > PAIRS_IN_BATCH
+            needed = np.ones(len(token), bool)
+            u, v, needed[many] = bucket_links(token[many], node[many], sizes[many], reach[many])
+            packed = np.stack([token, node, (sizes << 32 | reach).astype(np.uint64) | many.astype(np.uint64) << U64(63)], axis=1)[needed]
             token = token[needed]
-            packed = np.stack([token, node[needed], (sizes[needed] << 32 | reach[needed]).astype(np.uint64)], axis=1)
             shard = (mix(token) % U64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             packed, at = packed[order], np.searchsorted(shard[order], np.arange(shards + 1))
@@ -303,7 +385,8 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
             yield from _shard_links(held, links)
 
     sent = base.transform(mapped, prefixes, "shard int, links boolean, blob binary").repartition(shards, "shard").sortWithinPartitions("shard", "links")
-    near = connected_components(sent.transform(mapped, grouped, "u long, v long"))
+    found = sent.transform(mapped, grouped, "u long, v long, k int, need int").groupBy("u", "v").agg(F.sum("k").alias("k"), F.min("need").alias("need"))
+    near = connected_components(found.where("k >= need").select("u", "v"))
     group = near.select(F.col("u").alias("set"), F.col("v").alias("group")).unionByName(near.select(F.col("v").alias("set"), F.col("v").alias("group")).distinct())
     group = stored(group)
     wanted = spark.sparkContext.broadcast(hash_filter(group.select("set"), group.count()))
@@ -356,22 +439,42 @@ def prefix_tree_join(docs: DataFrame, size: int = 5, id_column: str = "doc_id",
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    """Rows of n-gram, set, and size and reach in one: 24 bytes each."""
+    """Rows of n-gram, set, and in one: whether it has many sets (1 bit), size and reach. 24 bytes each."""
     return np.frombuffer(blob, np.uint64).reshape(-1, 3)
 
 
 def _shard_links(held: list[np.ndarray], links: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """u, v of possible links, with the n-grams that they share here and those that they must share in all."""
     u, v = [x[:, 0] for x in links], [x[:, 1] for x in links]
     if held:
         t = np.concatenate(held)
-        a, b, _ = bucket_links(t[:, 0], t[:, 1], (t[:, 2] >> U64(32)).astype(np.int64), (t[:, 2] & U64(0xFFFFFFFF)).astype(np.int64))
+        t = t[np.lexsort((t[:, 1], t[:, 0]))]
+        at = group_starts(t[:, 0])
+        many = np.logical_or.reduceat(t[:, 2] >> U64(63) > 0, at)
+        t = np.repeat(many, np.diff(np.r_[at, len(t)])).astype(np.uint64)[:, None] * (U64(1) << U64(63)) * np.array([0, 0, 1], np.uint64) | t
+        t = t[group_starts(t[:, 0], t[:, 1])]  # copies of a set
+        at = group_starts(t[:, 0])
+        k = np.diff(np.r_[at, len(t)])
+        many = np.repeat((k > PAIRS) | (t[at, 2] >> U64(63) > 0), k)
+        size, reach = (t[:, 2] >> U64(32) & U64(0x7FFFFFFF)).astype(np.int64), (t[:, 2] & U64(0xFFFFFFFF)).astype(np.int64)
+        a, b, _ = bucket_links(t[many, 0], t[many, 1], size[many], reach[many])
         u.append(a)
         v.append(b)
+        few = np.flatnonzero(~many & (np.repeat(k, k) > 1))
+        x = 0
+        while x < len(few):
+            y = min(len(few), x + PAIR_SLAB)
+            y = min(len(few), int(np.searchsorted(t[few, 0], t[few[y - 1], 0], "right")))
+            one = few[x:y]
+            a, b, shared, need = bucket_pairs(t[one, 0], t[one, 1], size[one], reach[one])
+            if len(a):
+                yield batch(u=a.view(np.int64), v=b.view(np.int64), k=shared.astype(np.int32), need=need.astype(np.int32))
+            x = y
     u, v = np.concatenate(u), np.concatenate(v)
     if len(u):
         node, root = local_components(u, v)
         far = node != root
-        yield batch(u=node[far].view(np.int64), v=root[far].view(np.int64))
+        yield batch(u=node[far].view(np.int64), v=root[far].view(np.int64), k=np.full(far.sum(), SHARED, np.int32), need=np.zeros(far.sum(), np.int32))
 
 
 def _group_links(ids: list[int], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
