@@ -7,11 +7,16 @@ last return the columns of documents; n_chars always tells the characters of the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from millrace.llm import toxicity as network
-from millrace.llm.common import stored
+from millrace.llm.common import Batches, hash_filter, longs, mapped, may_hold, stored
 from millrace.llm.edit_matching import decontaminate
 from millrace.llm.packing import best_fit_packing
 from millrace.llm.prefix_tree_join import prefix_tree_join
@@ -36,12 +41,23 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Of repeated rows of it, all but one go, too. All documents without words stay.
     """
-    found = prefix_tree_join(docs).where("n_shingles > 0")
-    least = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("key").alias("_row_key"))).alias("least"))
-    stays = least.select("least._id", "least._row_key")
+    found = stored(prefix_tree_join(docs).where("n_shingles > 0").select("doc_id", "key", "group"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("key").alias("_row_key")))
+    groups = stored(found.groupBy("group").agg(least.alias("least"), F.count("key").alias("k")))
+    several = stored(found.join(groups.where("k > 1").select("group"), "group").select("key"))
+    doubt = spark.sparkContext.broadcast(hash_filter(several, several.count()))
+
+    def marked(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.append_column("_doubt", pa.array(may_hold(doubt.value, longs(b.column("_row_key")).view(np.uint64))))
+
+    # only texts that may have near copies are sent to the rows that stay; those of groups of one row stay anyway
+    keyed = _keyed(docs)
+    rows = keyed.transform(mapped, marked, StructType([*keyed.schema.fields, StructField("_doubt", BooleanType())]))
     has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    once = _keyed(docs.where(has_words)).withColumn("_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["_row_key", "_id"])
-    return once.join(stays, ["_row_key", "_id"], "left_semi").select(*docs.columns).unionByName(docs.where(~has_words))
+    once = rows.where(F.col("_doubt") & has_words).withColumn("_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["_row_key", "_id"])
+    stays = groups.select("least._id", "least._row_key")
+    return once.join(stays, ["_row_key", "_id"], "left_semi").select(*docs.columns).unionByName(rows.where(~(F.col("_doubt") & has_words)).select(*docs.columns))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
