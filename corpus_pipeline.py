@@ -45,19 +45,22 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("key").alias("_row_key")))
     groups = stored(found.groupBy("group").agg(least.alias("least"), F.count("key").alias("k")))
     several = stored(found.join(groups.where("k > 1").select("group"), "group").select("key"))
-    doubt = spark.sparkContext.broadcast(hash_filter(several, several.count()))
+    stays = groups.select("least._id", "least._row_key")
+    filters = spark.sparkContext.broadcast((hash_filter(several, several.count()), hash_filter(stays.select("_row_key"), groups.count())))
 
     def marked(batches: Batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.append_column("_doubt", pa.array(may_hold(doubt.value, longs(b.column("_row_key")).view(np.uint64))))
-
-    # only texts that may have near copies are sent to the rows that stay; those of groups of one row stay anyway
-    keyed = _keyed(docs)
-    rows = keyed.transform(mapped, marked, StructType([*keyed.schema.fields, StructField("_doubt", BooleanType())]))
-    has_words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    once = rows.where(F.col("_doubt") & has_words).withColumn("_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["_row_key", "_id"])
-    stays = groups.select("least._id", "least._row_key")
-    return once.join(stays, ["_row_key", "_id"], "left_semi").select(*docs.columns).unionByName(rows.where(~(F.col("_doubt") & has_words)).select(*docs.columns))
+            key = longs(b.column("_row_key")).view(np.uint64)
+            doubt, stay = (may_hold(f, key) for f in filters.value)
+            words = b.column("_words").to_numpy(zero_copy_only=False).astype(bool)
+            b = b.drop_columns("_words").append_column("_doubt", pa.array(doubt & words))
+            yield b.filter(pa.array(stay | ~words))
+
+    # only texts that may have near copies are sent to the rows that stay, and of these only those that may stay; those of groups of one row stay anyway
+    keyed = _keyed(docs).withColumn("_words", F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    rows = keyed.transform(mapped, marked, StructType([*keyed.drop("_words").schema.fields, StructField("_doubt", BooleanType())]))
+    once = rows.where("_doubt").withColumn("_id", F.coalesce("doc_id", F.lit(-1))).dropDuplicates(["_row_key", "_id"])
+    return once.join(stays, ["_row_key", "_id"], "left_semi").select(*docs.columns).unionByName(rows.where("not _doubt").select(*docs.columns))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
