@@ -1,5 +1,6 @@
 """What op5 sends follows the input: no groups by quoted passages, one row of equal sets, and no square of a large group."""
 
+import itertools
 import random
 
 import numpy as np
@@ -50,12 +51,12 @@ def _inputs(monkeypatch, step):
 
 
 def test_quoted_passages_make_no_groups(spark, monkeypatch):
-    """Most of each text is a passage that many others have, or few others; only the contents of near copies are sent."""
+    """Texts of four passages, of which eighteen have the same rarest one; only the contents of near copies are sent."""
     r = random.Random(3)
-    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
-    passages = [" ".join(word() for _ in range(160)) for _ in range(2)]
-    texts = [" ".join([*(word() for _ in range(20)), passages[k >= 40], *(word() for _ in range(20))]) for k in range(50)]
-    texts += [texts[0] + " end", texts[42] + " end"]
+    passage = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n))
+    rare, common = [passage(50) for _ in range(3)], [passage(60) for _ in range(6)]
+    texts = [" ".join([one, *some]) for one in rare for some in list(itertools.combinations(common, 3))[:18]]
+    texts += [texts[0] + " end", texts[40] + " end"]
     sent = _inputs(monkeypatch, "joined")
     assert _got(spark, texts) == _expected(texts)
     assert len(sent[0]) == 4
